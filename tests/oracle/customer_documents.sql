@@ -1,0 +1,8 @@
+WITH raw AS (
+  SELECT codcli, cliente, fantasia, codcliprinc,
+         NULLIF(regexp_replace(trim(cgcent), '[^0-9]', '', 'g'), '') AS digits
+  FROM pcclient)
+SELECT codcli AS cod_cliente, cliente AS nm_cliente, fantasia, codcliprinc,
+       CASE WHEN length(digits) <= 11 THEN lpad(digits, 11, '0') ELSE lpad(digits, 14, '0') END AS documento_limpo,
+       CASE WHEN length(digits) <= 11 THEN 'CPF' ELSE 'CNPJ' END AS tp_documento
+FROM raw
