@@ -1,0 +1,7 @@
+SELECT p.codprod AS cod_produto, p.descricao AS nm_produto, cat.categoria AS categoria, sec.descricao AS secao,
+       dep.descricao AS departamento
+FROM pcprodut p
+LEFT JOIN pcdepto dep ON dep.codepto = p.codepto
+LEFT JOIN pcsecao sec ON sec.codsec = p.codsec AND sec.codepto = dep.codepto
+LEFT JOIN pccategoria cat ON cat.codcategoria = p.codcategoria AND cat.codsec = sec.codsec
+WHERE p.dtexclusao IS NULL

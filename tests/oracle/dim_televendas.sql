@@ -1,0 +1,2 @@
+SELECT DISTINCT p.codemitente AS cod_televenda, e.nome AS nm_televenda
+FROM pcpedc p JOIN pcempr e ON e.matricula = p.codemitente

@@ -12,13 +12,19 @@ from typing import Callable
 
 from pyspark.sql import DataFrame
 
-from tradeflow.plans import sales
+from tradeflow.plans import sales, star
 
 D = dt.date
 
 # Calibrated parameters (see SURVEY section 7).
 REVENUE_WINDOW = (D(2000, 11, 1), D(2000, 11, 30))
 ORDER_DAY = D(2000, 12, 9)
+SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
+
+
+def _doubles(df: DataFrame, *names: str) -> DataFrame:
+    """Money/quantity measures leave the plan as doubles (decimals inside)."""
+    return df.withColumns({n: df[n].cast("double") for n in names})
 
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "rep_revenue": lambda t: sales.rep_revenue(t, *REVENUE_WINDOW),
@@ -26,6 +32,17 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "day_orders_rep": lambda t: sales.day_orders_rep(t, ORDER_DAY),
     "day_orders_telesales": lambda t: sales.day_orders_telesales(t, ORDER_DAY),
     "customer_documents": lambda t: sales.customer_documents(t),
+    # R13 star schema
+    "dim_produto": star.dim_produto,
+    "dim_filial": star.dim_filial,
+    "dim_fornecedor": star.dim_fornecedor,
+    "dim_cliente": star.dim_cliente,
+    "dim_vendedor": star.dim_vendedor,
+    "dim_supervisor": star.dim_supervisor,
+    "dim_televendas": star.dim_televendas,
+    "fato_venda": lambda t: _doubles(star.fato_venda(t, SALES_SINCE), "qt_vendida", "valor_bruto", "valor_liquido"),
+    "fato_pedido_venda": lambda t: star.fato_pedido_venda(t, ORDERS_SINCE),
+    "fato_receber": lambda t: star.fato_receber(t, RECEIVABLES_SINCE),
 }
 
 FLAGSHIP = "rep_revenue"
