@@ -12,13 +12,16 @@ from typing import Callable
 
 from pyspark.sql import DataFrame
 
-from tradeflow.plans import sales, star
+from tradeflow.plans import sales, star, stock
 
 D = dt.date
 
 # Calibrated parameters (see SURVEY section 7).
 REVENUE_WINDOW = (D(2000, 11, 1), D(2000, 11, 30))
 ORDER_DAY = D(2000, 12, 9)
+EXPIRY_WINDOW = (D(2000, 1, 1), D(2000, 8, 31))
+STOCK_AS_OF = D(2000, 7, 1)
+STOCK_YEAR = 2000
 SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
 
 
@@ -43,6 +46,13 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "fato_venda": lambda t: _doubles(star.fato_venda(t, SALES_SINCE), "qt_vendida", "valor_bruto", "valor_liquido"),
     "fato_pedido_venda": lambda t: star.fato_pedido_venda(t, ORDERS_SINCE),
     "fato_receber": lambda t: star.fato_receber(t, RECEIVABLES_SINCE),
+    # stock
+    "last_entry_cost": stock.last_entry_cost,
+    "excess_stock": lambda t: stock.excess_stock(t, STOCK_AS_OF),
+    "excess_stock_monthly": lambda t: stock.excess_stock_monthly(t, STOCK_YEAR),
+    "near_expiry": lambda t: stock.near_expiry(t, *EXPIRY_WINDOW),
+    "near_expiry_product": lambda t: stock.near_expiry_product(t, *EXPIRY_WINDOW),
+    "near_expiry_lot": lambda t: stock.near_expiry_product(t, *EXPIRY_WINDOW, with_lot=True),
 }
 
 FLAGSHIP = "rep_revenue"
