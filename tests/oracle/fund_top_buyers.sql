@@ -1,0 +1,5 @@
+SELECT CLASSIFICACAO, COMPRADOR, CAST(SUM(SALDO_A_APLICAR) AS DOUBLE) AS SALDO_A_APLICAR
+FROM fund_base
+GROUP BY CLASSIFICACAO, COMPRADOR
+ORDER BY SUM(SALDO_A_APLICAR) DESC, CLASSIFICACAO, COMPRADOR
+LIMIT 15

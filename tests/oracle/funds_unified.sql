@@ -1,0 +1,11 @@
+WITH u AS (
+  SELECT 'ACOMPANHAMENTO' AS TIPO_VERBA, CLASSIFICACAO, COMPRADOR, FORNECEDOR, FILIAL,
+         STATUS_VENCIMENTO AS STATUS_UNIFICADO, DIAS_VENCIDOS, DATA_VENCIMENTO AS DATA_VENCIMENTO_UNIFICADO,
+         CAST(SALDO_A_RECEBER AS DECIMAL(38, 6)) AS VALOR_PENDENTE_UNIFICADO
+  FROM fund_base
+  UNION ALL
+  SELECT 'DEVOLUCAO', CLASSIFICACAO, COMPRADOR, FORNECEDOR, FILIAL, STATUS_VENCIDOS, DIAS_VENCIDOS, DATA_VENCIMENTO,
+         CAST(VALOR_VERBA_DEVOLUCAO AS DECIMAL(38, 6))
+  FROM returns_aged WHERE STATUS_VERBA = 'PENDENTE')
+SELECT * REPLACE (CAST(VALOR_PENDENTE_UNIFICADO AS DOUBLE) AS VALOR_PENDENTE_UNIFICADO)
+FROM u WHERE VALOR_PENDENTE_UNIFICADO > 0

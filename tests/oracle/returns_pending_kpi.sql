@@ -1,0 +1 @@
+SELECT CAST(COALESCE(SUM(VALOR_VERBA_DEVOLUCAO), 0) AS DOUBLE) AS SALDO_RECEBER FROM returns_aged WHERE STATUS_VERBA = 'PENDENTE'

@@ -1,0 +1,8 @@
+SELECT r.*, r.DTEMISSAO AS DATA_EMISSAO,
+       CASE WHEN r.DATA_PAGAMENTO IS NOT NULL THEN 'QUITADA' ELSE 'PENDENTE' END AS STATUS_VERBA,
+       CASE WHEN r.DATA_PAGAMENTO IS NOT NULL THEN 'QUITADA'
+            WHEN date_diff('day', r.DATA_VENCIMENTO, DATE '2000-12-31') > 0 THEN 'VENCIDA'
+            ELSE 'A VENCER' END AS STATUS_VENCIDOS,
+       CASE WHEN r.DATA_PAGAMENTO IS NULL AND date_diff('day', r.DATA_VENCIMENTO, DATE '2000-12-31') > 0
+            THEN date_diff('day', r.DATA_VENCIMENTO, DATE '2000-12-31') ELSE 0 END AS DIAS_VENCIDOS
+FROM returns_paid_x r

@@ -12,7 +12,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame
 
-from tradeflow.plans import sales, star, stock
+from tradeflow.operators import aggregate as agg
+from tradeflow.plans import funds, sales, star, stock
 
 D = dt.date
 
@@ -22,6 +23,10 @@ ORDER_DAY = D(2000, 12, 9)
 EXPIRY_WINDOW = (D(2000, 1, 1), D(2000, 8, 31))
 STOCK_AS_OF = D(2000, 7, 1)
 STOCK_YEAR = 2000
+FUND_AS_OF = D(2000, 12, 31)
+FUND_FROM_YEAR = 1997
+RETURNS_MIN_YEAR = 1998
+R15_BRANCH, R15_CLASS, R15_YEAR, R15_SEARCH = "1 a 7", "FARMA", 1999, "supplier#0*1"
 SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
 
 
@@ -29,6 +34,19 @@ def _doubles(df: DataFrame, *names: str) -> DataFrame:
     """Money/quantity measures leave the plan as doubles (decimals inside)."""
     return df.withColumns({n: df[n].cast("double") for n in names})
 
+def _status(t):
+    return funds.fund_status(funds.fund_ledger(t), FUND_AS_OF)
+
+
+def _r15(t):
+    return funds.fund_aggregation_inputs(funds.fund_ledger(t), funds.returns_receivable(t, RETURNS_MIN_YEAR),
+                                         R15_BRANCH, R15_CLASS, R15_YEAR)
+
+
+def _aged(t):
+    return funds.returns_status(funds.returns_receivable(t, RETURNS_MIN_YEAR, include_paid=True), FUND_AS_OF)
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "rep_revenue": lambda t: sales.rep_revenue(t, *REVENUE_WINDOW),
     "telesales_revenue": lambda t: sales.telesales_revenue(t, *REVENUE_WINDOW),
@@ -53,6 +71,32 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "near_expiry": lambda t: stock.near_expiry(t, *EXPIRY_WINDOW),
     "near_expiry_product": lambda t: stock.near_expiry_product(t, *EXPIRY_WINDOW),
     "near_expiry_lot": lambda t: stock.near_expiry_product(t, *EXPIRY_WINDOW, with_lot=True),
+    # R1 / R14 funds
+    "fund_ledger": funds.fund_ledger,
+    "fund_status": _status,
+    "fund_kpis": lambda t: funds.fund_kpis(_status(t)),
+    "fund_top_buyers": lambda t: funds.fund_top_buyers(_status(t)),
+    "fund_overdue_share": lambda t: funds.fund_overdue_share(_status(t)),
+    "fund_by_year_status": lambda t: funds.fund_by_year_status(_status(t)),
+    "fund_year_class_pivot": lambda t: funds.fund_year_class_pivot(_status(t), FUND_FROM_YEAR),
+    "fund_detail": lambda t: funds.fund_detail(_status(t), due_statuses=["VENCIDA"]),
+    # R15 fund aggregation
+    "fund_totals": lambda t: funds.fund_totals(*_r15(t)),
+    "fund_by_supplier_year": lambda t: funds.fund_by_supplier_year(_r15(t)[0]),
+    "fund_supplier_search": lambda t: funds.fund_by_supplier_year(_r15(t)[0], R15_SEARCH),
+    "fund_receivable_detail": lambda t: funds.fund_receivable_detail(_r15(t)[0]),
+    "fund_by_branch_buyer": lambda t: agg.group_sum(_r15(t)[0], ["CODIGOFILIAL", "COMPRADOR"], "VALOR_VERBA"),
+    "fund_by_class": lambda t: agg.group_sum(_r15(t)[0], "CLASSIFICACAO", "VLR_RECEBER"),
+    "fund_by_year": lambda t: funds.fund_by_year(_r15(t)[0]),
+    "fund_returns_by_supplier": lambda t: agg.group_sum(_r15(t)[1], "FORNECEDOR", "VALOR_VERBA_DEVOLUCAO"),
+    "returns_by_class": lambda t: agg.group_sum(_r15(t)[1], "CLASSIFICACAO", "VALOR_VERBA_DEVOLUCAO"),
+    # R2 / R16 returns
+    "returns_receivable": lambda t: funds.returns_receivable(t, RETURNS_MIN_YEAR),
+    "returns_status": _aged,
+    "returns_pending_kpi": lambda t: funds.returns_pending_kpi(_aged(t)),
+    "returns_by_supplier": lambda t: funds.returns_by_supplier(_aged(t)),
+    "funds_unified": lambda t: funds.funds_unified(_status(t), _aged(t)),
+    "funds_unified_summary": lambda t: funds.funds_unified_summary(funds.funds_unified(_status(t), _aged(t))),
 }
 
 FLAGSHIP = "rep_revenue"

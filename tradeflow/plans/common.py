@@ -29,6 +29,15 @@ def rep_line_revenue(m) -> Column:
     return F.round(net * nvl0(m.qt), 2)
 
 
+def decimals_to_double(df: DataFrame) -> DataFrame:
+    """Result boundary: every decimal column leaves as a double (all arithmetic
+    before this point is exact decimal)."""
+    from pyspark.sql.types import DecimalType
+
+    casts = {f.name: F.col(f.name).cast("double") for f in df.schema.fields if isinstance(f.dataType, DecimalType)}
+    return df.withColumns(casts) if casts else df
+
+
 def money_out(col: Column) -> Column:
     """Exact decimal arithmetic inside the plan; a double in the result."""
     return col.cast("double")
