@@ -1,0 +1,11 @@
+WITH ranked AS (
+  SELECT nm_cliente, categoria, row_number() OVER (PARTITION BY nm_cliente ORDER BY categoria) AS ORDEM
+  FROM customer_gaps),
+sums AS (SELECT categoria, nm_produto, SUM(VALOR_LIQUIDO) AS v FROM sales_base GROUP BY categoria, nm_produto),
+best AS (
+  SELECT categoria, nm_produto
+  FROM (SELECT *, row_number() OVER (PARTITION BY categoria ORDER BY v DESC, nm_produto) AS rn FROM sums)
+  WHERE rn = 1)
+SELECT r.nm_cliente, r.ORDEM, r.categoria, b.nm_produto
+FROM ranked r LEFT JOIN best b ON r.categoria = b.categoria
+WHERE r.ORDEM <= 8

@@ -1,0 +1,40 @@
+SELECT nm_cliente, nm_produto,
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 1 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "01/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 2 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "02/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 3 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "03/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 4 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "04/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 5 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "05/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 6 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "06/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 7 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "07/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 8 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "08/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 9 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "09/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 10 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "10/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 11 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "11/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 1999 AND MES = 12 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "12/1999",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 1 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "01/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 2 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "02/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 3 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "03/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 4 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "04/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 5 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "05/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 6 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "06/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 7 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "07/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 8 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "08/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 9 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "09/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 10 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "10/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 11 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "11/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2000 AND MES = 12 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "12/2000",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 1 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "01/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 2 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "02/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 3 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "03/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 4 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "04/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 5 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "05/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 6 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "06/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 7 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "07/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 8 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "08/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 9 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "09/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 10 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "10/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 11 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "11/2001",
+       CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 12 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "12/2001",
+       CAST(SUM(QT_VENDIDA) AS DOUBLE) AS TOTAL
+FROM sales_base
+GROUP BY nm_cliente, nm_produto

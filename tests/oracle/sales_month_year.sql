@@ -1,0 +1 @@
+SELECT ANO, MES, CAST(SUM(VALOR_LIQUIDO) AS DOUBLE) AS VALOR_LIQUIDO FROM sales_base GROUP BY ANO, MES

@@ -1,0 +1,6 @@
+WITH cust AS (SELECT DISTINCT nm_cliente FROM sales_base),
+cats AS (SELECT DISTINCT categoria FROM sales_base),
+bought AS (SELECT DISTINCT nm_cliente, categoria FROM sales_base)
+SELECT c.nm_cliente, k.categoria
+FROM cust c CROSS JOIN cats k
+WHERE NOT EXISTS (SELECT 1 FROM bought b WHERE b.nm_cliente = c.nm_cliente AND b.categoria = k.categoria)

@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 
 from tradeflow.operators import aggregate as agg
-from tradeflow.plans import funds, sales, star, stock
+from tradeflow.plans import customers, funds, sales, star, stock
 
 D = dt.date
 
@@ -27,6 +27,8 @@ FUND_AS_OF = D(2000, 12, 31)
 FUND_FROM_YEAR = 1997
 RETURNS_MIN_YEAR = 1998
 R15_BRANCH, R15_CLASS, R15_YEAR, R15_SEARCH = "1 a 7", "FARMA", 1999, "supplier#0*1"
+LIFECYCLE_SINCE, PREV_YEAR, CUR_YEAR = D(1999, 1, 1), 1999, 2000
+MATRIX_YEARS = (1999, 2000, 2001)
 SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
 
 
@@ -47,6 +49,10 @@ def _aged(t):
     return funds.returns_status(funds.returns_receivable(t, RETURNS_MIN_YEAR, include_paid=True), FUND_AS_OF)
 
 
+def _base(t):
+    return customers.sales_base(t, LIFECYCLE_SINCE)
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "rep_revenue": lambda t: sales.rep_revenue(t, *REVENUE_WINDOW),
     "telesales_revenue": lambda t: sales.telesales_revenue(t, *REVENUE_WINDOW),
@@ -97,6 +103,19 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "returns_by_supplier": lambda t: funds.returns_by_supplier(_aged(t)),
     "funds_unified": lambda t: funds.funds_unified(_status(t), _aged(t)),
     "funds_unified_summary": lambda t: funds.funds_unified_summary(funds.funds_unified(_status(t), _aged(t))),
+    # R17 customer lifecycle
+    "sales_macro_kpis": lambda t: customers.sales_macro_kpis(_base(t), PREV_YEAR, CUR_YEAR),
+    "sales_yoy": lambda t: customers.sales_yoy(_base(t)),
+    "sales_month_year": lambda t: customers.sales_month_year(_base(t)),
+    "top_categories": lambda t: customers.top_categories(_base(t)),
+    "sales_by_origin": lambda t: customers.sales_by_origin(_base(t)),
+    "customer_summary": lambda t: customers.customer_summary(_base(t)),
+    "customer_items": lambda t: customers.customer_items(_base(t), CUR_YEAR),
+    "category_section_share": lambda t: customers.category_section_share(_base(t)),
+    "category_gap": lambda t: customers.category_gap(_base(t)),
+    "bait_products": lambda t: customers.bait_products(_base(t)),
+    "mix_erosion": lambda t: customers.mix_erosion(_base(t), PREV_YEAR, CUR_YEAR),
+    "item_month_matrix": lambda t: customers.item_month_matrix(_base(t), MATRIX_YEARS),
 }
 
 FLAGSHIP = "rep_revenue"
