@@ -1,0 +1,3 @@
+SELECT p.numped, s.codsupervisor, s.nome AS supervisor
+FROM pcprest p JOIN pcusuari u ON p.codusur = u.codusur
+JOIN pcsuperv s ON COALESCE(p.codsupervisor, u.codsupervisor) = s.codsupervisor

@@ -1,0 +1,2 @@
+SELECT codfilial, CAST(COALESCE(SUM(qt), 0) AS DOUBLE) AS Soma_condicional_de_qt
+FROM pcmov WHERE codoper = 'S' AND codfilial IS NOT NULL GROUP BY codfilial

@@ -1,0 +1,5 @@
+WITH months AS (SELECT CAST(m AS INTEGER) AS mes, make_date(2000, CAST(m AS INTEGER), 1) AS ref FROM range(1, 13) t(m))
+SELECT mo.mes, m.codfilial, m.codprod, CAST(SUM(m.qt) AS DOUBLE) AS qtd_vendas_90d
+FROM pcmov m JOIN months mo ON m.dtmov >= mo.ref - 90 AND m.dtmov < mo.ref
+WHERE m.codoper = 'S'
+GROUP BY mo.mes, m.codfilial, m.codprod

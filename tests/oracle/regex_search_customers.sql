@@ -1,0 +1 @@
+SELECT codcli, fantasia FROM pcclient WHERE COALESCE(regexp_matches(fantasia, '(?i)CUSTOMER#0*12'), false)

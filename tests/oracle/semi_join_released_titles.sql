@@ -1,0 +1,3 @@
+SELECT p.numped, p.codcob, CAST(p.valor AS DOUBLE) AS valor FROM pcprest p
+WHERE EXISTS (SELECT 1 FROM pclib WHERE codtabela = '8' AND codfunc = 608 AND pclib.codigoa IS NOT NULL
+              AND (codigoa = COALESCE(p.codcob, codigoa) OR codigoa = '9999'))

@@ -1,0 +1,4 @@
+WITH s AS (SELECT codfilial, COALESCE(SUM(qt), 0) AS qt FROM pcmov WHERE codoper = 'S' GROUP BY codfilial)
+SELECT codfilial, CAST(qt AS DOUBLE) AS qt,
+       CAST(qt AS DOUBLE) * 100.0 / CAST((SELECT SUM(qt) FROM s) AS DOUBLE) AS share_pct
+FROM s

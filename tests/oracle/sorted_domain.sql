@@ -1,0 +1 @@
+SELECT DISTINCT codcategoria FROM pcprodut ORDER BY codcategoria

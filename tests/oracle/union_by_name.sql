@@ -1,0 +1,3 @@
+SELECT numverba, CAST(vlaplic AS DOUBLE) AS valor, 'APLIC' AS origem, CAST(NULL AS VARCHAR) AS tipo FROM pcaplicverba
+UNION ALL
+SELECT numverba, CAST(valor AS DOUBLE), 'MOV', tipo FROM pcmovcrfor

@@ -1,0 +1,4 @@
+WITH w AS (SELECT codfilial, SUM(qt) AS QT, SUM(punit) AS PUNIT FROM pcmov GROUP BY codfilial)
+SELECT codfilial, 'QT' AS medida, CAST(QT AS DOUBLE) AS valor FROM w
+UNION ALL
+SELECT codfilial, 'PUNIT', CAST(PUNIT AS DOUBLE) FROM w

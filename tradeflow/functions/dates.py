@@ -27,7 +27,7 @@ def lenient_date(text: Column) -> Column:
     Each format is tried explicitly (no day-first guessing), so ``2025-01-02``
     is 2 January and ``31/02/2025`` is NULL."""
     t = F.btrim(text)
-    return F.coalesce(F.try_to_date(t, F.lit(BR_DATE)), F.try_to_date(t, F.lit(ISO_DATE)))
+    return F.coalesce(F.try_to_date(t, BR_DATE), F.try_to_date(t, ISO_DATE))
 
 
 def br_date_text(col: Column) -> Column:

@@ -40,18 +40,26 @@ def br_number(text: Column, target: str = "decimal(18,2)") -> Column:
     return F.nullif(cleaned, F.lit("")).try_cast(target)
 
 
-def br_money_text(value: Column, prefix: str = "R$ ", null_as_zero: bool = True) -> Column:
-    """``R$ 1.234.567,12`` (thousands dot, decimal comma); NULL -> ``R$ 0,00``.
+def py_round2(value: Column) -> Column:
+    """Round to cents the way Python's ``format(x, ',.2f')`` does on a float:
+    half-even on the value's binary expansion (so -1234567.125 -> -1234567.12)."""
+    return F.bround(value.cast("double").cast("decimal(38,18)"), 2)
+
 
-    ``format_number`` rounds half-even on doubles; format the decimal value so the
-    rounding is half-up like the source's fixed-point display."""
-    amount = F.round(value.cast("decimal(38,6)"), 2)
+def br_money_text(value: Column, prefix: str = "R$ ", null_as_zero: bool = True) -> Column:
+    """``R$ 1.234.567,12`` (thousands dot, decimal comma); NULL -> ``R$ 0,00``."""
+    amount = py_round2(value)
     if null_as_zero:
         amount = F.coalesce(amount, F.lit(0).cast("decimal(38,2)"))
-    us = F.format_number(amount, 2)                       # 1,234,567.12
+    us = F.format_number(amount, 2)                       # 1,234,567.12 (already exact cents)
     return F.concat(F.lit(prefix), F.translate(us, ",.", ".,"))
 
 
+def br_grouped_text(value: Column) -> Column:
+    """Number as pt-BR text with grouping, e.g. ``1.234,56`` (no prefix)."""
+    return F.translate(F.format_number(py_round2(value), 2), ",.", ".,")
+
+
 def br_decimal_text(value: Column, scale: int = 2) -> Column:
     """Decimal -> text with a decimal comma and no grouping, as written by the CSV sink."""
     text = F.round(value.cast("decimal(38,6)"), scale).cast(f"decimal(38,{scale})").cast("string")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from tradeflow.operators import aggregate as agg
 from tradeflow.plans import customers, funds, sales, star, stock
+from tradeflow.plans import operator_queries as ops
 
 D = dt.date
 
@@ -29,6 +30,7 @@ RETURNS_MIN_YEAR = 1998
 R15_BRANCH, R15_CLASS, R15_YEAR, R15_SEARCH = "1 a 7", "FARMA", 1999, "supplier#0*1"
 LIFECYCLE_SINCE, PREV_YEAR, CUR_YEAR = D(1999, 1, 1), 1999, 2000
 MATRIX_YEARS = (1999, 2000, 2001)
+CUSTOMER_PATTERN = "CUSTOMER#0*12"
 SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
 
 
@@ -116,6 +118,30 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "bait_products": lambda t: customers.bait_products(_base(t)),
     "mix_erosion": lambda t: customers.mix_erosion(_base(t), PREV_YEAR, CUR_YEAR),
     "item_month_matrix": lambda t: customers.item_month_matrix(_base(t), MATRIX_YEARS),
+    # single operators over whole relations
+    "null_safe_ne": ops.null_safe_ne,
+    "group_sum_keep_nulls": ops.group_sum_keep_nulls,
+    "group_sum_drop_nulls": ops.group_sum_drop_nulls,
+    "filter_group_sum": ops.filter_group_sum,
+    "pivot_branch_month": lambda t: ops.pivot_branch_month(t, STOCK_YEAR),
+    "unpivot_branch_measures": ops.unpivot_branch_measures,
+    "rollup_category_section": ops.rollup_category_section,
+    "share_by_branch": ops.share_by_branch,
+    "anti_join_orders_without_items": ops.anti_join_orders_without_items,
+    "semi_join_released_titles": ops.semi_join_released_titles,
+    "expression_key_join": ops.expression_key_join,
+    "scalar_subquery_lot_one": ops.scalar_subquery_lot_one,
+    "union_by_name": ops.union_by_name,
+    "distinct_on_key": ops.distinct_on_key,
+    "distinct_rows": ops.distinct_rows,
+    "sorted_domain": ops.sorted_domain,
+    "regex_search_customers": lambda t: ops.regex_search_customers(t, CUSTOMER_PATTERN),
+    "br_number_roundtrip": ops.br_number_roundtrip,
+    "br_currency": ops.br_currency,
+    "lenient_dates": ops.lenient_dates,
+    "range_join_trailing_sales": lambda t: ops.range_join_trailing_sales(t, STOCK_YEAR),
+    "csv_roundtrip": ops.csv_roundtrip,
+    "parquet_roundtrip": lambda t: ops.parquet_roundtrip(t, LIFECYCLE_SINCE),
 }
 
 FLAGSHIP = "rep_revenue"
