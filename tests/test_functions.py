@@ -1,0 +1,116 @@
+"""Unit rows the mapped driver tables cannot reach (FIXTURES part 4)."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from tradeflow.functions import labels, text
+from tradeflow.functions.dates import lenient_date
+from tradeflow.functions.numeric import br_money_text, br_number, greatest_null_strict
+from tradeflow.operators import aggregate as agg
+from tradeflow.plans import funds
+
+AS_OF = dt.date(2000, 12, 31)
+
+
+def test_fund_due_status_rules(spark):
+    rows = [  # debit, credit, due date
+        (Decimal("10"), Decimal("-10"), dt.date(2000, 1, 1)),   # balance 0, overdue -> LIQUIDADA
+        (Decimal("0"), Decimal("-5"), dt.date(2000, 1, 1)),     # negative balance, overdue -> A VENCER
+        (Decimal("5"), Decimal("0"), None),                     # null due -> A VENCER, 0 days
+        (Decimal("5"), Decimal("0"), dt.date(2000, 12, 1)),     # overdue, positive -> VENCIDA
+    ]
+    df = spark.createDataFrame(rows, "d decimal(18,6), c decimal(18,6), due date")
+    bal = F.col("d") + F.col("c")
+    out = df.select(labels.fund_due_status(AS_OF, F.col("due"), bal).alias("s"),
+                    labels.overdue_days(AS_OF, F.col("due")).alias("days")).collect()
+    assert [r.s for r in out] == ["LIQUIDADA", "A VENCER", "A VENCER", "VENCIDA"]
+    assert out[1].days > 0 and out[2].days == 0 and out[3].days == 30
+
+
+def test_returns_status_rules(spark):
+    df = spark.createDataFrame([(dt.date(2000, 1, 1), dt.date(2000, 2, 1)), (dt.date(2000, 1, 1), None),
+                                (dt.date(2001, 6, 1), None), (None, None)], "due date, paid date")
+    out = [r[0] for r in df.select(labels.returns_due_status(AS_OF, F.col("due"), F.col("paid"))).collect()]
+    assert out == ["QUITADA", "VENCIDA", "A VENCER", "A VENCER"]
+
+
+def test_null_class_kept_by_null_safe_filter(spark):
+    ledger = spark.createDataFrame(
+        [(1, None, "X", "Y", 10, Decimal("1"), Decimal("1"), Decimal("2"), Decimal("-1"), "ATIVA", dt.date(2000, 1, 1),
+          dt.date(2000, 2, 1)),
+         (1, "OUTROS", "X", "Y", 11, Decimal("1"), Decimal("1"), Decimal("2"), Decimal("-1"), "ATIVA",
+          dt.date(2000, 1, 1), dt.date(2000, 2, 1))],
+        "CODIGOFILIAL int, CLASSIFICACAO string, FORNECEDOR string, COMPRADOR string, NUMEROVERBA long, "
+        "VALOR_VERBA decimal(18,2), VALORAPLICADO decimal(18,2), VALORDEBITO decimal(18,6), "
+        "VALORCREDITO decimal(18,6), SITUACAO string, DATACADASTRO date, DATAVENCIMENTO date")
+    out = funds.fund_status(ledger, AS_OF).collect()
+    assert len(out) == 1 and out[0].CLASSIFICACAO == "NÃO CLASSIFICADO"
+    assert out[0].SALDO_A_RECEBER == Decimal("1") and out[0].SALDO_A_APLICAR == Decimal("0")
+
+
+def test_greatest_is_null_strict(spark):
+    df = spark.createDataFrame([(None,), (Decimal("-3"),), (Decimal("4"),)], "x decimal(10,2)")
+    out = [r[0] for r in df.select(greatest_null_strict(F.lit(0), F.col("x"))).collect()]
+    assert out == [None, Decimal("0"), Decimal("4")]
+
+
+def test_customer_documents(spark):
+    df = spark.createDataFrame([(None,), (" - ",), ("123",), ("123.456.789-09",), ("12.345.678/0001-95",),
+                                ("12345678901234567",)], "doc string")
+    d = text.digits_only(F.col("doc"))
+    out = [(r[0], r[1]) for r in df.select(text.document_number(d), text.document_type(d)).collect()]
+    assert out == [(None, "CNPJ"), (None, "CNPJ"), ("00000000123", "CPF"), ("12345678909", "CPF"),
+                   ("12345678000195", "CNPJ"), ("12345678901234", "CNPJ")]
+
+
+def test_lenient_dates(spark):
+    df = spark.createDataFrame([("20/09/2024",), ("2025-01-02",), ("31/02/2025",), ("",), (None,)], "t string")
+    out = [r[0] for r in df.select(lenient_date(F.col("t"))).collect()]
+    assert out == [dt.date(2024, 9, 20), dt.date(2025, 1, 2), None, None, None]
+
+
+def test_br_numbers(spark):
+    df = spark.createDataFrame([("1.234,56",), ("7,5",), ("",), ("x",), (None,)], "t string")
+    out = [r[0] for r in df.select(br_number(F.col("t"))).collect()]
+    assert out == [Decimal("1234.56"), Decimal("7.50"), None, None, None]
+
+
+def test_br_currency(spark):
+    df = spark.createDataFrame([(-1234567.125,), (0.0,), (None,), (2.675,), (1234.5,)], "v double")
+    out = [r[0] for r in df.select(br_money_text(F.col("v"))).collect()]
+    assert out == ["R$ -1.234.567,12", "R$ 0,00", "R$ 0,00", "R$ 2,67", "R$ 1.234,50"]
+
+
+def test_group_sum_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), (None, 3)], "k string, v int")
+    keep = {r.k: r.Soma_de_v for r in agg.group_sum(df, "k", "v").collect()}
+    drop = {r.k: r.Soma_de_v for r in agg.group_sum(df, "k", "v", keep_null_keys=False).collect()}
+    assert keep == {None: 4, "a": 2} and drop == {"a": 2}
+
+
+def test_top1_tie_takes_lower_name(spark):
+    df = spark.createDataFrame([("c1", "B", 5), ("c1", "A", 5), ("c2", "Z", 1)], "cat string, prod string, v int")
+    out = agg.top_per_group(df, "cat", [F.col("v").desc(), F.col("prod")], 1).orderBy("cat").collect()
+    assert [(r.cat, r.prod) for r in out] == [("c1", "A"), ("c2", "Z")]
+
+
+def test_origin_classifier_variants(spark):
+    rows = [("PE", "F"), ("OL", "F"), (None, "F"), ("XX", "F"), ("PE", "T"), ("OL", "W"), ("PE", None)]
+    df = spark.createDataFrame(rows, "tipofv string, origemped string")
+    out = df.select(labels.origin_rep_report(F.col("tipofv"), F.col("origemped")).alias("a"),
+                    labels.origin_sales_fact(F.col("tipofv"), F.col("origemped")).alias("b"),
+                    labels.origin_order_fact(F.col("tipofv"), F.col("origemped")).alias("c")).collect()
+    assert [r.a for r in out] == ["PEDIDO ELETRÔNICO", "OPERADOR LOGÍSTICO", "FORÇA DE VENDAS", "OUTROS",
+                                  "TELEMARKETING", "E-COMMERCE", "OUTROS"]
+    assert [r.b for r in out] == ["PEDIDO ELETRÔNICO", "OPERADOR LOGÍSTICO", "FORÇA DE VENDAS", "FORÇA DE VENDAS",
+                                  "TELEMARKETING", "E-COMMERCE", "FORÇA DE VENDAS"]
+    assert [r.c for r in out] == ["PEDIDO ELETRÔNICO", "OPERADOR LOGÍSTICO", "FORÇA DE VENDAS", "FORÇA DE VENDAS",
+                                  "TELEMARKETING", "E-COMMERCE", "OUTROS"]
+
+
+def test_order_status_map(spark):
+    df = spark.createDataFrame([("P",), ("M",), ("Z",), (None,)], "c string")
+    out = [r[0] for r in df.select(labels.order_status(F.col("c"))).collect()]
+    assert out == ["aguardado liberação", "pedido em montagem", "outros", "outros"]

@@ -1,0 +1,33 @@
+"""Every registered query against its DuckDB oracle on the smallest driver tables.
+
+The driver repeats this on sf0.01 (``scripts/check_oracle.py`` does the same
+locally on any folder)."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SMALL_SF
+from tests.harness import compare, duck_connection
+
+QUERIES = entry.queries()
+ORACLE = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return duck_connection(SMALL_SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.count() >= 0 and len(df.columns) == 7
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, duck, name):
+    res = compare(QUERIES[name](spark, SMALL_SF), duck, ORACLE[name])
+    assert res["ok"], res

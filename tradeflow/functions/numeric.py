@@ -40,24 +40,23 @@ def br_number(text: Column, target: str = "decimal(18,2)") -> Column:
     return F.nullif(cleaned, F.lit("")).try_cast(target)
 
 
-def py_round2(value: Column) -> Column:
-    """Round to cents the way Python's ``format(x, ',.2f')`` does on a float:
-    half-even on the value's binary expansion (so -1234567.125 -> -1234567.12)."""
-    return F.bround(value.cast("double").cast("decimal(38,18)"), 2)
+def _us_grouped(value: Column) -> Column:
+    """``1,234,567.12``: Java's DecimalFormat on the double rounds half-even on
+    the exact binary value, as Python's ``format(x, ',.2f')`` does."""
+    return F.format_number(value.cast("double"), 2)
 
 
 def br_money_text(value: Column, prefix: str = "R$ ", null_as_zero: bool = True) -> Column:
     """``R$ 1.234.567,12`` (thousands dot, decimal comma); NULL -> ``R$ 0,00``."""
-    amount = py_round2(value)
+    amount = value.cast("double")
     if null_as_zero:
-        amount = F.coalesce(amount, F.lit(0).cast("decimal(38,2)"))
-    us = F.format_number(amount, 2)                       # 1,234,567.12 (already exact cents)
-    return F.concat(F.lit(prefix), F.translate(us, ",.", ".,"))
+        amount = F.coalesce(amount, F.lit(0.0))
+    return F.concat(F.lit(prefix), F.translate(_us_grouped(amount), ",.", ".,"))
 
 
 def br_grouped_text(value: Column) -> Column:
     """Number as pt-BR text with grouping, e.g. ``1.234,56`` (no prefix)."""
-    return F.translate(F.format_number(py_round2(value), 2), ",.", ".,")
+    return F.translate(_us_grouped(value), ",.", ".,")
 
 
 def br_decimal_text(value: Column, scale: int = 2) -> Column:

@@ -18,7 +18,7 @@ from tradeflow.functions.text import clean_label
 from tradeflow.operators import aggregate as agg
 from tradeflow.operators.joins import broadcast_if_bounded, dedup_on_key
 from tradeflow.plans import star
-from tradeflow.plans.common import Tables
+from tradeflow.plans.common import Tables, bounded
 
 # Fixed values of the lifecycle screens.
 RECENCY_DAYS = 30
@@ -62,9 +62,9 @@ def sales_base(tables: Tables, since, reps: Sequence[str] = ()) -> DataFrame:
     prod = prod.withColumnRenamed("cod_produto", "_prod_id")
     cli = cli.withColumnRenamed("cod_cliente", "_cli_id")
     rep = rep.withColumnRenamed("cod_vendedor", "_rep_id")
-    base = (fact.join(broadcast_if_bounded(prod), F.col("COD_PRODUTO") == F.col("_prod_id"), "left")
-                .join(broadcast_if_bounded(cli), F.col("COD_CLIENTE") == F.col("_cli_id"), "left")
-                .join(broadcast_if_bounded(rep), F.col("COD_VENDEDOR") == F.col("_rep_id"), "left"))
+    base = (fact.join(bounded(tables, "dim_produto_clean", prod), F.col("COD_PRODUTO") == F.col("_prod_id"), "left")
+                .join(bounded(tables, "dim_cliente_clean", cli), F.col("COD_CLIENTE") == F.col("_cli_id"), "left")
+                .join(bounded(tables, "dim_vendedor_clean", rep), F.col("COD_VENDEDOR") == F.col("_rep_id"), "left"))
     text_cols = ["nm_produto", "categoria", "secao", "nm_cliente", "nm_vendedor", "ORIGEM_PEDIDO"]
     base = base.withColumns({c: F.upper(F.coalesce(F.col(c), F.lit(labels.NOT_REGISTERED))) for c in text_cols})
     base = base.drop("_prod_id", "_cli_id", "_rep_id")
@@ -118,16 +118,22 @@ def sales_by_origin(base: DataFrame) -> DataFrame:
 
 
 def customer_summary(base: DataFrame) -> DataFrame:
-    """Per customer: rep shown (rep of the latest sale, A16), lifetime value,
+    """Per customer: rep shown (the rep of the latest order, A16), lifetime value,
     average ticket per distinct order (A9), last purchase, days of inactivity
-    against the latest date of the whole base (F15) and order count (A7)."""
+    against the latest date of the whole base (F15) and order count (A7).
+
+    Two hash aggregations instead of COUNT(DISTINCT): lines -> orders (keyed by
+    customer and order, so a hot customer spreads over many tasks), then
+    orders -> customer. The rep is carried as a code and named at the end."""
     today = _last_day(base)
-    out = base.groupBy("nm_cliente").agg(
-        agg.latest_value(F.col("nm_vendedor"), F.col("DATA_MOVIMENTACAO"), F.col("NUM_PEDIDO"),
-                         F.col("nm_vendedor")).alias("VENDEDOR"),
-        F.sum("VALOR_LIQUIDO").alias("LTV"),
-        F.countDistinct("NUM_PEDIDO").alias("PEDIDOS"),
-        F.max("DATA_MOVIMENTACAO").alias("ULTIMA_COMPRA"))
+    orders = base.groupBy("nm_cliente", "NUM_PEDIDO").agg(
+        F.sum("VALOR_LIQUIDO").alias("valor"), F.max("DATA_MOVIMENTACAO").alias("dia"),
+        F.max("COD_VENDEDOR").alias("rep"))
+    per = orders.groupBy("nm_cliente").agg(
+        agg.latest_value(F.col("rep"), F.col("dia"), F.col("NUM_PEDIDO")).alias("rep"),
+        F.sum("valor").alias("LTV"), F.count(F.lit(1)).alias("PEDIDOS"), F.max("dia").alias("ULTIMA_COMPRA"))
+    names = base.select(F.col("COD_VENDEDOR").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR")).distinct()
+    out = per.join(names, "rep", "left").drop("rep")
     out = out.withColumn("TICKET_MEDIO", F.try_divide(F.col("LTV").cast("double"), F.col("PEDIDOS").cast("double")))
     days = F.datediff(today, F.col("ULTIMA_COMPRA"))
     return out.withColumns({"DIAS_INATIVO": days, "RECENTE": days < RECENCY_DAYS})

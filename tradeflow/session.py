@@ -21,7 +21,8 @@ BASE_CONF = {
     # Dimension tables are broadcast only when they are known to be small:
     # keep Spark's own automatic threshold modest so that a dimension that
     # grows with the data falls back to a shuffle join by itself.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

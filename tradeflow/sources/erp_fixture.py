@@ -129,6 +129,9 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 _ORDER_DAYS = 490  # fixed fixture constant: snapshot history spans order keys 0..489
 
 
+_BOUND_CHECKS: dict[tuple, bool] = {}
+
+
 def oracle_prelude(names: list[str] | None = None) -> str:
     """``WITH`` list defining the ERP views over DuckDB's driver views."""
     names = names or list(ERP_VIEWS)
@@ -148,7 +151,6 @@ class ErpTables:
         self.spark = spark
         self.driver = DriverTables(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
-        self._bounded: dict[str, bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._views:
@@ -157,10 +159,20 @@ class ErpTables:
 
     def small(self, name: str) -> DataFrame:
         """The relation hinted for broadcast, but only after its row count was
-        checked against ``BROADCAST_MAX_ROWS`` (decision cached per relation)."""
-        if name not in self._bounded:
-            self._bounded[name] = has_at_most(self[name], BROADCAST_MAX_ROWS)
-        return F.broadcast(self[name]) if self._bounded[name] else self[name]
+        checked against ``BROADCAST_MAX_ROWS``. The decision is cached per
+        application, input folder and relation, so the check runs once."""
+        key = (self.spark.sparkContext.applicationId, self.driver.sf_dir, name)
+        if key not in _BOUND_CHECKS:
+            _BOUND_CHECKS[key] = has_at_most(self[name], BROADCAST_MAX_ROWS)
+        return F.broadcast(self[name]) if _BOUND_CHECKS[key] else self[name]
+
+    def bounded(self, key: str, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+        """Same checked broadcast for a relation derived from these tables
+        (``key`` names the derivation)."""
+        ck = (self.spark.sparkContext.applicationId, self.driver.sf_dir, "derived:" + key, max_rows)
+        if ck not in _BOUND_CHECKS:
+            _BOUND_CHECKS[ck] = has_at_most(df, max_rows)
+        return F.broadcast(df) if _BOUND_CHECKS[ck] else df
 
     def __contains__(self, name: str) -> bool:
         return name in ERP_VIEWS
