@@ -16,7 +16,7 @@ from tradeflow.functions import labels
 from tradeflow.functions.dates import month_or_zero, year_or_zero
 from tradeflow.functions.text import clean_label
 from tradeflow.operators import aggregate as agg
-from tradeflow.operators.joins import broadcast_if_bounded, dedup_on_key
+from tradeflow.operators.joins import dedup_on_key
 from tradeflow.plans import star
 from tradeflow.plans.common import Tables, bounded
 
@@ -160,16 +160,22 @@ def category_section_share(base: DataFrame) -> DataFrame:
     return roll.withColumn("SHARE_PCT", F.try_divide(F.col("VALOR_LIQUIDO").cast("double") * 100, total.cast("double")))
 
 
-def _customer_categories(base: DataFrame) -> DataFrame:
-    return base.groupBy("nm_cliente").agg(F.array_sort(F.collect_set("categoria")).alias("bought"))
+def _customer_categories(base: DataFrame) -> tuple[DataFrame, Column]:
+    """Per customer, the sorted set of categories bought, and the sorted domain
+    of all categories as a scalar subquery. Both come from the distinct
+    (customer, category) pairs, so the base is reduced once (partial
+    aggregation) and the domain is bounded by the number of categories."""
+    pairs = base.select("nm_cliente", "categoria").distinct()
+    domain = pairs.select(F.array_sort(F.collect_set("categoria"))).scalar()
+    per = pairs.groupBy("nm_cliente").agg(F.array_sort(F.collect_list("categoria")).alias("bought"))
+    return per, domain
 
 
 def category_gap(base: DataFrame) -> DataFrame:
     """Per customer: categories bought and the ones never bought among all
     categories of the base (J8/U5 as an array difference against the bounded
     category domain, a scalar subquery; no customer x category product)."""
-    domain = base.select(F.array_sort(F.collect_set("categoria"))).scalar()
-    per = _customer_categories(base)
+    per, domain = _customer_categories(base)
     gap = F.array_except(domain, F.col("bought"))
     shown = F.filter(F.col("bought"), lambda c: c != labels.NOT_REGISTERED)
     return per.select(
@@ -189,12 +195,15 @@ def top_product_per_category(base: DataFrame) -> DataFrame:
 
 def bait_products(base: DataFrame, n: int = BAIT_SUGGESTIONS) -> DataFrame:
     """Per customer, the first ``n`` missing categories (alphabetical) with
-    their best-selling product as entry product."""
-    domain = base.select(F.array_sort(F.collect_set("categoria"))).scalar()
-    per = _customer_categories(base)
+    their best-selling product as entry product.
+
+    The best-product table has one row per category by construction, so it is
+    no larger than the category domain of the checked product dimension; it is
+    broadcast on that structural bound, without another counting pass."""
+    per, domain = _customer_categories(base)
     gap = F.slice(F.sort_array(F.array_except(domain, F.col("bought"))), 1, n)
     rows = per.select("nm_cliente", F.posexplode(gap).alias("pos", "categoria"))
-    best = broadcast_if_bounded(top_product_per_category(base).select("categoria", "nm_produto"))
+    best = F.broadcast(top_product_per_category(base).select("categoria", "nm_produto"))
     return rows.join(best, "categoria", "left").select(
         "nm_cliente", (F.col("pos") + 1).alias("ORDEM"), "categoria", "nm_produto")
 

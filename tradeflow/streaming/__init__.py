@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports this library rebuilds are batch extracts and batch analyses; they
+contain no stream, watermark, window-over-time or stateful logic. The only
+loop in the source (one query per month for a year) is rebuilt as the single
+batch job ``plans.stock.excess_stock_monthly``.
+"""
