@@ -114,3 +114,11 @@ def test_order_status_map(spark):
     df = spark.createDataFrame([("P",), ("M",), ("Z",), (None,)], "c string")
     out = [r[0] for r in df.select(labels.order_status(F.col("c"))).collect()]
     assert out == ["aguardado liberação", "pedido em montagem", "outros", "outros"]
+
+
+def test_report_order_null_placement(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 7)], "id int, v int")
+    oracle_desc = [r.id for r in agg.sorted_report(df, [("v", "desc")]).collect()]
+    pandas_desc = [r.id for r in agg.sorted_report(df, [("v", "desc")], nulls="pandas").collect()]
+    asc = [r.id for r in agg.sorted_report(df, [("v", "asc")]).collect()]
+    assert oracle_desc == [1, 3, 2] and pandas_desc == [3, 2, 1] and asc == [2, 3, 1]

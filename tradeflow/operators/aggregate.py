@@ -122,3 +122,25 @@ def latest_value(value: Column, *order: Column) -> Column:
 def all_rows(condition: Column) -> Column:
     """TRUE when the condition holds on every row."""
     return F.every(condition)
+
+
+def report_order(spec: Sequence[tuple[str, str]], nulls: str = "oracle") -> list[Column]:
+    """Sort keys with the null placement of the engine that defined the
+    report. ``oracle``: ASC puts NULLs last, DESC first; ``pandas``: NULLs
+    always last. ``spec`` is a list of (column, "asc" | "desc")."""
+    out = []
+    for name, direction in spec:
+        c = F.col(name)
+        if direction == "asc":
+            out.append(c.asc_nulls_last())
+        elif nulls == "oracle":
+            out.append(c.desc_nulls_first())
+        else:
+            out.append(c.desc_nulls_last())
+    return out
+
+
+def sorted_report(df: DataFrame, spec: Sequence[tuple[str, str]], nulls: str = "oracle") -> DataFrame:
+    """O1: a report in its defined row order (a range-partitioned global sort;
+    use for final, aggregated outputs and file sinks)."""
+    return df.orderBy(*report_order(spec, nulls))

@@ -254,11 +254,12 @@ def near_expiry(tables: Tables, start, end) -> DataFrame:
     total = quantity x last cost.
 
     Reproduces the source's GROUP-BY-as-DISTINCT on (..., expiry, qty, cost),
-    which merges equal quantities of different addresses (T6). All steps are
-    keyed by (branch, product): one explicit hash partitioning serves the
-    distinct, the re-sum, the attribute distinct and their join."""
+    which merges equal quantities of different addresses (T6). The DISTINCT
+    shuffles on all eight columns after a map-side distinct, so a (branch,
+    product) holding a large share of the stock rows is spread over many
+    tasks; the re-sum and the attribute DISTINCT also combine map-side and
+    then only move one row per key."""
     rows = (near_expiry_rows(tables, start, end)
-            .repartition("codfilial", "codprod")
             .select("codfilial", "classificacao", "fornecedor", "codprod", "descricao", "data_validade",
                     "qt", "valor_ultima_entrada")
             .distinct())
