@@ -141,7 +141,7 @@ def fato_receber(tables: Tables, since) -> DataFrame:
 
 
 def star_schema(tables: Tables, sales_since, orders_since, receivables_since) -> dict[str, DataFrame]:
-    """Every table of the star schema, keyed by its file name."""
+    """Every table of the star schema, keyed by table name."""
     return {
         "dim_produto": dim_produto(tables), "dim_filial": dim_filial(tables),
         "dim_fornecedor": dim_fornecedor(tables), "dim_cliente": dim_cliente(tables),
