@@ -122,3 +122,26 @@ def test_report_order_null_placement(spark):
     pandas_desc = [r.id for r in agg.sorted_report(df, [("v", "desc")], nulls="pandas").collect()]
     asc = [r.id for r in agg.sorted_report(df, [("v", "asc")]).collect()]
     assert oracle_desc == [1, 3, 2] and pandas_desc == [3, 2, 1] and asc == [2, 3, 1]
+
+
+def _semi_reference(df, codes, wildcard):
+    cond = ((F.col("code") == F.coalesce(F.col("key"), F.col("code"))) | (F.col("code") == F.lit(wildcard)))
+    return df.join(codes.where(F.col("code").isNotNull()), cond, "left_semi")
+
+
+def test_exists_code_or_wildcard_equals_semi_join(spark):
+    from tradeflow.operators.joins import exists_code_or_wildcard
+
+    titles = spark.createDataFrame([(1, "BK"), (2, "CH"), (3, None), (4, "X")], "id int, key string")
+    cases = {
+        "plain": [("BK",), ("CH",)],
+        "wildcard": [("BK",), ("9999",)],
+        "empty": [],
+        "nulls": [(None,), ("X",)],
+        "dups": [("BK",), ("BK",)],
+    }
+    for label, rows in cases.items():
+        codes = spark.createDataFrame(rows, "code string")
+        got = sorted(r.id for r in exists_code_or_wildcard(titles, F.col("key"), codes, "9999").collect())
+        want = sorted(r.id for r in _semi_reference(titles, codes, "9999").collect())
+        assert got == want, label

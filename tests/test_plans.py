@@ -27,9 +27,11 @@ def test_no_python_udf_and_no_cartesian(plans):
 
 
 def test_exists_and_not_exists_are_semi_and_anti_joins(plans):
-    assert "LeftSemi" in plans["returns_receivable"]
-    assert "LeftSemi" in plans["semi_join_released_titles"]
+    assert "LeftSemi" in plans["dim_televendas"]
     assert "LeftAnti" in plans["anti_join_orders_without_items"]
+    # EXISTS with OR / wildcard: equi-join + scalar flags, never a nested loop
+    for name in ("returns_receivable", "semi_join_released_titles", "funds_unified"):
+        assert "BroadcastNestedLoopJoin" not in plans[name], name
 
 
 def test_masters_are_broadcast(plans):

@@ -19,7 +19,7 @@ from tradeflow.functions.dates import BR_DATE, ISO_DATE, lenient_date
 from tradeflow.functions.numeric import br_grouped_text, br_money_text, br_number
 from tradeflow.functions.text import contains_regex
 from tradeflow.operators import aggregate as agg
-from tradeflow.operators.joins import anti_join, broadcast_if_bounded, dedup_on_key
+from tradeflow.operators.joins import anti_join, dedup_on_key, exists_code_or_wildcard
 from tradeflow.plans import funds, star, stock
 from tradeflow.plans.common import Tables, small
 from tradeflow.session import ensure_checkpoint_dir
@@ -111,14 +111,13 @@ def anti_join_orders_without_items(tables: Tables) -> DataFrame:
 
 
 def semi_join_released_titles(tables: Tables) -> DataFrame:
-    """Titles allowed by the release table (EXISTS with OR / wildcard)."""
+    """Titles allowed by the release table (EXISTS with OR / wildcard),
+    written as an equi-join on the distinct release codes plus scalar flags."""
     p = tables["pcprest"].alias("p")
     lib = tables["pclib"].where((F.col("codtabela") == funds.RELEASE_TABLE_COLLECTION)
                                 & (F.col("codfunc") == funds.RELEASE_FUNCTION) & F.col("codigoa").isNotNull())
-    lib = broadcast_if_bounded(lib.select(F.col("codigoa").alias("l_codigoa")))
-    cond = ((F.col("l_codigoa") == F.coalesce(F.col("p.codcob"), F.col("l_codigoa")))
-            | (F.col("l_codigoa") == funds.RELEASE_WILDCARD_TEXT))
-    return p.join(lib, cond, "left_semi").select("numped", "codcob", "valor")
+    out = exists_code_or_wildcard(p, F.col("p.codcob"), lib.select("codigoa"), funds.RELEASE_WILDCARD_TEXT)
+    return out.select("numped", "codcob", "valor")
 
 
 def expression_key_join(tables: Tables) -> DataFrame:

@@ -64,13 +64,13 @@ def dim_supervisor(tables: Tables) -> DataFrame:
 
 
 def dim_televendas(tables: Tables) -> DataFrame:
-    """Employees that keyed at least one order. The order side is reduced to its
-    distinct emitter codes (map-side partial aggregation) before the join, so
-    the order table is never joined row by row."""
+    """Employees that keyed at least one order (EXISTS as a left-semi join).
+    The order side is reduced to its distinct emitter codes (map-side partial
+    aggregation) before the join, so the order table is never joined row by row."""
     emitters = tables["pcpedc"].select(F.col("codemitente")).distinct()
     e = tables["pcempr"]
-    return (emitters.join(e, emitters.codemitente == e.matricula, "inner")
-            .select(F.col("codemitente").alias("cod_televenda"), F.col("nome").alias("nm_televenda"))
+    return (e.join(emitters, e.matricula == emitters.codemitente, "left_semi")
+            .select(F.col("matricula").cast("int").alias("cod_televenda"), F.col("nome").alias("nm_televenda"))
             .distinct())
 
 
