@@ -69,6 +69,16 @@ def run_extracts(tables: Tables, out_root: str, p: ExtractParams, date_format: s
     return out
 
 
+def export_item_matrix(base: DataFrame, years, path: str, customers=()) -> str:
+    """The customer x product x month quantity matrix as a pt-BR CSV,
+    largest total first within each customer."""
+    from tradeflow.plans.customers import item_month_matrix
+
+    matrix = item_month_matrix(base, years, customers)
+    write_br_csv(sorted_report(matrix, [("nm_cliente", "asc"), ("TOTAL", "desc"), ("nm_produto", "asc")]), path)
+    return path
+
+
 def run_star_schema(tables: Tables, out_root: str, p: ExtractParams) -> dict[str, str]:
     """The seven dimensions and three facts as Parquet tables."""
     return export_tables(star.star_schema(tables, p.sales_since, p.orders_since, p.receivables_since), out_root)
