@@ -52,18 +52,23 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
-def exists_code_or_wildcard(df: DataFrame, key, codes: DataFrame, wildcard, flag_prefix: str = "_rel") -> DataFrame:
+def exists_code_or_wildcard(df: DataFrame, key, codes: DataFrame, wildcard, flag_prefix: str = "_rel",
+                            broadcast=None) -> DataFrame:
     """``EXISTS (SELECT 1 FROM codes WHERE code = COALESCE(key, code) OR code = wildcard)``
     as an equi-join, with no nested-loop join whatever the control table's size.
 
     A row passes when its key is one of the codes, or the codes contain the
     wildcard, or its key is NULL and there is at least one non-null code. The
-    codes are made distinct before a left join (no fan-out); the two flags are
-    scalar subqueries over the control table."""
+    codes are made distinct before a left join (no fan-out); both flags come
+    from one scalar subquery over the control table. ``broadcast`` decides how
+    the distinct codes are joined (default: checked broadcast)."""
     code_col = codes.columns[0]
-    distinct = codes.select(F.col(code_col).alias(flag_prefix + "_code")).where(F.col(flag_prefix + "_code").isNotNull()).distinct()
-    any_code = codes.select(F.count(F.col(code_col)) > 0).scalar()
-    has_wildcard = codes.select(F.coalesce(F.max(F.col(code_col) == F.lit(wildcard)), F.lit(False))).scalar()
-    joined = df.join(broadcast_if_bounded(distinct), key == F.col(flag_prefix + "_code"), "left")
-    keep = F.col(flag_prefix + "_code").isNotNull() | has_wildcard | (key.isNull() & any_code)
-    return joined.where(keep).drop(flag_prefix + "_code")
+    key_col = flag_prefix + "_code"
+    distinct = codes.select(F.col(code_col).alias(key_col)).where(F.col(key_col).isNotNull()).distinct()
+    flags = codes.select(F.struct(
+        (F.count(F.col(code_col)) > 0).alias("any_code"),
+        F.coalesce(F.max(F.col(code_col) == F.lit(wildcard)), F.lit(False)).alias("wildcard"))).scalar()
+    side = (broadcast or broadcast_if_bounded)(distinct)
+    joined = df.join(side, key == F.col(key_col), "left")
+    keep = F.col(key_col).isNotNull() | flags.getField("wildcard") | (key.isNull() & flags.getField("any_code"))
+    return joined.where(keep).drop(key_col)
