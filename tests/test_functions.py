@@ -145,3 +145,12 @@ def test_exists_code_or_wildcard_equals_semi_join(spark):
         got = sorted(r.id for r in exists_code_or_wildcard(titles, F.col("key"), codes, "9999").collect())
         want = sorted(r.id for r in _semi_reference(titles, codes, "9999").collect())
         assert got == want, label
+
+
+def test_dedup_on_key_nulls_last_and_hot_key(spark):
+    from tradeflow.operators.joins import dedup_on_key
+
+    rows = [(0, None, "z")] + [(0, f"n{i:03d}", "a") for i in range(300)] + [(1, "b", None), (1, "b", "a")]
+    df = spark.createDataFrame(rows, "id int, name string, extra string")
+    out = {r.id: (r.name, r.extra) for r in dedup_on_key(df, "id").collect()}
+    assert out == {0: ("n000", "a"), 1: ("b", "a")}

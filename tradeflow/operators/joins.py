@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only after it has been *counted* under this bound
@@ -29,16 +29,26 @@ def dimension_lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(broadcast_if_bounded(dim, max_rows), on, how)
 
 
-def dedup_on_key(df: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
-    """U2 keyed / T10: keep one row per key, chosen deterministically.
-
-    The first row in ``order`` wins (default: the row's own columns ascending),
-    so results do not depend on file order or task scheduling."""
-    from pyspark.sql import Window
-
-    order = order or [F.col(c).asc_nulls_last() for c in df.columns if c != key]
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def dedup_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """U2 keyed / T10: keep one row per key, chosen deterministically: the row
+    that sorts first by ``order`` (column names, ascending, NULLs last; default:
+    all other columns), so results never depend on file order.
+
+    Written as an aggregation (minimum of a struct that encodes the order), not
+    a window: rows are combined map-side before the shuffle, so a key holding a
+    large share of the rows (e.g. many NULL ids mapped to 0) never lands whole
+    in one task."""
+    others = [c for c in df.columns if c != key]
+    order = list(order or others)
+    rest = [c for c in others if c not in order]
+    fields = []
+    for i, c in enumerate(order):
+        fields += [F.col(c).isNull().alias(f"_o{i}_null"), F.col(c).alias(f"_o{i}")]
+    fields += [F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)]
+    first = df.groupBy(key).agg(F.min(F.struct(*fields)).alias("_first"))
+    names = {c: f"_first._o{i}" for i, c in enumerate(order)}
+    names.update({c: f"_first._r{i}" for i, c in enumerate(rest)})
+    return first.select(*[F.col(key) if c == key else F.col(names[c]).alias(c) for c in df.columns])
 
 
 def semi_join(left: DataFrame, right: DataFrame, condition, bounded_right: bool = True) -> DataFrame:

@@ -153,7 +153,7 @@ def union_by_name(tables: Tables) -> DataFrame:
 def distinct_on_key(tables: Tables) -> DataFrame:
     """U2 keyed / T10: one product-branch row per product, the lowest branch wins."""
     pf = tables["pcprodfilial"]
-    return dedup_on_key(pf, "codprod", [F.col("codfilial").asc(), F.col("estoquepordtvalidadepk").asc()])
+    return dedup_on_key(pf, "codprod", ["codfilial", "estoquepordtvalidadepk"])
 
 
 def distinct_rows(tables: Tables) -> DataFrame:
