@@ -241,3 +241,33 @@ def item_month_matrix(base: DataFrame, years: Sequence[int], customers: Sequence
     cells = [F.coalesce(F.sum(F.when(period == p, F.col("QT_VENDIDA"))), F.lit(0)).alias(p)
              for p in month_labels(years)]
     return base.groupBy("nm_cliente", "nm_produto").agg(*cells, F.sum("QT_VENDIDA").alias("TOTAL"))
+
+
+def lifecycle_views(tables: Tables, since, prev_year: int, cur_year: int, matrix_years: Sequence[int],
+                    reps: Sequence[str] = (), materialize: bool = True) -> dict[str, DataFrame]:
+    """All customer-lifecycle views over one sales base (the dashboard's tabs).
+
+    With ``materialize`` the base is written once with a reliable checkpoint in
+    the cluster's ``spark.checkpoint.dir`` (never a local checkpoint): the views
+    then read it instead of recomputing the fact-to-dimension joins, and a lost
+    executor recomputes from the checkpoint, not from the source tables."""
+    base = sales_base(tables, since, reps)
+    if materialize:
+        from tradeflow.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
+    return {
+        "sales_macro_kpis": sales_macro_kpis(base, prev_year, cur_year),
+        "sales_yoy": sales_yoy(base),
+        "sales_month_year": sales_month_year(base),
+        "top_categories": top_categories(base),
+        "sales_by_origin": sales_by_origin(base),
+        "customer_summary": customer_summary(base),
+        "customer_items": customer_items(base, cur_year),
+        "category_section_share": category_section_share(base),
+        "category_gap": category_gap(base),
+        "bait_products": bait_products(base),
+        "mix_erosion": mix_erosion(base, prev_year, cur_year),
+        "item_month_matrix": item_month_matrix(base, matrix_years),
+    }
