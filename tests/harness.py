@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 
 import duckdb
 import pandas as pd
 
 from tradeflow.sources.tables import TABLE_NAMES, table_path
 
+# Exact comparison of doubles (no rounding) when TF_EXACT=1.
+EXACT = os.environ.get("TF_EXACT") == "1"
+
 
 def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -35,7 +39,7 @@ def _canon(value):
             return str(value)
         if math.isnan(f):
             return None
-        return round(f, 6)
+        return f if EXACT else round(f, 6)
     if isinstance(value, pd.Timestamp):
         value = value.to_pydatetime()
     if isinstance(value, dt.datetime):

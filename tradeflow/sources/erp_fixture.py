@@ -132,6 +132,14 @@ _ORDER_DAYS = 490  # fixed fixture constant: snapshot history spans order keys 0
 _BOUND_CHECKS: dict[tuple, bool] = {}
 
 
+def _app_key(spark: SparkSession) -> str:
+    """Identity of the running application (bound checks are cached per app)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # conf not readable: fall back to the session object
+        return str(id(spark))
+
+
 def oracle_prelude(names: list[str] | None = None) -> str:
     """``WITH`` list defining the ERP views over DuckDB's driver views."""
     names = names or list(ERP_VIEWS)
@@ -161,7 +169,7 @@ class ErpTables:
         """The relation hinted for broadcast, but only after its row count was
         checked against ``BROADCAST_MAX_ROWS``. The decision is cached per
         application, input folder and relation, so the check runs once."""
-        key = (self.spark.sparkContext.applicationId, self.driver.sf_dir, name)
+        key = (_app_key(self.spark), self.driver.sf_dir, name)
         if key not in _BOUND_CHECKS:
             _BOUND_CHECKS[key] = has_at_most(self[name], BROADCAST_MAX_ROWS)
         return F.broadcast(self[name]) if _BOUND_CHECKS[key] else self[name]
@@ -169,7 +177,7 @@ class ErpTables:
     def bounded(self, key: str, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
         """Same checked broadcast for a relation derived from these tables
         (``key`` names the derivation)."""
-        ck = (self.spark.sparkContext.applicationId, self.driver.sf_dir, "derived:" + key, max_rows)
+        ck = (_app_key(self.spark), self.driver.sf_dir, "derived:" + key, max_rows)
         if ck not in _BOUND_CHECKS:
             _BOUND_CHECKS[ck] = has_at_most(df, max_rows)
         return F.broadcast(df) if _BOUND_CHECKS[ck] else df
