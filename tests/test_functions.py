@@ -154,3 +154,24 @@ def test_dedup_on_key_nulls_last_and_hot_key(spark):
     df = spark.createDataFrame(rows, "id int, name string, extra string")
     out = {r.id: (r.name, r.extra) for r in dedup_on_key(df, "id").collect()}
     assert out == {0: ("n000", "a"), 1: ("b", "a")}
+
+
+def test_month_start_and_year_or_zero(spark):
+    from tradeflow.functions.dates import month_start, year_or_zero
+
+    df = spark.createDataFrame([(dt.date(2000, 3, 15),), (None,)], "d date")
+    out = df.select(month_start(2000, 3).alias("m"), year_or_zero(F.col("d")).alias("y")).collect()
+    assert out[0].m == dt.date(2000, 3, 1) and [r.y for r in out] == [2000, 0]
+
+
+def test_approx_distinct_flag_is_close(spark):
+    from tradeflow.plans import customers
+    from tradeflow.plans.catalog import LIFECYCLE_SINCE
+    from tradeflow.sources.erp_fixture import ErpTables
+    from tests.conftest import SMALL_SF
+
+    base = customers.sales_base(ErpTables(spark, SMALL_SF), LIFECYCLE_SINCE)
+    exact = customers.sales_macro_kpis(base, 1999, 2000).first()
+    approx = customers.sales_macro_kpis(base, 1999, 2000, approx=True).first()
+    assert abs(approx.CLIENTES_ATIVOS - exact.CLIENTES_ATIVOS) <= max(2, 0.03 * exact.CLIENTES_ATIVOS)
+    assert approx.FATURAMENTO_LIQUIDO == exact.FATURAMENTO_LIQUIDO
