@@ -175,3 +175,16 @@ def test_approx_distinct_flag_is_close(spark):
     approx = customers.sales_macro_kpis(base, 1999, 2000, approx=True).first()
     assert abs(approx.CLIENTES_ATIVOS - exact.CLIENTES_ATIVOS) <= max(2, 0.03 * exact.CLIENTES_ATIVOS)
     assert approx.FATURAMENTO_LIQUIDO == exact.FATURAMENTO_LIQUIDO
+
+
+def test_mix_erosion_variants(spark):
+    from tradeflow.plans import customers
+
+    rows = [("A", 1999, "c1"), ("A", 1999, "c2"), ("A", 2000, "c1"),     # 2 -> 1: erosion 1
+            ("B", 1999, "c1"),                                           # absent in 2000: counts 0 -> erosion 1
+            ("C", 2000, "c1"), ("C", 2000, "c2")]                        # absent in 1999: no erosion
+    base = spark.createDataFrame(rows, "nm_cliente string, ANO int, categoria string")
+    default = {r.CLIENTE: r.PERDA_DE_MIX for r in customers.mix_erosion(base, 1999, 2000, n=None).collect()}
+    both = {r.CLIENTE: r.PERDA_DE_MIX for r in
+            customers.mix_erosion(base, 1999, 2000, n=None, require_both_years=True).collect()}
+    assert default == {"A": 1, "B": 1} and both == {"A": 1}

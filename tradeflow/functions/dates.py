@@ -17,10 +17,6 @@ def as_date(value) -> dt.date:
     return dt.date.fromisoformat(str(value))
 
 
-def lit_date(value) -> Column:
-    return F.lit(as_date(value))
-
-
 def lenient_date(text: Column) -> Column:
     """Typed date from ``dd/MM/yyyy`` or ISO text; anything else NULL.
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Label texts and codes the reports must reproduce exactly.
 # ---------------------------------------------------------------------------
-CLASS_CODES = {"F": "FARMA", "H": "HB"}            # supplier class code -> label
 CLASS_SPELLINGS = {
     # spelling name: (pharma, health & beauty, other)
     "upper": ("FARMA", "HB", "OUTROS"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
 LEDGER = "decimal(18,6)"
 
 
@@ -23,11 +22,6 @@ def greatest_null_strict(*cols: Column) -> Column:
     return F.when(any_null, F.lit(None)).otherwise(F.greatest(*cols))
 
 
-def round_money(col: Column, scale: int = 2) -> Column:
-    """ROUND half-up on a decimal value."""
-    return F.round(col, scale)
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Value / turn as a double; NULL when the denominator is 0 or NULL."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
@@ -57,9 +51,3 @@ def br_money_text(value: Column, prefix: str = "R$ ", null_as_zero: bool = True)
 def br_grouped_text(value: Column) -> Column:
     """Number as pt-BR text with grouping, e.g. ``1.234,56`` (no prefix)."""
     return F.translate(_us_grouped(value), ",.", ".,")
-
-
-def br_decimal_text(value: Column, scale: int = 2) -> Column:
-    """Decimal -> text with a decimal comma and no grouping, as written by the CSV sink."""
-    text = F.round(value.cast("decimal(38,6)"), scale).cast(f"decimal(38,{scale})").cast("string")
-    return F.translate(text, ".", ",")

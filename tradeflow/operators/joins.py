@@ -22,13 +22,6 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
-def dimension_lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact-to-dimension join; the dimension is broadcast only under
-    a checked row bound."""
-    return fact.join(broadcast_if_bounded(dim, max_rows), on, how)
-
-
 def dedup_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """U2 keyed / T10: keep one row per key, chosen deterministically: the row
     that sorts first by ``order`` (column names, ascending, NULLs last; default:
@@ -51,12 +44,6 @@ def dedup_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> Dat
     return first.select(*[F.col(key) if c == key else F.col(names[c]).alias(c) for c in df.columns])
 
 
-def semi_join(left: DataFrame, right: DataFrame, condition, bounded_right: bool = True) -> DataFrame:
-    """EXISTS as a left-semi join (the right side is a small control table)."""
-    right = broadcast_if_bounded(right) if bounded_right else right
-    return left.join(right, condition, "left_semi")
-
-
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """NOT EXISTS / set difference as a left-anti join."""
     return left.join(right, on, "left_anti")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tradeflow.functions import labels
 from tradeflow.functions.dates import month_or_zero, year_or_zero
+from tradeflow.functions.numeric import ratio
 from tradeflow.functions.text import clean_label
 from tradeflow.operators import aggregate as agg
 from tradeflow.operators.joins import dedup_on_key
@@ -137,7 +138,7 @@ def customer_summary(base: DataFrame) -> DataFrame:
         F.sum("valor").alias("LTV"), F.count(F.lit(1)).alias("PEDIDOS"), F.max("dia").alias("ULTIMA_COMPRA"))
     names = base.select(F.col("COD_VENDEDOR").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR")).distinct()
     out = per.join(names, "rep", "left").drop("rep")
-    out = out.withColumn("TICKET_MEDIO", F.try_divide(F.col("LTV").cast("double"), F.col("PEDIDOS").cast("double")))
+    out = out.withColumn("TICKET_MEDIO", ratio(F.col("LTV"), F.col("PEDIDOS")))
     days = F.datediff(today, F.col("ULTIMA_COMPRA"))
     return out.withColumns({"DIAS_INATIVO": days, "RECENTE": days < RECENCY_DAYS})
 
