@@ -58,8 +58,12 @@ def sales_base(tables: Tables, since, reps: Sequence[str] = ()) -> DataFrame:
     })
     prod = _clean_dim(star.dim_produto(tables).select("cod_produto", "nm_produto", "categoria", "secao"),
                       "cod_produto", ["nm_produto", "categoria", "secao"])
-    cli = _clean_dim(star.dim_cliente(tables).select("cod_cliente", "nm_cliente"), "cod_cliente", ["nm_cliente"])
-    rep = _clean_dim(star.dim_vendedor(tables), "cod_vendedor", ["nm_vendedor"])
+    # The keyed dedup keeps one row per code, so it subsumes the dimensions'
+    # DISTINCT: read the two masters directly (one aggregation each).
+    cli = _clean_dim(tables["pcclient"].select(F.col("codcli").alias("cod_cliente"), F.col("cliente").alias("nm_cliente")),
+                     "cod_cliente", ["nm_cliente"])
+    rep = _clean_dim(tables["pcusuari"].select(F.col("codusur").alias("cod_vendedor"), F.col("nome").alias("nm_vendedor")),
+                     "cod_vendedor", ["nm_vendedor"])
     prod = prod.withColumnRenamed("cod_produto", "_prod_id")
     cli = cli.withColumnRenamed("cod_cliente", "_cli_id")
     rep = rep.withColumnRenamed("cod_vendedor", "_rep_id")
@@ -238,13 +242,16 @@ def month_labels(years: Sequence[int]) -> list[str]:
 def item_month_matrix(base: DataFrame, years: Sequence[int], customers: Sequence[str] = ()) -> DataFrame:
     """Per customer and product: quantity per ``MM/YYYY`` column (explicit list,
     zero filled, A10) and the total over all months. The month cells and the
-    total are conditional sums of one aggregation (one shuffle on the row key)."""
+    total are conditional sums of one aggregation (one shuffle on the row key);
+    each row's month is computed once as an integer ``yyyymm`` and compared as
+    such."""
     if customers:
         base = base.where(F.col("nm_cliente").isin(*customers))
-    period = F.format_string("%02d/%d", F.col("MES"), F.col("ANO"))
-    cells = [F.coalesce(F.sum(F.when(period == p, F.col("QT_VENDIDA"))), F.lit(0)).alias(p)
-             for p in month_labels(years)]
-    return base.groupBy("nm_cliente", "nm_produto").agg(*cells, F.sum("QT_VENDIDA").alias("TOTAL"))
+    keyed = base.select("nm_cliente", "nm_produto", "QT_VENDIDA",
+                        (F.col("ANO") * 100 + F.col("MES")).alias("_ym"))
+    cells = [F.coalesce(F.sum(F.when(F.col("_ym") == y * 100 + m, F.col("QT_VENDIDA"))), F.lit(0)).alias(f"{m:02d}/{y}")
+             for y in years for m in range(1, 13)]
+    return keyed.groupBy("nm_cliente", "nm_produto").agg(*cells, F.sum("QT_VENDIDA").alias("TOTAL"))
 
 
 def lifecycle_views(tables: Tables, since, prev_year: int, cur_year: int, matrix_years: Sequence[int],
