@@ -24,7 +24,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0 and len(df.columns) == 7
+    assert df.count() > 0 and "valor_excedente" in df.columns and "mes" in df.columns
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -17,19 +17,22 @@ def tables(spark):
 
     # products: 1 zero-stock all window, 2 null cost, 3 new, 4 no sales, 5 zero coverage (current report)
     prodrows = [(p, f"P{p}", 1, 1, "S1", "C1", "N", None) for p in (1, 2, 3, 4, 5)]
+    prodrows += [(6, "P6", 1, 2, "S1", "C1", "N", None),      # department ' imobilizado ' (excluded, T16)
+                 (7, "P7", 1, 9, "S1", "C1", "N", None)]      # no department row (NULL, dropped)
     t = {
         "pcprodut": df(prodrows, "codprod long, descricao string, codfornec long, codepto long, codsec string, "
                                  "codcategoria string, estoqueporlote string, dtexclusao date"),
         "pcfornec": df([(1, "SUP", "F", 1, 1, "S")], "codfornec long, fornecedor string, classificacao string, "
                                                       "codcomprador int, codcli long, revenda string"),
-        "pcdepto": df([(1, "HIGIENE")], "codepto long, descricao string"),
+        "pcdepto": df([(1, "HIGIENE"), (2, " imobilizado ")], "codepto long, descricao string"),
         "pcsecao": df([("S1", 1, "SEC")], "codsec string, codepto long, descricao string"),
         "pccategoria": df([("C1", "S1", "CAT")], "codcategoria string, codsec string, categoria string"),
         "pcempr": df([(1, "BUYER", 1)], "matricula int, nome string, codusur int"),
     }
     hist = []
     ref = D(2000, 1, 1)
-    for p, cost in ((1, Decimal("2.00")), (2, None), (3, Decimal("5.00")), (4, Decimal("3.00"))):
+    for p, cost in ((1, Decimal("2.00")), (2, None), (3, Decimal("5.00")), (4, Decimal("3.00")),
+                    (6, Decimal("1.00")), (7, Decimal("1.00"))):
         hist.append((1, p, ref, 100, cost))                       # position on the 1st
         for k in range(1, 91):                                    # 90 days before
             q = 0 if p == 1 else 10
@@ -54,6 +57,7 @@ def test_monthly_rules(tables):
     assert rows[2].valor_excedente is None                       # null cost
     assert rows[3].valor_excedente == Decimal("0") and rows[3].is_produto_novo == "Sim"
     assert rows[4].valor_excedente == Decimal("300.00")          # no sales: full value 100 x 3.00
+    assert 6 not in rows and 7 not in rows                       # excluded / unknown department (T16)
 
 
 def test_current_rules(tables):

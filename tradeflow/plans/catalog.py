@@ -144,4 +144,4 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "parquet_roundtrip": lambda t: ops.parquet_roundtrip(t, LIFECYCLE_SINCE),
 }
 
-FLAGSHIP = "rep_revenue"
+FLAGSHIP = "excess_stock_monthly"   # SURVEY section 7: R6 is the flagship (one job for twelve months)
