@@ -119,6 +119,16 @@ def latest_value(value: Column, *order: Column) -> Column:
     return F.max_by(value, F.struct(*order))
 
 
+def date_long_key(day: Column, number: Column) -> Column:
+    """Exact order-preserving single key for (date, long): ``(days + 10^6) *
+    10^20 + (number + 2^63)`` as decimal(38,0). Unlike a struct key it fits a
+    mutable aggregation buffer, so ``max_by`` over it stays a HashAggregate."""
+    big = lambda v: F.lit(str(v)).cast("decimal(38,0)")   # noqa: E731 (beyond the long range)
+    days = F.unix_date(day).cast("decimal(38,0)") + big(10 ** 6)
+    shifted = number.cast("decimal(38,0)") + big(2 ** 63)
+    return (days * big(10 ** 20) + shifted).cast("decimal(38,0)")
+
+
 def all_rows(condition: Column) -> Column:
     """TRUE when the condition holds on every row."""
     return F.every(condition)

@@ -138,7 +138,7 @@ def customer_summary(base: DataFrame) -> DataFrame:
         F.sum("VALOR_LIQUIDO").alias("valor"), F.max("DATA_MOVIMENTACAO").alias("dia"),
         F.max("COD_VENDEDOR").alias("rep"))
     per = orders.groupBy("nm_cliente").agg(
-        agg.latest_value(F.col("rep"), F.col("dia"), F.col("NUM_PEDIDO")).alias("rep"),
+        F.max_by(F.col("rep"), agg.date_long_key(F.col("dia"), F.col("NUM_PEDIDO"))).alias("rep"),
         F.sum("valor").alias("LTV"), F.count(F.lit(1)).alias("PEDIDOS"), F.max("dia").alias("ULTIMA_COMPRA"))
     names = base.select(F.col("COD_VENDEDOR").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR")).distinct()
     out = per.join(names, "rep", "left").drop("rep")
