@@ -188,3 +188,22 @@ def test_mix_erosion_variants(spark):
     both = {r.CLIENTE: r.PERDA_DE_MIX for r in
             customers.mix_erosion(base, 1999, 2000, n=None, require_both_years=True).collect()}
     assert default == {"A": 1, "B": 1} and both == {"A": 1}
+
+
+def test_date_long_key_orders_like_the_pair(spark):
+    rows = [(dt.date(1969, 12, 31), 5), (dt.date(1969, 12, 31), -7), (dt.date(2000, 1, 1), -(2 ** 63)),
+            (dt.date(2000, 1, 1), 2 ** 63 - 1), (dt.date(2000, 1, 2), 0), (dt.date(1900, 1, 1), 2 ** 62)]
+    df = spark.createDataFrame(rows, "d date, n long")
+    got = [(r.d, r.n) for r in df.orderBy(agg.date_long_key(F.col("d"), F.col("n"))).collect()]
+    assert got == sorted(rows)
+    best = df.agg(F.max_by(F.col("n"), agg.date_long_key(F.col("d"), F.col("n"))).alias("n")).first().n
+    assert best == 0
+
+
+def test_broadcast_only_under_the_checked_bound(spark):
+    from tradeflow.operators.joins import broadcast_if_bounded
+
+    small = spark.range(2)
+    big = spark.range(3)
+    assert "broadcast" in small.join(broadcast_if_bounded(small, 2), "id")._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big.join(broadcast_if_bounded(big, 2), "id")._jdf.queryExecution().analyzed().toString().lower()
