@@ -149,5 +149,5 @@ def star_schema(tables: Tables, sales_since, orders_since, receivables_since) ->
         "dim_televendas": dim_televendas(tables),
         "fato_venda": fato_venda(tables, sales_since),
         "fato_pedido_venda": fato_pedido_venda(tables, orders_since),
-        "fato_pretacao_receber": fato_receber(tables, receivables_since),
+        "fato_receber": fato_receber(tables, receivables_since),
     }
