@@ -57,3 +57,11 @@ def test_pruned_scans(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     # the lineitem scan reads only the columns the report needs
     assert "l_comment" not in text and "ReadSchema" in text
+
+
+def test_aggregations_combine_map_side_before_the_shuffle(plans):
+    """Sums and counts are partial-aggregated before their exchange, so a hot
+    key is reduced to one row per key and task before it moves."""
+    for name in ("rep_revenue", "fato_venda", "excess_stock_monthly", "customer_summary", "fund_ledger",
+                 "returns_receivable", "item_month_matrix"):
+        assert "partial_sum" in plans[name] or "partial_count" in plans[name], name
