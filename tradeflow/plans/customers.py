@@ -205,13 +205,14 @@ def bait_products(base: DataFrame, n: int = BAIT_SUGGESTIONS) -> DataFrame:
     """Per customer, the first ``n`` missing categories (alphabetical) with
     their best-selling product as entry product.
 
-    The best-product table has one row per category by construction, so it is
-    no larger than the category domain of the checked product dimension; it is
-    broadcast on that structural bound, without another counting pass."""
+    The best-product table (one row per category) is joined without a hint:
+    it is a shuffle stage, so AQE measures it and broadcasts it only under its
+    size threshold, with the shuffle join as the fallback — no extra counting
+    pass over the sales base."""
     per, domain = _customer_categories(base)
     gap = F.slice(F.sort_array(F.array_except(domain, F.col("bought"))), 1, n)
     rows = per.select("nm_cliente", F.posexplode(gap).alias("pos", "categoria"))
-    best = F.broadcast(top_product_per_category(base).select("categoria", "nm_produto"))
+    best = top_product_per_category(base).select("categoria", "nm_produto")
     return rows.join(best, "categoria", "left").select(
         "nm_cliente", (F.col("pos") + 1).alias("ORDEM"), "categoria", "nm_produto")
 

@@ -199,8 +199,8 @@ class ErpTables:
     def _pchistest(self) -> DataFrame:
         # Daily stock history: one snapshot per product and per order key below
         # 490. Written as an equi-join against a generated day index instead of
-        # a cartesian product, so the planner uses a hash join on the key and
-        # the orders side (bounded to 490 keys) is the only one broadcast.
+        # a cartesian product, so the planner uses a hash join on the key; the
+        # orders side is broadcast after the usual counted bound check.
         part = (self.driver["part"]
                 .where(F.col("p_partkey") % 7 == 0)
                 .select("p_partkey", "p_retailprice",
@@ -208,7 +208,7 @@ class ErpTables:
                                              F.lit(_ORDER_DAYS - 1).cast("long"))).alias("day_key")))
         days = (self.driver["orders"].where(F.col("o_orderkey") < _ORDER_DAYS)
                 .select(F.col("o_orderkey").alias("day_key")))
-        joined = part.join(F.broadcast(days), "day_key")
+        joined = part.join(self.bounded("pchistest_days", days), "day_key")
         return joined.select(
             (F.col("p_partkey") % 10 + 1).cast("int").alias("codfilial"),
             F.col("p_partkey").alias("codprod"),
