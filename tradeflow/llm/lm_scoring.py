@@ -27,10 +27,12 @@ END = b"\n"                      # the end token; no word holds white space
 EXACT_LEVELS, BASE, TOP_LEVEL = 4, 1.25, 160
 HASHES, BITS_PER_ENTRY = 4, 8
 HOT, SALTS = 512, 64             # histories with a share over 1/HOT are hot: HOT of them at most
-HEAD = 1 << 19                   # words with a share over 1/HEAD have their exact counts broadcast: HEAD of them at most
+HEAD = 1 << 17                   # words with a share over 1/HEAD have their exact counts broadcast: HEAD of them at most
 BUCKET_TOKENS = 1 << 21          # training tokens per bucket of the filter
-SEGMENT_BYTES = 256 << 20        # largest single broadcast
-TASK_TOKENS = 1 << 22            # tokens a task holds before it sends or scores them
+SEGMENT_BYTES = 128 << 20        # largest single broadcast
+TASK_TOKENS = 1 << 21            # tokens a task holds before it sends their bigrams
+SCORE_TOKENS = 1 << 19           # tokens scored at once
+COUNT_WORDS = 1 << 18            # different words a task holds before it sends their counts
 _U64 = np.uint64
 
 
@@ -40,7 +42,8 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    """XXH64 with seed 42, the same as Spark's ``xxhash64`` of one column."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -128,13 +131,13 @@ def build_bucket(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int, list
 
 
 class Segment:
-    """Consecutive buckets of the filter, first bucket number ``first``."""
+    """Consecutive buckets of the filter: number of the first, bytes of each, all bits."""
 
-    def __init__(self, first: int, blocks: list[bytes]):
+    def __init__(self, first: int, lengths: list[int], raw: bytes):
         self.first = first
-        self.sizes = np.array([len(b) * 8 for b in blocks], dtype=np.uint64)
-        self.offsets = np.cumsum([0] + [len(b) for b in blocks]).astype(np.uint64)[:-1] * _U64(8)
-        self.bits = np.frombuffer(b"".join(blocks), dtype=np.uint8)
+        self.sizes = np.array(lengths, dtype=np.uint64) * _U64(8)
+        self.offsets = np.cumsum([0, *lengths]).astype(np.uint64)[:-1] * _U64(8)
+        self.bits = np.frombuffer(raw, dtype=np.uint8)
 
     def holds(self, buckets: np.ndarray) -> np.ndarray:
         return (buckets >= self.first) & (buckets < self.first + len(self.sizes))
@@ -167,7 +170,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for raw in batch.column("text").cast(pa.binary()).to_pylist():
                 counts.update(words_of(raw))
-                if len(counts) > 1 << 20:
+                if len(counts) > COUNT_WORDS:
                     yield out(counts)
                     counts.clear()
         yield out(counts)
@@ -232,7 +235,7 @@ def segments(rows: DataFrame, limit: int = SEGMENT_BYTES):
         low, high = (0 if start == 0 else sizes[start][0]), sizes[end - 1][0]
         found = {r["bucket"]: bytes(r["bits"]) for r in rows.where(F.col("bucket").between(low, high)).select("bucket", "bits").toLocalIterator()}
         blocks = [found.get(b, bytes(8)) for b in range(low, high + 1)]
-        out.append((low, high, rows.sparkSession.sparkContext.broadcast(Segment(low, blocks))))
+        out.append(rows.sparkSession.sparkContext.broadcast((low, [len(b) for b in blocks], b"".join(blocks))))
         start = end
     return out
 
@@ -254,8 +257,8 @@ class Probabilities:
     def probe(self, queries: list[tuple[np.ndarray, np.ndarray, int]]) -> list[np.ndarray]:
         """Counts for each (keys, buckets, kind); segments are loaded one after another."""
         out = [np.zeros(len(q[0])) for q in queries]
-        for low, high, shared in self.parts:
-            segment = shared.value
+        for shared in self.parts:
+            segment = Segment(*shared.value)
             for result, (keys, buckets, kind) in zip(out, queries):
                 mine = np.flatnonzero(segment.holds(buckets))
                 result[mine] = segment.counts(keys[mine], buckets[mine], kind)
@@ -264,9 +267,8 @@ class Probabilities:
                 shared.__dict__.pop("_value", None)    # a worker holds one segment at a time
         return out
 
-    def token_scores(self, codes: np.ndarray, histories: np.ndarray, words: list[bytes]) -> np.ndarray:
+    def token_scores(self, codes: np.ndarray, histories: np.ndarray, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
         """log10 probability of each token."""
-        hashes = hash_words(words)
         is_hot = np.fromiter((w in self.hot for w in words), dtype=bool, count=len(words))
         # history parts: one for most words, SALTS for hot ones
         cold, hot = np.flatnonzero(~is_hot), np.flatnonzero(is_hot)
@@ -280,6 +282,7 @@ class Probabilities:
             (pairs, self.bucket(pairs), BIGRAM), (short, self.bucket(parts), COUNT), (short, self.bucket(parts), FOLLOWERS)])
         c = np.bincount(owner, totals, minlength=len(words))          # c(w), which is also c(h)
         t = np.minimum(np.bincount(owner, followers, minlength=len(words)), c)
+        c = np.where(t > 0, c, 0.0)                                   # every known word has a follower: else a false hit
         n = max(self.tokens, 1)
         unknown = max(self.word_discount * self.kinds, 1.0) / n
         base = np.where(c > 0, np.maximum(c - self.word_discount, 0.1) / n, min(unknown, 1.0))
@@ -324,17 +327,18 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
 
         def out(ids, flags, stretch: Vocabulary):
             codes, histories, words = stretch.stream()
+            hashes = hash_words(words)
             exact = np.fromiter((known.get(w, 0) for w in words), dtype=np.int64, count=len(words))
             owner = np.repeat(np.arange(len(ids)), stretch.lengths)
             is_head = exact[codes] > 0
             part = np.where(is_head, np.log10((exact[codes] + 1.0) / (tokens + kinds + 1.0)), 0.0)
-            sums = [np.bincount(owner, w, minlength=len(ids)) for w in (part, is_head, model.token_scores(codes, histories, words))]
+            sums = [np.bincount(owner, w, minlength=len(ids)) for w in (part, is_head, model.token_scores(codes, histories, words, hashes))]
             rest = np.flatnonzero(~is_head)
-            tails = np.split(codes[rest], np.searchsorted(owner[rest], np.arange(1, len(ids))))
+            ends = np.searchsorted(owner[rest], np.arange(len(ids) + 1)).astype(np.int32)
+            tails = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[codes[rest]].view(np.int64)))
             return pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(stretch.lengths, pa.int64()),
-                 pa.array(sums[1].astype(np.int64)), pa.array(sums[0]), pa.array(sums[2]),
-                 pa.array([[words[c] for c in x] for x in tails], pa.list_(pa.binary()))],
+                 pa.array(sums[1].astype(np.int64)), pa.array(sums[0]), pa.array(sums[2]), tails],
                 names=["doc_id", "training", "n_tokens", "n_head", "head_score", "score", "tail"])
 
         ids, flags, stretch = [], [], Vocabulary()
@@ -344,16 +348,15 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
                 ids.append(doc_id)
                 flags.append(flag)
                 stretch.add(raw)
-                if stretch.size >= TASK_TOKENS // 4:
+                if stretch.size >= SCORE_TOKENS:
                     yield out(ids, flags, stretch)
                     ids, flags, stretch = [], [], Vocabulary()
         if ids:
             yield out(ids, flags, stretch)
 
     marked = texts(docs.withColumn("training", F.coalesce(training, F.lit(False))), "training")
-    scored = marked.mapInArrow(run, "doc_id long, training boolean, n_tokens long, n_head long, head_score double, score double, tail array<binary>")
-    scored = materialise(scored.select("*", F.monotonically_increasing_id().alias("row")).withColumn(
-        "tail", F.transform("tail", lambda w: F.xxhash64(w))), "scored")
+    scored = marked.mapInArrow(run, "doc_id long, training boolean, n_tokens long, n_head long, head_score double, score double, tail array<bigint>")
+    scored = materialise(scored.select("*", F.monotonically_increasing_id().alias("row")), "scored")
     counts = vocabulary.where(F.col("n") * HEAD <= tokens).select("h", "n")
     tail = scored.select("row", F.explode("tail").alias("h")).join(counts, "h", "left")
     add_one = F.log10((F.coalesce("n", F.lit(0)) + 1.0) / F.lit(tokens + kinds + 1.0))
