@@ -62,54 +62,58 @@ def probe_keys(edits: int) -> Column:
     return F.array(*keys)
 
 
-def edit_distance(short: Column, long: Column, edits: int) -> Column:
+def edit_distance(rows: Column, columns: Column, edits: int) -> Column:
     """Edit distance of two strings, if it is at most ``edits``; else a larger number.
 
-    ``long`` is at most ``edits`` characters longer than ``short``. Column j of the distance
+    Both are arrays of characters, which must be columns of a projection below
+    (a lambda would split the strings anew for each character). ``columns`` is at most ``edits`` characters longer than ``rows``. Column j of the distance
     matrix is held as one word of vertical differences for rows j - edits .. j + edits; rows above
     the first are virtual ones that match nothing, what lies outside the band counts as larger.
     """
     width = 2 * edits + 1
     full, bottom = (1 << width) - 1, 1 << (width - 1)
-    rows, columns = F.split(short, ""), F.split(long, "")
     number = lambda v: F.lit(v).cast("long")
-    upper = sum(1 << b for b in range(edits + 1, width))
-    start = F.struct(number(upper).alias("vp"), number(sum(1 << b for b in range(1, edits + 1))).alias("vn"),
-                     number(edits).alias("d"), F.lit(0).alias("j"))
 
-    def step(s: Column, c: Column) -> Column:
-        # entering column j: the band moves down one row, whose difference is taken as +1
+    def matches(c: Column, j: Column) -> Column:
+        """Bit b: row j - edits + b of the column's band holds the character ``c``."""
+        bits = [F.when(F.get(rows, j + (b - edits)) == c, number(1 << b)).otherwise(number(0)) for b in range(width)]
+        return sum(bits[1:], bits[0])
+
+    # differences of column 0: -1 down to row 0, +1 from there
+    start = F.struct(number(sum(1 << b for b in range(edits + 1, width))).alias("vp"),
+                     number(sum(1 << b for b in range(1, edits + 1))).alias("vn"), number(edits).alias("d"))
+
+    def step(s: Column, eq: Column) -> Column:
+        # entering the next column the band moves down one row, whose difference is taken as +1
         vp = F.shiftright(s["vp"], 1).bitwiseOR(number(bottom))
         vn = F.shiftright(s["vn"], 1)
-        same = number(0)
-        for b in range(width):
-            same = same + F.when(F.get(rows, s["j"] + (b - edits)) == c, number(1 << b)).otherwise(number(0))
-        inner = F.struct(vp.alias("vp"), vn.alias("vn"), same.alias("eq"), s["d"].alias("d"), s["j"].alias("j"))
-
-        def diagonal(x: Column, _: Column) -> Column:
-            carry = (x["eq"].bitwiseAND(x["vp"]) + x["vp"]).bitwiseXOR(x["vp"])
-            d0 = carry.bitwiseOR(x["eq"]).bitwiseOR(x["vn"]).bitwiseAND(number(full))
-            return F.struct(x["vp"].alias("vp"), x["vn"].alias("vn"), d0.alias("eq"), x["d"].alias("d"), x["j"].alias("j"))
-
-        def finish(x: Column) -> Column:
-            d0 = x["eq"]
-            hp = x["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(x["vp"])).bitwiseAND(number(full)))
-            hn = x["vp"].bitwiseAND(d0)
-            above = F.shiftleft(hp, 1).bitwiseOR(number(1)).bitwiseAND(number(full))
-            new_vp = F.shiftleft(hn, 1).bitwiseOR(F.bitwise_not(d0.bitwiseOR(above))).bitwiseAND(number(full))
-            return F.struct(new_vp.alias("vp"), d0.bitwiseAND(above).alias("vn"),
-                            (x["d"] + F.when(d0.bitwiseAND(number(bottom)) == 0, number(1)).otherwise(number(0))).alias("d"),
-                            (x["j"] + 1).alias("j"))
-
-        return F.aggregate(F.array(F.lit(1)), inner, diagonal, finish)
+        d0 = (eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn)
+        hp = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp)))
+        above = F.shiftleft(hp, 1).bitwiseOR(number(1))
+        new_vp = F.shiftleft(vp.bitwiseAND(d0), 1).bitwiseOR(F.bitwise_not(d0.bitwiseOR(above)))
+        return F.struct(new_vp.bitwiseAND(number(full)).alias("vp"), d0.bitwiseAND(above).bitwiseAND(number(full)).alias("vn"),
+                        (s["d"] + number(1) - F.shiftright(d0, width - 1).bitwiseAND(number(1))).alias("d"))
 
     def last(s: Column) -> Column:
-        # from the band's lowest row up to the last row of ``short``
-        beyond = F.char_length(short) - F.char_length(long) + edits + 1
-        below = F.call_function("shiftleft", number(full), beyond).bitwiseAND(number(full))
+        # from the band's lowest row up to the last of ``rows``
+        below = F.call_function("shiftleft", number(full), F.size(rows) - F.size(columns) + edits + 1)
         return s["d"] - F.bit_count(s["vp"].bitwiseAND(below)) + F.bit_count(s["vn"].bitwiseAND(below))
 
-    return F.aggregate(columns, start, step, last)
+    return F.aggregate(F.transform(columns, matches), start, step, last)
+
+
+def without_common_ends(pairs: DataFrame) -> DataFrame:
+    """``pairs`` whose character arrays ``short`` and ``long`` lose their common prefix and suffix; the edit distance stays."""
+    def equal_run(a: Column, b: Column) -> Column:
+        first = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+        return F.when(first == 0, F.size(a)).otherwise(F.least(F.size(a), (first - 1).cast("int")))
+    out = pairs.withColumn("_head", equal_run(F.col("short"), F.col("long")))
+    for name in ("short", "long"):
+        out = out.withColumn(name, F.reverse(F.slice(name, F.col("_head") + 1, F.size(name))))
+    out = out.withColumn("_tail", equal_run(F.col("short"), F.col("long")))
+    for name in ("short", "long"):
+        out = out.withColumn(name, F.slice(name, F.col("_tail") + 1, F.size(name)))
+    return out.drop("_head", "_tail")
 
 
 def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
@@ -124,7 +128,10 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     wanted = materialise(distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "line"), "lines")
     both = (pairs.join(wanted.select(F.col("id").alias("a"), F.col("line").alias("short")), "a")
             .join(wanted.select(F.col("id").alias("b"), F.col("line").alias("long")), "b"))
-    return both.where(edit_distance(F.col("short"), F.col("long"), edits) <= edits).select("a", "b")
+    both = without_common_ends(both.select("a", "b", F.split("short", "").alias("short"), F.split("long", "").alias("long")))
+    # written before the filter, which Spark would else push below the arrays, into the lambdas
+    distances = materialise(both.select("a", "b", edit_distance(F.col("short"), F.col("long"), edits).alias("d")), "distances")
+    return distances.where(F.col("d") <= edits).select("a", "b")
 
 
 def repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS) -> DataFrame:
@@ -181,15 +188,18 @@ def drop_repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     # removed line numbers as masks of 32 lines each: membership without a search per line
     masks = repeats(docs, edits, min_chars, near_chars).groupBy("doc_id", "text_hash", F.floor(F.col("pos") / 32).cast("int").alias("part")).agg(
         F.sum(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % 32)).alias("mask"))
-    masks = masks.groupBy("doc_id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("part", "mask"))).alias("_masks"))
-    masks = masks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_masks")
+    masks = masks.groupBy("doc_id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("part", "mask"))).alias("_masks"),
+                                                     F.sum(F.bit_count("mask")).alias("_gone"))
+    masks = masks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_masks", "_gone")
     here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    rows = docs.join(masks, here, "left").withColumn("_lines", F.split("text", "\n"))
+    rows = docs.join(masks, here, "left")
+    solid = F.size(F.filter(F.split(F.translate("text", "\t\r", "  "), "\n"), lambda x: F.trim(x) != ""))
+    rows = rows.where(F.col("_gone").isNull() | (solid > F.col("_gone"))).withColumn("_lines", F.split("text", "\n"))
     rows = rows.withColumn("_parts", F.transform(F.sequence(F.lit(0), F.floor(F.size("_lines") / 32).cast("int")),
                                                  lambda p: F.coalesce(F.try_element_at("_masks", p), F.lit(0).cast("long"))))
     kept = F.filter("_lines", lambda x, i: F.getbit(F.get("_parts", F.floor(i / 32).cast("int")), i % 32) == 0)
     cut = F.col("_masks").isNotNull()
-    out = rows.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text"))).where(~cut | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
+    out = rows.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
