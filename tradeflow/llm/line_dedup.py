@@ -4,8 +4,8 @@ Native: DataFrame functions only. Lines within ``edits`` edits of each other
 share one of the ``edits + 1`` segments into which the shorter one is cut, at a
 place shifted by a few characters at most. Distinct lines are indexed by
 (length, segment number, segment) and probed with the substrings that can match
-for each length; every candidate pair is verified by a banded bit-parallel edit
-distance. Lines of a class (exact or near copies, transitively) are kept where
+for each length; candidate pairs with alike letter counts are verified by a
+banded bit-parallel edit distance. Lines of a class (exact or near copies, transitively) are kept where
 they stand first: smallest doc_id, then smallest line number.
 """
 
@@ -19,6 +19,7 @@ from .components import connected_components
 
 EDITS, MIN_CHARS, NEAR_CHARS = 2, 10, 24
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
+LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
 
 
 def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -121,11 +122,21 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     long_enough = distinct.where(F.col("len") >= near_chars)
     index = long_enough.select(F.col("id").alias("a"), F.col("len").alias("la"), F.explode(index_keys(edits)).alias("key"))
     probe = long_enough.select(F.col("id").alias("b"), F.col("len").alias("lb"), F.explode(probe_keys(edits)).alias("key"))
-    pairs = index.join(probe, "key").where((F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b"))))
-    pairs = materialise(pairs.select("a", "b").distinct(), "candidates")
-    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct(), "ids")
+    other = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
+    # first the entries that meet any other line, each once; then pairs, of few lines
+    same_key = (index["key"] == probe["key"]) & other
+    index = materialise(index.join(probe, same_key, "left_semi").distinct(), "index")
+    probe = materialise(probe.join(long_enough.select(F.col("id").alias("a"), F.col("len").alias("la"), F.explode(index_keys(edits)).alias("key")
+                                                      ).withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & other, "left_semi").distinct(), "probe")
+    ids = materialise(index.select(F.col("a").alias("id")).union(probe.select("b")).distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS                 # else the same semi join by a shuffle
     wanted = materialise(distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "line"), "lines")
+    # an edit changes at most two of the letter counts by one: pairs that differ more are never emitted
+    counts = lambda name: wanted.select(F.col("id").alias(name), *[
+        (F.octet_length("line") - F.octet_length(F.translate("line", c, ""))).alias(f"{name}{i}") for i, c in enumerate(LETTER_CLASSES)])
+    gap = sum((F.abs(F.col(f"a{i}") - F.col(f"b{i}")) for i in range(1, len(LETTER_CLASSES))), F.abs(F.col("a0") - F.col("b0")))
+    pairs = index.join(counts("a"), "a").join(probe.join(counts("b"), "b"), "key").where(other & (gap <= 2 * edits))
+    pairs = materialise(pairs.select("a", "b").distinct(), "candidates")
     both = (pairs.join(wanted.select(F.col("id").alias("a"), F.col("line").alias("short")), "a")
             .join(wanted.select(F.col("id").alias("b"), F.col("line").alias("long")), "b"))
     both = without_common_ends(both.select("a", "b", F.split("short", "").alias("short"), F.split("long", "").alias("long")))
