@@ -124,11 +124,14 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     probe = long_enough.select(F.col("id").alias("b"), F.col("len").alias("lb"), F.explode(probe_keys(edits)).alias("key"))
     other = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
     # first the entries that meet any other line, each once; then pairs, of few lines
-    same_key = (index["key"] == probe["key"]) & other
-    index = materialise(index.join(probe, same_key, "left_semi").distinct(), "index")
-    probe = materialise(probe.join(long_enough.select(F.col("id").alias("a"), F.col("len").alias("la"), F.explode(index_keys(edits)).alias("key")
-                                                      ).withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & other, "left_semi").distinct(), "probe")
-    ids = materialise(index.select(F.col("a").alias("id")).union(probe.select("b")).distinct(), "ids")
+    meets = (F.col("i.key") == F.col("p.key")) & other
+    i, p = index.alias("i"), probe.alias("p")
+    hits = i.join(p, meets, "left_semi").select(F.lit(0).alias("side"), F.col("a").alias("id"), F.col("la").alias("len"), "key").unionByName(
+        p.join(i, meets, "left_semi").select(F.lit(1).alias("side"), F.col("b").alias("id"), F.col("lb").alias("len"), "key"))
+    hits = materialise(hits.distinct(), "hits")        # one job: both joins share the shuffled sides
+    index = hits.where("side = 0").select(F.col("id").alias("a"), F.col("len").alias("la"), "key")
+    probe = hits.where("side = 1").select(F.col("id").alias("b"), F.col("len").alias("lb"), "key")
+    ids = materialise(hits.select("id").distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS                 # else the same semi join by a shuffle
     wanted = materialise(distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "line"), "lines")
     # an edit changes at most two of the letter counts by one: pairs that differ more are never emitted
