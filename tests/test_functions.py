@@ -200,10 +200,16 @@ def test_date_long_key_orders_like_the_pair(spark):
     assert best == 0
 
 
-def test_broadcast_only_under_the_checked_bound(spark):
-    from tradeflow.operators.joins import broadcast_if_bounded
+def test_no_local_fallback_folder_on_a_cluster():
+    import pytest
 
-    small = spark.range(2)
-    big = spark.range(3)
-    assert "broadcast" in small.join(broadcast_if_bounded(small, 2), "id")._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in big.join(broadcast_if_bounded(big, 2), "id")._jdf.queryExecution().analyzed().toString().lower()
+    from tradeflow.session import ensure_checkpoint_dir
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

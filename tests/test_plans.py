@@ -65,3 +65,19 @@ def test_aggregations_combine_map_side_before_the_shuffle(plans):
     for name in ("rep_revenue", "fato_venda", "excess_stock_monthly", "customer_summary", "fund_ledger",
                  "returns_receivable", "item_month_matrix"):
         assert "partial_sum" in plans[name] or "partial_count" in plans[name], name
+
+
+def test_no_job_runs_while_a_report_is_built(spark):
+    from tradeflow.plans.catalog import QUERIES
+    from tradeflow.sources.erp_fixture import DRIVER_TABLES, ErpTables
+
+    tables = ErpTables(spark, "/root/testdata/sf0.001")
+    for name in DRIVER_TABLES:                      # reading a Parquet schema is a job of its own
+        tables.driver[name]
+    spark.sparkContext.setJobGroup("build", "reports")
+    try:
+        for name in ("customer_summary", "excess_stock", "near_expiry", "returns_receivable", "fund_ledger", "rep_revenue"):
+            QUERIES[name](tables)
+        assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()

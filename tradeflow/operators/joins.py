@@ -1,27 +1,10 @@
-"""Join helpers: checked broadcasts, dimension joins, semi/anti joins."""
+"""Join helpers: keyed dedup, semi/anti joins. No broadcast hints: Spark's size estimates and AQE's measured sizes decide."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after it has been *counted* under this bound
-# (``limit(n + 1).count()`` stops reading after n + 1 rows). Above it the join
-# stays a shuffle join, and AQE may still pick a broadcast from runtime sizes.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Exact bound check that never reads more than ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` provably holds at most ``max_rows``
-    rows, else ``df`` unchanged (shuffle join)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def dedup_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """U2 keyed / T10: keep one row per key, chosen deterministically: the row
     that sorts first by ``order`` (column names, ascending, NULLs last; default:
@@ -49,23 +32,20 @@ def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
-def exists_code_or_wildcard(df: DataFrame, key, codes: DataFrame, wildcard, flag_prefix: str = "_rel",
-                            broadcast=None) -> DataFrame:
+def exists_code_or_wildcard(df: DataFrame, key, codes: DataFrame, wildcard, flag_prefix: str = "_rel") -> DataFrame:
     """``EXISTS (SELECT 1 FROM codes WHERE code = COALESCE(key, code) OR code = wildcard)``
     as an equi-join, with no nested-loop join whatever the control table's size.
 
     A row passes when its key is one of the codes, or the codes contain the
     wildcard, or its key is NULL and there is at least one non-null code. The
     codes are made distinct before a left join (no fan-out); both flags come
-    from one scalar subquery over the control table. ``broadcast`` decides how
-    the distinct codes are joined (default: checked broadcast)."""
+    from one scalar subquery over the control table."""
     code_col = codes.columns[0]
     key_col = flag_prefix + "_code"
     distinct = codes.select(F.col(code_col).alias(key_col)).where(F.col(key_col).isNotNull()).distinct()
     flags = codes.select(F.struct(
         (F.count(F.col(code_col)) > 0).alias("any_code"),
         F.coalesce(F.max(F.col(code_col) == F.lit(wildcard)), F.lit(False)).alias("wildcard"))).scalar()
-    side = (broadcast or broadcast_if_bounded)(distinct)
-    joined = df.join(side, key == F.col(key_col), "left")
+    joined = df.join(distinct, key == F.col(key_col), "left")
     keep = F.col(key_col).isNotNull() | flags.getField("wildcard") | (key.isNull() & flags.getField("any_code"))
     return joined.where(keep).drop(key_col)

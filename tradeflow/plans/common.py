@@ -8,25 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions.numeric import nvl0
-from tradeflow.operators.joins import broadcast_if_bounded
 
 Tables = Mapping[str, DataFrame]
 
 
-def small(tables: Tables, name: str) -> DataFrame:
-    """A master/control relation, broadcast only under a checked row bound."""
-    if hasattr(tables, "small"):
-        return tables.small(name)
-    return broadcast_if_bounded(tables[name])
-
-
-def bounded(tables: Tables, key: str, df: DataFrame) -> DataFrame:
-    """A relation derived from ``tables``, broadcast only under a checked bound."""
-    if hasattr(tables, "bounded"):
-        return tables.bounded(key, df)
-    return broadcast_if_bounded(df)
-
-
 def rep_line_revenue(m) -> Column:
     """Per-line revenue of the rep and telesales reports, rounded to
     cents before it is summed. IPI and ST are subtracted and added back, so they

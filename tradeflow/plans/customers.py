@@ -19,7 +19,7 @@ from tradeflow.functions.text import clean_label
 from tradeflow.operators import aggregate as agg
 from tradeflow.operators.joins import dedup_on_key
 from tradeflow.plans import star
-from tradeflow.plans.common import Tables, bounded
+from tradeflow.plans.common import Tables
 
 # Fixed values of the lifecycle screens.
 RECENCY_DAYS = 30
@@ -67,9 +67,9 @@ def sales_base(tables: Tables, since, reps: Sequence[str] = ()) -> DataFrame:
     prod = prod.withColumnRenamed("cod_produto", "_prod_id")
     cli = cli.withColumnRenamed("cod_cliente", "_cli_id")
     rep = rep.withColumnRenamed("cod_vendedor", "_rep_id")
-    base = (fact.join(bounded(tables, "dim_produto_clean", prod), F.col("COD_PRODUTO") == F.col("_prod_id"), "left")
-                .join(bounded(tables, "dim_cliente_clean", cli), F.col("COD_CLIENTE") == F.col("_cli_id"), "left")
-                .join(bounded(tables, "dim_vendedor_clean", rep), F.col("COD_VENDEDOR") == F.col("_rep_id"), "left"))
+    base = (fact.join(prod, F.col("COD_PRODUTO") == F.col("_prod_id"), "left")
+                .join(cli, F.col("COD_CLIENTE") == F.col("_cli_id"), "left")
+                .join(rep, F.col("COD_VENDEDOR") == F.col("_rep_id"), "left"))
     text_cols = ["nm_produto", "categoria", "secao", "nm_cliente", "nm_vendedor", "ORIGEM_PEDIDO"]
     base = base.withColumns({c: F.upper(F.coalesce(F.col(c), F.lit(labels.NOT_REGISTERED))) for c in text_cols})
     base = base.drop("_prod_id", "_cli_id", "_rep_id")

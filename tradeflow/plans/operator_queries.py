@@ -21,7 +21,7 @@ from tradeflow.functions.text import contains_regex
 from tradeflow.operators import aggregate as agg
 from tradeflow.operators.joins import anti_join, dedup_on_key, exists_code_or_wildcard
 from tradeflow.plans import funds, star, stock
-from tradeflow.plans.common import Tables, small
+from tradeflow.plans.common import Tables
 from tradeflow.session import ensure_checkpoint_dir
 from tradeflow.sources.csv_br import read_br_csv, write_br_csv
 from tradeflow.sources.parquet_io import read_columns, write_parquet
@@ -38,7 +38,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def _product_supplier(tables: Tables) -> DataFrame:
     p = tables["pcprodut"].alias("p")
-    f = small(tables, "pcfornec").alias("f")
+    f = tables["pcfornec"].alias("f")
     return p.join(f, F.col("p.codfornec") == F.col("f.codfornec"), "left")
 
 
@@ -123,8 +123,8 @@ def semi_join_released_titles(tables: Tables) -> DataFrame:
 def expression_key_join(tables: Tables) -> DataFrame:
     """Title -> supervisor through NVL(title supervisor, rep supervisor)."""
     p = tables["pcprest"].alias("p")
-    u = small(tables, "pcusuari").alias("u")
-    s = small(tables, "pcsuperv").alias("s")
+    u = tables["pcusuari"].alias("u")
+    s = tables["pcsuperv"].alias("s")
     return (p.join(u, F.col("p.codusur") == F.col("u.codusur"), "inner")
              .join(s, F.coalesce(F.col("p.codsupervisor"), F.col("u.codsupervisor")) == F.col("s.codsupervisor"), "inner")
              .select(F.col("p.numped").alias("numped"), F.col("s.codsupervisor").alias("codsupervisor"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeflow.functions import labels, text
 from tradeflow.functions.dates import as_date
-from tradeflow.plans.common import Tables, money_out, rep_line_revenue, small
+from tradeflow.plans.common import Tables, money_out, rep_line_revenue
 
 # Fixed values of the extracts.
 HOUSE_EMITTER = 8888        # orders keyed in by the house, not by telesales
@@ -24,8 +24,8 @@ def rep_revenue(tables: Tables, start, end) -> DataFrame:
     rows. The date window is inclusive on both ends (T20)."""
     m = tables["pcmov"].alias("m")
     p = tables["pcpedc"].alias("p")
-    u = small(tables, "pcusuari").alias("u")
-    s = small(tables, "pcsuperv").alias("s")
+    u = tables["pcusuari"].alias("u")
+    s = tables["pcsuperv"].alias("s")
     lines = m.where(
         F.col("m.dtmov").between(as_date(start), as_date(end))
         & F.col("m.dtcancel").isNull()
@@ -76,10 +76,10 @@ def day_orders_rep(tables: Tables, day) -> DataFrame:
     orders = c.where((F.col("c.data") == as_date(day)) & F.col("c.condvenda").isin(*ORDER_SALE_CONDITIONS))
     joined = (orders
               .join(i, F.col("i.numped") == F.col("c.numped"), "inner")
-              .join(small(tables, "pcpromocaomed").alias("pm"),
+              .join(tables["pcpromocaomed"].alias("pm"),
                     F.col("pm.codpromocaomed") == F.col("i.codpromocaomed"), "left")
-              .join(small(tables, "pcusuari").alias("u"), F.col("u.codusur") == F.col("c.codusur"), "left")
-              .join(small(tables, "pcsuperv").alias("s"),
+              .join(tables["pcusuari"].alias("u"), F.col("u.codusur") == F.col("c.codusur"), "left")
+              .join(tables["pcsuperv"].alias("s"),
                     F.col("s.codsupervisor") == F.col("u.codsupervisor"), "left")
               .join(tables["pcclient"].alias("cli"), F.col("cli.codcli") == F.col("c.codcli"), "inner")
               .join(tables["pcprodut"].alias("pr"), F.col("pr.codprod") == F.col("i.codprod"), "inner"))
@@ -101,11 +101,11 @@ def day_orders_telesales(tables: Tables, day) -> DataFrame:
                      & (F.col("c.codemitente") != HOUSE_EMITTER))
     joined = (orders
               .join(tables["pcpedi"].alias("i"), F.col("i.numped") == F.col("c.numped"), "left")
-              .join(small(tables, "pcempr").alias("e"), F.col("e.matricula") == F.col("c.codemitente"), "left")
+              .join(tables["pcempr"].alias("e"), F.col("e.matricula") == F.col("c.codemitente"), "left")
               .join(tables["pcclient"].alias("cli"), F.col("cli.codcli") == F.col("c.codcli"), "left")
               .join(tables["pcprodut"].alias("pr"), F.col("pr.codprod") == F.col("i.codprod"), "left")
-              .join(small(tables, "pcusuari").alias("u"), F.col("u.codusur") == F.col("e.codusur"), "left")
-              .join(small(tables, "pcsuperv").alias("s"),
+              .join(tables["pcusuari"].alias("u"), F.col("u.codusur") == F.col("e.codusur"), "left")
+              .join(tables["pcsuperv"].alias("s"),
                     F.col("s.codsupervisor") == F.col("u.codsupervisor"), "left"))
     return joined.select(
         F.col("c.codfilial").alias("filial"), F.col("c.codemitente").alias("cod_televenda"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions import labels
 from tradeflow.functions.dates import as_date
 from tradeflow.functions.numeric import nvl0
-from tradeflow.plans.common import Tables, money_out, small
+from tradeflow.plans.common import Tables, money_out
 
 # Fixed values of the star-schema extract.
 HOLDING_BRANCH = 99          # branch code excluded from the branch dimension
@@ -19,9 +19,9 @@ def product_hierarchy(tables: Tables) -> DataFrame:
     """Product with department, section (keyed by section and department) and
     category (keyed by category and section); all left joins (J2)."""
     p = tables["pcprodut"].alias("p")
-    dep = small(tables, "pcdepto").alias("dep")
-    sec = small(tables, "pcsecao").alias("sec")
-    cat = small(tables, "pccategoria").alias("cat")
+    dep = tables["pcdepto"].alias("dep")
+    sec = tables["pcsecao"].alias("sec")
+    cat = tables["pccategoria"].alias("cat")
     return (p.join(dep, F.col("dep.codepto") == F.col("p.codepto"), "left")
              .join(sec, (F.col("sec.codsec") == F.col("p.codsec")) & (F.col("sec.codepto") == F.col("dep.codepto")), "left")
              .join(cat, (F.col("cat.codcategoria") == F.col("p.codcategoria")) & (F.col("cat.codsec") == F.col("sec.codsec")), "left"))
@@ -79,8 +79,8 @@ def fato_venda(tables: Tables, since) -> DataFrame:
     values rounded per line before the sum (A15). Net really subtracts ST and
     IPI; a missing quantity makes the line NULL (T4)."""
     m = tables["pcmov"].alias("m")
-    u = small(tables, "pcusuari").alias("u")
-    s = small(tables, "pcsuperv").alias("s")
+    u = tables["pcusuari"].alias("u")
+    s = tables["pcsuperv"].alias("s")
     p = tables["pcpedc"].select("numped", "codemitente", "tipofv", "origemped").alias("p")
     lines = m.where((F.col("m.codoper") == "S") & (F.col("m.dtmov") >= as_date(since)) & F.col("m.dtcancel").isNull())
     joined = (lines.join(u, F.col("u.codusur") == F.col("m.codusur"), "left")

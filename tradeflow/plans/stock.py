@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions import labels
 from tradeflow.functions.dates import as_date
 from tradeflow.functions.numeric import greatest_null_strict, nvl0
-from tradeflow.plans.common import Tables, small
+from tradeflow.plans.common import Tables
 
 # Fixed values of the stock reports.
 STOCK_BRANCH_EXCLUDED = 10
@@ -26,7 +26,7 @@ PICKING_ADDRESS = "AP"
 def last_entry_cost(tables: Tables) -> DataFrame:
     """Distinct (product, last entry value, branch, class) over left joins."""
     p = tables["pcprodut"].alias("p")
-    f = small(tables, "pcfornec").alias("f")
+    f = tables["pcfornec"].alias("f")
     e = tables["pcest"].alias("e")
     return (p.join(f, F.col("p.codfornec") == F.col("f.codfornec"), "left")
              .join(e, F.col("p.codprod") == F.col("e.codprod"), "left")
@@ -39,14 +39,14 @@ def last_entry_cost(tables: Tables) -> DataFrame:
 
 def _product_attributes(tables: Tables, base: DataFrame, prod_col: str) -> DataFrame:
     """Joins product -> supplier (inner), department/section/category/buyer (left).
-    Supplier and the small masters are broadcast under a checked bound; the
+    Supplier and masters carry no broadcast hint (sizes decide); the
     product master is joined by key (it grows with the catalogue)."""
     p = tables["pcprodut"].alias("p")
-    f = small(tables, "pcfornec").alias("f")
-    dep = small(tables, "pcdepto").alias("dep")
-    sec = small(tables, "pcsecao").alias("sec")
-    cat = small(tables, "pccategoria").alias("cat")
-    ep = small(tables, "pcempr").alias("ep")
+    f = tables["pcfornec"].alias("f")
+    dep = tables["pcdepto"].alias("dep")
+    sec = tables["pcsecao"].alias("sec")
+    cat = tables["pccategoria"].alias("cat")
+    ep = tables["pcempr"].alias("ep")
     return (base.join(p, F.col("p.codprod") == F.col(prod_col), "inner")
                 .join(f, F.col("f.codfornec") == F.col("p.codfornec"), "inner")
                 .join(dep, F.col("dep.codepto") == F.col("p.codepto"), "left")
@@ -216,10 +216,10 @@ def near_expiry_rows(tables: Tables, start, end, with_lot: bool = False) -> Data
     The product-branch table is joined on product only, as in the source; the
     caller's DISTINCT removes those copies (T6)."""
     s = tables["pcestendereco"].alias("s")
-    e = small(tables, "pcendereco").alias("e")
+    e = tables["pcendereco"].alias("e")
     p = tables["pcprodut"].alias("p")
     pf = tables["pcprodfilial"].alias("pf")
-    f = small(tables, "pcfornec").alias("f")
+    f = tables["pcfornec"].alias("f")
     si = tables["pcestenderecoi"].alias("si")
     es = tables["pcest"].alias("es")
     lot1 = (tables["pcestenderecoi"].where(F.col("numlote") == LOT_ONE)

@@ -13,12 +13,10 @@ except ``pchistest`` whose Spark form is written as an equi-join (see below).
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.joins import BROADCAST_MAX_ROWS, has_at_most
 from tradeflow.sources.tables import DriverTables
 
 # Fixed mapping texts (from FIXTURES.md part 3). Values and codes are part of
@@ -81,9 +79,9 @@ select c_custkey as codcli, c_name as cliente, case when c_custkey % 3 = 0 then
   case c_custkey % 6 when 0 then null when 1 then ' - ' when 2 then ' 123.456.' || cast(c_custkey as varchar(12)) || '-09 ' when 3 then '12.345.678/0001-' || cast(c_custkey as varchar(12)) when 4 then cast(c_custkey as varchar(12)) else '123456789012345' || cast(c_custkey as varchar(12)) end as cgcent,
   case when c_custkey % 2 = 0 then 'F' else 'J' end as tipofj, c_nationkey as codpraca from {customer}""",
     "pchistest": """
-select cast(p_partkey % 10 + 1 as int) as codfilial, p_partkey as codprod, date '1999-09-01' + cast(o_orderkey as int) as data,
-  cast((p_partkey * 7 + o_orderkey * 3) % 60 - 6 as int) as qtestger, cast(p_retailprice as decimal(18,2)) as custorep
-from {part} cross join {orders} where p_partkey % 7 = 0 and o_orderkey < 490""",
+select cast(l_partkey % 10 + 1 as int) as codfilial, l_partkey as codprod, date '1999-09-01' + cast(l_orderkey % 490 as int) as data,
+  cast((l_partkey * 7 + l_orderkey % 490 * 3) % 60 - 6 as int) as qtestger, max(cast(p_retailprice as decimal(18,2))) as custorep
+from {lineitem} join {part} on l_partkey = p_partkey group by l_partkey, l_orderkey % 490""",
     "pcest": """
 select cast(p_partkey % 10 + 1 as int) as codfilial, p_partkey as codprod, p_size * 10 - 20 as qtestger, p_size % 7 as qtgirodia,
   case when p_partkey % 50 = 0 then null else cast(p_retailprice as decimal(18,2)) end as custoultent,
@@ -94,10 +92,10 @@ select o_orderkey as numverba, cast(o_orderkey % 10 + 1 as int) as codfilial, ca
   case when o_orderkey % 4 = 0 then null else 'REF' end as referencia, cast(null as varchar(10)) as referencia1,
   case when o_orderstatus = 'P' then cast(o_orderdate as date) + 5 end as dtcancel, cast(o_totalprice as decimal(18,2)) as valor from {orders}""",
     "pcaplicverba": """
-select l_orderkey as numverba, cast(l_extendedprice as decimal(18,2)) as vlaplic, case when l_returnflag = 'R' then cast(l_shipdate as date) end as dtestorno from {lineitem} where l_linenumber <= 3""",
+select l_orderkey as numverba, cast(l_extendedprice as decimal(18,2)) as vlaplic, case when l_returnflag = 'R' then cast(l_shipdate as date) end as dtestorno from {lineitem}""",
     "pcmovcrfor": """
 select l_orderkey as numverba, case when l_linestatus = 'F' then 'D' else 'C' end as tipo, cast(l_extendedprice as decimal(18,2)) as valor,
-  case when l_returnflag = 'R' then cast(l_shipdate as date) end as dtestorno from {lineitem} where l_linenumber >= 3""",
+  case when l_returnflag = 'R' then cast(l_shipdate as date) end as dtestorno from {lineitem}""",
     "pcprest": """
 select o_orderkey as numped, o_orderkey + 1000000 as numtransvenda, cast(o_orderkey % 10 + 1 as int) as codfilial, cast(o_custkey % 10 as bigint) as codcli, cast(o_custkey % 27 as int) as codusur,
   case when o_orderkey % 2 = 0 then cast(o_orderkey % 5 as int) end as codsupervisor, cast(o_orderdate as date) as dtemissao, cast(o_orderdate as date) + 30 as dtvenc,
@@ -115,7 +113,7 @@ select s_suppkey as codendereco, cast(s_suppkey % 10 + 1 as int) as codfilial, c
 select l_suppkey as codendereco, l_partkey as codprod, sum(cast(l_quantity as decimal(18,2))) - 20 as qt, max(cast(l_shipdate as date)) as dtval from {lineitem} group by l_suppkey, l_partkey""",
     "pcestenderecoi": """
 select l_suppkey as codendereco, l_partkey as codprod, cast(l_linenumber as varchar(4)) as numlote, case when l_returnflag = 'N' then null else cast(l_shipdate as date) end as dtval,
-  case when l_linenumber = 3 then null else cast(l_quantity as decimal(18,2)) end as qt from {lineitem} where l_linenumber <= 3""",
+  case when l_linenumber = 3 then null else cast(l_quantity as decimal(18,2)) end as qt from {lineitem}""",
     "pcprodfilial": """
 select p_partkey as codprod, p_partkey % 10 + 1 as codfilial, case when p_partkey % 3 = 0 then 'S' else 'N' end as estoquepordtvalidadepk from {part}
 union all select p_partkey, (p_partkey + 1) % 10 + 1, 'N' from {part} where p_partkey % 5 = 0""",
@@ -125,21 +123,6 @@ select codigo, 'FILIAL ' || cast(codigo as varchar(4)) as razaosocial from (sele
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
-# Columns each view reads from its driver tables; lets Catalyst prune the scan.
-_ORDER_DAYS = 490  # fixed fixture constant: snapshot history spans order keys 0..489
-
-
-_BOUND_CHECKS: dict[tuple, bool] = {}
-
-
-def _app_key(spark: SparkSession) -> str:
-    """Identity of the running application (bound checks are cached per app)."""
-    try:
-        return spark.conf.get("spark.app.id")
-    except Exception:  # conf not readable: fall back to the session object
-        return str(id(spark))
-
-
 def oracle_prelude(names: list[str] | None = None) -> str:
     """``WITH`` list defining the ERP views over DuckDB's driver views."""
     names = names or list(ERP_VIEWS)
@@ -165,23 +148,6 @@ class ErpTables:
             self._views[name] = self._build(name)
         return self._views[name]
 
-    def small(self, name: str) -> DataFrame:
-        """The relation hinted for broadcast, but only after its row count was
-        checked against ``BROADCAST_MAX_ROWS``. The decision is cached per
-        application, input folder and relation, so the check runs once."""
-        key = (_app_key(self.spark), self.driver.sf_dir, name)
-        if key not in _BOUND_CHECKS:
-            _BOUND_CHECKS[key] = has_at_most(self[name], BROADCAST_MAX_ROWS)
-        return F.broadcast(self[name]) if _BOUND_CHECKS[key] else self[name]
-
-    def bounded(self, key: str, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-        """Same checked broadcast for a relation derived from these tables
-        (``key`` names the derivation)."""
-        ck = (_app_key(self.spark), self.driver.sf_dir, "derived:" + key, max_rows)
-        if ck not in _BOUND_CHECKS:
-            _BOUND_CHECKS[ck] = has_at_most(df, max_rows)
-        return F.broadcast(df) if _BOUND_CHECKS[ck] else df
-
     def __contains__(self, name: str) -> bool:
         return name in ERP_VIEWS
 
@@ -189,31 +155,6 @@ class ErpTables:
         return ERP_VIEWS.keys()
 
     def _build(self, name: str) -> DataFrame:
-        if name == "pchistest":
-            return self._pchistest
         text = ERP_VIEWS[name]
         args = {t: self.driver[t] for t in DRIVER_TABLES if "{" + t + "}" in text}
         return self.spark.sql(text, **args)
-
-    @cached_property
-    def _pchistest(self) -> DataFrame:
-        # Daily stock history: one snapshot per product and per order key below
-        # 490. Written as an equi-join against a generated day index instead of
-        # a cartesian product, so the planner uses a hash join on the key; the
-        # orders side is broadcast after the usual counted bound check.
-        part = (self.driver["part"]
-                .where(F.col("p_partkey") % 7 == 0)
-                .select("p_partkey", "p_retailprice",
-                        F.explode(F.sequence(F.lit(0).cast("long"),
-                                             F.lit(_ORDER_DAYS - 1).cast("long"))).alias("day_key")))
-        days = (self.driver["orders"].where(F.col("o_orderkey") < _ORDER_DAYS)
-                .select(F.col("o_orderkey").alias("day_key")))
-        joined = part.join(self.bounded("pchistest_days", days), "day_key")
-        return joined.select(
-            (F.col("p_partkey") % 10 + 1).cast("int").alias("codfilial"),
-            F.col("p_partkey").alias("codprod"),
-            F.date_add(F.lit("1999-09-01").cast("date"), F.col("day_key").cast("int")).alias("data"),
-            ((F.col("p_partkey") * 7 + F.col("day_key") * 3) % 60 - 6).cast("int").alias("qtestger"),
-            F.col("p_retailprice").cast("decimal(18,2)").alias("custorep"),
-        )
-

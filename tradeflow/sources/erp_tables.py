@@ -14,7 +14,6 @@ from typing import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.joins import BROADCAST_MAX_ROWS, has_at_most
 
 ERP_RELATIONS = ("pcmov", "pcpedc", "pcpedi", "pcpromocaomed", "pcprodut", "pcdepto", "pcsecao", "pccategoria",
                  "pcfornec", "pcempr", "pcusuari", "pcsuperv", "pcclient", "pchistest", "pcest", "pcverba",
@@ -30,7 +29,6 @@ class ErpParquetTables:
             for name in ERP_RELATIONS:
                 self.paths.setdefault(name, f"{root.rstrip('/')}/{name}")
         self._frames: dict[str, DataFrame] = {}
-        self._bounded: dict[tuple, bool] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -42,14 +40,3 @@ class ErpParquetTables:
 
     def keys(self):
         return self.paths.keys()
-
-    def small(self, name: str) -> DataFrame:
-        if name not in self._bounded:
-            self._bounded[name] = has_at_most(self[name], BROADCAST_MAX_ROWS)
-        return F.broadcast(self[name]) if self._bounded[name] else self[name]
-
-    def bounded(self, key: str, df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-        ck = ("derived", key, max_rows)
-        if ck not in self._bounded:
-            self._bounded[ck] = has_at_most(df, max_rows)
-        return F.broadcast(df) if self._bounded[ck] else df
