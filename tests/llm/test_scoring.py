@@ -72,8 +72,9 @@ def test_language_id_edge_cases(docs, no_docs):
     assert rows[3][0][0] == "de" and rows[1] == rows[2] and rows[1][0][0] == "en" and len(rows[12]) == 2
     assert language_id.identify(no_docs, prototypes).count() == 0 and language_id.learn(no_docs) == {}
     assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
-    kept = language_id.keep_identified(docs, prototypes)
+    kept = language_id.keep_identified(docs, prototypes, min_score=0.0)      # texts without a letter go
     assert kept.columns == docs.columns and kept.count() == len(ROWS) - 3
+    assert language_id.keep_identified(docs, prototypes, min_score=2.0).count() == 0
     with pytest.raises(Exception, match="more than 1 languages"):
         language_id.learn(docs, max_labels=1)
 
