@@ -91,7 +91,7 @@ def test_word_encoder_is_the_tokenizer():
     tokenizer = Tokenizer.from_file(public_tokenizers.path(WORDS))
     encoder = packing.WordEncoder(public_tokenizers.path(WORDS))
     rng = random.Random(3)
-    parts = ["a", "Σ", "ΑΣ", "\x1c", " ", "́", "e", "\n", "  ", "\t", "'s", "1", "!?", ".", "<|endoftext|>", "日本", "é", "x", "\x85", "İ", "ﬁ", "\x00", "　"]
+    parts = ["Don't", "ÀÉß", "×÷", "ªº", "'ll", "\xad", "\x1f", "\xa0", "Z", "<|", "a", "Σ", "ΑΣ", "\x1c", " ", "́", "e", "\n", "  ", "\t", "'s", "1", "!?", ".", "<|endoftext|>", "日本", "é", "x", "\x85", "İ", "ﬁ", "\x00", "　"]
     for _ in range(2000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
         assert encoder.encode(text)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids

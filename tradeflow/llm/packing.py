@@ -28,59 +28,94 @@ BLOCK_WINDOWS, CACHE_WORDS = 256, 1 << 19
 _SENTENCE_END = re.compile(r"[.!?][\"')\]]*$")
 
 
-class WordEncoder:
-    """Token ids of texts, by way of distinct words.
+def _byte_letters() -> dict[int, str]:
+    """Byte-level letters of U+00C0 to U+00FF: printable bytes stand for themselves, the others, in order, for U+0100 and on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    letter = {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(letter[b] for b in chr(c).encode("utf-8")) for c in range(0xC0, 0x100)}
+
+
+_BYTE_LETTERS = _byte_letters()
+_SIMPLE_WORD = re.compile("[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+# the vocabulary's own pre-tokens, on lower-case words of the characters above (fixed values)
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^0-9a-z\u00DF-\u00F6\u00F8-\u00FF]+")
+_NOT_BLANK = re.compile("[\x1c-\x1f]")                # blanks to Python, not to the tokenizer
+
+
+class WordEncoder(dict):
+    """Token ids of texts, by way of distinct words (this dictionary: word -> number).
 
     The tokenizer drops white space before it merges, so the ids of a text are
-    those of its words in a row. Words are split at ASCII blanks only, which
-    every part of the tokenizer treats as white space; other white space stays
-    inside a "word" and is left to the tokenizer.
+    those of its words in a row. Words of ASCII and Latin-1 letters are cut into
+    the tokenizer's pieces here, and each distinct piece goes to the tokenizer's
+    model once; every other word, and any that may hold a special token, goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.clear()
+        self.pieces: dict[str, list[int]] = {}
         self.ids = np.empty(1 << 16, dtype=np.uint32)   # ids of the known words, end to end
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.ends_sentence = np.zeros(1 << 14, dtype=bool)
         self.filled = 0
+        self.new_ids: list[int] = []                    # of the words met since the arrays were last filled
+        self.new_ends: list[int] = []
+        self.new_sentences: list[bool] = []
 
     @staticmethod
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if len(array) >= size else np.concatenate([array, np.zeros(max(size, len(array)), array.dtype)])
 
-    def _learn(self, words: list[str]) -> None:
-        first = len(self.index)
-        self.starts = self._room(self.starts, first + len(words) + 1)
-        self.ends_sentence = self._room(self.ends_sentence, first + len(words) + 1)
-        for at in range(0, len(words), 4096):
-            part = words[at:at + 4096]
-            for k, (word, encoded) in enumerate(zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)), first + at):
-                ids = encoded.ids
-                self.ids = self._room(self.ids, self.filled + len(ids))
-                self.ids[self.filled:self.filled + len(ids)] = ids
-                self.filled += len(ids)
-                self.index[word] = k
-                self.starts[k + 1] = self.filled
-                self.ends_sentence[k] = _SENTENCE_END.search(word[-8:]) is not None
+    def __missing__(self, word: str) -> int:
+        """Learn a word: its number."""
+        if _SIMPLE_WORD.fullmatch(word) and "<|" not in word:
+            known, ids = self.pieces, self.new_ids
+            for piece in _PIECES.findall(word.lower()):
+                part = known.get(piece)
+                if part is None:
+                    coded = piece if piece.isascii() else piece.translate(_BYTE_LETTERS)
+                    part = known[piece] = [t.id for t in self.model.tokenize(coded)]
+                ids += part
+        else:
+            self.new_ids += self.tokenizer.encode(word, add_special_tokens=False).ids
+        self.new_ends.append(len(self.new_ids))
+        self.new_sentences.append(_SENTENCE_END.search(word[-8:]) is not None)
+        self[word] = number = len(self)
+        return number
+
+    def _store_new(self) -> None:
+        """Move the words learnt into the arrays."""
+        count, first = len(self.new_ends), len(self) - len(self.new_ends)
+        if not count:
+            return
+        self.starts = self._room(self.starts, first + count + 1)
+        self.ends_sentence = self._room(self.ends_sentence, first + count)
+        self.ids = self._room(self.ids, self.filled + len(self.new_ids))
+        self.starts[first + 1:first + count + 1] = np.array(self.new_ends) + self.filled
+        self.ends_sentence[first:first + count] = self.new_sentences
+        self.ids[self.filled:self.filled + len(self.new_ids)] = self.new_ids
+        self.filled += len(self.new_ids)
+        self.new_ids, self.new_ends, self.new_sentences = [], [], []
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sentence ends as positions behind their last id)."""
-        words = [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
+        words = text.split() if _NOT_BLANK.search(text) is None else [w for w in re.split("[ \n\t\r]+", text) if w]
         if not words:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        if len(self.index) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
             self._clear()
-        index = self.index
-        new = [w for w in dict.fromkeys(words) if w not in index]
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
+        codes = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        self._store_new()
         starts = self.starts[codes]
         lengths = self.starts[codes + 1] - starts
         behind = np.cumsum(lengths)
