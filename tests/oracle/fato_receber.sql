@@ -1,8 +1,7 @@
-SELECT codcli AS cod_cliente, CAST(NULL AS VARCHAR) AS prestacao, CAST(NULL AS BIGINT) AS duplicata,
-       CAST(valor AS DOUBLE) AS valor, dtvenc AS dt_vencimento, CAST(NULL AS DOUBLE) AS valor_pago,
-       CAST(NULL AS DOUBLE) AS txperm, dtpag AS dt_pagamento, dtemissao AS dt_emissao, codfilial AS cod_filial,
-       codusur AS cod_vendedor, CAST(NULL AS DOUBLE) AS vl_desconto, CAST(NULL AS DOUBLE) AS vl_devolucao,
-       CAST(NULL AS DATE) AS dt_devolucao, codsupervisor AS cod_supervisor, numtransvenda, numped,
-       CAST(NULL AS BIGINT) AS cod_emitente_pedido
+SELECT codcli AS cod_cliente, prest AS prestacao, duplic AS duplicata, CAST(valor AS DOUBLE) AS valor,
+       dtvenc AS dt_vencimento, CAST(vpago AS DOUBLE) AS valor_pago, CAST(txperm AS DOUBLE) AS txperm,
+       dtpag AS dt_pagamento, dtemissao AS dt_emissao, codfilial AS cod_filial, codusur AS cod_vendedor,
+       CAST(valordesc AS DOUBLE) AS vl_desconto, CAST(vldevol AS DOUBLE) AS vl_devolucao, dtdevol AS dt_devolucao,
+       codsupervisor AS cod_supervisor, numtransvenda, numped, codemitentepedido AS cod_emitente_pedido
 FROM pcprest
 WHERE dtemissao >= DATE '2000-01-01' AND dtcancel IS NULL AND dtpag IS NULL

@@ -35,6 +35,7 @@ SELECT nm_cliente, nm_produto,
        CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 10 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "10/2001",
        CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 11 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "11/2001",
        CAST(COALESCE(SUM(CASE WHEN ANO = 2001 AND MES = 12 THEN QT_VENDIDA END), 0) AS DOUBLE) AS "12/2001",
+       CAST(COALESCE(SUM(CASE WHEN COALESCE(ANO, 0) NOT IN (1999, 2000, 2001) OR COALESCE(MES, 0) NOT BETWEEN 1 AND 12 THEN QT_VENDIDA END), 0) AS DOUBLE) AS OUTROS,
        CAST(SUM(QT_VENDIDA) AS DOUBLE) AS TOTAL
 FROM sales_base
 GROUP BY nm_cliente, nm_produto

@@ -213,3 +213,26 @@ def test_no_local_fallback_folder_on_a_cluster():
             master = "spark://host:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_pivots_keep_values_that_are_not_listed(spark):
+    from tradeflow.plans.customers import item_month_matrix
+    from tradeflow.plans.funds import fund_year_class_pivot
+    status = spark.createDataFrame([(2000, "FARMA", 1), (2000, "NOVA", 2), (2000, None, 4), (2000, "NÃO CLASSIFICADO", 8)],
+                                   "ANOCADASTRO int, CLASSIFICACAO string, SALDO_A_RECEBER int")
+    assert [tuple(r) for r in fund_year_class_pivot(status, 1999).collect()] == [(2000, 1, 0, 8, 6)]
+    base = spark.createDataFrame([("c", "p", 2000, 1, 1), ("c", "p", 1990, 1, 2), ("c", "p", None, None, 4)],
+                                 "nm_cliente string, nm_produto string, ANO int, MES int, QT_VENDIDA int")
+    row = item_month_matrix(base, [2000]).first().asDict()
+    assert (row["01/2000"], row["OUTROS"], row["TOTAL"]) == (1, 6, 7)
+
+
+def test_receivable_columns_are_optional(spark):
+    from tradeflow.plans.star import fato_receber
+    old = ("codcli long, valor decimal(18,2), dtvenc date, dtpag date, dtemissao date, dtcancel date, codfilial int, codusur int, "
+           "codsupervisor int, numtransvenda long, numped long")
+    row = (1, None, None, None, dt.date(2020, 1, 1), None, 1, 1, 1, 1, 1)
+    few = fato_receber({"pcprest": spark.createDataFrame([row], old)}, dt.date(2019, 1, 1))
+    more = fato_receber({"pcprest": spark.createDataFrame([row + ("A", 7)], old + ", prest string, duplic long")}, dt.date(2019, 1, 1))
+    assert few.first().prestacao is None and (more.first().prestacao, more.first().duplicata) == ("A", 7)
+    assert few.schema == more.schema

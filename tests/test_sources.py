@@ -34,6 +34,21 @@ def test_br_csv_reader_is_lenient(spark):
         (1, Decimal("1234.560000"), dt.date(2024, 9, 20)), (2, None, None), (3, Decimal("7.500000"), dt.date(2025, 1, 2))]
 
 
+def test_br_csv_keeps_quotes_breaks_and_empty_texts(spark):
+    rows = [(1, 'ACME "SUL" LTDA; FILIAL', Decimal("1.500000"), None), (2, "two\nlines", None, None), (3, "", None, None),
+            (4, None, None, None), (5, '"', None, dt.date(2001, 2, 3))]
+    path = os.path.join(tempfile.mkdtemp(prefix="tf-csv-"), "out")
+    write_br_csv(spark.createDataFrame(rows, SCHEMA), path)
+    assert sorted(tuple(r) for r in read_br_csv(spark, path, SCHEMA, multi_line=True).collect()) == rows
+
+
+def test_br_csv_dot_decimals(spark):
+    folder = tempfile.mkdtemp(prefix="tf-csv-")
+    with open(os.path.join(folder, "f.csv"), "w", encoding="utf-8") as fh:
+        fh.write("ID;NOME;VALOR;DIA\n1;x;1234.56;\n2;y;1.234,56;\n3;z;1.2.3;\n")
+    assert [r.VALOR for r in sorted(read_br_csv(spark, folder, SCHEMA).collect())] == [Decimal("1234.56"), Decimal("1234.56"), None]
+
+
 def test_parquet_pruned_read_and_optional_column(spark):
     df = spark.createDataFrame([(1, "a")], "cod_filial int, nm string")
     path = os.path.join(tempfile.mkdtemp(prefix="tf-pq-"), "t.parquet")

@@ -28,9 +28,10 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def br_number(text: Column, target: str = "decimal(18,2)") -> Column:
-    """lenient pt-BR number text ``1.234,56`` -> decimal; NULL if not a number."""
-    cleaned = F.translate(F.btrim(text), ".", "")
-    cleaned = F.translate(cleaned, ",", ".")
+    """lenient pt-BR number text ``1.234,56`` -> decimal; NULL if not a number.
+    Without a comma a dot is the decimal point (``1234.56``)."""
+    trimmed = F.btrim(text)
+    cleaned = F.when(F.contains(trimmed, F.lit(",")), F.translate(trimmed, ",.", ".")).otherwise(trimmed)
     return F.nullif(cleaned, F.lit("")).try_cast(target)
 
 

@@ -64,10 +64,14 @@ def share_of_total(df: DataFrame, value: str, name: str = "share_pct", scale: fl
 
 
 def pivot_sum(df: DataFrame, index, pivot_col: str, values: Sequence, value: str,
-              labels: Sequence[str] | None = None, fill=0) -> DataFrame:
+              labels: Sequence[str] | None = None, fill=0, rest: str | None = None) -> DataFrame:
     """A10: pivot with an explicit value list (stable schema, no extra job to
-    discover the values) and zero fill."""
-    index = _as_list(index)
+    discover the values) and zero fill. ``rest`` names a column for the sum over
+    the values that are not listed, NULL among them; without it they are left out."""
+    index, values = _as_list(index), list(values)
+    if rest is not None:
+        df = df.withColumn(pivot_col, F.when(F.col(pivot_col).isin(*values), F.col(pivot_col)).otherwise(F.lit(rest)))
+        values.append(rest)
     out = df.groupBy(*index).pivot(pivot_col, list(values)).agg(F.sum(value))
     names = [str(v) for v in values]
     if labels:

@@ -242,16 +242,18 @@ def month_labels(years: Sequence[int]) -> list[str]:
 
 def item_month_matrix(base: DataFrame, years: Sequence[int], customers: Sequence[str] = ()) -> DataFrame:
     """Per customer and product: quantity per ``MM/YYYY`` column (explicit list,
-    zero filled, A10) and the total over all months. The month cells and the
-    total are conditional sums of one aggregation (one shuffle on the row key);
-    each row's month is computed once as an integer ``yyyymm`` and compared as
-    such."""
+    zero filled, A10), ``OUTROS`` for the months outside ``years`` and the total
+    over all months. The cells and the total are conditional sums of one
+    aggregation (one shuffle on the row key); each row's month is computed once
+    as an integer ``yyyymm`` and compared as such."""
     if customers:
         base = base.where(F.col("nm_cliente").isin(*customers))
     keyed = base.select("nm_cliente", "nm_produto", "QT_VENDIDA",
                         (F.col("ANO") * 100 + F.col("MES")).alias("_ym"))
     cells = [F.coalesce(F.sum(F.when(F.col("_ym") == y * 100 + m, F.col("QT_VENDIDA"))), F.lit(0)).alias(f"{m:02d}/{y}")
              for y in years for m in range(1, 13)]
+    listed = F.coalesce(F.col("_ym").isin(*[y * 100 + m for y in years for m in range(1, 13)]), F.lit(False))
+    cells.append(F.coalesce(F.sum(F.when(~listed, F.col("QT_VENDIDA"))), F.lit(0)).alias("OUTROS"))
     return keyed.groupBy("nm_cliente", "nm_produto").agg(*cells, F.sum("QT_VENDIDA").alias("TOTAL"))
 
 

@@ -79,7 +79,8 @@ MONTH_LABELS = [f"M{m:02d}" for m in range(1, 13)]
 
 def pivot_branch_month(tables: Tables, year: int) -> DataFrame:
     """A10: sold quantity, branch x month of ``year``, zero filled."""
-    m = tables["pcmov"].where((F.col("codoper") == "S") & (F.year("dtmov") == year))
+    in_year = (F.col("dtmov") >= dt.date(year, 1, 1)) & (F.col("dtmov") < dt.date(year + 1, 1, 1))
+    m = tables["pcmov"].where((F.col("codoper") == "S") & in_year)
     m = m.withColumn("mes", F.month("dtmov"))
     return agg.pivot_sum(m, "codfilial", "mes", list(range(1, 13)), "qt", labels=MONTH_LABELS)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import labels
@@ -124,20 +124,24 @@ def fato_pedido_venda(tables: Tables, since) -> DataFrame:
 
 def fato_receber(tables: Tables, since) -> DataFrame:
     """Open receivables issued since a date (T15: the cut is the date itself).
-    Columns the receivable relation does not carry come out as typed NULLs."""
+    Pass-through columns a receivable relation lacks come out as typed NULLs (P19)."""
     pr = tables["pcprest"]
+    present = {c.lower() for c in pr.columns}
+
+    def optional(name: str, kind: str) -> Column:
+        return F.col(name).cast(kind) if name in present else F.lit(None).cast(kind)
+
     live = pr.where((F.col("dtemissao") >= as_date(since)) & F.col("dtcancel").isNull() & F.col("dtpag").isNull())
-    null = F.lit(None)
     return live.select(
-        F.col("codcli").alias("cod_cliente"), null.cast("string").alias("prestacao"),
-        null.cast("bigint").alias("duplicata"), money_out(F.col("valor")).alias("valor"),
-        F.col("dtvenc").alias("dt_vencimento"), null.cast("double").alias("valor_pago"),
-        null.cast("double").alias("txperm"), F.col("dtpag").alias("dt_pagamento"),
+        F.col("codcli").alias("cod_cliente"), optional("prest", "string").alias("prestacao"),
+        optional("duplic", "bigint").alias("duplicata"), money_out(F.col("valor")).alias("valor"),
+        F.col("dtvenc").alias("dt_vencimento"), optional("vpago", "double").alias("valor_pago"),
+        optional("txperm", "double").alias("txperm"), F.col("dtpag").alias("dt_pagamento"),
         F.col("dtemissao").alias("dt_emissao"), F.col("codfilial").alias("cod_filial"),
-        F.col("codusur").alias("cod_vendedor"), null.cast("double").alias("vl_desconto"),
-        null.cast("double").alias("vl_devolucao"), null.cast("date").alias("dt_devolucao"),
+        F.col("codusur").alias("cod_vendedor"), optional("valordesc", "double").alias("vl_desconto"),
+        optional("vldevol", "double").alias("vl_devolucao"), optional("dtdevol", "date").alias("dt_devolucao"),
         F.col("codsupervisor").alias("cod_supervisor"), F.col("numtransvenda").alias("numtransvenda"),
-        F.col("numped").alias("numped"), null.cast("bigint").alias("cod_emitente_pedido"))
+        F.col("numped").alias("numped"), optional("codemitentepedido", "bigint").alias("cod_emitente_pedido"))
 
 
 def star_schema(tables: Tables, sales_since, orders_since, receivables_since) -> dict[str, DataFrame]:

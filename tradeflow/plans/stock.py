@@ -65,9 +65,9 @@ def excess_stock(tables: Tables, as_of) -> DataFrame:
     start = as_of - dt.timedelta(days=SALES_WINDOW_DAYS)
     new_from = as_of - dt.timedelta(days=NEW_PRODUCT_DAYS)
 
-    zero_days = (tables["pchistest"].where(F.col("data").between(start, as_of))
-                 .groupBy("codfilial", "codprod")
-                 .agg(F.sum(F.when(F.col("qtestger") == 0, 1).otherwise(0)).alias("qtd_dias_zerados")))
+    # Only empty days are counted; a product without one has no row here and counts 0 below.
+    zero_days = (tables["pchistest"].where(F.col("data").between(start, as_of) & (F.col("qtestger") == 0))
+                 .groupBy("codfilial", "codprod").agg(F.count("*").alias("qtd_dias_zerados")))
     # Cancelled lines are included in this report (unlike the monthly one).
     sales = (tables["pcmov"].where((F.col("codoper") == "S") & F.col("dtmov").between(start, as_of))
              .groupBy("codfilial", "codprod").agg(F.sum("qt").alias("qtd_vendas_90d")))
@@ -153,9 +153,9 @@ def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
                   .withColumn("ref", F.explode(_months_after(F.col(day_col), horizon, year)))
                   .withColumn("mes", F.month("ref")))
 
-    zero_days = (windowed(hist, "data", SALES_WINDOW_DAYS)
-                 .groupBy("codfilial", "codprod", "mes")
-                 .agg(F.sum(F.when(F.col("qtestger") <= 0, 1).otherwise(0)).alias("qtd_dias_zerados")))
+    # Days without stock are filtered before the explode: the others would count 0.
+    zero_days = (windowed(hist.where(F.col("qtestger") <= 0), "data", SALES_WINDOW_DAYS)
+                 .groupBy("codfilial", "codprod", "mes").agg(F.count("*").alias("qtd_dias_zerados")))
     sales = (windowed(tables["pcmov"].where((F.col("codoper") == "S") & F.col("dtcancel").isNull()),
                       "dtmov", SALES_WINDOW_DAYS)
              .groupBy("codfilial", "codprod", "mes").agg(F.sum("qt").alias("qtd_vendas_90d")))
@@ -164,7 +164,7 @@ def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
                    F.col("mes").alias("n_mes")))
 
     # Position on the 1st of each month (J5: equality with the month start).
-    snap = hist.where((F.dayofmonth("data") == 1) & (F.year("data") == year)).alias("he")
+    snap = hist.where(F.col("data").isin(*[dt.date(year, m, 1) for m in range(1, 13)])).alias("he")
     joined = _product_attributes(tables, snap, "he.codprod").where(
         ~F.upper(F.trim(F.col("dep.descricao"))).isin(*EXCLUDED_DEPARTMENTS))
     pos = joined.select(

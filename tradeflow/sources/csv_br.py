@@ -6,7 +6,8 @@ files and no byte-order mark (documented difference from the single BOM file
 of the source). Reading: every column is read as text and converted with
 built-in expressions, like the source's lenient coercion: numbers via the
 pt-BR parser (F13), dates via the two-format parser (F7), anything else via
-``try_cast``; a leading BOM in the header is dropped.
+``try_cast``; a leading BOM in the header is dropped. Quotes inside a text are
+doubled on both sides; NULL is an empty field and an empty text is ``""``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from tradeflow.functions.dates import BR_DATE, ISO_DATE, lenient_date
 from tradeflow.functions.numeric import br_number
 
 SEP = ";"
+QUOTING = {"sep": SEP, "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+           "ignoreTrailingWhiteSpace": False}
+UNUSED_NULL = "\u0000"          # read side: keeps a quoted empty text apart from an empty field
 BOM = "﻿"
 
 
@@ -48,15 +52,16 @@ def write_br_csv(df: DataFrame, path: str, date_format: str = ISO_DATE, mode: st
     out = to_br_text(df, date_format)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
-    (out.write.mode(mode).option("sep", SEP).option("header", True).option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    out.write.mode(mode).options(**QUOTING, nullValue="", emptyValue='""').csv(path)
 
 
-def read_br_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a pt-BR CSV into ``schema`` leniently (bad values -> NULL)."""
-    raw = (spark.read.option("sep", SEP).option("header", True).option("encoding", "UTF-8")
-           .option("inferSchema", False).option("ignoreLeadingWhiteSpace", False)
-           .option("ignoreTrailingWhiteSpace", False).csv(path))
+def read_br_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """Read a pt-BR CSV into ``schema`` leniently (bad values -> NULL).
+
+    ``multi_line`` keeps line breaks inside quoted texts; each part file is then
+    read by one task, so it is off unless the texts can hold them."""
+    raw = (spark.read.options(**QUOTING, encoding="UTF-8", inferSchema=False, multiLine=multi_line,
+                              nullValue=UNUSED_NULL, emptyValue="").csv(path))
     rename = {c: c.lstrip(BOM) for c in raw.columns if c.startswith(BOM)}
     if rename:
         raw = raw.withColumnsRenamed(rename)

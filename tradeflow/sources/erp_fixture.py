@@ -101,7 +101,11 @@ select o_orderkey as numped, o_orderkey + 1000000 as numtransvenda, cast(o_order
   case when o_orderkey % 2 = 0 then cast(o_orderkey % 5 as int) end as codsupervisor, cast(o_orderdate as date) as dtemissao, cast(o_orderdate as date) + 30 as dtvenc,
   case when o_orderstatus = 'F' then cast(o_orderdate as date) + 40 end as dtpag, case when o_orderkey % 50 = 0 then cast(o_orderdate as date) end as dtcancel,
   case o_orderkey % 8 when 0 then 'DESD' when 1 then 'DEVP' when 2 then null when 3 then 'CRED' when 4 then 'CH' else 'BK' end as codcob,
-  case when o_orderkey % 20 = 0 then cast(0 as decimal(18,2)) else cast(o_totalprice as decimal(18,2)) end as valor from {orders}""",
+  case when o_orderkey % 20 = 0 then cast(0 as decimal(18,2)) else cast(o_totalprice as decimal(18,2)) end as valor,
+  cast(o_orderkey % 3 + 1 as varchar(4)) as prest, o_orderkey + 2000000 as duplic, case when o_orderkey % 4 = 0 then cast(o_custkey as decimal(18,2)) end as vpago,
+  cast(o_orderkey % 6 as decimal(18,2)) as txperm, case when o_orderkey % 5 = 0 then cast(o_custkey % 90 as decimal(18,2)) end as valordesc,
+  case when o_orderkey % 9 = 0 then cast(o_custkey % 70 as decimal(18,2)) end as vldevol, case when o_orderkey % 9 = 0 then cast(o_orderdate as date) + 20 end as dtdevol,
+  cast(o_custkey % 27 + 100 as bigint) as codemitentepedido from {orders}""",
     "pccob": """
 select 'BK' as codcob union all select 'CH' union all select 'CRED' union all select 'DESD'""",
     "pclib": """
