@@ -129,6 +129,39 @@ def test_near_pairs_by_brute_force(llm):
         assert got == {(i, j) for i, t, n in lines for j, u, m in lines if i < j and min(n, m) >= 12 and distance(t, u) <= edits}
 
 
+def test_word_pairs_by_brute_force(llm):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefgé") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    texts = set()
+    for n in [11, 12, 13, 19, 20, 21, 29, 30, 38, 39, 40, 41, 42, 49, 50, 51, 80, 99, 100, 130, 330, 700] * 2:
+        base = [rng.choice(vocabulary if n < 130 else vocabulary[:9]) for _ in range(n)]
+        for e in [0, 1, n // 10, n // 10 + 1] * 2:
+            out = list(base)
+            for _ in range(e):
+                kind, i = rng.randint(0, 2), rng.randrange(len(out))
+                out[i:i + (kind > 0)] = [rng.choice(vocabulary)] if kind < 2 else []
+            texts.add(" ".join(out))
+    texts.add("go " * 30 + "stop")
+    texts.add("go " * 31 + "stop")
+    lines = [(i, t, len(t)) for i, t in enumerate(sorted(texts))]
+    words = [t.split(" ") for _, t, _ in lines]
+    near = {(i, j) for j in range(len(words)) for i in range(j) if min(len(words[i]), len(words[j])) >= 12
+            and abs(len(words[i]) - len(words[j])) <= min(len(words[i]), len(words[j])) // 10
+            and len(collections.Counter(words[i]) - collections.Counter(words[j])) <= min(len(words[i]), len(words[j])) // 10
+            and distance(words[i], words[j]) <= min(len(words[i]), len(words[j])) // 10}
+    got = {tuple(sorted(r)) for r in line_dedup.word_pairs(llm.createDataFrame(lines, "id long, line string, len int")).collect()}
+    assert got <= near and len(near) > 100 and union(len(lines), got) == union(len(lines), near)
+
+
+def test_line_repeats_with_changed_words(llm):
+    line = "every report of the house was sent to the office before noon and filed there by the clerk on duty"
+    rows = [(1, line), (2, line.replace("house", "garden").replace("clerk", "porter")), (3, line.replace("house", "garden").replace("noon", "dawn").replace("clerk", "boy"))]
+    assert len(line.split()) == 20
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.first_doc, r.near) for r in line_dedup.repeats(docs).collect()} == {(2, 1, True), (3, 1, True)}
+    assert {r.doc_id for r in line_dedup.drop_repeats(llm.createDataFrame([rows[0], rows[2]], "doc_id long, text string")).collect()} == {1, 3}
+
+
 def plain_repeats(rows, edits=2, min_chars=10, near_chars=24):
     """(doc_id, pos) removed, over (doc_id, text) rows of different ids."""
     found = [(i, p, x.strip(" ")) for i, t in rows for p, x in enumerate((t or "").split("\n")) if len(x.strip(" ")) >= min_chars]

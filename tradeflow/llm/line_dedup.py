@@ -5,8 +5,9 @@ share one of the ``edits + 1`` segments into which the shorter one is cut, at a
 place shifted by a few characters at most. Distinct lines are indexed by
 (length, segment number, segment) and probed with the substrings that can match
 for each length; candidate pairs with alike letter counts are verified by a
-banded bit-parallel edit distance. Lines of a class (exact or near copies, transitively) are kept where
-they stand first: smallest doc_id, then smallest line number.
+banded bit-parallel edit distance. For lines of ``NEAR_WORDS`` words or more the bound grows with the
+line: one word edit for every ``WORDS_PER_EDIT`` words (``word_pairs``). Lines of a class (exact or near
+copies, transitively) are kept where they stand first: smallest doc_id, then smallest line number.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from .common import materialise, table, texts
 from .components import connected_components
 
 EDITS, MIN_CHARS, NEAR_CHARS = 2, 10, 24
+NEAR_WORDS, WORDS_PER_EDIT = 12, 10
+GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are 8 words long at least, below 6
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
 LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
 
@@ -148,21 +151,101 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     return distances.where(F.col("d") <= edits).select("a", "b")
 
 
+def word_keys(distinct: DataFrame) -> DataFrame:
+    """(id, keys) of the lines of ``NEAR_WORDS`` words or more; lines within the bound share a key.
+
+    n words with k = n / 10 edits keep an equal run of (n - k) / (k + 1) words, rounded up: 6 from 12
+    words on, 8 from 40 on. A run of t words holds t - 4 grams in a row, and of every so many grams in
+    a row the one of smallest hash is a key.
+    """
+    rows = distinct.select("id", F.split("line", " ").alias("words")).where(F.size("words") >= NEAR_WORDS)
+    rows = rows.select("id", F.size("words").alias("words"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    gram = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)])
+    rows = rows.select("id", "words", F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram).alias("g"))
+
+    def smallest(count: int) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("g") - count), lambda i: F.least(*[F.get("g", i + j) for j in range(count)])))
+    none = F.array().cast("array<bigint>")
+    # a line of up to 42 words may be the longer one of a pair whose shorter line has less than 40
+    short = F.when(F.col("words") < LONG_WORDS + LONG_WORDS // WORDS_PER_EDIT - 1, smallest(2)).otherwise(none)
+    long = F.when(F.col("words") >= LONG_WORDS, F.transform(smallest(4), lambda x: F.bitwise_not(x))).otherwise(none)
+    return rows.select("id", F.concat(short, long).alias("keys"))
+
+
+def word_pairs(distinct: DataFrame) -> DataFrame:
+    """(a, b): links of different lines of ``distinct`` (id, line) within one word edit for every ``WORDS_PER_EDIT`` words of the shorter.
+
+    Their components are those of all such pairs. First each line is compared with the smallest id of each
+    of its keys; then all pairs of a key, but for those that are in one component already.
+    """
+    # outer: for explode Spark would push a filter on the size of ``keys`` below the arrays, into the lambdas
+    entries = word_keys(distinct).select("id", F.explode_outer("keys").alias("key"))
+    i, p = entries.alias("i"), entries.alias("p")      # the same expressions: one shuffled side serves both
+    hits = materialise(i.join(p, (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id")), "left_semi"), "word_hits")
+    ids = materialise(hits.select("id").distinct(), "word_ids")
+    few = ids.count() <= BROADCAST_IDS
+    wanted = distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", F.split("line", " ").alias("words"))
+    wanted = wanted.select("id", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    # a word as one character of four bytes, and as one of 16 classes
+    digits = F.transform("h", lambda h: F.concat(F.lit("F"), F.pmod(h, F.lit(5)).cast("string"),
+                                                 F.lpad(F.hex(F.shiftrightunsigned(h, 40)), 6, "0")))
+    classes = F.transform("h", lambda h: F.substring(F.hex(h), -1, 1))
+    grams = F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)]))
+    wanted = wanted.select("id", "n", F.unhex(F.array_join(digits, "")).alias("code"), F.array_join(classes, "").alias("bag"),
+                           (F.size(F.array_distinct(grams)) == F.size("h") - GRAM + 1).alias("plain"))
+    wanted = materialise(wanted, "word_lines")
+    # a word edit changes at most two of the class counts by one: pairs that differ more are never emitted
+    counts = lambda name: wanted.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("plain").alias(f"plain{name}"), *[
+        (F.col("n") - F.octet_length(F.translate("bag", c, ""))).alias(f"{name}{j}") for j, c in enumerate("0123456789ABCDEF")])
+    shorter = F.least("na", "nb")
+    edits = F.floor(shorter / WORDS_PER_EDIT).cast("int")
+    gap = sum((F.abs(F.col(f"a{j}") - F.col(f"b{j}")) for j in range(1, 16)), F.abs(F.col("a0") - F.col("b0")))
+    alike = (F.abs(F.col("nb") - F.col("na")) <= edits) & (gap <= 2 * edits)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = (pairs.join(wanted.select(F.col("id").alias("a"), F.col("code").alias("one")), "a")
+                .join(wanted.select(F.col("id").alias("b"), F.col("code").alias("two")), "b"))
+        # at most ``edits``, else -1
+        distance = F.call_function("levenshtein", F.col("one").cast("string"), F.col("two").cast("string"), F.col("edits"))
+        return both.where(distance >= 0).select("a", "b")
+    hubs = hits.groupBy("key").agg(F.min("id").alias("a"))
+    star = hits.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    star = star.join(counts("a"), "a").join(counts("b"), "b").where(alike).select("a", "b", edits.alias("edits"))
+    links = materialise(verified(materialise(star, "word_star")), "word_links")
+    named = wanted.select("id").join(connected_components(links), F.col("id") == F.col("node"), "left").select(
+        "id", F.coalesce("component", "id").alias("part"))
+    placed = materialise(hits.join(named, "id"), "word_parts")
+    sides = [placed.select(F.col("id").alias(name), F.col("part").alias(f"part{name}"), "key").join(counts(name), name) for name in "ab"]
+    pairs = sides[0].join(sides[1], "key").where((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & alike)
+    # an edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from
+    run = F.when(shorter < LONG_WORDS, 6).otherwise(8)
+    need = F.when(F.col("plaina"), (F.col("na") - run + 1 - edits * run) / (run - GRAM + 1)).otherwise(1)
+    pairs = pairs.groupBy("a", "b", edits.alias("edits"), need.alias("need")).agg(F.count("*").alias("shared")).where(F.col("shared") >= F.col("need"))
+    return links.unionByName(verified(materialise(pairs.select("a", "b", "edits"), "word_candidates")))
+
+
+def all_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
+    """(a, b): ids of different lines of ``distinct`` (id, line, len) that are near copies by characters or by words."""
+    # an edit of a character is two of words at most: from so many words on the word bound takes in the other
+    few = distinct.where(F.size(F.split("line", " ")) < 2 * edits * WORDS_PER_EDIT + edits)
+    return near_pairs(few, edits, near_chars).unionByName(word_pairs(distinct))
+
+
 def repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """(doc_id, text_hash, pos, first_doc, near): the line occurrences to remove.
 
     A class of lines is removed everywhere but at its first place: in document
     ``first_doc``, at the smallest line number. ``near`` tells lines whose text
     differs from every line of the class in that document. Lines shorter than
-    ``min_chars`` are never removed, those shorter than ``near_chars`` only as
-    exact copies. Equal rows of ``docs`` count as one document. NULL ids come
+    ``min_chars`` are never removed (two or three words meet by chance, a copy
+    proves nothing), those shorter than ``near_chars`` only as exact copies. Equal rows of ``docs`` count as one document. NULL ids come
     last among ids.
     """
     docs = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     found = lines(docs, min_chars)
     distinct = found.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     distinct = materialise(distinct.select("*", F.char_length("line").alias("len"), F.monotonically_increasing_id().alias("id")), "distinct")
-    classes = connected_components(near_pairs(distinct, edits, near_chars))
+    classes = connected_components(all_pairs(distinct, edits, near_chars))
     named = distinct.join(classes, F.col("id") == F.col("node"), "left")
     # a line of one occurrence and without a near copy needs no further look
     named = named.where((F.col("n") > 1) | F.col("component").isNotNull()).select(
