@@ -80,6 +80,17 @@ def test_simhash_edge_cases(docs, no_docs):
     assert kept.columns == docs.columns and sorted(map(str, ids)) == sorted(["1", "3", "4", "None", "7", "8", "9", "10", "11", "12"])
 
 
+def test_simhash_rows_without_an_id_or_of_one_id(llm):
+    rng = random.Random(10)
+    text = [" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(80)) for _ in range(7)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (7, text[4]), (None, text[4]),
+            (9, text[5]), (9, text[6]), (8, text[6]), (None, None), (None, "")]
+    kept = simhash.drop_near_duplicates(llm.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = [(r.doc_id, r.text or "") for r in kept]
+    expected = {(None, text[0]), (None, text[1]), (5, text[2]), (5, text[3]), (7, text[4]), (9, text[5]), (8, text[6]), (None, "")}
+    assert set(got) == expected and len(got) == len(expected)
+
+
 def distance(a, b):
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

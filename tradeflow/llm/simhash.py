@@ -49,13 +49,16 @@ def simhash(text: str, width: int = SHINGLE_WORDS) -> int:
     return int(set_bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): one row per document, fp as signed 64-bit integer."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, *extra: Column) -> DataFrame:
+    """(doc_id, fp, extra ...): one row per document, fp as signed 64-bit integer; ``extra``: named long columns of (doc_id, text)."""
+    rows = texts(docs).select("doc_id", "text", *extra)
+    carried = ["doc_id", *rows.columns[2:]]
+
     def run(batches):
         for batch in batches:
             fps = np.array([simhash(t, width) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), *map(batch.column, carried)], names=["fp", *carried])
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ["fp", *carried])).select("doc_id", "fp", *carried[1:])
 
 
 def pivots(count: int = PIVOTS) -> list[int]:
@@ -114,21 +117,33 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
     unless every id of the component is NULL. An empty table gives no rows.
     """
     fps = materialise(fingerprints(docs, width), "fps")
-    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    comps = connected_components(link_pairs(distinct, max_bits))
-    roots = distinct.join(comps, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    roots = _components(fps, max_bits)
     ids = roots.groupBy("component").agg(F.min("first").alias("component_id"))
     named = roots.join(ids, "component").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _components(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first, component) of every value of ``fps.fp``; first: its smallest doc_id."""
+    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    comps = connected_components(link_pairs(distinct, max_bits))
+    return distinct.join(comps, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with the document of smallest id of each component, all columns kept; of equal ids one row stays."""
-    keep = near_duplicates(docs, width, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component, all columns kept: the smallest doc_id (NULL last), then text hash.
+
+    Rows of one id, or without an id, are told apart by their texts; of rows equal in both one stays.
+    """
+    fps = materialise(fingerprints(docs, width, F.xxhash64("text").alias("text_hash")), "fps")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    keep = fps.join(_components(fps, max_bits).select("fp", "component"), "fp").groupBy("component").agg(F.min(place).alias("p"))
+    keep = keep.select(F.col("p.doc_id").alias("_keep"), F.col("p.text_hash").alias("_hash"))
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (text_hash == F.col("_hash")), "left_semi")
+    # equal texts have one component: rows of one id and text are copies
+    return kept.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
