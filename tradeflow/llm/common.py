@@ -85,7 +85,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.llm_path = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Delete the files of a table that ``materialise`` wrote, once nothing will read it any more."""
+    spark = written.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written.llm_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def copies_back(df: DataFrame, count_column: str) -> DataFrame:
