@@ -12,6 +12,12 @@ of all intervals with their counts. Counts are summed over the shards, and a
 shard extends only the phrases that are frequent in the whole corpus, and keeps
 an extension only if its other part is frequent as well: an extension with a rare
 part is itself rare, so no candidate is lost.
+
+What a shard sends to be summed is one sorted, compressed block per bucket of
+phrases, not a row per phrase. The task of a bucket adds up equal phrases of all
+shards, numbers the frequent ones and answers each shard with the places of its
+frequent phrases in the block that it sent. The shard finds their intervals by
+repeating its last step, which gives the same phrases in the same order.
 """
 
 from __future__ import annotations
@@ -40,7 +46,9 @@ _FOLDED = bytes.maketrans(UPPER.encode() + PIECE_ENDS + b"\t", LOWER.encode() +
 
 SHARD = "shard long, lang string, ids binary, words array<string>, counts array<long>"
 INDEX = "shard long, lang string, forward binary, backward binary, grams binary"
-EXTENSIONS = "shard long, prefix long, suffix long, lo int, back int, n long"
+BLOCKS = "shard long, bucket int, block binary"
+SUMS = "shard long, bucket int, places array<bigint>, prefixes array<bigint>, suffixes array<bigint>, counts array<bigint>, ids array<bigint>"
+BUCKET_PHRASES = 1 << 22              # a bucket has no more phrases than this on average
 
 
 # ---- shards of word ids ----
@@ -108,21 +116,29 @@ def _shards(limit: int):
 
 # ---- FM-indexes ----
 
+def stable_order(values: np.ndarray, top: int) -> np.ndarray:
+    """Stable sorting order of integers 0 to ``top``, by 16 bits at a time (numpy sorts those by radix)."""
+    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
+    shift = 16
+    while top >> shift:
+        order = order[np.argsort(((values >> shift) & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
 def transform(s: np.ndarray) -> np.ndarray:
     """Burrows-Wheeler transform of a sequence whose first and last symbol is 0, rotations sorted by their first DEPTH symbols."""
-    key = s.astype(np.int64)
-    width = 1
-    while width < DEPTH:
-        key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-        key = key * (int(key.max()) + 1) + np.roll(key, -width)
-        width *= 2
-    return np.roll(s, 1)[np.argsort(key, kind="stable")]
+    top, order = int(s.max()), None
+    for place in range(DEPTH - 1, -1, -1):
+        symbols = np.roll(s, -place)
+        order = stable_order(symbols, top) if order is None else order[stable_order(symbols[order], top)]
+    return np.roll(s, 1)[order]
 
 
 def last_to_first(bwt: np.ndarray) -> np.ndarray:
     """Row of each symbol of the last column in the first column."""
     out = np.empty(len(bwt), np.int64)
-    out[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    out[stable_order(bwt, int(bwt.max(initial=0)))] = np.arange(len(bwt))
     return out
 
 
@@ -136,7 +152,8 @@ def extend(bwt: np.ndarray, lo: np.ndarray, other: np.ndarray, n: np.ndarray) ->
     which = np.repeat(np.arange(len(lo)), n)
     rows = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(lo - (ends - n), n)
     symbol = bwt[rows].astype(np.int64)
-    order = np.lexsort((symbol, which))                       # stable: the first row of a symbol comes first
+    order = stable_order(symbol, int(symbol.max(initial=0)))  # stable: the first row of a symbol comes first
+    order = order[stable_order(which[order], len(lo))]
     which, symbol, rows = which[order], symbol[order], rows[order]
     starts = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (symbol[1:] != symbol[:-1])]) if len(rows) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[starts, len(rows)])
@@ -172,57 +189,190 @@ def _of(sorted_starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndar
     return np.where((found >= 0) & (at < sorted_starts[found] + sizes[found]), found, -1)
 
 
-def _words_to_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_intervals(bwt: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of the intervals of symbols 1 to ``words``; the same in both transforms."""
+    n = np.bincount(bwt, minlength=words + 1)[1:]
+    return np.cumsum(np.r_[len(bwt) - n.sum(), n])[:-1], n
+
+
+class _Step:
+    """Phrases of one length in a shard (start forward, start backward, count, id) and their extensions by one word."""
+
+    def __init__(self, lo, back, n, ids):
+        order = np.argsort(lo, kind="stable")
+        self.lo, self.back, self.n, self.ids = (np.asarray(x, np.int64)[order] for x in (lo, back, n, ids))
+
+    def longer(self, bwt: np.ndarray, left: bool, words: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """(prefix, suffix, lo, back, n) of the extensions whose other part is frequent too. ``words`` are the ids of the
+        symbols, for phrases of a single word, whose other part is the symbol itself."""
+        start, other = (self.lo, self.back) if left else (self.back, self.lo)
+        order = np.arange(len(start)) if left else np.argsort(start, kind="stable")
+        start, other, n, ids = start[order], other[order], self.n[order], self.ids[order]
+        parent, symbol, new, new_other, counts = extend(bwt, start, other, n)
+        if words is not None:
+            part = words[symbol - 1]
+        else:                                           # the phrase without the parent's far end
+            place = _of(start, n, new)
+            keep = place >= 0
+            parent, new, new_other, counts, part = parent[keep], new[keep], new_other[keep], counts[keep], ids[place[keep]]
+        mine = ids[parent]
+        return (part, mine, new, new_other, counts) if left else (mine, part, new_other, new, counts)
+
+
+def bucket_of(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = prefix.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + suffix.astype(np.uint64)
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _by_bucket(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, ends): extensions by bucket, then prefix, then suffix, and where each bucket ends."""
+    bucket = bucket_of(prefix, suffix, buckets)
+    order = np.lexsort((suffix, prefix, bucket))
+    return order, np.cumsum(np.bincount(bucket, minlength=buckets))
+
+
+def _write(prefix: np.ndarray, suffix: np.ndarray, counts: np.ndarray) -> bytes:
+    """One compressed block of sorted phrases; prefixes as differences."""
+    numbers = np.concatenate([np.diff(prefix, prepend=0), suffix, counts])
+    wide = len(numbers) and int(numbers.max()) >= 1 << 31
+    raw = numbers.astype("<i8" if wide else "<i4").tobytes()
+    return bytes([8 if wide else 4]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _read(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = pa.decompress(block[9:], int.from_bytes(block[1:9], "little"), codec="zstd", asbytes=True)
+    numbers = np.frombuffer(raw, f"<i{block[0]}").astype(np.int64).reshape(3, -1)
+    return np.cumsum(numbers[0]), numbers[1], numbers[2]
+
+
+def _blocks(shard: int, prefix: np.ndarray, suffix: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    order, ends = _by_bucket(prefix, suffix, buckets)
+    prefix, suffix, counts = prefix[order], suffix[order], counts[order]
+    starts = np.r_[0, ends[:-1]]
+    held = np.flatnonzero(ends > starts)
+    blocks = [_write(prefix[a:z], suffix[a:z], counts[a:z]) for a, z in zip(starts[held], ends[held])]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), shard, np.int64)), pa.array(held.astype(np.int32)), pa.array(blocks, pa.binary())],
+                                      ["shard", "bucket", "block"])
+
+
+def _sum_bucket(min_count: int, buckets: int):
+    """Add up a bucket's phrases over its shards: one row of the frequent ones, and one per shard that has any of them."""
+    def add(group: pa.Table) -> pa.Table:
+        bucket, shards = group["bucket"][0].as_py(), group["shard"].to_pylist()
+        parts = [_read(b.as_py()) for b in group["block"]]
+        sizes = [len(p[0]) for p in parts]
+        prefix, suffix, counts = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        order = np.lexsort((suffix, prefix))
+        prefix, suffix = prefix[order], suffix[order]
+        starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]) | (suffix[1:] != suffix[:-1])])
+        sums = np.add.reduceat(counts[order], starts)
+        frequent = sums >= min_count
+        ids = np.full(len(starts), -1, np.int64)
+        ids[frequent] = bucket + buckets * np.arange(int(frequent.sum()))
+        first = starts[frequent]
+        rows = [(None, None, prefix[first], suffix[first], sums[frequent], ids[frequent])]
+        each = np.empty(len(order), np.int64)
+        each[order] = np.repeat(ids, np.diff(np.r_[starts, len(order)]))
+        at = 0
+        for shard, size in zip(shards, sizes):
+            mine = each[at:at + size]
+            at += size
+            places = np.flatnonzero(mine >= 0)
+            if len(places):
+                rows.append((shard, places, None, None, None, mine[places]))
+        column = lambda k: pa.array([r[k] for r in rows], pa.list_(pa.int64()))
+        return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([bucket] * len(rows), pa.int32()),
+                         *[column(k) for k in range(1, 6)]], ["shard", "bucket", "places", "prefixes", "suffixes", "counts", "ids"])
+    return add
+
+
+def _chosen(batch: pa.RecordBatch, i: int, name: str, buckets: int, found: tuple[np.ndarray, ...]) -> _Step:
+    """The frequent ones of a repeated step, by the answers (bucket, places in its block, ids) of the sums."""
+    prefix, suffix, lo, back, n = found
+    order, ends = _by_bucket(prefix, suffix, buckets)
+    starts = np.r_[0, ends[:-1]]
+    answers = batch[name][i].as_py()
+    at = np.concatenate([starts[a["bucket"]] + np.array(a["places"], np.int64) for a in answers])
+    places = order[at]
+    return _Step(lo[places], back[places], n[places], np.concatenate([np.array(a["ids"], np.int64) for a in answers]))
+
+
+def _array(batch: pa.RecordBatch, i: int, name: str, kind) -> np.ndarray:
+    return np.frombuffer(batch[name][i].as_buffer(), kind)
+
+
+def _pairs_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
+    bwt, words = _array(batch, i, "forward", np.int32), _array(batch, i, "grams", np.int64)
+    lo, n = _word_intervals(bwt, len(words))
+    return _Step(lo, lo, n, words).longer(bwt, True, words)
+
+
+def _find_pairs(buckets: int):
     """Left extensions of all frequent words of each shard."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            bwt = np.frombuffer(batch["transform"][i].as_buffer(), np.int32)
-            grams = np.frombuffer(batch["grams"][i].as_buffer(), np.int64)
-            n = np.bincount(bwt, minlength=len(grams) + 1)[1:]
-            lo = np.cumsum(np.r_[len(bwt) - n.sum(), n])[:-1]
-            parent, symbol, new, other, counts = extend(bwt, lo, lo, n)
-            yield _extensions(batch["shard"][i].as_py(), grams[symbol - 1], grams[parent], new, other, counts)
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                prefix, suffix, _, _, n = _pairs_of(batch, i)
+                yield _blocks(batch["shard"][i].as_py(), prefix, suffix, n, buckets)
+    return find
+
 
+def _find_triples(buckets: int):
+    """Right extensions of the frequent pairs of each shard."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pairs = _chosen(batch, i, "pairs", buckets, _pairs_of(batch, i))
+                prefix, suffix, _, _, n = pairs.longer(_array(batch, i, "backward", np.int32), False)
+                yield _blocks(batch["shard"][i].as_py(), prefix, suffix, n, buckets)
+    return find
 
-def _longer(left: bool):
-    """Extensions of the frequent phrases of each shard by one word whose other part is frequent too."""
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _find_quadruples(buckets: int):
+    """Left extensions of the frequent triples of each shard."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                bwt = np.frombuffer(batch["transform"][i].as_buffer(), np.int32)
-                get = lambda name: batch[name][i].values.to_numpy()
-                start, other, n, ids = (get("lo"), get("back"), get("n"), get("id")) if left else (get("back"), get("lo"), get("n"), get("id"))
-                order = np.argsort(start)
-                start, other, n, ids = start[order].astype(np.int64), other[order].astype(np.int64), n[order], ids[order]
-                parent, _, new, new_other, counts = extend(bwt, start, other, n)
-                part = _of(start, n, new)                     # the phrase without the parent's far end
-                keep = part >= 0
-                mine, part, new, new_other, counts = ids[parent[keep]], ids[part[keep]], new[keep], new_other[keep], counts[keep]
-                shard = batch["shard"][i].as_py()
-                yield _extensions(shard, part, mine, new, new_other, counts) if left else _extensions(shard, mine, part, new_other, new, counts)
-    return longer
-
-
-def _extensions(shard, prefix, suffix, lo, back, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(lo), shard, np.int64)), pa.array(prefix.astype(np.int64)), pa.array(suffix.astype(np.int64)),
-         pa.array(lo.astype(np.int32)), pa.array(back.astype(np.int32)), pa.array(counts.astype(np.int64))],
-        ["shard", "prefix", "suffix", "lo", "back", "n"])
+                pairs = _chosen(batch, i, "pairs", buckets, _pairs_of(batch, i))
+                triples = _chosen(batch, i, "triples", buckets, pairs.longer(_array(batch, i, "backward", np.int32), False))
+                prefix, suffix, _, _, n = triples.longer(_array(batch, i, "forward", np.int32), True)
+                yield _blocks(batch["shard"][i].as_py(), prefix, suffix, n, buckets)
+    return find
 
 
 # ---- Spark ----
 
-def _frequent(found: DataFrame, min_count: int, name: str) -> DataFrame:
-    """(id, prefix, suffix, f) of the phrases that are frequent over all shards."""
-    sums = found.groupBy("prefix", "suffix").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    return materialise(sums.withColumn("id", F.monotonically_increasing_id()), name)
+def _summed(blocks: DataFrame, min_count: int, buckets: int, name: str) -> DataFrame:
+    return materialise(blocks.groupBy("bucket").applyInArrow(_sum_bucket(min_count, buckets), SUMS), name)
+
+
+def _grams(sums: DataFrame) -> DataFrame:
+    """(id, prefix, suffix, f) of the frequent phrases."""
+    each = sums.where("shard IS NULL").select(F.explode(F.arrays_zip("ids", "prefixes", "suffixes", "counts")).alias("g"))
+    return each.select(F.col("g.ids").alias("id"), F.col("g.prefixes").alias("prefix"), F.col("g.suffixes").alias("suffix"), F.col("g.counts").alias("f"))
+
+
+def _answers(sums: DataFrame, name: str) -> DataFrame:
+    """Per shard the places of its frequent phrases, no more of them than the shard has words."""
+    return sums.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("bucket", "places", "ids")).alias(name))
+
 
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written, with consecutive ids: the rows of each written part are numbered from where the part before ends.
 
-def _in_shards(found: DataFrame, grams: DataFrame) -> DataFrame:
-    """Per shard, its intervals of the frequent phrases; no more of them than the shard has words."""
-    kept = found.join(grams.select("prefix", "suffix", "id"), ["prefix", "suffix"])
-    return kept.groupBy("shard").agg(F.collect_list(F.struct("lo", "back", "n", "id")).alias("g")).select(
-        "shard", *[F.col("g")[c].alias(c) for c in ("lo", "back", "n", "id")])
+    Only one number per part reaches the driver."""
+    written = materialise(df.withColumn("_n", F.monotonically_increasing_id()), name)
+    part, place = F.shiftright("_n", 33), F.col("_n").bitwiseAND((1 << 33) - 1)
+    sizes = sorted((r["p"], r["n"]) for r in written.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, total = [], 0
+    for p, n in sizes:
+        starts.append((p, total))
+        total += n
+    offsets = written.sparkSession.createDataFrame(starts, "_part long, _start long")
+    return written.withColumn("_part", part.cast("long")).join(F.broadcast(offsets), "_part").withColumn("id", F.col("_start") + place).drop(
+        "_n", "_part", "_start")
 
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, ...]:
@@ -242,24 +392,25 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_W
         "shard", "lang", (F.col("place") + 1).alias("place"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     totals = materialise(listed.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     sums = listed.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    words = materialise(sums.withColumn("id", F.monotonically_increasing_id()), "phrase-words")
+    words = _numbered(sums, "phrase-words")
 
     own = listed.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("g"))
     own = own.select("shard", F.col("g")["place"].alias("places"), F.col("g")["id"].alias("grams"))
     index = materialise(shards.select("shard", "lang", "ids").join(own, "shard").mapInArrow(_index, INDEX), "phrase-index")
     discard(shards)
 
-    side = lambda name: index.select("shard", F.col(name).alias("transform"))
-    found = materialise(index.select("shard", F.col("forward").alias("transform"), "grams").mapInArrow(_words_to_pairs, EXTENSIONS), "phrase-pairs-found")
-    pairs = _frequent(found, min_count, "phrase-pairs")
-    wider = materialise(side("backward").join(_in_shards(found, pairs), "shard").mapInArrow(_longer(False), EXTENSIONS), "phrase-triples-found")
-    discard(found)
-    triples = _frequent(wider, min_count, "phrase-triples")
-    widest = side("forward").join(_in_shards(wider, triples), "shard").mapInArrow(_longer(True), EXTENSIONS)
-    quadruples = _frequent(widest, min_count, "phrase-quadruples")
-    discard(wider)
+    spark = docs.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_PHRASES))
+    found = index.select("shard", "forward", "grams").mapInArrow(_find_pairs(buckets), BLOCKS)
+    pairs = _summed(found, min_count, buckets, "phrase-pairs")
+    known = index.join(_answers(pairs, "pairs"), "shard")
+    found = known.select("shard", "forward", "backward", "grams", "pairs").mapInArrow(_find_triples(buckets), BLOCKS)
+    triples = _summed(found, min_count, buckets, "phrase-triples")
+    known = known.join(_answers(triples, "triples"), "shard")
+    found = known.select("shard", "forward", "backward", "grams", "pairs", "triples").mapInArrow(_find_quadruples(buckets), BLOCKS)
+    quadruples = _summed(found, min_count, buckets, "phrase-quadruples")
     discard(index)
-    return totals, words, pairs, triples, quadruples
+    return totals, words, _grams(pairs), _grams(triples), _grams(quadruples)
 
 
 def _cut(k: int, left: Column, right: Column) -> Column:
