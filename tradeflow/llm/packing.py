@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +37,24 @@ def _byte_letters() -> dict[int, str]:
 
 _BYTE_LETTERS = _byte_letters()
 _SIMPLE_WORD = re.compile("[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
-# the vocabulary's own pre-tokens, on lower-case words of the characters above (fixed values)
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^0-9a-z\u00DF-\u00F6\u00F8-\u00FF]+")
+_SIMPLE_TEXT = re.compile("[\t\n\r -~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]*")
+# the vocabulary's own pre-tokens, on lower-case words of the characters above (fixed values); in whole texts a run
+# of signs takes the blank behind it along, so that it is known to end its word
+_LETTERS = "a-z\u00DF-\u00F6\u00F8-\u00FF"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+_TEXT_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}\t\n\r ]+[\t\n\r ]?")
+_BLANKS, _WORD_MARK = "\t\n\r ", "\n"
 _NOT_BLANK = re.compile("[\x1c-\x1f]")                # blanks to Python, not to the tokenizer
 
 
 class WordEncoder(dict):
-    """Token ids of texts, by way of distinct words (this dictionary: word -> number).
+    """Token ids of texts, by way of distinct pieces and words (this dictionary: piece, or marked word -> number).
 
-    The tokenizer drops white space before it merges, so the ids of a text are
-    those of its words in a row. Words of ASCII and Latin-1 letters are cut into
-    the tokenizer's pieces here, and each distinct piece goes to the tokenizer's
-    model once; every other word, and any that may hold a special token, goes
+    The tokenizer drops white space and cuts words into pieces before it merges,
+    so the ids of a text are those of its pieces in a row. Texts of ASCII and
+    Latin-1 letters are cut into pieces here, and each distinct piece goes to the
+    tokenizer's model once. Any other text, and one that may hold a special
+    token, goes word by word; words with other characters or a special token go
     through the whole tokenizer.
     """
 
@@ -76,21 +81,32 @@ class WordEncoder(dict):
     def _room(array: np.ndarray, size: int) -> np.ndarray:
         return array if len(array) >= size else np.concatenate([array, np.zeros(max(size, len(array)), array.dtype)])
 
-    def __missing__(self, word: str) -> int:
-        """Learn a word: its number."""
-        if _SIMPLE_WORD.fullmatch(word) and "<|" not in word:
-            known, ids = self.pieces, self.new_ids
-            for piece in _PIECES.findall(word.lower()):
-                part = known.get(piece)
-                if part is None:
-                    coded = piece if piece.isascii() else piece.translate(_BYTE_LETTERS)
-                    part = known[piece] = [t.id for t in self.model.tokenize(coded)]
-                ids += part
+    def _ids(self, piece: str) -> list[int]:
+        part = self.pieces.get(piece)
+        if part is None:
+            coded = piece if piece.isascii() else piece.translate(_BYTE_LETTERS)
+            part = self.pieces[piece] = [t.id for t in self.model.tokenize(coded)]
+        return part
+
+    def __missing__(self, key: str) -> int:
+        """Learn a piece of a text, or a word (behind a mark): its number."""
+        if key[0] == _WORD_MARK:
+            word, ends = key[1:], True
+            if _SIMPLE_WORD.fullmatch(word) and "<|" not in word:
+                for piece in _PIECES.findall(word.lower()):
+                    self.new_ids += self._ids(piece)
+            else:
+                self.new_ids += self.tokenizer.encode(word, add_special_tokens=False).ids
+        elif key[-1] in _BLANKS:
+            word, ends = key[:-1], True
+            self.new_ids += self._ids(word)
         else:
-            self.new_ids += self.tokenizer.encode(word, add_special_tokens=False).ids
+            word, ends = key, False
+            coded = key if key.isascii() else key.translate(_BYTE_LETTERS)
+            self.new_ids += [t.id for t in self.model.tokenize(coded)]
         self.new_ends.append(len(self.new_ids))
-        self.new_sentences.append(_SENTENCE_END.search(word[-8:]) is not None)
-        self[word] = number = len(self)
+        self.new_sentences.append(ends and _SENTENCE_END.search(word[-8:]) is not None)
+        self[key] = number = len(self)
         return number
 
     def _store_new(self) -> None:
@@ -109,7 +125,11 @@ class WordEncoder(dict):
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sentence ends as positions behind their last id)."""
-        words = text.split() if _NOT_BLANK.search(text) is None else [w for w in re.split("[ \n\t\r]+", text) if w]
+        if "<|" not in text and _SIMPLE_TEXT.fullmatch(text):
+            words = _TEXT_PIECES.findall(text.lower() + "\n")
+        else:
+            words = text.split() if _NOT_BLANK.search(text) is None else [w for w in re.split("[ \n\t\r]+", text) if w]
+            words = [_WORD_MARK + w for w in words]
         if not words:
             return np.empty(0, np.uint32), np.empty(0, np.int64)
         if len(self) > CACHE_WORDS:
@@ -146,41 +166,45 @@ def candidate_cuts(length: int, sentences: np.ndarray, stride: int, sentence_cos
     return positions[order], penalties[order]
 
 
-def best_cuts(positions: list[int], penalties: list[int], capacity: int, last: bool) -> list[int]:
+def best_cuts(positions: np.ndarray, penalties: np.ndarray, capacity: int, last: bool) -> list[int]:
     """Window ends of least total padding and penalty over the stream [0, positions[-1]).
 
     cost(i, j) = capacity - (j - i) + penalty(j) for j - i <= capacity. With
-    best(j) = capacity - j + penalty(j) + min(best(i) + i), the minimum runs over
-    a window that only moves on: a queue of increasing values gives it in
-    constant time. If more tokens follow (``last`` is False), the window left
+    key(j) = best(j) + j = capacity + penalty(j) + min(key(i)), the minimum runs
+    over a window that only moves on, so its suffix minima form a monotone queue.
+    Cuts are solved a window's length at a time from the suffix minima of the
+    solved keys; up to the first cut for which a key of the same stretch is as
+    small they are final, and the next stretch starts there. Of equal keys the
+    later one is taken. If more tokens follow (``last`` is False), the window left
     open at the end costs nothing and is not returned as a cut.
     """
-    queue: deque = deque([(0, 0, -1)])                 # (best(i) + i, position i, index of i)
-    back: list[int] = []
-    values: list[int] = []
-    for at, (j, penalty) in enumerate(zip(positions, penalties)):
-        while queue and queue[0][1] < j - capacity:
-            queue.popleft()
-        value, _, index = queue[0]
-        best = value + capacity - j + penalty
-        back.append(index)
-        values.append(best)
-        key = best + j
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, j, at))
-    at = len(positions) - 1
+    places = np.concatenate([[0], np.asarray(positions, np.int64)])
+    costs = np.concatenate([[0], np.asarray(penalties, np.int64)]) + capacity
+    keys, back = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    done, end = 0, len(places) - 1
+    while done < end:
+        stop = int(np.searchsorted(places, places[done] + capacity, "right"))
+        low = int(np.searchsorted(places, places[done + 1] - capacity))
+        solved = keys[low:done + 1][::-1]
+        minima = np.minimum.accumulate(solved)
+        falls = np.concatenate([[True], minima[1:] < minima[:-1]])
+        at = np.maximum.accumulate(np.where(falls, np.arange(len(solved)), 0))
+        reach = done - np.searchsorted(places[low:done + 1], places[done + 1:stop] - capacity) - low
+        new = costs[done + 1:stop] + minima[reach]
+        inside = np.minimum.accumulate(new[:-1]) <= minima[reach[1:]]
+        final = int(np.argmax(inside)) + 1 if inside.any() else len(new)
+        keys[done + 1:done + 1 + final] = new[:final]
+        back[done + 1:done + 1 + final] = done - at[reach[:final]]
+        done += final
+    at = end
     if not last:                                       # the cheapest state that can still be extended
-        open_from, at, least = positions[-1] - capacity + 1, -1, None
-        for k in range(len(positions) - 1, -1, -1):
-            if positions[k] < open_from:
-                break
-            if least is None or values[k] < least:
-                at, least = k, values[k]
+        first = max(1, int(np.searchsorted(places, places[-1] - capacity + 1)))
+        values = (keys - places)[first:][::-1]
+        at = end - int(np.argmin(values))
     cuts = []
-    while at >= 0:
-        cuts.append(positions[at])
-        at = back[at]
+    while at > 0:
+        cuts.append(int(places[at]))
+        at = int(back[at])
     return cuts[::-1]
 
 
@@ -239,8 +263,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
         def solve(last: bool):
             bases = np.cumsum([0] + [len(h[1]) for h in held[:-1]])
-            positions = np.concatenate([h[4] + b for h, b in zip(held, bases)]).tolist()
-            penalties = np.concatenate([h[5] for h in held]).tolist()
+            positions = np.concatenate([h[4] + b for h, b in zip(held, bases)])
+            penalties = np.concatenate([h[5] for h in held])
             cuts = best_cuts(positions, penalties, capacity, False)
             lengths = np.diff([0] + cuts).tolist()
             return emit(lengths + (remainder(held_tokens - sum(lengths), capacity, split_cost) if last else []))
