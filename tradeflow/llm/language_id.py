@@ -18,6 +18,7 @@ from .common import fold, table, texts
 
 DIMENSIONS, MAX_LABELS, SLICE_CHARS = 1024, 1024, 1 << 19
 FOLDS, MIN_SCORE = 5, 0.02
+KINDS_AT_ONCE = 1 << 12               # n-gram vectors held at once: 32 MB for any alphabet
 
 
 class Letters:
@@ -69,6 +70,19 @@ def letters(dimensions: int) -> Letters:
     return _LETTERS[dimensions]
 
 
+def grouped_counts(group: np.ndarray, code: np.ndarray, groups: int, base: int):
+    """(group, code, count) of the distinct pairs, ordered; codes below ``base`` cubed.
+
+    A pair is counted as one number. Where an alphabet is so large that the number would pass 64 bits, the codes are
+    first numbered by themselves."""
+    if groups * base ** 3 < 1 << 62:
+        key, count = np.unique(group * base ** 3 + code, return_counts=True)
+        return key // base ** 3, key % base ** 3, count
+    kinds, place = np.unique(code, return_inverse=True)
+    key, count = np.unique(group * len(kinds) + place, return_counts=True)
+    return key // len(kinds), kinds[key % len(kinds)], count
+
+
 def ngram_counts(values: list[str], table_: Letters):
     """(owner, code, count, base): trigram counts of each text, ordered by owner (the index in ``values``)."""
     joined = " ".join(v.lower() for v in values)
@@ -86,8 +100,7 @@ def ngram_counts(values: list[str], table_: Letters):
     # a gap between two texts lies in the middle of no n-gram
     inside = (rows[1:-1] != 0) | (owner[:-2] == owner[2:])
     text_of = np.where(rows[1:-1] != 0, owner[1:-1], owner[:-2])[inside]
-    key, count = np.unique(text_of * base ** 3 + code[inside], return_counts=True)
-    return key // base ** 3, key % base ** 3, count, base
+    return *grouped_counts(text_of, code[inside], len(values), base), base
 
 
 def slices(values: list[str], limit: int = SLICE_CHARS):
@@ -110,7 +123,7 @@ def text_vectors(values: list[str], table_: Letters) -> np.ndarray:
         return out
     kinds, place = np.unique(code, return_inverse=True)
     ends = np.searchsorted(owner, np.arange(len(values) + 1))
-    step = 1 << 15                                     # n-gram kinds at once: bounded memory for any alphabet
+    step = KINDS_AT_ONCE
     for at in range(0, len(kinds), step):
         vectors = table_.ngram_vectors(kinds[at:at + step], base)
         for i in range(len(values)):
@@ -138,15 +151,15 @@ def learn(docs: DataFrame, dimensions: int = DIMENSIONS, max_labels: int = MAX_L
                 names = sorted(set(langs[a:b]))
                 label = np.array([names.index(x) for x in langs[a:b]], dtype=np.int64)
                 owner, code, count, base = ngram_counts(values[a:b], table_)
-                key, place = np.unique(label[owner] * base ** 3 + code, return_inverse=True)
-                total = np.bincount(place, count, minlength=len(key))
-                for at in range(0, len(key), 1 << 15):
-                    part, n = key[at:at + (1 << 15)], total[at:at + (1 << 15)]
-                    vectors = table_.ngram_vectors(part % base ** 3, base)
-                    for k in np.unique(part // base ** 3):
-                        mine = part // base ** 3 == k
-                        more = np.rint(n[mine] @ vectors[mine].astype(np.float64)).astype(np.int64)
-                        sums[names[k]] = sums.get(names[k], 0) + more
+                kinds, place = np.unique(code, return_inverse=True)
+                for at in range(0, len(kinds), KINDS_AT_ONCE):
+                    vectors = table_.ngram_vectors(kinds[at:at + KINDS_AT_ONCE], base).astype(np.float64)
+                    here = (place >= at) & (place < at + KINDS_AT_ONCE)
+                    of_kind, of_label = place[here] - at, label[owner[here]]
+                    total = np.bincount(of_label * len(vectors) + of_kind, count[here], len(names) * len(vectors))
+                    more = np.rint(total.reshape(len(names), -1) @ vectors).astype(np.int64)
+                    for k in np.unique(of_label):
+                        sums[names[k]] = sums.get(names[k], 0) + more[k]
             if len(sums) > max_labels:
                 raise ValueError(f"more than {max_labels} languages")
         yield pa.RecordBatch.from_arrays(
