@@ -1,0 +1,2 @@
+WITH best AS (SELECT nm_cliente FROM sales_base GROUP BY nm_cliente ORDER BY SUM(VALOR_LIQUIDO) DESC, nm_cliente LIMIT 10)
+SELECT customer_gaps.* FROM customer_gaps JOIN best USING (nm_cliente)

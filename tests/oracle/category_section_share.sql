@@ -1,10 +1,7 @@
-WITH pos AS (SELECT * FROM sales_base WHERE VALOR_LIQUIDO > 0),
-r AS (
-  SELECT nm_cliente, categoria, secao, SUM(VALOR_LIQUIDO) AS VALOR_LIQUIDO, 2 AS nivel FROM pos GROUP BY nm_cliente, categoria, secao
-  UNION ALL
-  SELECT nm_cliente, categoria, NULL, SUM(VALOR_LIQUIDO), 1 FROM pos GROUP BY nm_cliente, categoria
-  UNION ALL
-  SELECT nm_cliente, NULL, NULL, SUM(VALOR_LIQUIDO), 0 FROM pos GROUP BY nm_cliente)
-SELECT r.nm_cliente, r.categoria, r.secao, CAST(r.VALOR_LIQUIDO AS DOUBLE) AS VALOR_LIQUIDO, r.nivel,
-       CAST(r.VALOR_LIQUIDO AS DOUBLE) * 100 / CAST(t.VALOR_LIQUIDO AS DOUBLE) AS SHARE_PCT
-FROM r JOIN (SELECT nm_cliente, VALOR_LIQUIDO FROM r WHERE nivel = 0) t ON r.nm_cliente = t.nm_cliente
+WITH sums AS (
+  SELECT nm_cliente, categoria, secao, SUM(VALOR_LIQUIDO) AS value, 2 - grouping_id(categoria, secao) % 2 - grouping_id(categoria, secao) // 2 AS nivel
+  FROM sales_base WHERE VALOR_LIQUIDO > 0
+  GROUP BY GROUPING SETS ((nm_cliente), (nm_cliente, categoria), (nm_cliente, categoria, secao)))
+SELECT nm_cliente, categoria, secao, value::DOUBLE AS VALOR_LIQUIDO, nivel,
+       value::DOUBLE * 100 / (max(value) FILTER (nivel = 0) OVER (PARTITION BY nm_cliente))::DOUBLE AS SHARE_PCT
+FROM sums

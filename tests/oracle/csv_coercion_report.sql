@@ -1,0 +1,11 @@
+WITH text AS (
+  SELECT CASE WHEN numverba % 7 = 0 THEN '31/02/2000' WHEN numverba % 11 <> 0 THEN strftime(dtcadastro, '%d/%m/%Y') END AS day,
+         CASE WHEN numverba % 5 = 0 THEN 'n/d' WHEN numverba % 13 <> 0 THEN 'x' END AS amount,
+         CASE WHEN codfornec % 3 = 0 THEN 'F' || codfornec ELSE codfornec::VARCHAR END AS supplier
+  FROM pcverba),
+counts AS (
+  SELECT COUNT(*) AS n, COUNT(day) AS d, COUNT(*) FILTER (day = '31/02/2000') AS bad_d, COUNT(amount) AS a, COUNT(*) FILTER (amount = 'n/d') AS bad_a,
+         COUNT(supplier) AS s, COUNT(*) FILTER (supplier LIKE 'F%') AS bad_s FROM text)
+SELECT 'numverba' AS coluna, n AS linhas, n AS preenchidas, 0::BIGINT AS anuladas FROM counts
+UNION ALL SELECT 'dtcadastro', n, d, bad_d FROM counts UNION ALL SELECT 'valor', n, a, bad_a FROM counts
+UNION ALL SELECT 'codfornec', n, s, bad_s FROM counts

@@ -1,0 +1 @@
+SELECT * FROM customer_summary_x

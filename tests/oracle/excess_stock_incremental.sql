@@ -1,0 +1 @@
+SELECT * FROM excess_monthly_x

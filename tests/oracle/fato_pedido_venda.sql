@@ -1,18 +1,12 @@
-SELECT pc.numped AS numero_pedido, pc.numtransvenda, pc.data AS data_pedido, pc.codcli AS cod_cliente,
-       pc.codusur AS cod_vendedor, pc.codemitente AS cod_emitente, pc.codfilial AS cod_filial, pi.codprod AS cod_produto,
-       CAST(pc.vltotal AS DOUBLE) AS valor_total, CAST(pc.vlatend AS DOUBLE) AS valor_atendido,
-       CAST(pi.pvenda AS DOUBLE) AS vl_venda_unitario, CAST(pi.qt AS DOUBLE) AS quantidade,
-       CAST(pi.qtfalta AS DOUBLE) AS qtd_falta, pi.numlote AS num_lote,
-       COALESCE(CASE WHEN pc.tipofv = 'PE' AND pc.origemped = 'F' THEN 'PEDIDO ELETRÔNICO'
-                     WHEN pc.tipofv = 'OL' AND pc.origemped = 'F' THEN 'OPERADOR LOGÍSTICO'
-                     WHEN pc.origemped = 'T' THEN 'TELEMARKETING'
-                     WHEN pc.origemped = 'W' THEN 'E-COMMERCE'
-                     WHEN pc.origemped = 'F' THEN 'FORÇA DE VENDAS' END, 'OUTROS') AS origem_pedido,
-       CASE pc.posicao WHEN 'P' THEN 'aguardado liberação' WHEN 'B' THEN 'pedido bloqueado'
-                       WHEN 'L' THEN 'pedido liberado' WHEN 'F' THEN 'pedido faturado'
-                       WHEN 'C' THEN 'pedido cancelado' WHEN 'R' THEN 'pedido em separacao'
-                       WHEN 'D' THEN 'pedido duplicado' WHEN 'M' THEN 'pedido em montagem'
-                       ELSE 'outros' END AS posicao_pedido
-FROM pcpedc pc
-JOIN pcpedi pi ON pi.numped = pc.numped
-WHERE pc.data >= DATE '2001-01-01' AND pc.dtcancel IS NULL
+WITH live AS (
+  SELECT * EXCLUDE (posicao), MAP {'P': 'aguardado liberação', 'B': 'pedido bloqueado', 'L': 'pedido liberado', 'F': 'pedido faturado',
+           'C': 'pedido cancelado', 'R': 'pedido em separacao', 'D': 'pedido duplicado', 'M': 'pedido em montagem'}[posicao] AS state,
+         COALESCE(MAP {'T': 'TELEMARKETING', 'W': 'E-COMMERCE'}[origemped], CASE origemped WHEN 'F' THEN
+           COALESCE(MAP {'PE': 'PEDIDO ELETRÔNICO', 'OL': 'OPERADOR LOGÍSTICO'}[tipofv], 'FORÇA DE VENDAS') END, 'OUTROS') AS channel
+  FROM pcpedc WHERE dtcancel IS NULL AND data >= DATE '2001-01-01')
+SELECT item.codprod AS cod_produto, item.numlote AS num_lote, item.qt::DOUBLE AS quantidade, item.qtfalta::DOUBLE AS qtd_falta,
+       item.pvenda::DOUBLE AS vl_venda_unitario, numped AS numero_pedido, live.numtransvenda, live.data AS data_pedido,
+       live.codcli AS cod_cliente, live.codusur AS cod_vendedor, live.codemitente AS cod_emitente, live.codfilial AS cod_filial,
+       live.vltotal::DOUBLE AS valor_total, live.vlatend::DOUBLE AS valor_atendido, live.channel AS origem_pedido,
+       COALESCE(live.state, 'outros') AS posicao_pedido
+FROM pcpedi AS item JOIN live USING (numped)

@@ -1,0 +1,4 @@
+WITH cells AS (SELECT nm_cliente, nm_produto, ANO, MES, SUM(QT_VENDIDA) AS units FROM sales_base GROUP BY ALL)
+SELECT nm_cliente, nm_produto, string_agg(lpad(MES::VARCHAR, 2, '0') || '/' || ANO::VARCHAR || '=' || units::DECIMAL(38, 2)::VARCHAR, ';' ORDER BY ANO, MES) AS MESES,
+       SUM(units)::DOUBLE AS TOTAL
+FROM cells GROUP BY nm_cliente, nm_produto

@@ -1,26 +1,3 @@
-WITH stock_rows AS (
-  SELECT e.codfilial,
-         CASE WHEN f.classificacao = 'F' THEN 'Farma' WHEN f.classificacao = 'H' THEN 'HB' ELSE 'Outros' END AS classificacao,
-         f.fornecedor, s.codprod, p.descricao, si.numlote, 
-         CASE WHEN si.qt IS NOT NULL AND p.estoqueporlote = 'S' THEN COALESCE(si.qt, 0)
-              WHEN si.dtval IS NOT NULL AND si.qt IS NOT NULL AND pf.estoquepordtvalidadepk = 'S'
-                   AND si.numlote = '1' AND e.tipoender = 'AP'
-                THEN (SELECT COALESCE(SUM(x.qt), 0) FROM pcestenderecoi x
-                      WHERE x.codprod = s.codprod AND x.codendereco = s.codendereco
-                        AND x.numlote = '1' AND x.dtval = si.dtval)
-              ELSE COALESCE(s.qt, 0) END AS qt,
-         ROUND(es.custoultent, 2) AS valor_ultima_entrada,
-         COALESCE(si.dtval, s.dtval) AS data_validade
-  FROM pcestendereco s
-  JOIN pcendereco e ON s.codendereco = e.codendereco
-  JOIN pcprodut p ON s.codprod = p.codprod
-  JOIN pcprodfilial pf ON p.codprod = pf.codprod
-  JOIN pcfornec f ON p.codfornec = f.codfornec
-  LEFT JOIN pcestenderecoi si ON s.codendereco = si.codendereco AND s.codprod = si.codprod
-  LEFT JOIN pcest es ON es.codprod = p.codprod AND es.codfilial = e.codfilial
-  WHERE s.qt > 0 AND COALESCE(si.dtval, s.dtval) BETWEEN DATE '2000-01-01' AND DATE '2000-08-31')
-SELECT codfilial, classificacao, fornecedor, codprod, descricao, numlote, CAST(qt AS DOUBLE) AS quantidade_realizada,
-       CAST(valor_ultima_entrada AS DOUBLE) AS valor_ultima_entrada,
-       CAST(ROUND(qt * valor_ultima_entrada, 2) AS DOUBLE) AS total_realizado
-FROM stock_rows WHERE classificacao <> 'Outros' AND qt > 0
-GROUP BY codfilial, classificacao, fornecedor, codprod, descricao, numlote, qt, valor_ultima_entrada
+SELECT codfilial, classificacao, fornecedor, codprod, descricao, numlote, qt::DOUBLE AS quantidade_realizada,
+       valor_ultima_entrada::DOUBLE AS valor_ultima_entrada, ROUND(qt * valor_ultima_entrada, 2)::DOUBLE AS total_realizado
+FROM (SELECT DISTINCT * EXCLUDE (data_validade) FROM expiring_stock)

@@ -1,0 +1 @@
+SELECT * FROM rep_revenue_x

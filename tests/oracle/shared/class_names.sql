@@ -1,0 +1 @@
+SELECT * FROM (VALUES ('F', 'FARMA', 'Farma'), ('H', 'HB', 'HB')) AS names(code, upper_name, title_name)

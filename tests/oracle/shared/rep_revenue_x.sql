@@ -1,0 +1,13 @@
+WITH house AS (SELECT numped, tipofv, origemped FROM pcpedc WHERE codemitente = 8888),
+revenue AS (             -- IPI and ST are taken off and added again by the source, so they are not here
+  SELECT codfilial, codusur, codprod, tipofv, origemped,
+         SUM(ROUND(COALESCE(qt, 0) * (COALESCE(punit, 0) + COALESCE(vlfrete_rateio, 0) + COALESCE(vloutros, 0) + COALESCE(vloutrasdesp, 0)
+                                      - COALESCE(vlrepasse, 0)), 2)) AS total
+  FROM pcmov JOIN house USING (numped)
+  WHERE codoper = 'S' AND codfilial <> 10 AND dtcancel IS NULL AND dtmov >= DATE '2000-11-01' AND dtmov < DATE '2000-12-01'
+  GROUP BY ALL)
+SELECT codfilial AS filial, COALESCE(MAP {'T': 'TELEMARKETING', 'W': 'E-COMMERCE'}[origemped],
+         CASE origemped WHEN 'F' THEN MAP {'PE': 'PEDIDO ELETRÔNICO', 'OL': 'OPERADOR LOGÍSTICO', '': 'FORÇA DE VENDAS'}[COALESCE(tipofv, '')] END,
+         'OUTROS') AS origempedido,
+       codusur AS codigo_rca, rep.nome AS rca, boss.nome AS supervisor, codprod, total::DOUBLE AS faturamento
+FROM revenue JOIN pcusuari AS rep USING (codusur) LEFT JOIN pcsuperv AS boss USING (codsupervisor)

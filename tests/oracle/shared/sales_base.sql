@@ -1,45 +1,25 @@
-WITH ws AS (SELECT ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) AS chars),
-prod0 AS (
-  SELECT COALESCE(p.codprod, 0) AS cod_produto, p.descricao AS nm_produto, cat.categoria, sec.descricao AS secao
-  FROM pcprodut p
-  LEFT JOIN pcdepto dep ON dep.codepto = p.codepto
-  LEFT JOIN pcsecao sec ON sec.codsec = p.codsec AND sec.codepto = dep.codepto
-  LEFT JOIN pccategoria cat ON cat.codcategoria = p.codcategoria AND cat.codsec = sec.codsec
-  WHERE p.dtexclusao IS NULL),
-prod AS (
-  SELECT cod_produto, upper(trim(COALESCE(nm_produto, 'N/I'), (SELECT chars FROM ws))) AS nm_produto,
-         upper(trim(COALESCE(categoria, 'N/I'), (SELECT chars FROM ws))) AS categoria,
-         upper(trim(COALESCE(secao, 'N/I'), (SELECT chars FROM ws))) AS secao
-  FROM (SELECT *, row_number() OVER (PARTITION BY cod_produto ORDER BY nm_produto, categoria, secao) AS rn FROM prod0)
-  WHERE rn = 1),
-cli AS (
-  SELECT cod_cliente, upper(trim(COALESCE(nm_cliente, 'N/I'), (SELECT chars FROM ws))) AS nm_cliente
-  FROM (SELECT COALESCE(codcli, 0) AS cod_cliente, cliente AS nm_cliente,
-               row_number() OVER (PARTITION BY COALESCE(codcli, 0) ORDER BY cliente) AS rn
-        FROM (SELECT DISTINCT codcli, cliente, tipofj FROM pcclient))
-  WHERE rn = 1),
-rep AS (
-  SELECT cod_vendedor, upper(trim(COALESCE(nm_vendedor, 'N/I'), (SELECT chars FROM ws))) AS nm_vendedor
-  FROM (SELECT COALESCE(codusur, 0) AS cod_vendedor, nome AS nm_vendedor,
-               row_number() OVER (PARTITION BY COALESCE(codusur, 0) ORDER BY nome) AS rn
-        FROM (SELECT DISTINCT codusur, nome FROM pcusuari))
-  WHERE rn = 1),
-fact AS (
-  SELECT COALESCE(cod_filial, 0) AS COD_FILIAL, data_movimentacao AS DATA_MOVIMENTACAO,
-         COALESCE(num_pedido, 0) AS NUM_PEDIDO, COALESCE(cod_vendedor, 0) AS COD_VENDEDOR,
-         COALESCE(cod_supervisor, 0) AS COD_SUPERVISOR, COALESCE(cod_cliente, 0) AS COD_CLIENTE,
-         COALESCE(cod_produto, 0) AS COD_PRODUTO, COALESCE(qt_vendida, 0) AS QT_VENDIDA,
-         COALESCE(valor_liquido, 0) AS VALOR_LIQUIDO, origem_pedido AS ORIGEM_PEDIDO,
-         COALESCE(year(data_movimentacao), 0) AS ANO, COALESCE(month(data_movimentacao), 0) AS MES
-  FROM sales_fact_x)
-SELECT f.COD_FILIAL, f.DATA_MOVIMENTACAO, f.NUM_PEDIDO, f.COD_VENDEDOR, f.COD_SUPERVISOR, f.COD_CLIENTE, f.COD_PRODUTO,
-       f.QT_VENDIDA, f.VALOR_LIQUIDO, upper(COALESCE(f.ORIGEM_PEDIDO, 'NAO CADASTRADO')) AS ORIGEM_PEDIDO, f.ANO, f.MES,
-       upper(COALESCE(p.nm_produto, 'NAO CADASTRADO')) AS nm_produto,
-       upper(COALESCE(p.categoria, 'NAO CADASTRADO')) AS categoria,
-       upper(COALESCE(p.secao, 'NAO CADASTRADO')) AS secao,
-       upper(COALESCE(c.nm_cliente, 'NAO CADASTRADO')) AS nm_cliente,
-       upper(COALESCE(v.nm_vendedor, 'NAO CADASTRADO')) AS nm_vendedor
-FROM fact f
-LEFT JOIN prod p ON f.COD_PRODUTO = p.cod_produto
-LEFT JOIN cli c ON f.COD_CLIENTE = c.cod_cliente
-LEFT JOIN rep v ON f.COD_VENDEDOR = v.cod_vendedor
+WITH clean AS (          -- dimension rows: the first per id, names stripped of blanks and in upper case
+  SELECT 'product' AS dim, id, names FROM (
+    SELECT COALESCE(p.codprod, 0) AS id, [p.descricao, a.categoria, a.secao] AS names
+    FROM pcprodut AS p LEFT JOIN product_area AS a USING (codprod) WHERE p.dtexclusao IS NULL)
+  UNION ALL SELECT 'client', COALESCE(codcli, 0), [cliente] FROM pcclient
+  UNION ALL SELECT 'rep', COALESCE(codusur, 0), [nome] FROM pcusuari),
+named AS (
+  SELECT dim, id, [upper(trim(COALESCE(x, 'N/I'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) FOR x IN first_names] AS names
+  FROM (SELECT dim, id, arg_min(names, sort_key) AS first_names
+        FROM (SELECT dim, id, names, row_number() OVER (PARTITION BY dim, id ORDER BY names[1], names[2], names[3]) AS sort_key FROM clean)
+        GROUP BY dim, id)),
+sales AS (
+  SELECT COALESCE(cod_filial, 0) AS COD_FILIAL, data_movimentacao AS DATA_MOVIMENTACAO, COALESCE(num_pedido, 0) AS NUM_PEDIDO,
+         COALESCE(cod_vendedor, 0) AS COD_VENDEDOR, COALESCE(cod_supervisor, 0) AS COD_SUPERVISOR, COALESCE(cod_cliente, 0) AS COD_CLIENTE,
+         COALESCE(cod_produto, 0) AS COD_PRODUTO, COALESCE(qt_vendida, 0) AS QT_VENDIDA, COALESCE(valor_liquido, 0) AS VALOR_LIQUIDO,
+         origem_pedido FROM sales_fact_x)
+SELECT s.* EXCLUDE (origem_pedido), upper(COALESCE(s.origem_pedido, 'NAO CADASTRADO')) AS ORIGEM_PEDIDO,
+       COALESCE(year(s.DATA_MOVIMENTACAO), 0) AS ANO, COALESCE(month(s.DATA_MOVIMENTACAO), 0) AS MES,
+       COALESCE(p.names[1], 'NAO CADASTRADO') AS nm_produto, COALESCE(p.names[2], 'NAO CADASTRADO') AS categoria,
+       COALESCE(p.names[3], 'NAO CADASTRADO') AS secao, COALESCE(c.names[1], 'NAO CADASTRADO') AS nm_cliente,
+       COALESCE(r.names[1], 'NAO CADASTRADO') AS nm_vendedor
+FROM sales AS s
+LEFT JOIN named AS p ON p.dim = 'product' AND p.id = s.COD_PRODUTO
+LEFT JOIN named AS c ON c.dim = 'client' AND c.id = s.COD_CLIENTE
+LEFT JOIN named AS r ON r.dim = 'rep' AND r.id = s.COD_VENDEDOR

@@ -1,0 +1,215 @@
+"""Views over the shared cells, open pivots, salted joins, sketches and exact rounding."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+from fractions import Fraction
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL_SF
+from tests.harness import canonical_rows
+from tradeflow.functions.numeric import half_up_ratio
+from tradeflow.operators import aggregate as agg
+from tradeflow.operators.joins import hot_keys, salted_left_join
+from tradeflow.plans import customers, funds
+from tradeflow.plans.catalog import LIFECYCLE_SINCE
+from tradeflow.plans.common import decimals_to_double
+from tradeflow.sources.erp_fixture import ErpTables
+
+
+def rows(df):
+    df = decimals_to_double(df)
+    return canonical_rows(df.columns, [tuple(r) for r in df.collect()])
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def base(spark):
+    return customers.sales_base(ErpTables(spark, SMALL_SF), LIFECYCLE_SINCE)
+
+
+@pytest.fixture(scope="module")
+def cells(base):
+    return customers.sales_cells(base)
+
+
+VIEWS = {
+    "macro": lambda b: customers.sales_macro_kpis(b, 1999, 2000), "yoy": customers.sales_yoy, "months": customers.sales_month_year,
+    "categories": customers.top_categories, "origin": customers.sales_by_origin, "items": lambda b: customers.customer_items(b, 2000),
+    "share": customers.category_section_share, "gap": customers.category_gap, "bait": customers.bait_products,
+    "erosion": lambda b: customers.mix_erosion(b, 1999, 2000), "matrix": lambda b: customers.item_month_matrix(b, [1999, 2000]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(VIEWS))
+def test_cells_give_the_rows_of_the_base(base, cells, name):
+    assert rows(VIEWS[name](cells)) == rows(VIEWS[name](base))
+
+
+@pytest.mark.parametrize("name", ["macro", "share", "erosion"])
+def test_one_scan_and_no_expand_over_the_lines(base, name):
+    text = optimized(VIEWS[name](base))
+    assert text.count("l_extendedprice") > 0 and sum("Relation [" in line and "l_orderkey" in line for line in text.splitlines()) == 1
+    if "Expand" in text:                        # the rollup's, over rows that are already summed
+        below = text.split("Expand", 1)[1]
+        assert below.lstrip().split("\n", 2)[1].lstrip(" :+-").startswith("Aggregate")
+
+
+def test_share_counts_positive_lines_only(spark):
+    base = spark.createDataFrame([("a", 1, "p", "c", "s", "o", 2000, 1, Decimal("5.00"), 1, dt.date(2000, 1, 1)),
+                                  ("a", 1, "p", "c", "s", "o", 2000, 1, Decimal("-9.00"), 1, dt.date(2000, 1, 1)),
+                                  ("a", 1, "p", "d", "s", "o", 2000, 1, Decimal("-9.00"), 1, dt.date(2000, 1, 1))],
+                                 "nm_cliente string, COD_CLIENTE long, nm_produto string, categoria string, secao string, ORIGEM_PEDIDO string, "
+                                 "ANO int, MES int, VALOR_LIQUIDO decimal(18,2), QT_VENDIDA int, DATA_MOVIMENTACAO date")
+    for view in (base, customers.sales_cells(base)):
+        got = {(r.categoria, r.nivel): float(r.VALOR_LIQUIDO) for r in customers.category_section_share(view).collect()}
+        assert got == {(None, 0): 5.0, ("c", 1): 5.0, ("c", 2): 5.0}
+
+
+def test_gap_rows_on_request(spark, base):
+    asked = spark.createDataFrame([("CUSTOMER#000000001",), ("nobody",)], "nm_cliente string")
+    bought = {r.categoria for r in base.where("nm_cliente = 'CUSTOMER#000000001'").select("categoria").distinct().collect()}
+    domain = {r.categoria for r in base.select("categoria").distinct().collect()}
+    got = customers.category_gap_of(base, asked)
+    assert {(r.nm_cliente, r.categoria) for r in got.collect()} == {("CUSTOMER#000000001", c) for c in domain - bought} | {("nobody", c) for c in domain}
+    assert "Cartesian" not in plan(got) and "NestedLoop" not in plan(got)
+    assert customers.category_gap_of(base, asked.limit(0)).count() == 0
+
+
+# ---- open pivots ----
+
+def test_every_month_present_has_its_name(spark):
+    data = [("c", "p", 2000, 1, 1), ("c", "p", 1990, 12, 2), ("c", "p", 0, 0, 4), ("c", "q", 2000, 1, 8), ("c", "q", 2000, 1, 16), ("d", "q", 1990, 12, None)]
+    base = spark.createDataFrame(data, "nm_cliente string, nm_produto string, ANO int, MES int, QT_VENDIDA int")
+    shown = customers.item_months(base).withColumn("months", F.map_keys("MESES"))
+    got = {(r.nm_cliente, r.nm_produto): ([(m, r.MESES[m]) for m in r.months], r.TOTAL) for r in shown.collect()}
+    assert got == {("c", "p"): ([("00/0", 4), ("12/1990", 2), ("01/2000", 1)], 7), ("c", "q"): ([("01/2000", 24)], 24), ("d", "q"): ([("12/1990", None)], None)}
+    wide = customers.item_month_columns(base, ["c"])
+    assert wide.columns == ["nm_cliente", "nm_produto", "00/0", "12/1990", "01/2000", "TOTAL"]
+    assert {tuple(r) for r in wide.collect()} == {("c", "p", 4, 2, 1, 7), ("c", "q", 0, 0, 24, 24)}
+    with pytest.raises(ValueError, match="more than 2"):
+        agg.pivot_found(base, "nm_cliente", F.col("MES"), F.col("ANO"), "QT_VENDIDA", most=2)
+
+
+def test_every_class_present_has_its_name(spark):
+    status = spark.createDataFrame([(2000, "FARMA", 1), (2000, "NOVA", 2), (2001, "HB", 4), (1998, "HB", 9), (2001, "HB", -4)],
+                                   "ANOCADASTRO int, CLASSIFICACAO string, SALDO_A_RECEBER int")
+    got = {r.ANOCADASTRO: (r.CLASSES, r.TOTAL) for r in funds.fund_year_classes(status, 1999).collect()}
+    assert got == {2000: ({"FARMA": 1, "NOVA": 2}, 3), 2001: ({"HB": 4}, 4)}
+
+
+# ---- hot keys ----
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_equals_the_plain_one(spark, how):
+    rng = random.Random(7)
+    left = spark.createDataFrame([(rng.choice([1] * 10 + [None] * 3 + list(range(30))), i) for i in range(3000)], "k int, v int").repartition(5)
+    right = spark.createDataFrame([(k, f"n{k}") for k in range(25)] + [(1, "again"), (None, "null")], "k int, name string")
+    got = salted_left_join(left, right, "k", F.col("v"), how, salts=16)
+    assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).select(got.columns).collect()))
+
+
+def test_no_task_holds_a_hot_key(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for key, value in zip(("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"), ("false", "16", "-1")):
+            spark.conf.set(key, value)
+        left = spark.range(40000).select(F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 5 > 0, F.col("id") % 997).alias("k"), F.col("id").alias("v"))
+        right = spark.range(997).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+
+        def largest(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] / 40000
+
+        assert [r.k for r in hot_keys(left, "k", 20).where("k is not null").collect()] == [1]
+        assert largest(left.join(right, "k", "left")) > 0.5
+        salted = salted_left_join(left, right, "k", F.col("v"), hot=hot_keys(left, "k", 20))
+        assert largest(salted) < 0.2 and salted.where("k = 1 and name = '1'").count() == left.where("k = 1").count()
+    finally:
+        for key, value in zip(("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"), before):
+            spark.conf.set(key, value)
+
+
+def test_there_are_fewer_hot_keys_than_parts(spark):
+    even = spark.range(5000).select((F.col("id") % 50).alias("k"))
+    assert hot_keys(even, "k", 50).count() == 0 and hot_keys(even, "k", 51).count() == 50
+
+
+# ---- sketches ----
+
+def test_sketches_of_any_months_unite(spark):
+    data = spark.range(60000).select((F.col("id") % 12 + 1).alias("mes"), (F.col("id") * 7919 % 9000).alias("c"))
+    stored = agg.distinct_sketches(data, "mes", "c")
+    for months in ([1], [2, 3], list(range(1, 13))):
+        exact = data.where(F.col("mes").isin(months)).select("c").distinct().count()
+        got = agg.distinct_of_sketches(stored.where(F.col("mes").isin(months)).withColumn("all", F.lit(1)), "all").first().n_distinct
+        assert abs(got - exact) <= 0.05 * exact, months
+
+
+# ---- exact rounding ----
+
+def plain_half_up(n, d, scale):
+    value = abs(Fraction(n) / Fraction(d)) * 10 ** scale
+    whole = int(value)
+    whole += value - whole >= Fraction(1, 2)
+    return Decimal(whole if (n < 0) == (d < 0) else -whole).scaleb(-scale)
+
+
+def test_half_cents_round_away_from_zero_in_both_engines(spark):
+    rng = random.Random(5)
+    planted = [("1", "8"), ("-1", "8"), ("0.005", "1"), ("2.675", "1"), ("1", "3"), ("-2", "3"), ("0.01", "-8"), ("123456789012.345", "1"), ("7", "40"),
+               ("0.125", "25"), ("999999999999.99", "7"), ("0", "-5"), ("1000000.05", "200000.01")]
+    # quotients that end exactly in a half: (2k + 1) * d / 200 over d
+    planted += [(str(Decimal((2 * rng.randrange(10 ** 6) + 1) * d) / 200), str(d)) for d in (1, 3, 7, 64, 81, 89)]
+    planted += [(str(Decimal(rng.randrange(-10 ** 9, 10 ** 9)) / 10000), str(rng.randrange(1, 91))) for _ in range(300)]
+    pairs = [(Decimal(a), Decimal(b)) for a, b in planted]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, n decimal(20,6), d decimal(12,2)")
+    got = {r.i: (r.two, r.four) for r in df.select("i", half_up_ratio(F.col("n"), F.col("d"), 2).alias("two"), half_up_ratio(F.col("n"), F.col("d"), 4).alias("four")).collect()}
+    assert got == {i: (plain_half_up(a, b, 2), plain_half_up(a, b, 4)) for i, (a, b) in enumerate(pairs)}
+    duck = duckdb.connect()
+    for i, (a, b) in enumerate(pairs):
+        n, d = int(a * 10 ** 6), int(b * 10 ** 6)
+        text = f"select sign({n}::HUGEINT) * sign({d}::HUGEINT) * ((2 * abs({n}::HUGEINT) * 100 + abs({d}::HUGEINT)) // (2 * abs({d}::HUGEINT)))"
+        assert Decimal(int(duck.execute(text).fetchone()[0])).scaleb(-2) == got[i][0], (a, b)
+
+
+def test_rounding_of_nothing(spark):
+    df = spark.createDataFrame([(None, Decimal(1)), (Decimal(1), None), (Decimal(1), Decimal(0))], "n decimal(10,2), d decimal(10,2)")
+    assert [r.x for r in df.select(half_up_ratio(F.col("n"), F.col("d"), 2).alias("x")).collect()] == [None, None, None]
+
+
+def test_planted_half_cents_in_the_monthly_excess(spark):
+    """(100 - 1.00 / 88 * 90) * 0.44 and the like end in an exact half cent for some of the prices."""
+    from tradeflow.plans import stock
+
+    def table(data, schema):
+        return spark.createDataFrame(data, schema)
+
+    zero_days = 26                                       # 64 days in stock: quotients end exactly
+    products = range(1, 65)
+    ref = dt.date(2000, 1, 1)
+    hist = [(1, p, ref, 100, Decimal(p) / 100) for p in products]
+    hist += [(1, p, ref - dt.timedelta(days=k), 0 if k <= zero_days else 5, Decimal(p) / 100) for p in products for k in range(1, 91)]
+    tables = {
+        "pcprodut": table([(p, f"P{p}", 1, 1, "S", "C", "N", None) for p in products],
+                          "codprod long, descricao string, codfornec long, codepto long, codsec string, codcategoria string, estoqueporlote string, dtexclusao date"),
+        "pcfornec": table([(1, "SUP", "F", 1, 1, "S")], "codfornec long, fornecedor string, classificacao string, codcomprador int, codcli long, revenda string"),
+        "pcdepto": table([(1, "HIGIENE")], "codepto long, descricao string"), "pcsecao": table([], "codsec string, codepto long, descricao string"),
+        "pccategoria": table([], "codcategoria string, codsec string, categoria string"), "pcempr": table([], "matricula int, nome string, codusur int"),
+        "pchistest": table(hist, "codfilial int, codprod long, data date, qtestger int, custorep decimal(18,2)"),
+        "pcmov": table([(1, p, dt.date(1999, 12, 1), Decimal("1.00"), "S", None) for p in products],
+                       "codfilial int, codprod long, dtmov date, qt decimal(18,2), codoper string, dtcancel date"),
+        "pcest": table([], "codfilial int, codprod long, qtestger int, qtgirodia int, custoultent decimal(18,2), valorultent decimal(18,2), dtprimcompra date")}
+    got = {r.codprod: r.valor_excedente for r in stock.excess_stock_monthly(tables, 2000, [1]).collect()}
+    exact = {p: (100 - Fraction(1, 64) * 90) * Fraction(p, 100) for p in products}
+    assert got == {p: float(plain_half_up(v.numerator, v.denominator, 2)) for p, v in exact.items()}
+    assert any(v * 100 - int(v * 100) == Fraction(1, 2) for v in exact.values())

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the smallest driver tables.
+"""Every report and operator query against its DuckDB oracle on the smallest driver tables.
 
 The driver repeats this on sf0.01 (``scripts/check_oracle.py`` does the same
 locally on any folder)."""
@@ -8,9 +8,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL_SF
 from tests.harness import compare, duck_connection
+from tradeflow.plans.catalog import QUERIES as CATALOG
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in CATALOG}
+ORACLE = {name: text for name, text in entry.oracle_sql().items() if name in CATALOG}
 
 
 @pytest.fixture(scope="module")

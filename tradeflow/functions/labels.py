@@ -59,7 +59,7 @@ def supplier_class(code: Column, spelling: str = "upper") -> Column:
 def origin_rep_report(tipofv: Column, origemped: Column) -> Column:
     """P6 variant used by the rep revenue report: unmatched -> OUTROS."""
     return (F.when((tipofv == "PE") & (origemped == "F"), F.lit(ORIGIN_ELECTRONIC))
-            .when((tipofv != "PE") & (tipofv == "OL") & (origemped == "F"), F.lit(ORIGIN_LOGISTICS))
+            .when((tipofv == "OL") & (origemped == "F"), F.lit(ORIGIN_LOGISTICS))
             .when(tipofv.isNull() & (origemped == "F"), F.lit(ORIGIN_SALES_FORCE))
             .when(origemped == "T", F.lit(ORIGIN_TELEMARKETING))
             .when(origemped == "W", F.lit(ORIGIN_ECOMMERCE))
@@ -67,26 +67,20 @@ def origin_rep_report(tipofv: Column, origemped: Column) -> Column:
 
 
 def origin_sales_fact(tipofv: Column, origemped: Column) -> Column:
-    """P6 variant of the sales fact: anything unmatched is the sales force
-    (its trailing COALESCE can never apply)."""
-    return F.coalesce(
-        F.when((tipofv == "PE") & (origemped == "F"), F.lit(ORIGIN_ELECTRONIC))
-        .when((tipofv == "OL") & (origemped == "F"), F.lit(ORIGIN_LOGISTICS))
-        .when(origemped == "T", F.lit(ORIGIN_TELEMARKETING))
-        .when(origemped == "W", F.lit(ORIGIN_ECOMMERCE))
-        .otherwise(F.lit(ORIGIN_SALES_FORCE)),
-        F.lit(ORIGIN_OTHER))
+    """P6 variant of the sales fact: anything unmatched is the sales force."""
+    return _origin(tipofv, origemped, F.lit(ORIGIN_SALES_FORCE))
+
+
+def _origin(tipofv: Column, origemped: Column, other: Column) -> Column:
+    """Rules that the two facts share: channels T and W by themselves, channel F by its order type."""
+    by_type = F.when(tipofv == "PE", ORIGIN_ELECTRONIC).when(tipofv == "OL", ORIGIN_LOGISTICS)
+    channel = F.when(origemped == "T", ORIGIN_TELEMARKETING).when(origemped == "W", ORIGIN_ECOMMERCE).when(origemped == "F", by_type)
+    return F.coalesce(channel, other)
 
 
 def origin_order_fact(tipofv: Column, origemped: Column) -> Column:
     """P6 variant of the order fact: origin F -> sales force, unmatched -> OUTROS."""
-    return F.coalesce(
-        F.when((tipofv == "PE") & (origemped == "F"), F.lit(ORIGIN_ELECTRONIC))
-        .when((tipofv == "OL") & (origemped == "F"), F.lit(ORIGIN_LOGISTICS))
-        .when(origemped == "T", F.lit(ORIGIN_TELEMARKETING))
-        .when(origemped == "W", F.lit(ORIGIN_ECOMMERCE))
-        .when(origemped == "F", F.lit(ORIGIN_SALES_FORCE)),
-        F.lit(ORIGIN_OTHER))
+    return _origin(tipofv, origemped, F.when(origemped == "F", ORIGIN_SALES_FORCE).otherwise(ORIGIN_OTHER))
 
 
 def order_status(code: Column) -> Column:

@@ -27,6 +27,22 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def half_up_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
+    """Numerator / denominator rounded half away from zero to ``scale`` places, exactly.
+
+    The quotient itself is never formed: with integers N and D for the two values, the result is
+    floor((2 N 10^scale + D) / 2 D) / 10^scale, sign apart, so a half in the last place is never lost to the
+    rounding of a quotient. NULL when either value is NULL or the denominator is 0. Both may have up to 6 decimal
+    places and 12 digits after scaling by 10^scale stays free in decimal(38)."""
+    wide = "decimal(38,6)"
+    n, d = F.abs(numerator).cast("decimal(28,6)"), F.abs(denominator).cast("decimal(24,6)")
+    twice = (n * F.lit(2 * 10 ** scale).cast("decimal(8,0)")).cast(wide) + d.cast(wide)
+    units = F.call_function("div", twice.cast(wide), (d * F.lit(2).cast("decimal(1,0)")).cast(wide))
+    negative = (numerator < 0) != (denominator < 0)
+    value = (units.cast("decimal(19,0)") * F.lit(1).cast("decimal(1,0)") / F.lit(10 ** scale).cast("decimal(8,0)")).cast(f"decimal(28,{scale})")
+    return F.when(denominator != 0, F.when(negative, -value).otherwise(value))
+
+
 def br_number(text: Column, target: str = "decimal(18,2)") -> Column:
     """lenient pt-BR number text ``1.234,56`` -> decimal; NULL if not a number.
     Without a comma a dot is the decimal point (``1234.56``)."""

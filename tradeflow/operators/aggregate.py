@@ -80,6 +80,48 @@ def pivot_sum(df: DataFrame, index, pivot_col: str, values: Sequence, value: str
     return out.na.fill(fill, subset=names) if fill is not None else out
 
 
+def pivot_map(df: DataFrame, index, label: Column, order: Column, value: str, name: str = "celulas",
+              total: str | None = None) -> DataFrame:
+    """A10 over an open domain: per row key one map label -> sum of ``value``, with exactly the labels that occur
+    in that row, in ``order``; no list of values, no rest column, a stable schema. ``total`` adds the row's sum.
+
+    Two reductions: cells (row key, label), combined before the shuffle, then one row per key, which holds no more
+    entries than there are labels."""
+    index = _as_list(index)
+    cells = df.groupBy(*index, order.alias("_order"), label.alias("_label")).agg(F.sum(value).alias("_value"))
+    entries = F.array_sort(F.collect_list(F.struct("_order", "_label", "_value")))
+    aggs = [F.map_from_entries(F.transform(entries, lambda e: F.struct(e["_label"], e["_value"]))).alias(name)]
+    if total:
+        aggs.append(F.sum("_value").alias(total))
+    return cells.groupBy(*index).agg(*aggs)
+
+
+def pivot_found(df: DataFrame, index, label: Column, order: Column, value: str, most: int = 2000) -> DataFrame:
+    """A10 with a column for every label that occurs, in ``order``, zero filled.
+
+    The labels are read from the data first (one small job; more than ``most`` of them is an error, as a table of so
+    many columns is none), then pivoted by name."""
+    index = _as_list(index)
+    cells = df.groupBy(*index, order.alias("_order"), label.alias("_label")).agg(F.sum(value).alias("_value"))
+    found = cells.select("_order", "_label").distinct().orderBy("_order").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} labels to pivot")
+    return cells.groupBy(*index).agg(*[F.coalesce(F.sum(F.when(F.col("_order").eqNullSafe(r["_order"]) & F.col("_label").eqNullSafe(r["_label"]),
+                                                              F.col("_value"))), F.lit(0)).alias(str(r["_label"])) for r in found])
+
+
+def distinct_sketches(df: DataFrame, keys, value: str, lg_k: int = 12, name: str = "sketch") -> DataFrame:
+    """Per key a mergeable sketch of the distinct values (HyperLogLog of 2^lg_k registers, a few KB) and the row count.
+
+    Stored once, sketches of any keys are united later without reading the rows again."""
+    return df.groupBy(*_as_list(keys)).agg(F.hll_sketch_agg(value, lg_k).alias(name), F.count(F.lit(1)).alias("n_rows"))
+
+
+def distinct_of_sketches(sketches: DataFrame, keys, sketch: str = "sketch", name: str = "n_distinct") -> DataFrame:
+    """Estimated distinct values of the union of all sketches of a key (relative error about 1.04 / sqrt(2^lg_k))."""
+    return sketches.groupBy(*_as_list(keys)).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(name))
+
+
 def unpivot(df: DataFrame, ids, value_cols: Sequence[str], var_name: str, value_name: str) -> DataFrame:
     """Wide measures -> (name, value) rows."""
     return df.unpivot(_as_list(ids), list(value_cols), var_name, value_name)
@@ -93,7 +135,9 @@ def rollup_sum(df: DataFrame, levels: Sequence[str], value: str, name: str | Non
     example the customer), so totals are computed per prefix value; the grand
     total row over all prefixes is dropped."""
     cols = list(prefix) + list(levels)
-    out = df.rollup(*cols).agg(F.sum(value).alias(name or value), F.grouping_id().alias("_gid"))
+    # ROLLUP repeats its input once per level: it runs over one row per finest group
+    finest = df.groupBy(*cols).agg(F.sum(value).alias("_sum"))
+    out = finest.rollup(*cols).agg(F.sum("_sum").alias(name or value), F.grouping_id().alias("_gid"))
     if prefix:
         # keep only rows where every prefix column is a real grouping value
         max_gid = (1 << len(levels)) - 1
@@ -118,11 +162,6 @@ def top_per_group(df: DataFrame, group, order: Sequence[Column], n: int = 1,
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
-def latest_value(value: Column, *order: Column) -> Column:
-    """The value on the latest row by ``order`` (deterministic "first row")."""
-    return F.max_by(value, F.struct(*order))
-
-
 def date_long_key(day: Column, number: Column) -> Column:
     """Exact order-preserving single key for (date, long): ``(days + 10^6) *
     10^20 + (number + 2^63)`` as decimal(38,0). Unlike a struct key it fits a

@@ -1,10 +1,17 @@
-"""Join helpers: keyed dedup, semi/anti joins. No broadcast hints: Spark's size estimates and AQE's measured sizes decide."""
+"""Join helpers: keyed dedup, semi/anti joins, joins that split hot keys.
+
+No broadcast hints but one: the hot keys of ``hot_keys``, whose number has a proven bound.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HOT_PARTS = 1000            # a key is hot with more than one row in so many
+SALTS = 64
+
+
 def dedup_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """U2 keyed / T10: keep one row per key, chosen deterministically: the row
     that sorts first by ``order`` (column names, ascending, NULLs last; default:
@@ -49,3 +56,43 @@ def exists_code_or_wildcard(df: DataFrame, key, codes: DataFrame, wildcard, flag
     joined = df.join(distinct, key == F.col(key_col), "left")
     keep = F.col(key_col).isNotNull() | flags.getField("wildcard") | (key.isNull() & flags.getField("any_code"))
     return joined.where(keep).drop(key_col)
+
+
+def hot_keys(df: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
+    """Keys that hold more than one row in ``parts``; fewer than ``parts`` keys in a table of any size. NULL may be one."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_n") * parts > total).select(key)
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left",
+                     hot: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
+    """``left`` joined to ``right`` on column ``key`` without a task that holds a whole hot key.
+
+    Left rows of a hot key are dealt to ``salts`` groups by the hash of ``spread``
+    (columns that vary inside the key); the right rows of that key are repeated
+    once per group. Left rows without a key match nothing and are dealt out
+    alike, so the rows of a missing id never meet in one task either. ``hot``
+    defaults to ``hot_keys(left, key)``; being fewer than HOT_PARTS rows, it is
+    broadcast. Equal to the plain equality join for any content of the keys."""
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    hot = (hot if hot is not None else hot_keys(left, key)).where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_hot_key"), F.lit(True).alias("_hot")).distinct()
+    dealt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    left = left.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    left = left.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), dealt).otherwise(F.lit(0))).drop("_hot_key", "_hot")
+    groups = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", F.explode(groups)).drop("_hot_key", "_hot")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def left_join_known(left: DataFrame, right: DataFrame, key: str, right_key: str, spread: Column, salts: int = SALTS) -> DataFrame:
+    """Left join on ``key = right_key`` whose left rows without a key are spread over ``salts`` groups instead of one.
+
+    They match nothing, so nothing of the right side is repeated."""
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    placed = left.withColumn("_salt", salt)
+    named = right.withColumn("_right_salt", F.lit(0))
+    on = (F.col(key) == F.col(right_key)) & (F.col("_salt") == F.col("_right_salt"))
+    return placed.join(named, on, "left").drop("_salt", "_right_salt")

@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 
 from tradeflow.operators import aggregate as agg
-from tradeflow.plans import customers, funds, sales, star, stock
+from tradeflow.plans import customers, file_queries as files, funds, sales, star, stock
 from tradeflow.plans import operator_queries as ops
 
 D = dt.date
@@ -24,11 +24,14 @@ ORDER_DAY = D(2000, 12, 9)
 EXPIRY_WINDOW = (D(2000, 1, 1), D(2000, 8, 31))
 STOCK_AS_OF = D(2000, 7, 1)
 STOCK_YEAR = 2000
+RERUN_MONTHS = (5, 12)
 FUND_AS_OF = D(2000, 12, 31)
 FUND_FROM_YEAR = 1997
 RETURNS_MIN_YEAR = 1998
 R15_BRANCH, R15_CLASS, R15_YEAR, R15_SEARCH = "1 a 7", "FARMA", 1999, "supplier#0*1"
 LIFECYCLE_SINCE, PREV_YEAR, CUR_YEAR = D(1999, 1, 1), 1999, 2000
+STAR_SINCE = D(1997, 1, 1)          # the exported star reaches further back than the analyses
+GAP_CUSTOMERS = 10
 MATRIX_YEARS = (1999, 2000, 2001)
 CUSTOMER_PATTERN = "CUSTOMER#0*12"
 SALES_SINCE, ORDERS_SINCE, RECEIVABLES_SINCE = D(2000, 1, 1), D(2001, 1, 1), D(2000, 1, 1)
@@ -55,6 +58,10 @@ def _base(t):
     return customers.sales_base(t, LIFECYCLE_SINCE)
 
 
+def _cells(t):
+    return customers.sales_cells(_base(t))
+
+
 QUERIES: dict[str, Callable[..., DataFrame]] = {
     "rep_revenue": lambda t: sales.rep_revenue(t, *REVENUE_WINDOW),
     "telesales_revenue": lambda t: sales.telesales_revenue(t, *REVENUE_WINDOW),
@@ -118,6 +125,17 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "bait_products": lambda t: customers.bait_products(_base(t)),
     "mix_erosion": lambda t: customers.mix_erosion(_base(t), PREV_YEAR, CUR_YEAR),
     "item_month_matrix": lambda t: customers.item_month_matrix(_base(t), MATRIX_YEARS),
+    "category_gap_rows": lambda t: customers.category_gap_of(_cells(t), customers.top_customers(_cells(t), GAP_CUSTOMERS)),
+    "item_months": lambda t: files.item_months_text(t, LIFECYCLE_SINCE),
+    # reports over files that the library wrote
+    "customer_summary_star": lambda t: files.customer_summary_star(t, STAR_SINCE, LIFECYCLE_SINCE),
+    "sales_last_months_star": lambda t: files.sales_last_months_star(t, STAR_SINCE),
+    "excess_stock_incremental": lambda t: files.excess_stock_incremental(t, STOCK_YEAR, RERUN_MONTHS),
+    "rep_revenue_landed": lambda t: files.rep_revenue_landed(t, *REVENUE_WINDOW),
+    "customer_summary_bucketed": lambda t: files.customer_summary_bucketed(t, LIFECYCLE_SINCE),
+    "csv_coercion_report": ops.csv_coercion_report,
+    "customers_by_branch_sketch": lambda t: ops.customers_by_branch_sketch(t, LIFECYCLE_SINCE),
+    "sales_by_customer_salted": ops.sales_by_customer_salted,
     # single operators over whole relations
     "null_safe_ne": ops.null_safe_ne,
     "group_sum_keep_nulls": ops.group_sum_keep_nulls,

@@ -14,11 +14,10 @@ Tables = Mapping[str, DataFrame]
 
 def rep_line_revenue(m) -> Column:
     """Per-line revenue of the rep and telesales reports, rounded to
-    cents before it is summed. IPI and ST are subtracted and added back, so they
-    cancel; a missing quantity counts as 0."""
-    gross = (nvl0(m.punit) + nvl0(m.vloutrasdesp) + nvl0(m.vlfrete_rateio) + nvl0(m.vloutros))
-    net = gross - nvl0(m.vlipi) - nvl0(m.st) - nvl0(m.vlrepasse) + nvl0(m.vlipi) + nvl0(m.st)
-    return F.round(net * nvl0(m.qt), 2)
+    cents before it is summed. The source subtracts IPI and ST and adds them
+    again, so neither occurs here; a missing quantity counts as 0."""
+    added = nvl0(m.vlfrete_rateio) + nvl0(m.vloutros) + nvl0(m.vloutrasdesp)
+    return F.round(nvl0(m.qt) * (nvl0(m.punit) + added - nvl0(m.vlrepasse)), 2)
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:

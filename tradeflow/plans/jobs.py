@@ -10,15 +10,19 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeflow.functions.dates import BR_DATE
 from tradeflow.operators.aggregate import sorted_report
 from tradeflow.plans import funds, sales, star, stock
 from tradeflow.plans.common import Tables
 from tradeflow.sources.csv_br import write_br_csv
-from tradeflow.sources.parquet_io import export_tables
+from tradeflow.sources.parquet_io import drop_partition, replace_partitions
+from tradeflow.sources.star_files import write_star
+from tradeflow.sources.stored import release, store
 
 
 @dataclass
@@ -71,14 +75,39 @@ def run_extracts(tables: Tables, out_root: str, p: ExtractParams, date_format: s
 
 def export_item_matrix(base: DataFrame, years, path: str, customers=()) -> str:
     """The customer x product x month quantity matrix as a pt-BR CSV,
-    largest total first within each customer."""
-    from tradeflow.plans.customers import item_month_matrix
+    largest total first within each customer. ``years=None`` writes a column for every
+    month that occurs; otherwise the months of ``years`` and one column for the rest."""
+    from tradeflow.plans.customers import item_month_columns, item_month_matrix
 
-    matrix = item_month_matrix(base, years, customers)
+    matrix = item_month_columns(base, customers) if years is None else item_month_matrix(base, years, customers)
     write_br_csv(sorted_report(matrix, [("nm_cliente", "asc"), ("TOTAL", "desc"), ("nm_produto", "asc")]), path)
     return path
 
 
 def run_star_schema(tables: Tables, out_root: str, p: ExtractParams) -> dict[str, str]:
-    """The seven dimensions and three facts as Parquet tables."""
-    return export_tables(star.star_schema(tables, p.sales_since, p.orders_since, p.receivables_since), out_root)
+    """The seven dimensions, the three facts by month, and the calendar, as Parquet tables."""
+    return write_star(star.star_schema(tables, p.sales_since, p.orders_since, p.receivables_since), out_root)
+
+
+EXCESS_PARTITIONS = ("ano", "mes")
+
+
+def run_monthly_excess(tables: Tables, path: str, year: int, months: Sequence[int] = stock.ALL_MONTHS) -> None:
+    """Compute the excess stock of some months of a year and replace exactly these months in the output.
+
+    The other months' files are not read or rewritten. A month that has no rows any more loses its old folder. A run
+    that fails leaves the output as it was; a second run gives the same rows. The result is stored before it is
+    written, so the months that it holds are known without computing it twice."""
+    report = store(stock.excess_stock_monthly(tables, year, months).withColumn("ano", F.lit(year)), "excess_months")
+    spark = report.sparkSession
+    held = {r["mes"] for r in report.select("mes").distinct().collect()}           # twelve at most
+    if held:
+        replace_partitions(report, path, EXCESS_PARTITIONS)
+    for month in set(months) - held:
+        drop_partition(spark, path, ano=year, mes=month)
+    release(report)
+
+
+def read_monthly_excess(spark: SparkSession, path: str, year: int) -> DataFrame:
+    """The stored months of one year (only their folders are opened)."""
+    return spark.read.parquet(path).where(F.col("ano") == year).drop("ano")

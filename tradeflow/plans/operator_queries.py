@@ -8,34 +8,29 @@ own against the SQL oracle, on the full tables.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType, IntegerType
 
 from tradeflow.functions import labels
 from tradeflow.functions.dates import BR_DATE, ISO_DATE, lenient_date
 from tradeflow.functions.numeric import br_grouped_text, br_money_text, br_number
 from tradeflow.functions.text import contains_regex
 from tradeflow.operators import aggregate as agg
-from tradeflow.operators.joins import anti_join, dedup_on_key, exists_code_or_wildcard
+from tradeflow.operators.joins import anti_join, dedup_on_key, exists_code_or_wildcard, salted_left_join
 from tradeflow.plans import funds, star, stock
+from tradeflow.plans.customers import SALES_COLUMNS
 from tradeflow.plans.common import Tables
-from tradeflow.session import ensure_checkpoint_dir
-from tradeflow.sources.csv_br import read_br_csv, write_br_csv
+from tradeflow.sources.csv_br import read_br_csv, read_br_csv_counted, write_br_csv
 from tradeflow.sources.parquet_io import read_columns, write_parquet
+from tradeflow.sources.schemas import REPORT_SCHEMAS, declared
+from tradeflow.sources.stored import scratch_path, store
 
 
 def _spark(tables: Tables) -> SparkSession:
     return getattr(tables, "spark", None) or SparkSession.getActiveSession()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-
-
 def _product_supplier(tables: Tables) -> DataFrame:
     p = tables["pcprodut"].alias("p")
     f = tables["pcfornec"].alias("f")
@@ -196,32 +191,13 @@ def lenient_dates(tables: Tables) -> DataFrame:
     return v.select("numverba", text.alias("texto"), lenient_date(text).alias("data"))
 
 
-LEDGER_FILE_SCHEMA = StructType([
-    StructField("CODIGOFILIAL", IntegerType()), StructField("CLASSIFICACAO", StringType()),
-    StructField("DATACADASTRO", DateType()), StructField("CODIGOFORNECEDOR", LongType()),
-    StructField("FORNECEDOR", StringType()), StructField("CODCOMPRADOR", LongType()),
-    StructField("COMPRADOR", StringType()), StructField("CODIGOCONTA", LongType()),
-    StructField("NUMEROVERBA", LongType()), StructField("NUMNOTA", LongType()),
-    StructField("NUMEROTRANSVENDA", LongType()), StructField("DATAVENCIMENTO", DateType()),
-    StructField("REFERENCIA", StringType()), StructField("REFERENCIA1", StringType()),
-    StructField("SITUACAO", StringType()), StructField("VALOR_VERBA", DecimalType(18, 2)),
-    StructField("VALORAPLICADO", DecimalType(28, 2)), StructField("ESTORNOAPLIC", StringType()),
-    StructField("VALORDEBITO", DecimalType(28, 6)), StructField("VALORCREDITO", DecimalType(28, 6)),
-    StructField("ESTORNOVERBA", StringType()),
-])
-
-
 def csv_roundtrip(tables: Tables) -> DataFrame:
     """S3 then S2: the fund ledger written as a pt-BR CSV file and read back
     with the declared schema (the analysis layer's input)."""
     spark = _spark(tables)
     path = scratch_path(spark, "fund_ledger_csv")
     write_br_csv(funds.fund_ledger(tables), path)
-    return read_br_csv(spark, path, LEDGER_FILE_SCHEMA)
-
-
-SALES_FILE_COLUMNS = ["COD_FILIAL", "DATA_MOVIMENTACAO", "NUM_PEDIDO", "COD_VENDEDOR", "COD_SUPERVISOR",
-                      "COD_CLIENTE", "COD_PRODUTO", "QT_VENDIDA", "VALOR_LIQUIDO", "ORIGEM_PEDIDO"]
+    return read_br_csv(spark, path, REPORT_SCHEMAS["fund_ledger"])
 
 
 def parquet_roundtrip(tables: Tables, since) -> DataFrame:
@@ -230,7 +206,7 @@ def parquet_roundtrip(tables: Tables, since) -> DataFrame:
     spark = _spark(tables)
     path = scratch_path(spark, "fato_venda")
     write_parquet(star.fato_venda(tables, since), path)
-    return read_columns(spark, path, SALES_FILE_COLUMNS)
+    return read_columns(spark, path, SALES_COLUMNS)
 
 
 def range_join_trailing_sales(tables: Tables, year: int) -> DataFrame:
@@ -242,3 +218,45 @@ def range_join_trailing_sales(tables: Tables, year: int) -> DataFrame:
         first - dt.timedelta(days=stock.SALES_WINDOW_DAYS), dt.date(year, 12, 1)))
     m = m.withColumn("ref", F.explode(stock._months_after(F.col("dtmov"), stock.SALES_WINDOW_DAYS, year)))
     return m.groupBy(F.month("ref").alias("mes"), "codfilial", "codprod").agg(F.sum("qt").alias("qtd_vendas_90d"))
+
+
+def sales_by_customer_salted(tables: Tables) -> DataFrame:
+    """J3/U2 with hot keys: all movements, half of them on customer 1 and a tenth without a customer, joined to the
+    customer names by the salted join and summed per name."""
+    moved = tables["pcmov"].select("numped", "codprod", "numlote", "qt", F.when(F.col("numped") % 2 == 0, 1).when(
+        F.col("numped") % 5 > 0, F.col("codcli")).cast("bigint").alias("codcli"))
+    named = salted_left_join(moved, tables["pcclient"].select("codcli", "cliente"), "codcli", F.struct("numped", "codprod", "numlote"))
+    return named.groupBy("cliente").agg(F.sum("qt").alias("qt"), F.count(F.lit(1)).alias("linhas"))
+
+
+SKETCH_ERROR = 0.05     # three standard errors of a sketch of 2^12 registers
+
+
+def customers_by_branch_sketch(tables: Tables, since) -> DataFrame:
+    """A7 with mergeable sketches: one sketch of the customers per branch and month is stored; the sketches of a year are
+    united without the rows and compared with the exact count (``dentro_do_erro``: no more than SKETCH_ERROR off)."""
+    sales = star.fato_venda(tables, since).select(
+        F.col("cod_filial").alias("codfilial"), F.year("data_movimentacao").alias("ano"), F.month("data_movimentacao").alias("mes"), "cod_cliente")
+    stored = store(agg.distinct_sketches(sales, ["codfilial", "ano", "mes"], "cod_cliente"), "customer_sketches")
+    year = agg.distinct_of_sketches(stored, ["codfilial", "ano"], name="estimated").join(
+        stored.groupBy("codfilial", "ano").agg(F.sum("n_rows").alias("linhas")), ["codfilial", "ano"])
+    exact = sales.select("codfilial", "ano", "cod_cliente").distinct().groupBy("codfilial", "ano").agg(F.count("cod_cliente").alias("clientes"))
+    return year.join(exact, ["codfilial", "ano"]).select(
+        "codfilial", "ano", "linhas", "clientes",
+        (F.abs(F.col("estimated") - F.col("clientes")) <= F.greatest(F.lit(1.0), F.col("clientes") * SKETCH_ERROR)).alias("dentro_do_erro"))
+
+
+def csv_coercion_report(tables: Tables) -> DataFrame:
+    """What the lenient reader made of a CSV file: per column the rows, the filled fields and those that became
+    NULL because they did not parse. The file holds funds with impossible dates, words for amounts and codes with a
+    letter; the counts are taken while the file is read, not in a pass of their own."""
+    spark, k = _spark(tables), F.col("numverba")
+    day = F.when(k % 7 == 0, "31/02/2000").when(k % 11 != 0, F.date_format("dtcadastro", BR_DATE))
+    amount = F.when(k % 5 == 0, "n/d").when(k % 13 != 0, br_grouped_text(F.col("valor")))
+    code = F.when(F.col("codfornec") % 3 == 0, F.concat(F.lit("F"), F.col("codfornec").cast("string"))).otherwise(F.col("codfornec").cast("string"))
+    path = scratch_path(spark, "fund_texts_csv")
+    write_br_csv(tables["pcverba"].select("numverba", day.alias("dtcadastro"), amount.alias("valor"), code.alias("codfornec")), path)
+    schema = declared("numverba bigint, dtcadastro date, valor decimal(18,2), codfornec bigint")
+    rows, coercions = read_br_csv_counted(spark, path, schema)
+    write_parquet(rows, scratch_path(spark, "fund_texts"))            # the pass that is counted
+    return coercions.report()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions import labels
 from tradeflow.functions.dates import as_date
-from tradeflow.functions.numeric import greatest_null_strict, nvl0
+from tradeflow.functions.numeric import greatest_null_strict, half_up_ratio, nvl0
 from tradeflow.plans.common import Tables
 
 # Fixed values of the stock reports.
@@ -21,6 +22,7 @@ NO_SALES_COVER = 9999
 EXCLUDED_DEPARTMENTS = ("IMOBILIZADO", "ESTOQUE DE INSUMOS", "MATERIAIS DE CONSUMO")
 LOT_ONE = "1"
 PICKING_ADDRESS = "AP"
+OTHER_CLASS = labels.CLASS_SPELLINGS["title"][2]
 
 
 def last_entry_cost(tables: Tables) -> DataFrame:
@@ -86,9 +88,7 @@ def excess_stock(tables: Tables, as_of) -> DataFrame:
         F.col("f.fornecedor").alias("fornecedor"), F.col("f.codcomprador").alias("cod_comprador"),
         F.col("e.custoultent").alias("valor_ultima_entrada"), F.col("ep.nome").alias("comprador"),
     ).agg(F.sum("e.qtestger").alias("qtd_total_estoque"), F.sum("e.qtgirodia").alias("qtd_giro_dia"))
-    cover = F.round(F.when(F.col("qtd_giro_dia") > 0,
-                           F.col("qtd_total_estoque").cast("decimal(20,0)") / F.col("qtd_giro_dia").cast("decimal(20,0)"))
-                    .otherwise(F.lit(0)), 2)
+    cover = F.when(F.col("qtd_giro_dia") > 0, half_up_ratio(F.col("qtd_total_estoque"), F.col("qtd_giro_dia"), 2)).otherwise(F.lit(0))
     stock = stock.withColumn("cobertura", cover).withColumn(
         "classificacao", labels.supplier_class(F.col("class_code"), "title"))
 
@@ -100,13 +100,15 @@ def excess_stock(tables: Tables, as_of) -> DataFrame:
     value = F.round(F.col("qtd_total_estoque") * F.col("valor_ultima_entrada"), 2)
     cov = F.col("cobertura")
     is_new = F.col("n_codfilial").isNotNull() & F.col("n_codprod").isNotNull()
-    # (value / cover) * (cover - target) written with one division at the end so
-    # that no intermediate quotient is rounded.
+    # (value / cover) * (cover - target), rounded once and exactly
+    def beyond(target: int) -> Column:
+        return half_up_ratio(value * (cov - target), cov, 2)
+
     raw_excess = (F.when(is_new, F.lit(0))
                   .when(sold == 0, F.lit(0))
                   .when(cov.isNull() | (cov == 0), F.lit(0))
-                  .when(F.col("classificacao") == "Farma", value * (cov - PHARMA_COVER_DAYS) / cov)
-                  .when(F.col("classificacao") == "HB", value * (cov - BEAUTY_COVER_DAYS) / cov)
+                  .when(F.col("classificacao") == "Farma", beyond(PHARMA_COVER_DAYS))
+                  .when(F.col("classificacao") == "HB", beyond(BEAUTY_COVER_DAYS))
                   .otherwise(F.lit(0)))
     days_with_stock = F.lit(SALES_WINDOW_DAYS) - zeros
     return r.select(
@@ -119,38 +121,42 @@ def excess_stock(tables: Tables, as_of) -> DataFrame:
         sold.cast("double").alias("qtd_vendas_90d"),
         zeros.alias("qtd_dias_zerados"),
         value.cast("double").alias("valor_estoque"),
-        F.round(F.when(days_with_stock <= 0, F.lit(None)).otherwise(sold / days_with_stock), 2)
-        .cast("double").alias("giro_medio_corrigido"),
-        F.round(greatest_null_strict(F.lit(0), raw_excess), 2).cast("double").alias("valor_excedente"),
+        F.when(days_with_stock > 0, half_up_ratio(sold, days_with_stock, 2)).cast("double").alias("giro_medio_corrigido"),
+        greatest_null_strict(F.lit(0), raw_excess).cast("double").alias("valor_excedente"),
         labels.flag_when_null(F.col("n_codfilial"), labels.NO_PT, labels.YES_PT).alias("is_produto_novo"),
         F.col("data_primeira_compra"),
     )
 
 
-def _months_after(day: Column, horizon_days: int, year: int) -> Column:
+ALL_MONTHS = tuple(range(1, 13))
+
+
+def _months_after(day: Column, horizon_days: int, year: int, months: Sequence[int] = ALL_MONTHS) -> Column:
     """Month starts m of ``year`` with ``day < m <= day + horizon`` — the months
     whose trailing window ``[m - horizon, m)`` contains ``day`` (J4 as explode)."""
     first = F.add_months(F.trunc(day, "month"), 1)
-    months = F.sequence(first, F.date_add(day, horizon_days), F.expr("interval 1 month"))
-    return F.filter(months, lambda m: F.year(m) == year)
+    starts = F.sequence(first, F.date_add(day, horizon_days), F.expr("interval 1 month"))
+    return F.filter(starts, lambda m: (F.year(m) == year) & F.month(m).isin(*months))
 
 
-def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
-    """Excess stock on the 1st of each month of ``year``, all months in one job.
+def excess_stock_monthly(tables: Tables, year: int, months: Sequence[int] = ALL_MONTHS) -> DataFrame:
+    """Excess stock on the 1st of each of ``months`` of ``year`` (default: all twelve), all in one job.
 
     The reference runs one query per month against a one-row date relation and a
     range predicate. Here each fact row is exploded to the (at most four) month
     starts whose trailing window contains it, so every aggregate is keyed by
     (branch, product, month) and joined on that key: no calendar join, no
     sequential loop."""
-    first_month = dt.date(year, 1, 1)
-    last_month = dt.date(year, 12, 1)
+    starts = [dt.date(year, m, 1) for m in sorted(set(months))]
+    if not starts:
+        raise ValueError("no month asked for")
+    first_month, last_month = starts[0], starts[-1]
     hist = tables["pchistest"]
 
     def windowed(df: DataFrame, day_col: str, horizon: int) -> DataFrame:
         lo = first_month - dt.timedelta(days=horizon)
         return (df.where((F.col(day_col) >= lo) & (F.col(day_col) < last_month))
-                  .withColumn("ref", F.explode(_months_after(F.col(day_col), horizon, year)))
+                  .withColumn("ref", F.explode(_months_after(F.col(day_col), horizon, year, months)))
                   .withColumn("mes", F.month("ref")))
 
     # Days without stock are filtered before the explode: the others would count 0.
@@ -164,7 +170,7 @@ def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
                    F.col("mes").alias("n_mes")))
 
     # Position on the 1st of each month (J5: equality with the month start).
-    snap = hist.where(F.col("data").isin(*[dt.date(year, m, 1) for m in range(1, 13)])).alias("he")
+    snap = hist.where(F.col("data").isin(*starts)).alias("he")
     joined = _product_attributes(tables, snap, "he.codprod").where(
         ~F.upper(F.trim(F.col("dep.descricao"))).isin(*EXCLUDED_DEPARTMENTS))
     pos = joined.select(
@@ -186,14 +192,13 @@ def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
     sold = nvl0(F.col("qtd_vendas_90d"))
     zeros = nvl0(F.col("qtd_dias_zerados"))
     days = F.lit(SALES_WINDOW_DAYS) - zeros
-    days_or_null = F.nullif(days, F.lit(0))
 
     def excess_for(target: int) -> Column:
-        # (qty - sold / days * target) * cost, with one division at the end.
-        return (qty * days_or_null - sold * target) * cost / days_or_null
+        # (qty - sold / days * target) * cost, rounded once and exactly (T24); NULL without a day in stock
+        return half_up_ratio((qty * days - sold * target) * cost, days, 2)
 
     raw_excess = (F.when(F.col("n_codprod").isNotNull(), F.lit(0))
-                  .when(sold == 0, qty * cost)
+                  .when(sold == 0, F.round(qty * cost, 2))
                   .when(F.col("classificacao") == "Farma", excess_for(PHARMA_COVER_DAYS))
                   .when(F.col("classificacao") == "HB", excess_for(BEAUTY_COVER_DAYS))
                   .otherwise(F.lit(0)))
@@ -203,52 +208,46 @@ def excess_stock_monthly(tables: Tables, year: int) -> DataFrame:
         cost.cast("double").alias("valor_ultima_entrada"), qty.alias("qtd_total_estoque"),
         sold.cast("double").alias("qtd_vendas_90d"), zeros.alias("qtd_dias_zerados"),
         F.round(qty * cost, 2).cast("double").alias("valor_estoque"),
-        F.round(F.when(days <= 0, F.lit(0)).otherwise(sold / days), 4).cast("double").alias("vmd_corrigida"),
-        F.round(greatest_null_strict(F.lit(0), raw_excess), 2).cast("double").alias("valor_excedente"),
+        F.when(days <= 0, F.lit(0)).otherwise(half_up_ratio(sold, days, 4)).cast("double").alias("vmd_corrigida"),
+        greatest_null_strict(F.lit(0), raw_excess).cast("double").alias("valor_excedente"),
         labels.flag_when_null(F.col("n_codprod"), labels.NO_PT, labels.YES_PT).alias("is_produto_novo"),
         "mes")
 
 
 def near_expiry_rows(tables: Tables, start, end, with_lot: bool = False) -> DataFrame:
     """Stock by address whose expiry falls in [start, end], with the quantity
-    rule of the near-expiry extracts (lot table, lot-1 correlated sum J11).
-
-    The product-branch table is joined on product only, as in the source; the
-    caller's DISTINCT removes those copies (T6)."""
-    s = tables["pcestendereco"].alias("s")
-    e = tables["pcendereco"].alias("e")
-    p = tables["pcprodut"].alias("p")
-    pf = tables["pcprodfilial"].alias("pf")
-    f = tables["pcfornec"].alias("f")
-    si = tables["pcestenderecoi"].alias("si")
-    es = tables["pcest"].alias("es")
-    lot1 = (tables["pcestenderecoi"].where(F.col("numlote") == LOT_ONE)
-            .groupBy("codprod", "codendereco", "dtval").agg(F.sum("qt").alias("lot1_qt")).alias("l1"))
-    j = (s.where(F.col("s.qt") > 0)
-          .join(e, F.col("s.codendereco") == F.col("e.codendereco"), "inner")
-          .join(p, F.col("s.codprod") == F.col("p.codprod"), "inner")
-          .join(pf, F.col("p.codprod") == F.col("pf.codprod"), "inner")
-          .join(f, F.col("p.codfornec") == F.col("f.codfornec"), "inner")
-          .join(si, (F.col("s.codendereco") == F.col("si.codendereco")) & (F.col("s.codprod") == F.col("si.codprod")), "left")
-          .join(es, (F.col("es.codprod") == F.col("p.codprod")) & (F.col("es.codfilial") == F.col("e.codfilial")), "left"))
-    expiry = F.coalesce(F.col("si.dtval"), F.col("s.dtval"))
-    j = j.where(expiry.between(as_date(start), as_date(end)))
-    j = j.join(lot1, (F.col("l1.codprod") == F.col("s.codprod")) & (F.col("l1.codendereco") == F.col("s.codendereco"))
-               & (F.col("l1.dtval") == F.col("si.dtval")), "left")
-    qt = (F.when(F.col("si.qt").isNotNull() & (F.col("p.estoqueporlote") == "S"), nvl0(F.col("si.qt")))
-          .when(F.col("si.dtval").isNotNull() & F.col("si.qt").isNotNull()
-                & (F.col("pf.estoquepordtvalidadepk") == "S") & (F.col("si.numlote") == LOT_ONE)
-                & (F.col("e.tipoender") == PICKING_ADDRESS), nvl0(F.col("l1.lot1_qt")))
-          .otherwise(nvl0(F.col("s.qt"))))
-    cols = [F.col("e.codfilial").alias("codfilial"),
-            labels.supplier_class(F.col("f.classificacao"), "title").alias("classificacao"),
-            F.col("f.fornecedor").alias("fornecedor"), F.col("s.codprod").alias("codprod"),
-            F.col("p.descricao").alias("descricao")]
-    if with_lot:
-        cols.append(F.col("si.numlote").alias("numlote"))
-    cols += [qt.alias("qt"), F.round(F.col("es.custoultent"), 2).alias("valor_ultima_entrada"),
-             expiry.alias("data_validade")]
-    return j.select(*cols).where((F.col("classificacao") != "Outros") & (F.col("qt") > 0))
+    rule of the near-expiry extracts (lot table, lot-1 sum J11).
+
+    The two stock tables meet first and the expiry range is applied before any
+    master is joined, so the masters see the expiring rows only. A product's
+    date-control flags are made distinct before they are joined: the source joins
+    the product-branch table on the product alone, which repeats a row once per
+    branch, and the caller's DISTINCT removes those copies again (T6)."""
+    first, last = as_date(start), as_date(end)
+    lots = tables["pcestenderecoi"]
+    one = F.col("numlote") == LOT_ONE
+    same_lot = (lots.where(one & F.col("dtval").between(first, last)).groupBy("codprod", "codendereco", "dtval")
+                .agg(F.sum("qt").alias("lot_one_qt")))
+    lots = lots.select("codprod", "codendereco", "numlote", F.col("dtval").alias("lot_expiry"), F.col("qt").alias("lot_qt"))
+    expiring = (tables["pcestendereco"].where(F.col("qt") > 0).join(lots, ["codprod", "codendereco"], "left")
+                .withColumn("data_validade", F.coalesce("lot_expiry", "dtval"))
+                .where(F.col("data_validade").between(first, last)).drop("dtval"))
+    expiring = expiring.join(same_lot.withColumnRenamed("dtval", "lot_expiry"), ["codprod", "codendereco", "lot_expiry"], "left")
+
+    suppliers = (tables["pcfornec"].select("codfornec", "fornecedor", labels.supplier_class(F.col("classificacao"), "title").alias("classificacao"))
+                 .where(F.col("classificacao") != OTHER_CLASS))
+    products = (tables["pcprodut"].select("codprod", "descricao", "codfornec", "estoqueporlote").join(suppliers, "codfornec")
+                .join(tables["pcprodfilial"].select("codprod", "estoquepordtvalidadepk").distinct(), "codprod"))
+    costs = tables["pcest"].select("codprod", "codfilial", F.round("custoultent", 2).alias("valor_ultima_entrada"))
+    rows = (expiring.join(tables["pcendereco"], "codendereco").join(products, "codprod")
+            .join(costs, ["codprod", "codfilial"], "left"))
+    counted = F.col("lot_qt").isNotNull()
+    by_date = (F.col("lot_expiry").isNotNull() & (F.col("estoquepordtvalidadepk") == "S") & (F.col("numlote") == LOT_ONE)
+               & (F.col("tipoender") == PICKING_ADDRESS))
+    quantity = (F.when(counted & (F.col("estoqueporlote") == "S"), F.col("lot_qt"))
+                .when(counted & by_date, nvl0(F.col("lot_one_qt"))).otherwise(F.col("qt")))
+    keys = ["codfilial", "classificacao", "fornecedor", "codprod", "descricao"] + (["numlote"] if with_lot else [])
+    return rows.select(*keys, quantity.alias("qt"), "valor_ultima_entrada", "data_validade").where(F.col("qt") > 0)
 
 
 def near_expiry(tables: Tables, start, end) -> DataFrame:

@@ -12,13 +12,15 @@ doubled on both sides; NULL is an empty field and an empty text is ``""``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, DoubleType, FloatType, StringType, StructType,
+from pyspark.sql.types import (DataType, DateType, DecimalType, DoubleType, FloatType, StringType, StructType,
                                TimestampType)
 
 from tradeflow.functions.dates import BR_DATE, ISO_DATE, lenient_date
 from tradeflow.functions.numeric import br_number
+from tradeflow.sources.parquet_io import has_files
+from tradeflow.sources.schemas import MissingInput, empty
 
 SEP = ";"
 QUOTING = {"sep": SEP, "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
@@ -55,35 +57,88 @@ def write_br_csv(df: DataFrame, path: str, date_format: str = ISO_DATE, mode: st
     out.write.mode(mode).options(**QUOTING, nullValue="", emptyValue='""').csv(path)
 
 
-def read_br_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
-    """Read a pt-BR CSV into ``schema`` leniently (bad values -> NULL).
-
-    ``multi_line`` keeps line breaks inside quoted texts; each part file is then
-    read by one task, so it is off unless the texts can hold them."""
+def _raw(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     raw = (spark.read.options(**QUOTING, encoding="UTF-8", inferSchema=False, multiLine=multi_line,
                               nullValue=UNUSED_NULL, emptyValue="").csv(path))
     rename = {c: c.lstrip(BOM) for c in raw.columns if c.startswith(BOM)}
-    if rename:
-        raw = raw.withColumnsRenamed(rename)
-    cols = []
-    for f in schema.fields:
-        if f.name not in raw.columns:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))        # P19 optional column
-            continue
-        c = F.col(f.name)
-        t = f.dataType
-        if isinstance(t, DecimalType):
-            c = br_number(c, t.simpleString())
-        elif isinstance(t, (DoubleType, FloatType)):
-            c = br_number(c, "decimal(38,10)").cast(t)
-        elif isinstance(t, DateType):
-            c = lenient_date(c)
-        elif isinstance(t, StringType):
-            c = c
-        else:
-            c = c.try_cast(t)
-        cols.append(c.alias(f.name))
-    return raw.select(*cols)
+    return raw.withColumnsRenamed(rename) if rename else raw
+
+
+def _parsed(text: Column, kind: DataType) -> Column:
+    if isinstance(kind, DecimalType):
+        return br_number(text, kind.simpleString())
+    if isinstance(kind, (DoubleType, FloatType)):
+        return br_number(text, "decimal(38,10)").cast(kind)
+    if isinstance(kind, DateType):
+        return lenient_date(text)
+    return text if isinstance(kind, StringType) else text.try_cast(kind)
+
+
+def read_br_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False, missing: str = "error") -> DataFrame:
+    """Read a pt-BR CSV into ``schema`` leniently (bad values -> NULL).
+
+    ``multi_line`` keeps line breaks inside quoted texts; each part file is then
+    read by one task, so it is off unless the texts can hold them. ``missing``
+    says what a path without files is (S10): ``"error"`` (MissingInput) or
+    ``"empty"``, no rows in the declared schema; so is a folder without a file."""
+    guard = _guard(spark, path, schema, missing)
+    if guard is not None:
+        return guard
+    raw = _raw(spark, path, multi_line)
+    return raw.select(*[(_parsed(F.col(f"`{f.name}`"), f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                        for f in schema.fields])                      # P19: a column that the file lacks is NULL
+
+
+def _guard(spark: SparkSession, path: str, schema: StructType, missing: str) -> DataFrame | None:
+    if missing not in ("error", "empty"):
+        raise ValueError(f"missing must be 'error' or 'empty', not {missing!r}")
+    if has_files(spark, path):
+        return None
+    if missing == "error":
+        raise MissingInput(f"no CSV file at {path}")
+    return empty(spark, schema)
+
+
+class Coercions:
+    """Counts of a counted read, ready once the frame has been written or otherwise run through: per column the rows, the
+    fields that held something and those that became NULL."""
+
+    def __init__(self, spark: SparkSession, observation: Observation | None, columns: list[str]):
+        self.spark, self.observation, self.columns = spark, observation, columns
+
+    def counts(self) -> list[tuple[str, int, int, int]]:
+        got = self.observation.get if self.observation is not None else {}
+        return [(c, got.get("n", 0), got.get(f"filled_{i}", 0), got.get(f"lost_{i}", 0)) for i, c in enumerate(self.columns)]
+
+    def report(self) -> DataFrame:
+        """One row per column: coluna, linhas, preenchidas, anuladas."""
+        return self.spark.createDataFrame(self.counts(), "coluna string, linhas long, preenchidas long, anuladas long")
+
+    def alarms(self, share: float = 1.0) -> list[str]:
+        """Columns that lost ``share`` or more of their filled fields (the default: all of them)."""
+        return [c for c, _, filled, lost in self.counts() if filled and lost >= share * filled]
+
+
+def read_br_csv_counted(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False,
+                        missing: str = "error") -> tuple[DataFrame, Coercions]:
+    """``read_br_csv`` and the counts of what it coerced, observed in the pass that uses the rows (no extra scan).
+
+    The counts belong to the first action that runs the frame to its end."""
+    names = [f.name for f in schema.fields]
+    guard = _guard(spark, path, schema, missing)
+    if guard is not None:
+        return guard, Coercions(spark, None, names)
+    raw = _raw(spark, path, multi_line)
+    texts = {f.name: F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string") for f in schema.fields}
+    both = raw.select(*[F.struct(texts[f.name].alias("t"), _parsed(texts[f.name], f.dataType).cast(f.dataType).alias("v")).alias(f.name)
+                        for f in schema.fields])
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("n")]
+    for i, n in enumerate(names):
+        filled = F.col(f"`{n}`")["t"].isNotNull() & (F.col(f"`{n}`")["t"] != "")
+        metrics += [F.count_if(filled).alias(f"filled_{i}"), F.count_if(filled & F.col(f"`{n}`")["v"].isNull()).alias(f"lost_{i}")]
+    observed = both.observe(seen, *metrics)
+    return observed.select(*[F.col(f"`{n}`")["v"].alias(n) for n in names]), Coercions(spark, seen, names)
 
 
-__all__ = ["write_br_csv", "read_br_csv", "to_br_text", "BR_DATE", "ISO_DATE"]
+__all__ = ["write_br_csv", "read_br_csv", "read_br_csv_counted", "Coercions", "to_br_text", "BR_DATE", "ISO_DATE"]

@@ -9,12 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _file_system(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    fs, location = _file_system(spark, path)
+    return bool(fs.exists(location))
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is a file, or a folder with a file that is not hidden (``_SUCCESS``, ``.crc``)."""
+    fs, location = _file_system(spark, path)
+    if not fs.exists(location):
+        return False
+    return any(s.isDirectory() or not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(location))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of its file system, if it is there."""
+    fs, location = _file_system(spark, path)
+    fs.delete(location, True)
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str],
@@ -36,26 +53,24 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str],
     return df.select(*cols)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A missing input is an empty result with the declared schema."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace-if-exists Parquet write, snappy compressed."""
-    writer = df.write.mode("overwrite").option("compression", "snappy")
+    """Replace-if-exists Parquet write, snappy compressed: the whole output is replaced, all partitions of it."""
+    writer = df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def export_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
-    """Write each named table to ``root/<name>.parquet``; returns the paths."""
-    out = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}.parquet"
-        write_parquet(df, path)
-        out[name] = path
-    return out
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` holds and leave every other one as it is (dynamic partition overwrite).
+
+    The new files are staged and moved in place when the job commits, so a failed run leaves the old partitions.
+    A partition for which ``df`` has no row is not touched: delete it with ``drop_partition``. The rebalance hint
+    groups a partition's rows into few files and splits a large one."""
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").option("compression", "snappy")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
+def drop_partition(spark: SparkSession, path: str, **values) -> None:
+    """Delete one partition's folder, given as ``column=value`` in the order of the partition columns."""
+    delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={v}" for c, v in values.items()]]))
