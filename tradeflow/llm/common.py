@@ -37,6 +37,19 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hand rows to the Python workers in Arrow batches of ``BATCH_BYTES`` (and one row) at most.
+
+    Spark's own bound is 64 MB a batch, held by the JVM and by the worker. A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = int(spark.conf.get(name).rstrip("bB"))
+    if held <= 0 or held > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,6 +60,17 @@ def texts(docs: DataFrame, *extra: str) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"), *[F.col(c) for c in extra])
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """(_row, _id, _hash): each row whole, as one struct that no other name can clash with, its id and its text's hash (NULL as empty)."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_hash"))
+
+
+def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of the boxed rows, in order; ``changed`` ones instead of their own, if the rows have them."""
+    return rows.select(*[changed.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def fold(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (NULL id: as the empty text)."""
     key = F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))

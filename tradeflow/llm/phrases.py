@@ -31,10 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, discard, materialise, table
+from .common import LOWER, UPPER, bound_batches, discard, materialise, table
 
 MIN_COUNT, DEPTH, TOP = 30, 4, 2000
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 19
 BYTES_AT_ONCE = 1 << 20
 SCORE_SCALE, COVERED = 2_000_000, 80
 TOP_SALTS = 64
@@ -51,6 +51,22 @@ SUMS = "shard long, bucket int, places array<bigint>, prefixes array<bigint>, su
 BUCKET_PHRASES = 1 << 22              # a bucket has no more phrases than this on average
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes as their largest needs, compressed."""
+    top = int(numbers.max(initial=0))
+    width = 2 if top < 1 << 16 else 4 if top < 1 << 31 else 8
+    raw = numbers.astype(f"<u{width}").tobytes()
+    return bytes([width]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed[9:], int.from_bytes(packed[1:9], "little"), codec="zstd", asbytes=True), f"<u{packed[0]}")
+
+
+def _array(batch: pa.RecordBatch, i: int, name: str, kind=np.int32) -> np.ndarray:
+    return _unpacked(batch[name][i].as_py()).astype(kind)
+
+
 # ---- shards of word ids ----
 
 def _tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -82,7 +98,7 @@ class _Shard:
         counts = np.bincount(ids, minlength=len(self.ids))[1:]
         words = [w.decode("utf-8", "replace") for w in self.ids][1:]
         return pa.RecordBatch.from_arrays(
-            [pa.array([shard]), pa.array([self.lang]), pa.array([ids.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())),
+            [pa.array([shard]), pa.array([self.lang]), pa.array([_packed(ids)], pa.binary()), pa.array([words], pa.list_(pa.string())),
              pa.array([counts.tolist()], pa.list_(pa.int64()))], ["shard", "lang", "ids", "words", "counts"])
 
 
@@ -168,7 +184,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Both transforms of each shard over its frequent words alone."""
     for batch in batches:
         for i in range(batch.num_rows):
-            ids = np.frombuffer(batch["ids"][i].as_buffer(), np.int32)
+            ids = _array(batch, i, "ids")
             places, grams = batch["places"][i].values.to_numpy(), batch["grams"][i].values.to_numpy()
             order = np.argsort(places)
             symbols = np.zeros(max(int(ids.max(initial=0)), int(places.max(initial=0))) + 1, np.int32)
@@ -176,8 +192,8 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = symbols[ids]
             s = np.r_[np.int32(0), s[(s > 0) | np.r_[True, s[:-1] > 0]], np.int32(0)]     # one break for many
             yield pa.RecordBatch.from_arrays(
-                [pa.array([batch["shard"][i].as_py()]), pa.array([batch["lang"][i].as_py()]), pa.array([transform(s).tobytes()], pa.binary()),
-                 pa.array([transform(s[::-1]).tobytes()], pa.binary()), pa.array([grams[order].astype(np.int64).tobytes()], pa.binary())],
+                [pa.array([batch["shard"][i].as_py()]), pa.array([batch["lang"][i].as_py()]), pa.array([_packed(transform(s))], pa.binary()),
+                 pa.array([_packed(transform(s[::-1]))], pa.binary()), pa.array([_packed(grams[order])], pa.binary())],
                 ["shard", "lang", "forward", "backward", "grams"])
 
 
@@ -235,15 +251,11 @@ def _by_bucket(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> tuple[np
 
 def _write(prefix: np.ndarray, suffix: np.ndarray, counts: np.ndarray) -> bytes:
     """One compressed block of sorted phrases; prefixes as differences."""
-    numbers = np.concatenate([np.diff(prefix, prepend=0), suffix, counts])
-    wide = len(numbers) and int(numbers.max()) >= 1 << 31
-    raw = numbers.astype("<i8" if wide else "<i4").tobytes()
-    return bytes([8 if wide else 4]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return _packed(np.concatenate([np.diff(prefix, prepend=0), suffix, counts]))
 
 
 def _read(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = pa.decompress(block[9:], int.from_bytes(block[1:9], "little"), codec="zstd", asbytes=True)
-    numbers = np.frombuffer(raw, f"<i{block[0]}").astype(np.int64).reshape(3, -1)
+    numbers = _unpacked(block).astype(np.int64).reshape(3, -1)
     return np.cumsum(numbers[0]), numbers[1], numbers[2]
 
 
@@ -299,12 +311,8 @@ def _chosen(batch: pa.RecordBatch, i: int, name: str, buckets: int, found: tuple
     return _Step(lo[places], back[places], n[places], np.concatenate([np.array(a["ids"], np.int64) for a in answers]))
 
 
-def _array(batch: pa.RecordBatch, i: int, name: str, kind) -> np.ndarray:
-    return np.frombuffer(batch[name][i].as_buffer(), kind)
-
-
 def _pairs_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
-    bwt, words = _array(batch, i, "forward", np.int32), _array(batch, i, "grams", np.int64)
+    bwt, words = _array(batch, i, "forward"), _array(batch, i, "grams", np.int64)
     lo, n = _word_intervals(bwt, len(words))
     return _Step(lo, lo, n, words).longer(bwt, True, words)
 
@@ -325,7 +333,7 @@ def _find_triples(buckets: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 pairs = _chosen(batch, i, "pairs", buckets, _pairs_of(batch, i))
-                prefix, suffix, _, _, n = pairs.longer(_array(batch, i, "backward", np.int32), False)
+                prefix, suffix, _, _, n = pairs.longer(_array(batch, i, "backward"), False)
                 yield _blocks(batch["shard"][i].as_py(), prefix, suffix, n, buckets)
     return find
 
@@ -336,8 +344,8 @@ def _find_quadruples(buckets: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 pairs = _chosen(batch, i, "pairs", buckets, _pairs_of(batch, i))
-                triples = _chosen(batch, i, "triples", buckets, pairs.longer(_array(batch, i, "backward", np.int32), False))
-                prefix, suffix, _, _, n = triples.longer(_array(batch, i, "forward", np.int32), True)
+                triples = _chosen(batch, i, "triples", buckets, pairs.longer(_array(batch, i, "backward"), False))
+                prefix, suffix, _, _, n = triples.longer(_array(batch, i, "forward"), True)
                 yield _blocks(batch["shard"][i].as_py(), prefix, suffix, n, buckets)
     return find
 
@@ -386,6 +394,8 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_W
     shard grows beyond ``shard_words`` until the next piece end. Repeated rows
     count each time. An empty table gives empty results.
     """
+    spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     shards = materialise(texts.where("text <> ''").mapInArrow(_shards(shard_words), SHARD), "phrase-shards")
     listed = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select(
@@ -399,7 +409,6 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, shard_words: int = SHARD_W
     index = materialise(shards.select("shard", "lang", "ids").join(own, "shard").mapInArrow(_index, INDEX), "phrase-index")
     discard(shards)
 
-    spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_PHRASES))
     found = index.select("shard", "forward", "grams").mapInArrow(_find_pairs(buckets), BLOCKS)
     pairs = _summed(found, min_count, buckets, "phrase-pairs")
