@@ -12,7 +12,7 @@ a very frequent history is spread over ``SALTS`` parts by the following word.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, materialise, table, texts
+from .common import bound_batches, fold, materialise, table, texts
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"                      # the end token; no word holds white space
@@ -69,14 +69,15 @@ class Vocabulary:
     """Codes and hashes of the words of one stretch of texts."""
 
     def __init__(self):
-        self.codes: dict[bytes, int] = {}
+        self.codes: defaultdict[bytes, int] = defaultdict()
+        self.codes.default_factory = self.codes.__len__     # a new word has the next number
         self.parts: list[np.ndarray] = []
         self.lengths: list[int] = []
         self.size = 0
 
     def add(self, raw: bytes) -> None:
-        words, codes = words_of(raw), self.codes
-        self.parts.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), dtype=np.int32, count=len(words)))
+        words = words_of(raw)
+        self.parts.append(np.fromiter(map(self.codes.__getitem__, words), dtype=np.int32, count=len(words)))
         self.lengths.append(len(words))
         self.size += len(words)
 
@@ -105,7 +106,10 @@ def pack_key(part: np.ndarray, follower: np.ndarray) -> np.ndarray:
 def _bits(keys: np.ndarray, level: int, kind: int, size: int | np.ndarray, k: int) -> np.ndarray:
     """Bit number of the ``k``-th hash of entry (key, kind, level) in a bucket of ``size`` bits."""
     seed = (kind << 56) + level * 0x9E3779B97F4A7C15 + k * 0xD6E8FEB86659FD93
-    return mix(keys + _U64(seed % (1 << 64))) % np.asarray(size, dtype=np.uint64)
+    hashed, size = mix(keys + _U64(seed % (1 << 64))), np.asarray(size, dtype=np.uint64)
+    if size.size and int(size.max()) >> 32:
+        return hashed % size
+    return (hashed >> _U64(32)) * size >> _U64(32)         # the upper half as a share of the size
 
 
 BIGRAM, COUNT, FOLLOWERS = 1, 2, 3
@@ -305,6 +309,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     NULL and empty texts are the end token alone. Equal rows are scored
     separately; without training rows every word is unknown.
     """
+    bound_batches(docs.sparkSession)
     learn = docs.where(training)
     vocabulary = materialise(word_counts(learn).select("word", "n", F.xxhash64("word").alias("h")), "vocabulary")
     stats = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds"),
