@@ -1,17 +1,21 @@
 """Decontamination, PII, packing, pipeline, independence of the subpackage."""
+import collections
 import hashlib
 import os
 import random
 import re
+import shutil
 import subprocess
 import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tradeflow.llm import decontamination, packing, pii
+from tradeflow.llm.common import materialise
 
 from .conftest import LONG, ROWS
 
@@ -155,6 +159,42 @@ def test_best_cuts_by_brute_force():
         subsets = [[p for k, p in enumerate(positions[:-1]) if mask >> k & 1] + [positions[-1]] for mask in range(1 << (len(positions) - 1))]
         best = min(c for c in map(cost, subsets) if c is not None)
         assert cost(packing.best_cuts(positions, penalties, capacity, True)) == best
+        # more tokens follow: the cheapest state whose open window can still be extended; 0 if the start is one
+        open_states = [p for p in positions if p > positions[-1] - capacity]
+        reached = [cost(sorted(p for k, p in enumerate(positions) if mask >> k & 1)) for mask in range(1, 1 << len(positions))
+                   if max(p for k, p in enumerate(positions) if mask >> k & 1) in open_states]
+        assert cost(packing.best_cuts(positions, penalties, capacity, False)) == min(c for c in reached if c is not None)
+
+
+def queued_cuts(positions, penalties, capacity, last):
+    """The recurrence cut by cut, with the queue itself."""
+    queue, back, values = collections.deque([(0, 0, -1)]), [], []
+    for at, (j, penalty) in enumerate(zip(positions, penalties)):
+        while queue[0][1] < j - capacity:
+            queue.popleft()
+        back.append(queue[0][2])
+        values.append(queue[0][0] + capacity - j + penalty)
+        while queue and queue[-1][0] >= values[-1] + j:
+            queue.pop()
+        queue.append((values[-1] + j, j, at))
+    at = len(positions) - 1
+    if not last:
+        at = min((k for k in range(len(positions)) if positions[k] > positions[-1] - capacity), key=lambda k: (values[k], -k))
+    cuts = []
+    while at >= 0:
+        cuts.append(positions[at])
+        at = back[at]
+    return cuts[::-1]
+
+
+def test_best_cuts_equal_the_queue():
+    rng = random.Random(11)
+    for _ in range(200):
+        capacity, step = rng.randint(2, 60), rng.randint(1, 9)
+        positions = np.cumsum([rng.randint(1, min(step, capacity)) for _ in range(rng.randint(1, 400))]).tolist()
+        penalties = [rng.choice([0, 0, 4, 24, rng.randint(0, 3 * capacity)]) for _ in positions]
+        for last in (True, False):
+            assert packing.best_cuts(positions, penalties, capacity, last) == queued_cuts(positions, penalties, capacity, last)
 
 
 def test_pipeline(llm):
@@ -173,16 +213,56 @@ def test_pipeline(llm):
     assert corpus_pipeline.run(llm, SF).count() == pieces.count()
 
 
+def test_pipeline_stages_keep_clashing_columns(llm, docs, bench, tmp_path):
+    import corpus_pipeline
+    names = ["_id", "_hash", "_row", "_text", "_lines", "_keep", "_gaps", "_spans", "_masks", "_salt", "words", "fp", "h"]
+    odd = docs.drop("words", "fp", "h").withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for n in names})
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = materialise(stage(llm, kept, str(tmp_path)), name)
+        assert kept.columns == odd.columns and kept.schema["n_chars"].dataType == odd.schema["n_chars"].dataType, name
+    rows = kept.collect()
+    assert rows and all(r[n] == n + ("none" if r.doc_id is None else str(r.doc_id)) for r in rows for n in names)
+    assert corpus_pipeline.STAGES[-1][1](llm, kept, str(tmp_path)).count() >= len(rows)
+    spans = decontamination.decontaminate(odd, bench, remove="spans")
+    assert spans.columns == odd.columns and spans.count() == odd.count()
+
+
+def test_pipeline_of_odd_tables(llm, docs, no_docs, bench, tmp_path):
+    """Nulls, blanks, very long texts, copies and a repeated row; then no row at all."""
+    import corpus_pipeline
+    for name, table in (("some", docs), ("none", no_docs)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        bench.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    pieces = corpus_pipeline.run(llm, str(tmp_path / "some")).collect()
+    ids = collections.Counter(r.doc_id for r in pieces if r.start == 0)
+    assert set(ids) <= {r[0] for r in ROWS} and not {4, 5, 6} & set(ids)          # empty, NULL and blank texts went
+    assert ids[2] == 0 and ids[12] <= 1                                           # an exact copy and a repeated row
+    assert corpus_pipeline.run(llm, str(tmp_path / "none")).count() == 0
+
+
 def test_the_rest_works_without_this_package(tmp_path):
+    """Both folders and the pipeline deleted: the entry module imports, and tests of the rest pass there."""
+    copy = tmp_path / "repo"
+    gone = {os.path.join(ROOT, "tradeflow", "llm"), os.path.join(ROOT, "tests", "llm")}
+    shutil.copytree(ROOT, copy, ignore=lambda folder, names: [
+        n for n in names if os.path.join(folder, n) in gone or n in (".git", "__pycache__", "corpus_pipeline.py", ".pytest_cache")])
+    script = "import __spark_entry__ as e; names = set(e.queries()); assert names == set(e.oracle_sql()) and len(names) > 80, names ^ set(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", script], cwd=copy, check=True, timeout=120)
+    chosen = "test_entry_smoke or test_every_query_has_an_oracle or dim_filial or br_currency or test_lenient_dates or test_bind_values"
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-p", "no:cacheprovider", "-k", chosen], cwd=copy, check=True, timeout=600)
+
+
+def test_a_missing_package_takes_only_these_queries_away():
     script = """
 import sys
 class Gone:
     def find_spec(self, name, *_):
-        if name.startswith("tradeflow.llm") or name == "corpus_pipeline":
-            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+        if name == "xxhash":
+            raise ModuleNotFoundError("No module named 'xxhash'", name=name)
 sys.meta_path.insert(0, Gone())
 import __spark_entry__ as e
-assert len(e.queries()) > 70 and not any(k.startswith("op") and k[2].isdigit() for k in e.queries()) and "pipeline" not in e.queries()
-e.oracle_sql()
+assert len(e.queries()) > 80 and not any(k.startswith("op") and k[2].isdigit() for k in e.queries()) and "pipeline" not in e.queries()
 """
     subprocess.run([sys.executable, "-c", script], cwd=ROOT, check=True, timeout=120)

@@ -2,6 +2,7 @@
 import collections
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -89,6 +90,53 @@ def test_ngram_vectors_are_bound_rotated_letters():
     assert (both[0] == vector).all() and not both[1].any()
 
 
+def plain_vector(text, table):
+    """One rotated, bound letter at a time."""
+    letters = [c if c.isalpha() else " " for c in text.lower()]
+    run = " " + "".join(c for i, c in enumerate(letters) if c != " " or i == 0 or letters[i - 1] != " ") + " "
+    run = re.sub(" +", " ", run)
+    table.rows(np.array([ord(c) for c in run], np.uint32))
+    out = np.zeros(table.dimensions)
+    for trio in zip(run, run[1:], run[2:]):
+        if trio[1] != " " or " " not in (trio[0], trio[2]):
+            out += np.prod([np.roll(table.vectors[table.row_of[ord(c)]], 2 - k) for k, c in enumerate(trio)], axis=0)
+    return out
+
+
+def test_language_id_by_brute_force(llm):
+    rows = [(1, "Der Hund läuft.", "de"), (2, "The dog runs!", "en"), (3, "the CAT", "en"), (4, "Katze 12 Maus", "de"), (5, "", "en"), (6, "dog und Hund", None)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = language_id.Letters(256)
+    expected = {name: sum(plain_vector(t, table) for _, t, lang in rows if lang == name) for name in ("de", "en")}
+    got = language_id.learn(docs, dimensions=256)
+    assert {k: v.tolist() for k, v in got.items()} == {k: v.tolist() for k, v in expected.items()}
+    for r in language_id.identify(docs, got, dimensions=256).collect():
+        vector = plain_vector(rows[r.doc_id - 1][1], table)
+        if not vector.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosine = {k: vector @ v / np.linalg.norm(vector) / np.linalg.norm(v) for k, v in expected.items()}
+        assert r.lang_pred == max(cosine, key=cosine.get) and abs(r.score - max(0.0, max(cosine.values()))) < 1e-5
+
+
+def test_language_counts_of_huge_alphabets():
+    rng = np.random.default_rng(1)
+    base = 1_114_000                                      # every code point a letter of its own: base cubed is near 2^63
+    group, code = np.sort(rng.integers(0, 50, 4000)), rng.integers(base ** 3 - 40, base ** 3, 4000)
+    got = language_id.grouped_counts(group, code, 50, base)
+    small = language_id.grouped_counts(group, code - (base ** 3 - 40), 50, 40)
+    assert all((a == b).all() for a, b in zip(got, (small[0], small[1] + (base ** 3 - 40), small[2])))
+    plain = collections.Counter(zip(group.tolist(), code.tolist()))
+    assert {(g, c): n for g, c, n in zip(*map(np.ndarray.tolist, got))} == plain
+
+
+def test_vectors_do_not_depend_on_the_kinds_held_at_once(monkeypatch):
+    texts = ["the quick brown fox", "", "über den Wolken 123", "x"]
+    whole = language_id.text_vectors(texts, language_id.Letters(64))
+    monkeypatch.setattr(language_id, "KINDS_AT_ONCE", 3)
+    assert (language_id.text_vectors(texts, language_id.Letters(64)) == whole).all()
+
+
 def test_quality_held_out(llm):
     rows = quality.op8_quality(llm, SF).join(llm.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.95
@@ -105,6 +153,39 @@ def test_quality_edge_cases(docs, no_docs):
     assert quality.fit(labelled.where("label = 1")) == 1.0 and quality.fit(labelled.where("false")) == 0.5
 
 
+def test_quality_fit_by_brute_force(llm):
+    """Sums added by Spark over many partitions against covariances taken from the rows."""
+    rng, d = np.random.default_rng(3), len(quality.FEATURES)
+    groups = [rng.normal(size=(60, d)) @ rng.normal(size=(d, d)) + 3, rng.normal(size=(25, d)) * rng.uniform(0.1, 5, d)]
+    rows = [(x.tolist(), k) for k, g in enumerate(groups) for x in g]
+    random.Random(1).shuffle(rows)
+    fitted = quality.fit(llm.createDataFrame(rows, "x array<double>, label int").repartition(7), 0.3, 0.1, 2.0)
+    n = [len(g) for g in groups]
+    covs = [np.cov(g.T, bias=True) for g in groups]
+    pooled = (covs[0] * n[0] + covs[1] * n[1]) / sum(n)
+    centre, scale = np.concatenate(groups).mean(axis=0), np.sqrt(np.diag(pooled))
+    points = rng.normal(size=(40, d)) * 3
+    density = []
+    for g, cov in zip(groups, covs):
+        s = (0.7 * cov + 0.3 * pooled) / np.outer(scale, scale)
+        s = 0.9 * s + 0.1 * np.diag(np.diag(s)) + 1e-4 * np.eye(d)
+        z = (points - g.mean(axis=0)) / scale
+        density.append(-0.5 * np.einsum("ij,jk,ik->i", z, np.linalg.inv(s), z) - 0.5 * np.linalg.slogdet(s)[1])
+    expected = 1 / (1 + np.exp(-((density[1] - density[0]) / 2.0 + math.log(n[1] / n[0]))))
+    assert np.allclose(fitted.scores(points), expected, atol=1e-6) and np.allclose(fitted.centre, centre)
+
+
+@pytest.mark.parametrize("labels, constant", [([], 0.5), ([(1, 1, 0)], 1.0), ([(1, 0, 1), (3, 0, 0)], 0.0), ([(None, 1, 1), (1, None, 1), (3, 7, 0)], 0.5)])
+def test_quality_with_odd_labels(llm, docs, tmp_path, labels, constant):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    llm.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = quality.op8_quality(llm, str(tmp_path)).collect()
+    assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    learnt = [x for x in labels if x[0] is not None and x[1] in (0, 1) and crc(x[0], 5) != 0]
+    if len({x[1] for x in learnt}) < 2:
+        assert {r.score for r in rows} == {constant}
+
+
 def test_discriminant_is_the_density_ratio():
     rng = np.random.default_rng(2)
     d = len(quality.FEATURES)

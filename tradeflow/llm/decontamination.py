@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NON_WORD_CLASS, ascii_lower, copies_back, materialise, split_words, table, texts
+from .common import NON_WORD_CLASS, ascii_lower, boxed, copies_back, materialise, split_words, table, texts, unboxed
 
 WIDTH = 10
 BROADCAST_BYTES = 64 << 20
@@ -90,24 +90,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, rem
     ``remove="documents"`` drops every document with a hit; ``"spans"`` cuts the
     hit words (with the separators after them) out of the text and sets n_chars,
     if there is such a column, to the new length. Documents without a hit stay
-    byte for byte; NULL texts stay NULL.
+    byte for byte; NULL texts stay NULL. Repeated rows stay or go together, an
+    empty table stays empty, texts of any length are read whole, and other
+    columns may have any name.
     """
     found = hits(docs, benchmark, width).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_hash"])
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
+        F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_hit_id", "_hit_hash"])
+    here = F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_hash") == F.col("_hit_hash"))
     if remove == "documents":
-        return docs.join(found.select("_id", "_hash"), here, "left_anti")
+        return unboxed(boxed(docs).join(found.select("_hit_id", "_hit_hash"), here, "left_anti"), docs.columns)
     word = NON_WORD_CLASS.replace("[", "[^", 1)
-    pieces = docs.join(found, here, "left").withColumn("_gaps", F.split("text", word)).withColumn(
-        "_kept", F.regexp_extract_all("text", F.lit(f"({word})"), F.lit(1)))
+    pieces = boxed(docs).join(found, here, "left").withColumn("_gaps", F.split("_row.text", word)).withColumn(
+        "_kept", F.regexp_extract_all("_row.text", F.lit(f"({word})"), F.lit(1)))
     cut = F.transform("_kept", lambda w, i: F.when(
         F.exists("_spans", lambda s: (i >= s["pos"]) & (i < s["pos"] + s["size"])), F.lit("")).otherwise(
             F.concat(w, F.get("_gaps", i + 1))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.get("_gaps", F.lit(0)), F.array_join(cut, "")))
-    out = pieces.withColumn("text", text)
+    text = F.when(F.col("_spans").isNull(), F.col("_row.text")).otherwise(F.concat(F.get("_gaps", F.lit(0)), F.array_join(cut, "")))
+    out, changed = pieces.withColumn("_text", text), {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("_spans").isNull(), F.col("_row.n_chars")).otherwise(
+            F.char_length("_text").cast(docs.schema["n_chars"].dataType))
+    return unboxed(out, docs.columns, **changed)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

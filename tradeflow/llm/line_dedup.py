@@ -15,13 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, texts
+from .common import boxed, materialise, table, texts, unboxed
 from .components import connected_components
 
 EDITS, MIN_CHARS, NEAR_CHARS = 2, 10, 24
 NEAR_WORDS, WORDS_PER_EDIT = 12, 10
 GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are 8 words long at least, below 6
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
+BLANKS = " \t\r"                   # taken off both ends of a line
 LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
 
 
@@ -29,7 +30,7 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, text_hash, pos, line): trimmed lines of at least ``min_chars`` characters, pos from 0."""
     rows = texts(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
     out = rows.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("pos", "line"))
-    return out.withColumn("line", F.trim("line")).where(F.char_length("line") >= min_chars)
+    return out.withColumn("line", F.btrim("line", F.lit(BLANKS))).where(F.char_length("line") >= min_chars)
 
 
 def _identity(line: Column | str) -> list[Column]:
@@ -287,19 +288,18 @@ def drop_repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
         F.sum(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % 32)).alias("mask"))
     masks = masks.groupBy("doc_id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("part", "mask"))).alias("_masks"),
                                                      F.sum(F.bit_count("mask")).alias("_gone"))
-    masks = masks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_masks", "_gone")
-    here = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    rows = docs.join(masks, here, "left")
-    solid = F.size(F.filter(F.split(F.translate("text", "\t\r", "  "), "\n"), lambda x: F.trim(x) != ""))
-    rows = rows.where(F.col("_gone").isNull() | (solid > F.col("_gone"))).withColumn("_lines", F.split("text", "\n"))
+    masks = masks.select(F.col("doc_id").alias("_mask_id"), F.col("text_hash").alias("_mask_hash"), "_masks", "_gone")
+    rows = boxed(docs).join(masks, F.col("_id").eqNullSafe(F.col("_mask_id")) & (F.col("_hash") == F.col("_mask_hash")), "left")
+    solid = F.size(F.filter(F.split("_row.text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+    rows = rows.where(F.col("_gone").isNull() | (solid > F.col("_gone"))).withColumn("_lines", F.split("_row.text", "\n"))
     rows = rows.withColumn("_parts", F.transform(F.sequence(F.lit(0), F.floor(F.size("_lines") / 32).cast("int")),
                                                  lambda p: F.coalesce(F.try_element_at("_masks", p), F.lit(0).cast("long"))))
     kept = F.filter("_lines", lambda x, i: F.getbit(F.get("_parts", F.floor(i / 32).cast("int")), i % 32) == 0)
     cut = F.col("_masks").isNotNull()
-    out = rows.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    out, changed = rows.withColumn("_text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("_row.text"))), {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(cut, F.char_length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return unboxed(out, docs.columns, **changed)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

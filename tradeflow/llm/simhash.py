@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, texts
+from .common import boxed, materialise, table, texts, unboxed
 from .components import connected_components
 
 SHINGLE_WORDS, MAX_BITS, PIVOTS = 3, 3, 16
@@ -134,16 +134,16 @@ def _components(fps: DataFrame, max_bits: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component, all columns kept: the smallest doc_id (NULL last), then text hash.
 
-    Rows of one id, or without an id, are told apart by their texts; of rows equal in both one stays.
+    Rows of one id, or without an id, are told apart by their texts; of rows equal in both one stays. Empty and NULL
+    texts are one component. Other columns may have any name; an empty table stays empty.
     """
     fps = materialise(fingerprints(docs, width, F.xxhash64("text").alias("text_hash")), "fps")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     keep = fps.join(_components(fps, max_bits).select("fp", "component"), "fp").groupBy("component").agg(F.min(place).alias("p"))
-    keep = keep.select(F.col("p.doc_id").alias("_keep"), F.col("p.text_hash").alias("_hash"))
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    kept = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (text_hash == F.col("_hash")), "left_semi")
+    keep = keep.select(F.col("p.doc_id").alias("_keep"), F.col("p.text_hash").alias("_keep_hash"))
+    kept = boxed(docs).join(keep, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")), "left_semi")
     # equal texts have one component: rows of one id and text are copies
-    return kept.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return unboxed(kept.dropDuplicates(["_id", "_hash"]), docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
