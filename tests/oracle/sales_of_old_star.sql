@@ -1,0 +1 @@
+SELECT 'N/I' AS ORIGEM_PEDIDO, 0 AS COD_SUPERVISOR, ANO, SUM(VALOR_LIQUIDO)::DOUBLE AS VALOR_LIQUIDO, COUNT(*) AS LINHAS FROM sales_base GROUP BY ANO

@@ -81,3 +81,50 @@ def test_no_job_runs_while_a_report_is_built(spark):
         assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
     finally:
         spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+def below(text: str, *marks: str) -> str:
+    """Lines of an optimized plan under the first node that holds all of ``marks``, by indentation."""
+    lines = text.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if all(m in line for m in marks))
+    end = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
+    return "\n".join(lines[at + 1:end])
+
+
+def optimized(spark, name) -> str:
+    return QUERIES[name](spark, SMALL_SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["near_expiry", "near_expiry_product", "near_expiry_lot"])
+def test_expiry_is_filtered_before_the_masters(spark, name):
+    text = optimized(spark, name)
+    under = below(text, "Join", "LeftOuter", "lot_expiry") if "Filter (coalesce(lot_expiry" not in text else below(text, "Filter", "coalesce(lot_expiry")
+    assert "p_name" not in under and "s_name" not in under and "l_quantity" in under
+    # the flags of a product are distinct before they are joined: no row is repeated per branch
+    assert "Aggregate [p_partkey" in text or "Aggregate [codprod" in text
+
+
+def test_fund_fan_out_is_an_explode(spark):
+    text = optimized(spark, "fund_ledger")
+    assert text.count("Generate inline") == 2 and text.count("Union") == 1
+    under = below(text, "Union")
+    assert "Join" not in under and "o_custkey" not in under                 # movements alone, reduced before the fund is joined
+
+
+def test_returns_are_summed_before_the_names(spark):
+    text = optimized(spark, "returns_receivable")
+    sums = [line for line in text.splitlines() if "Aggregate [" in line and "codcli" in line]
+    assert sums, text
+
+
+def test_missing_ids_are_spread_in_the_sales_base(spark):
+    for name, joins in (("customer_summary", 1), ("customer_items", 2)):    # dimensions that a view does not need are pruned
+        assert optimized(spark, name).count("pmod(xxhash64(") >= joins, name
+
+
+def test_monthly_rerun_reads_its_own_months(spark):
+    from tradeflow.plans import stock
+    from tradeflow.sources.erp_fixture import ErpTables
+    text = plan(stock.excess_stock_monthly(ErpTables(spark, SMALL_SF), 2000, [5]))
+    assert "2000-02-01" in text or "2000-02" in text                        # sales from 90 days before the first of May on

@@ -31,9 +31,10 @@ def br_date_text(col: Column) -> Column:
     return F.date_format(col, BR_DATE)
 
 
-def month_start(year: int, month: int) -> Column:
-    """first day of a month."""
-    return F.make_date(F.lit(year), F.lit(month), F.lit(1))
+def month_start(year: int | Column, month: int | Column) -> Column:
+    """first day of a month; NULL for a year or month that is NULL or 0."""
+    year, month = (F.nullif(v if isinstance(v, Column) else F.lit(v), F.lit(0)) for v in (year, month))
+    return F.make_date(year, month, F.lit(1))
 
 
 def year_or_zero(col: Column) -> Column:

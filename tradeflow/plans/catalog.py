@@ -118,7 +118,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "sales_month_year": lambda t: customers.sales_month_year(_base(t)),
     "top_categories": lambda t: customers.top_categories(_base(t)),
     "sales_by_origin": lambda t: customers.sales_by_origin(_base(t)),
-    "customer_summary": lambda t: customers.customer_summary(_base(t)),
+    "customer_summary": lambda t: customers.customer_summary(_base(t), customers.sellers_of(t)),
     "customer_items": lambda t: customers.customer_items(_base(t), CUR_YEAR),
     "category_section_share": lambda t: customers.category_section_share(_base(t)),
     "category_gap": lambda t: customers.category_gap(_base(t)),
@@ -133,6 +133,10 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
     "excess_stock_incremental": lambda t: files.excess_stock_incremental(t, STOCK_YEAR, RERUN_MONTHS),
     "rep_revenue_landed": lambda t: files.rep_revenue_landed(t, *REVENUE_WINDOW),
     "customer_summary_bucketed": lambda t: files.customer_summary_bucketed(t, LIFECYCLE_SINCE),
+    "star_calendar": lambda t: files.star_calendar(t, LIFECYCLE_SINCE),
+    "sales_of_old_star": lambda t: files.sales_of_old_star(t, LIFECYCLE_SINCE),
+    "item_matrix_file": lambda t: files.item_matrix_file(t, LIFECYCLE_SINCE),
+    "returns_positions": lambda t: ops.returns_positions(_aged(t)),
     "csv_coercion_report": ops.csv_coercion_report,
     "customers_by_branch_sketch": lambda t: ops.customers_by_branch_sketch(t, LIFECYCLE_SINCE),
     "sales_by_customer_salted": ops.sales_by_customer_salted,

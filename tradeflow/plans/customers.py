@@ -76,8 +76,7 @@ def sales_base(tables: Tables, since, reps: Sequence[str] = ()) -> DataFrame:
     # The keyed dedup keeps one row per code, so it subsumes the dimensions'
     # DISTINCT: read the two masters directly (one aggregation each).
     clients = tables["pcclient"].select(F.col("codcli").alias("cod_cliente"), F.col("cliente").alias("nm_cliente"))
-    sellers = tables["pcusuari"].select(F.col("codusur").alias("cod_vendedor"), F.col("nome").alias("nm_vendedor"))
-    return _of_reps(label_sales(fact, star.dim_produto(tables).drop("departamento"), clients, sellers), reps)
+    return _of_reps(label_sales(fact, star.dim_produto(tables).drop("departamento"), clients, sellers_of(tables)), reps)
 
 
 def sales_base_of_files(files: StarFiles, since: dt.date | None = None, months: DataFrame | None = None,
@@ -173,14 +172,25 @@ def sales_by_origin(base: DataFrame) -> DataFrame:
     return base.groupBy("ORIGEM_PEDIDO").agg(F.sum("VALOR_LIQUIDO").alias("VALOR_LIQUIDO"))
 
 
-def customer_summary(base: DataFrame) -> DataFrame:
+def rep_names(reps: DataFrame) -> DataFrame:
+    """(rep, VENDEDOR): code and cleaned name of each rep, from (cod_vendedor, nm_vendedor)."""
+    return _clean_dim(reps, "cod_vendedor", ["nm_vendedor"]).select(F.col("cod_vendedor").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR"))
+
+
+def sellers_of(tables: Tables) -> DataFrame:
+    """Rep dimension of the sales base, straight from its relation."""
+    return tables["pcusuari"].select(F.col("codusur").alias("cod_vendedor"), F.col("nome").alias("nm_vendedor"))
+
+
+def customer_summary(base: DataFrame, reps: DataFrame | None = None) -> DataFrame:
     """Per customer: rep shown (the rep of the latest order, A16), lifetime value,
     average ticket per distinct order (A9), last purchase, days of inactivity
     against the latest date of the whole base (F15) and order count (A7).
 
     Two hash aggregations instead of COUNT(DISTINCT): lines -> orders (keyed by
     customer and order, so a hot customer spreads over many tasks), then
-    orders -> customer. The rep is carried as a code and named at the end."""
+    orders -> customer. The rep is carried as a code and named at the end, from ``reps`` (cod_vendedor, nm_vendedor)
+    or, without it, from a second pass over the base."""
     today = _last_day(base)
     orders = base.groupBy("nm_cliente", "NUM_PEDIDO").agg(
         F.sum("VALOR_LIQUIDO").alias("valor"), F.max("DATA_MOVIMENTACAO").alias("dia"),
@@ -188,8 +198,8 @@ def customer_summary(base: DataFrame) -> DataFrame:
     per = orders.groupBy("nm_cliente").agg(
         F.max_by(F.col("rep"), agg.date_long_key(F.col("dia"), F.col("NUM_PEDIDO"))).alias("rep"),
         F.sum("valor").alias("LTV"), F.count(F.lit(1)).alias("PEDIDOS"), F.max("dia").alias("ULTIMA_COMPRA"))
-    names = base.select(F.col("COD_VENDEDOR").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR")).distinct()
-    out = per.join(names, "rep", "left").drop("rep")
+    names = rep_names(reps) if reps is not None else base.select(F.col("COD_VENDEDOR").alias("rep"), F.col("nm_vendedor").alias("VENDEDOR")).distinct()
+    out = per.join(names, "rep", "left").drop("rep").withColumn("VENDEDOR", F.coalesce("VENDEDOR", F.lit(labels.NOT_REGISTERED)))
     out = out.withColumn("TICKET_MEDIO", ratio(F.col("LTV"), F.col("PEDIDOS")))
     days = F.datediff(today, F.col("ULTIMA_COMPRA"))
     return out.withColumns({"DIAS_INATIVO": days, "RECENTE": days < RECENCY_DAYS})
@@ -272,16 +282,20 @@ def bait_products(base: DataFrame, n: int = BAIT_SUGGESTIONS) -> DataFrame:
     """Per customer, the first ``n`` missing categories (alphabetical) with
     their best-selling product as entry product.
 
-    The best-product table (one row per category) is joined without a hint:
-    it is a shuffle stage, so AQE measures it and broadcasts it only under its
-    size threshold, with the shuffle join as the fallback — no extra counting
-    pass over the sales base."""
-    per, domain = _customer_categories(base)
-    gap = F.slice(F.sort_array(F.array_except(domain, F.col("bought"))), 1, n)
-    rows = per.select("nm_cliente", F.posexplode(gap).alias("pos", "categoria"))
-    best = top_product_per_category(base).select("categoria", "nm_produto")
-    return rows.join(best, "categoria", "left").select(
-        "nm_cliente", (F.col("pos") + 1).alias("ORDEM"), "categoria", "nm_produto")
+    Categories are numbered in order. Of a customer who bought k of them, the
+    first n missing numbers lie among the first n + k, so a row holds the
+    customer's own numbers only, never the whole domain. The numbered best
+    products (one row per category) are joined without a hint: a shuffle stage
+    that AQE measures and broadcasts only under its size threshold."""
+    pairs = base.select("nm_cliente", "categoria").distinct()
+    numbered = pairs.select("categoria").distinct().withColumn("_number", F.row_number().over(Window.orderBy("categoria")))
+    last = numbered.select(F.max("_number")).scalar()
+    per = pairs.join(numbered, "categoria").groupBy("nm_cliente").agg(F.collect_list("_number").alias("_own"))
+    first = F.sequence(F.lit(1), F.least(F.size("_own") + n, last))
+    gap = F.slice(F.sort_array(F.array_except(first, F.col("_own"))), 1, n)
+    rows = per.select("nm_cliente", F.posexplode(gap).alias("pos", "_number"))
+    best = top_product_per_category(base).select("categoria", "nm_produto").join(numbered, "categoria")
+    return rows.join(best, "_number").select("nm_cliente", (F.col("pos") + 1).alias("ORDEM"), "categoria", "nm_produto")
 
 
 def mix_erosion(base: DataFrame, prev_year: int, cur_year: int, n: int | None = TOP_EROSION,
@@ -369,7 +383,7 @@ def lifecycle_views(tables: Tables, since, prev_year: int, cur_year: int, matrix
         "sales_month_year": sales_month_year(cells),
         "top_categories": top_categories(cells),
         "sales_by_origin": sales_by_origin(cells),
-        "customer_summary": customer_summary(base),
+        "customer_summary": customer_summary(base, sellers_of(tables)),
         "customer_items": customer_items(cells, cur_year),
         "category_section_share": category_section_share(cells),
         "category_gap": category_gap(cells),

@@ -8,9 +8,11 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from tradeflow.plans import customers, jobs, sales, star
 from tradeflow.plans.common import Tables
+from tradeflow.sources.csv_br import csv_header, read_br_csv
 from tradeflow.sources.erp_tables import ErpParquetTables, land
 from tradeflow.sources.star_files import StarFiles, write_star
 from tradeflow.sources.stored import scratch_path, store_bucketed
@@ -31,7 +33,8 @@ def exported_star(tables: Tables, since: dt.date) -> StarFiles:
 
 def customer_summary_star(tables: Tables, exported_since: dt.date, since: dt.date) -> DataFrame:
     """R17 over exported files (S4): the customer summary of the sales since a date; older months stay unopened."""
-    return customers.customer_summary(customers.sales_base_of_files(exported_star(tables, exported_since), since))
+    files = exported_star(tables, exported_since)
+    return customers.customer_summary(customers.sales_base_of_files(files, since), files.table("dim_vendedor"))
 
 
 def sales_last_months_star(tables: Tables, exported_since: dt.date, n: int = 12) -> DataFrame:
@@ -64,7 +67,8 @@ def rep_revenue_landed(tables: Tables, start, end) -> DataFrame:
 
 def customer_summary_bucketed(tables: Tables, since: dt.date) -> DataFrame:
     """R17's summary over a base stored in buckets of customers: neither of its two groupings by customer shuffles."""
-    return customers.customer_summary(store_bucketed(customers.sales_base(tables, since), "sales_base", "nm_cliente"))
+    base = store_bucketed(customers.sales_base(tables, since), "sales_base", "nm_cliente")
+    return customers.customer_summary(base, customers.sellers_of(tables))
 
 
 def item_months_text(tables: Tables, since: dt.date) -> DataFrame:
@@ -72,3 +76,30 @@ def item_months_text(tables: Tables, since: dt.date) -> DataFrame:
     rows = customers.item_months(customers.sales_base(tables, since))
     text = F.transform(F.map_entries("MESES"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("decimal(38,2)").cast("string")))
     return rows.select("nm_cliente", "nm_produto", F.array_join(text, ";").alias("MESES"), "TOTAL")
+
+
+def star_calendar(tables: Tables, since: dt.date) -> DataFrame:
+    """The exported calendar (F10): every month that has sales, its number and its first day."""
+    return exported_star(tables, since).table("dim_calendario")
+
+
+def sales_of_old_star(tables: Tables, since: dt.date) -> DataFrame:
+    """A star whose sales fact was written without supervisor and order origin, read with their defaults, per origin."""
+    spark = _spark(tables)
+    root = scratch_path(spark, "old_star")
+    write_star({"fato_venda": star.fato_venda(tables, since).drop("cod_supervisor", "origem_pedido"), "dim_produto": star.dim_produto(tables),
+                "dim_cliente": star.dim_cliente(tables), "dim_vendedor": star.dim_vendedor(tables)}, root)
+    base = customers.sales_base_of_files(StarFiles(spark, root))
+    return base.groupBy("ORIGEM_PEDIDO", "COD_SUPERVISOR", "ANO").agg(F.sum("VALOR_LIQUIDO").alias("VALOR_LIQUIDO"), F.count(F.lit(1)).alias("LINHAS"))
+
+
+def item_matrix_file(tables: Tables, since: dt.date) -> DataFrame:
+    """The item matrix written as a pt-BR CSV with a column per month that occurs, read back and turned into rows
+    again (the cells that are not zero)."""
+    spark = _spark(tables)
+    path = jobs.export_item_matrix(customers.sales_base(tables, since), None, scratch_path(spark, "item_matrix.csv"))
+    header = csv_header(spark, path)
+    months = [c for c in header if c not in ("nm_cliente", "nm_produto", "TOTAL")]
+    schema = StructType([StructField(c, StringType() if c.startswith("nm_") else DecimalType(28, 2)) for c in header])
+    cells = read_br_csv(spark, path, schema).unpivot(["nm_cliente", "nm_produto"], months, "MES", "QT_VENDIDA")
+    return cells.where(F.col("QT_VENDIDA") != 0)

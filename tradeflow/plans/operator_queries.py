@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions import labels
-from tradeflow.functions.dates import BR_DATE, ISO_DATE, lenient_date
+from tradeflow.functions.dates import ISO_DATE, br_date_text, lenient_date
 from tradeflow.functions.numeric import br_grouped_text, br_money_text, br_number
 from tradeflow.functions.text import contains_regex
 from tradeflow.operators import aggregate as agg
@@ -186,7 +186,7 @@ def lenient_dates(tables: Tables) -> DataFrame:
     strictly per format; invalid ones become NULL."""
     v = tables["pcverba"].select("numverba", "dtcadastro")
     text = (F.when(F.col("numverba") % 7 == 0, F.concat(F.lit("31/02/"), F.year("dtcadastro").cast("string")))
-            .when(F.col("numverba") % 2 == 0, F.date_format("dtcadastro", BR_DATE))
+            .when(F.col("numverba") % 2 == 0, br_date_text(F.col("dtcadastro")))
             .otherwise(F.date_format("dtcadastro", ISO_DATE)))
     return v.select("numverba", text.alias("texto"), lenient_date(text).alias("data"))
 
@@ -251,7 +251,7 @@ def csv_coercion_report(tables: Tables) -> DataFrame:
     NULL because they did not parse. The file holds funds with impossible dates, words for amounts and codes with a
     letter; the counts are taken while the file is read, not in a pass of their own."""
     spark, k = _spark(tables), F.col("numverba")
-    day = F.when(k % 7 == 0, "31/02/2000").when(k % 11 != 0, F.date_format("dtcadastro", BR_DATE))
+    day = F.when(k % 7 == 0, "31/02/2000").when(k % 11 != 0, br_date_text(F.col("dtcadastro")))
     amount = F.when(k % 5 == 0, "n/d").when(k % 13 != 0, br_grouped_text(F.col("valor")))
     code = F.when(F.col("codfornec") % 3 == 0, F.concat(F.lit("F"), F.col("codfornec").cast("string"))).otherwise(F.col("codfornec").cast("string"))
     path = scratch_path(spark, "fund_texts_csv")
@@ -260,3 +260,14 @@ def csv_coercion_report(tables: Tables) -> DataFrame:
     rows, coercions = read_br_csv_counted(spark, path, schema)
     write_parquet(rows, scratch_path(spark, "fund_texts"))            # the pass that is counted
     return coercions.report()
+
+
+def returns_positions(returns_status: DataFrame) -> DataFrame:
+    """The place of each return in its branch, in the order of the extract (due date ascending, payment date
+    descending with open titles first) and in the order of the analysis (value descending, class ascending, NULLs last)."""
+    tie = [F.col(c).asc_nulls_last() for c in ("CODFORNEC", "DTEMISSAO", "VALOR_VERBA_DEVOLUCAO", "COMPRADOR", "DATA_VENCIMENTO", "DATA_PAGAMENTO")]
+    extract = agg.report_order([("DATA_VENCIMENTO", "asc"), ("DATA_PAGAMENTO", "desc")], nulls="oracle")
+    analysis = agg.report_order([("DATA_PAGAMENTO", "desc"), ("VALOR_VERBA_DEVOLUCAO", "desc"), ("CLASSIFICACAO", "asc")], nulls="pandas")
+    place = lambda order: F.row_number().over(Window.partitionBy("FILIAL").orderBy(*order, *tie))
+    return returns_status.select("FILIAL", "CODFORNEC", "DTEMISSAO", "DATA_VENCIMENTO", "DATA_PAGAMENTO", "VALOR_VERBA_DEVOLUCAO",
+                                 place(extract).alias("lugar_extrato"), place(analysis).alias("lugar_analise"))

@@ -64,6 +64,11 @@ def _raw(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     return raw.withColumnsRenamed(rename) if rename else raw
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a pt-BR CSV."""
+    return _raw(spark, path, False).columns
+
+
 def _parsed(text: Column, kind: DataType) -> Column:
     if isinstance(kind, DecimalType):
         return br_number(text, kind.simpleString())
@@ -141,4 +146,4 @@ def read_br_csv_counted(spark: SparkSession, path: str, schema: StructType, mult
     return observed.select(*[F.col(f"`{n}`")["v"].alias(n) for n in names]), Coercions(spark, seen, names)
 
 
-__all__ = ["write_br_csv", "read_br_csv", "read_br_csv_counted", "Coercions", "to_br_text", "BR_DATE", "ISO_DATE"]
+__all__ = ["csv_header", "write_br_csv", "read_br_csv", "read_br_csv_counted", "Coercions", "to_br_text", "BR_DATE", "ISO_DATE"]

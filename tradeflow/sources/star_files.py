@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tradeflow.functions.dates import month_or_zero, year_or_zero
+from tradeflow.functions.dates import month_or_zero, month_start, year_or_zero
 from tradeflow.sources.parquet_io import path_exists, write_parquet
 from tradeflow.sources.schemas import STAR_OPTIONAL, STAR_SCHEMAS, MissingInput, conform, empty
 
@@ -54,7 +54,7 @@ def write_star(tables: Mapping[str, DataFrame], root: str, calendar_of: str = "f
         out[CALENDAR] = _path(root, CALENDAR)
         write_parquet(months.select(
             YEAR, MONTH, partition_index(F.col(YEAR), F.col(MONTH)).alias("indice"),
-            F.when(F.col(YEAR) > 0, F.make_date(YEAR, MONTH, F.lit(1))).alias("primeiro_dia")), out[CALENDAR])
+            month_start(F.col(YEAR), F.col(MONTH)).alias("primeiro_dia")), out[CALENDAR])
     return out
 
 
