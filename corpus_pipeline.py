@@ -13,10 +13,13 @@ from tradeflow.llm import decontamination, language_id, line_dedup, packing, sim
 from tradeflow.llm.common import bound_batches, fold, materialise, ship, table
 
 
+BATCH_BYTES = 2 << 20
+
+
 def _ready(spark: SparkSession) -> None:
     """The package at the workers, and small batches: a stage starts in workers that still hold what the one before left."""
     ship(spark)
-    bound_batches(spark)
+    bound_batches(spark, BATCH_BYTES)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

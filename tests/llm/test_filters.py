@@ -76,6 +76,62 @@ def test_pii_finds_by_context(llm):
     assert all(got[i].spans == got[i].base_spans and len(got[i].spans) == 1 for i in range(4))
 
 
+def plain_patterns(edges, totals, least, confidence):
+    trusted = {(i, k): 1.0 for _, i, k, _ in edges if k}
+    before = None
+    while True:
+        hits, seen = collections.Counter(), collections.defaultdict(set)
+        for p, i, _, n in edges:
+            for (j, kind), trust in trusted.items():
+                if i == j and p in totals:
+                    hits[p, kind] += n * trust
+                    seen[p, kind].add(i)
+        best = {}
+        for (p, kind), h in hits.items():
+            c = round(min(h / totals[p], 1.0), 9)
+            if len(seen[p, kind]) >= least and c >= confidence:
+                best[p] = max(best.get(p, (0, "")), (c, kind))
+        if best == before:
+            return {(p, kind, c) for p, (c, kind) in best.items()}
+        before = best
+        trusted = {(i, k): 1.0 for _, i, k, _ in edges if k}
+        for p, i, k, _ in edges:
+            if not k and p in best:
+                c, kind = best[p]
+                trusted[i, kind] = max(c, trusted.get((i, kind), 0))
+
+
+def test_pii_patterns_by_brute_force(llm):
+    # each pattern rises to the trust of the one before over many rounds
+    chain = [(f"p {k}", f"i{k}{j}", "card" if k == 0 else None, 1) for k in range(6) for j in range(3)]
+    chain += [(f"p {k + 1}", f"i{k}{j}", None, 2) for k in range(5) for j in range(3)]
+    rng = random.Random(8)
+    other = {(f"q {rng.randrange(12)}", f"x{rng.randrange(30)}"): (rng.choice(["ip", "card", None, None, None]), rng.randint(1, 3)) for _ in range(150)}
+    edges = chain + [(p, i, kind, n) for (p, i), (kind, n) in other.items()]
+    totals = collections.Counter()
+    for p, _, _, n in edges:
+        totals[p] += n
+    totals = {p: n + rng.choice([0, 0, 3]) for p, n in totals.items() if p != "q 3"}
+    got = pii.confident_patterns(llm.createDataFrame(edges, "pattern string, instance string, kind string, n long"),
+                                 llm.createDataFrame(list(totals.items()), "pattern string, total long"), 3, 0.4)
+    found = {(r.pattern, r.kind): r.confidence for r in got.collect()}
+    expected = {(p, kind): c for p, kind, c in plain_patterns(edges, totals, 3, 0.4)}
+    assert found.keys() == expected.keys() and all(abs(found[k] - c) < 1e-6 for k, c in expected.items())
+    assert ("p 5", "card") in found
+
+
+def test_pii_pattern_counts_by_brute_force(llm, monkeypatch):
+    monkeypatch.setattr(pii, "MARKS", 256)                            # many words share a bit
+    monkeypatch.setattr(pii, "COUNTED_PATTERNS", 5)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefghé") * rng.randint(1, 2) for _ in range(rng.randint(0, 60))).upper() for _ in range(80)] + [None, ""]
+    wanted = ["a b", "aa é", "c c", "zz y", "h a"]
+    got = pii.count_patterns(llm.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4),
+                             llm.createDataFrame([(w,) for w in wanted], "pattern string"))
+    plain = collections.Counter(f"{a} {b}" for t in texts for w in [(t or "").lower().split()] for a, b in zip(w, w[1:]))
+    assert {r.pattern: r.total for r in got.collect()} == {w: plain[w] for w in wanted if plain[w]}
+
+
 def test_pii_edge_cases(docs, no_docs, llm):
     rows = pii.find(docs).collect()
     assert len(rows) == len(ROWS) and pii.find(no_docs).count() == 0

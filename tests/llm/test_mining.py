@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeflow.llm import exact_dedup, hard_negatives, phrases
+from tradeflow.llm.common import bound_batches
 from tradeflow.llm.queries import ORACLE_SQL, QUERIES
 
 from tests.harness import compare, duck_connection
@@ -25,6 +26,18 @@ def test_query_equals_its_sql(llm, name):
     assert got["ok"], got
 
 
+@pytest.mark.parametrize("held, then", [("64m", "8388608"), ("67108864b", "8388608"), ("1g", "8388608"), ("4096k", "4096k"), ("1000", "1000"), ("-1", "8388608")])
+def test_batches_are_bounded(llm, held, then):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = llm.conf.get(name)
+    try:
+        llm.conf.set(name, held)
+        bound_batches(llm)
+        assert llm.conf.get(name) == then
+    finally:
+        llm.conf.set(name, before)
+
+
 # ---- exact dedup ----
 
 def plain_classes(rows):

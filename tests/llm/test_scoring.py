@@ -75,7 +75,9 @@ def test_language_id_edge_cases(docs, no_docs):
     assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
     kept = language_id.keep_identified(docs, prototypes, min_score=0.0)      # texts without a letter go
     assert kept.columns == docs.columns and kept.count() == len(ROWS) - 3
-    assert language_id.keep_identified(docs, prototypes, min_score=2.0).count() == 0
+    assert language_id.keep_identified(docs, prototypes, min_score=2.0, min_letters=0).count() == 0
+    few = language_id.keep_identified(docs, prototypes, min_score=2.0, min_letters=32).collect()
+    assert few and all(0 < sum(map(str.isalpha, r.text)) < 32 for r in few)
     with pytest.raises(Exception, match="more than 1 languages"):
         language_id.learn(docs, max_labels=1)
 
@@ -130,6 +132,18 @@ def test_language_counts_of_huge_alphabets():
     assert {(g, c): n for g, c, n in zip(*map(np.ndarray.tolist, got))} == plain
 
 
+def test_languages_that_were_not_learnt_go(llm):
+    documents = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prototypes = language_id.learn(documents)
+    strange = ["Съешь же ещё этих мягких французских булок да выпей чаю.", "これは日本語の文章です。言語を識別するための例文なので、もう少し長くします。",
+               "Η γρήγορη καφέ αλεπού πηδάει πάνω από το σκυλί", "Zażółć gęślą jaźń, proszę państwa, to jest zdanie"]
+    rows = llm.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(strange)], documents.schema)
+    kept = language_id.keep_identified(documents.unionByName(rows), prototypes)
+    assert kept.where("doc_id < 0").count() == 0
+    lost = documents.join(kept, "doc_id", "left_anti").collect()
+    assert len(lost) <= documents.count() // 500, lost
+
+
 def test_vectors_do_not_depend_on_the_kinds_held_at_once(monkeypatch):
     texts = ["the quick brown fox", "", "über den Wolken 123", "x"]
     whole = language_id.text_vectors(texts, language_id.Letters(64))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +42,36 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return freed memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)             # the C library may have none
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run):
+    """``run`` for ``mapInArrow``, which gives freed memory back after each partition: an idle worker lives on beside the next stage."""
+    @functools.wraps(run)
+    def partition(batches):
+        yield from run(batches)
+        give_back()
+    return partition
+
+
 BATCH_BYTES = 8 << 20
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Hand rows to the Python workers in Arrow batches of ``BATCH_BYTES`` (and one row) at most.
+def bound_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
+    """Hand rows to the Python workers in Arrow batches of ``limit`` bytes (and one row) at most.
 
     Spark's own bound is 64 MB a batch, held by the JVM and by the worker. A smaller setting of the session stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = int(spark.conf.get(name).rstrip("bB"))
-    if held <= 0 or held > BATCH_BYTES:
-        spark.conf.set(name, str(BATCH_BYTES))
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", spark.conf.get(name).strip().lower()).groups()
+    held = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit]
+    if held <= 0 or held > limit:
+        spark.conf.set(name, str(limit))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -41,7 +41,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, broadcast_by
     The windows of the benchmark are broadcast if they take at most
     ``broadcast_bytes``; a larger benchmark is joined by a shuffle on the hash,
     with the same result. Equal rows of ``docs`` keep their number. NULL or
-    empty texts, and an empty benchmark, give no span.
+    empty texts, and an empty benchmark, give no span. Texts of any length are
+    scanned whole; an empty table gives no rows. Only doc_id and text (of the
+    benchmark: item_id and text) are read, so other columns may have any name.
     """
     windows = materialise(item_windows(benchmark, width), "windows")
     stats = windows.agg(F.sum(F.octet_length("window") + 64 + F.size("items") * 24).alias("bytes"),

@@ -116,7 +116,8 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprint(docs: DataFrame, k: int = K, width: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, text, next_text, sketch, next_sketch), one row per document; NULL texts are empty.
 
-    Equal rows stay separate rows, next to each other; a single document is its own next one.
+    Equal rows stay separate rows, next to each other; a single document is its own next one. Texts of any length are
+    sketched whole; an empty table gives no rows. Only doc_id and text are read, so other columns may have any name.
     """
     return with_next(with_sketch(texts(docs), "text", "sketch", k, width), {"next_text": "text", "next_sketch": "sketch"})
 

@@ -14,10 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, texts
+from .common import fold, frugal, table, texts
 
 DIMENSIONS, MAX_LABELS, SLICE_CHARS = 1024, 1024, 1 << 19
-FOLDS, MIN_SCORE = 5, 0.02
+FOLDS = 5
+# Texts in scripts and languages that were not learnt score up to 0.075 (a cosine of random vectors is 0.03 wide), texts of
+# learnt ones from 0.09 on; only with so many letters is a low score told from chance.
+MIN_SCORE, MIN_LETTERS = 0.08, 32
 KINDS_AT_ONCE = 1 << 12               # n-gram vectors held at once: 32 MB for any alphabet
 
 
@@ -196,7 +199,9 @@ def _unit(prototypes: dict[str, np.ndarray], dimensions: int):
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) -> DataFrame:
-    """(doc_id, lang_pred, score), one row per document; texts are read whole, NULL as empty (``und``)."""
+    """(doc_id, lang_pred, score), one row per document; texts of any length are read whole, NULL as empty (``und``).
+
+    Repeated rows stay separate rows; an empty table gives no rows. Only doc_id and text are read."""
     names, matrix = _unit(prototypes, dimensions)
 
     def run(batches):
@@ -209,11 +214,11 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
 
 
 def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_score: float = MIN_SCORE,
-                    dimensions: int = DIMENSIONS) -> DataFrame:
-    """``docs`` without the documents that language ID rejects, all columns as they are.
+                    dimensions: int = DIMENSIONS, min_letters: int = MIN_LETTERS) -> DataFrame:
+    """``docs`` without the documents that language ID rejects, all columns as they are, whatever their names.
 
-    Rejected: no letter at all (also NULL and empty texts), or a cosine below
-    ``min_score`` with every language.
+    Rejected: no letter at all (also NULL and empty texts), or ``min_letters`` letters or more and a cosine below
+    ``min_score`` with every language. Repeated rows stay or go together; an empty table stays empty.
     """
     names, matrix = _unit(prototypes, dimensions)
     columns = docs.columns
@@ -222,8 +227,9 @@ def keep_identified(docs: DataFrame, prototypes: dict[str, np.ndarray], min_scor
         for batch in batches:
             values = [t or "" for t in batch.column("text").to_pylist()]
             labels, scores = predict(values, names, matrix)
-            yield batch.filter(pa.array([k != "und" and s >= min_score for k, s in zip(labels, scores)], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema).select(*columns)
+            keep = [k != "und" and (s >= min_score or sum(map(str.isalpha, t)) < min_letters) for k, s, t in zip(labels, scores, values)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(frugal(run), docs.schema).select(*columns)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -240,7 +240,8 @@ def repeats(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, nea
     differs from every line of the class in that document. Lines shorter than
     ``min_chars`` are never removed (two or three words meet by chance, a copy
     proves nothing), those shorter than ``near_chars`` only as exact copies. Equal rows of ``docs`` count as one document. NULL ids come
-    last among ids.
+    last among ids. NULL and empty texts have no line to remove; texts and lines of any length are read whole; an empty table gives no
+    rows. Only doc_id and text are read, so other columns may have any name.
     """
     docs = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     found = lines(docs, min_chars)

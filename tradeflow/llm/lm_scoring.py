@@ -307,7 +307,9 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     add-one unigram score: counts of frequent words are broadcast (at most HEAD
     words can have a share over 1/HEAD), those of all others are joined.
     NULL and empty texts are the end token alone. Equal rows are scored
-    separately; without training rows every word is unknown.
+    separately; without training rows every word is unknown. Texts of any length
+    are scored whole (a very long one is a stretch of its own). An empty table
+    gives no rows. Only doc_id and text are read, besides what ``training`` uses.
     """
     bound_batches(docs.sparkSession)
     learn = docs.where(training)

@@ -226,7 +226,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     not grow with the partition beyond its longest document. sequence_id is
     unique over partitions (partition number and a counter); a partition run
     anew gives the same rows. NULL and empty texts give a piece of ``end_id``
-    alone (none without an end id). Equal rows are packed separately.
+    alone (none without an end id). Equal rows are packed separately. Texts of any
+    length are packed whole; an empty table gives no rows. Only doc_id and text
+    are read, so other columns may have any name.
     """
     fields = ["doc_id long", "start long", "length long", "ids_crc32 long", "doc_tokens long", "sequence_id long", "offset long"]
     fields += ["ids binary"] * with_ids

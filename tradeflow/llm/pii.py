@@ -2,10 +2,10 @@
 
 Seeds are the spans of four fixed kinds (email, ip, card, phone). A lexical
 pattern is the pair of words before an identifier. Spark scores the graph of
-patterns and instances in rounds: a pattern's confidence in a kind is the share
-of all its occurrences in the corpus, whatever follows, that are followed by
-trusted instances of the kind; an instance's is that of its best pattern.
-Identifier-like tokens behind patterns of high confidence are new finds.
+patterns and instances in rounds, until nothing changes: a pattern's confidence in a kind is
+the share of all its occurrences in the corpus, whatever follows, that are
+followed by trusted instances of the kind; an instance's is that of its best
+pattern. Identifier-like tokens behind patterns of high confidence are new finds.
 """
 
 from __future__ import annotations
@@ -13,16 +13,19 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, texts
+from .common import discard, materialise, table, texts
 
 KINDS = ("email", "ip", "card", "phone")
-MIN_INSTANCES, MIN_CONFIDENCE, ROUNDS = 3, 0.5, 4
+MIN_INSTANCES, MIN_CONFIDENCE, MOST_ROUNDS = 3, 0.5, 1000
 LOCAL, CONTEXT_CHARS, WORD_CHARS = "A-Za-z0-9._%+-", 256, 100
-PATTERN_BLOCK = 1 << 20          # patterns counted against the corpus at once
+MARKS = 1 << 24                  # bits of a map of hashes: 2 MB, whatever the number of patterns
+COUNTED_PATTERNS = 1 << 18       # different patterns a task holds before it sends their counts
 
 # fixed patterns of the four kinds; the email's start is left to ``emails``
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -135,81 +138,108 @@ def extract(docs: DataFrame) -> DataFrame:
              "found array<struct<kind:string,first:int,end:int,pattern:string,instance:string>>")
 
 
-def count_patterns(docs: DataFrame, patterns: DataFrame, block: int = PATTERN_BLOCK) -> DataFrame:
-    """(pattern, total): occurrences of each pattern in all texts, whatever follows it.
+def _marks(values: DataFrame) -> np.ndarray:
+    """Map of MARKS bits with the hash of each value set, put together on Spark; MARKS / 64 numbers reach the driver at most."""
+    place = values.select(F.pmod(F.xxhash64(values.columns[0]), F.lit(MARKS)).alias("p"))
+    words = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
+    out = np.zeros(MARKS // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["w"]] = r["bits"]
+    return out.view(np.uint64)
 
-    Patterns are broadcast ``block`` at a time; ``patterns`` is a written table.
+
+def _marked(marks: np.ndarray, text: str) -> bool:
+    place = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) & (MARKS - 1)
+    return bool(int(marks[place >> 6]) >> (place & 63) & 1)
+
+
+def count_patterns(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, total): occurrences of each of ``patterns`` in all texts, whatever follows it.
+
+    One pass: tasks count the word pairs whose hashes are marked in two maps of fixed size (first words, and pairs) and
+    send sums; pairs that only share a hash with a pattern fall out in the join with the patterns on Spark.
     """
-    spark, out = docs.sparkSession, None
-    numbered = patterns.select("pattern", (F.xxhash64("pattern") % max(1, -(-patterns.count() // (block // 2)))).alias("part"))
-    for (part,) in sorted(numbered.select("part").distinct().collect()):
-        shared = spark.sparkContext.broadcast(
-            {r["pattern"] for r in numbered.where(F.col("part") == part).select("pattern").toLocalIterator()})
-
-        def run(batches, shared=shared):
-            wanted = shared.value
-            firsts = {p.split(" ", 1)[0] for p in wanted}
-            totals: dict[str, int] = {}
-            for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    words = text.lower().split()
-                    for a, b in zip(words, words[1:]):
-                        if a in firsts:
-                            p = f"{a} {b}"
-                            if p in wanted:
-                                totals[p] = totals.get(p, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())],
-                                             names=["pattern", "n"])
-        counted = texts(docs).mapInArrow(run, "pattern string, n long")
-        out = counted if out is None else out.unionByName(counted)
-    if out is None:
-        return spark.createDataFrame([], "pattern string, total long")
-    return out.groupBy("pattern").agg(F.sum("n").alias("total"))
+    spark = docs.sparkSession
+    firsts = spark.sparkContext.broadcast(_marks(patterns.select(F.substring_index("pattern", " ", 1).alias("w")).distinct()))
+    pairs = spark.sparkContext.broadcast(_marks(patterns.select("pattern")))
+
+    def run(batches):
+        first_marks, pair_marks = firsts.value, pairs.value
+        opens: dict[str, bool] = {}
+        totals: dict[str, int] = {}
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], names=["pattern", "n"])
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                words = text.lower().split()
+                for a, b in zip(words, words[1:]):
+                    known = opens.get(a)
+                    if known is None:
+                        if len(opens) >= COUNTED_PATTERNS:
+                            opens.clear()
+                        known = opens[a] = _marked(first_marks, a)
+                    if known:
+                        p = f"{a} {b}"
+                        if p in totals or _marked(pair_marks, p):
+                            totals[p] = totals.get(p, 0) + 1
+                if len(totals) >= COUNTED_PATTERNS:
+                    yield out()
+                    totals.clear()
+        yield out()
+    counted = texts(docs).mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
+    return counted.join(patterns.select("pattern").distinct(), "pattern", "left_semi")
 
 
 def confident_patterns(edges: DataFrame, totals: DataFrame, min_instances: int = MIN_INSTANCES,
-                       min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind, confidence) after at most ``rounds`` rounds over the pattern-instance graph.
+                       min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(pattern, kind, confidence) at the fixed point of the pattern-instance graph.
 
     ``edges``: pattern, instance, kind (of seeds, else NULL), n. A pattern needs
     ``min_instances`` different trusted instances of one kind; repeated copies of
-    one text add none. Only sums and maxima are aggregated, so a frequent pattern
-    or instance is spread over tasks before the shuffle.
+    one text add none. Rounds go on until patterns, kinds and confidences (to 9
+    places) stay the same; trust only grows, so they do. Only sums and maxima are
+    aggregated, so a frequent pattern or instance is spread over tasks before the
+    shuffle.
     """
     graph = materialise(edges.join(totals, "pattern"), "graph")
     seeds = graph.where("kind IS NOT NULL").groupBy("instance", "kind").agg(F.lit(1.0).alias("trust"))
-    trusted, before = seeds, None
-    for _ in range(rounds):
+    trusted, before, patterns = seeds, None, None
+    for _ in range(MOST_ROUNDS):
         scored = (graph.select("pattern", "instance", "n", "total").join(trusted, "instance")
                   .groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("hits"), F.max("total").alias("total"),
                                                   F.count_distinct("instance").alias("instances"))
-                  .select("pattern", "kind", "instances", F.least(F.col("hits") / F.col("total"), F.lit(1.0)).alias("confidence")))
-        patterns = materialise(scored.where((F.col("instances") >= min_instances) & (F.col("confidence") >= min_confidence))
-                               .groupBy("pattern").agg(F.max_by(F.struct("kind", "confidence"), F.struct("confidence", "kind")).alias("best"))
-                               .select("pattern", "best.kind", "best.confidence"), "patterns")
-        n = patterns.count()
-        if n == before or not n:
-            break
-        before = n
+                  .select("pattern", "kind", "instances", F.round(F.least(F.col("hits") / F.col("total"), F.lit(1.0)), 9).alias("confidence")))
+        best = (scored.where((F.col("instances") >= min_instances) & (F.col("confidence") >= min_confidence))
+                .groupBy("pattern").agg(F.max_by(F.struct("kind", "confidence"), F.struct("confidence", "kind")).alias("best")))
+        last, patterns = patterns, materialise(best.select("pattern", "best.kind", "best.confidence"), "patterns")
+        if last is not None:
+            discard(last)
+        state = tuple(patterns.agg(F.count("*"), F.bit_xor(F.xxhash64("pattern", "kind", "confidence"))).first())
+        if state == before or not state[0]:
+            return patterns
+        before = state
         new = (graph.where("kind IS NULL").select("pattern", "instance").join(patterns, "pattern")
                .groupBy("instance", "kind").agg(F.max("confidence").alias("trust")))
         trusted = seeds.unionByName(new).groupBy("instance", "kind").agg(F.max("trust").alias("trust"))
-    return patterns
+    raise RuntimeError(f"patterns did not settle in {MOST_ROUNDS} rounds")
 
 
-def find(docs: DataFrame, min_instances: int = MIN_INSTANCES, min_confidence: float = MIN_CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, min_instances: int = MIN_INSTANCES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(doc_id, base, base_spans, spans), one row per document.
 
     ``base_spans`` and ``spans`` are arrays of (kind, first, end) ordered by
     first, then kind as listed; ``spans`` adds the finds. NULL and empty texts
-    have no span; equal rows stay separate rows with equal spans.
+    have no span; equal rows stay separate rows with equal spans. Texts of any
+    length are read whole; an empty table gives no rows. Only doc_id and text are
+    read, so other columns may have any name.
     """
     rows = materialise(extract(docs).withColumn("row", F.monotonically_increasing_id()), "extracted")
     found = rows.select("row", F.explode("found").alias("c")).select("row", "c.*")
     edges = materialise(found.groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n")), "edges")
     # a pattern of fewer different instances can never be trusted
     wide = materialise(edges.groupBy("pattern").agg(F.count_distinct("instance").alias("k")).where(F.col("k") >= min_instances).select("pattern"), "wide")
-    patterns = confident_patterns(edges, count_patterns(docs, wide), min_instances, min_confidence, rounds)
+    patterns = confident_patterns(edges, count_patterns(docs, wide), min_instances, min_confidence)
     more = (found.where("kind IS NULL").drop("kind").join(patterns, "pattern")
             .groupBy("row").agg(F.collect_set(F.struct("kind", "first", "end")).alias("more")))
     none = F.array().cast("array<struct<kind:string,first:int,end:int>>")

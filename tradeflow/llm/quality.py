@@ -54,7 +54,9 @@ def statistics(raw: bytes) -> list[float]:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, x): statistics of every whole text; a NULL text counts as empty."""
+    """(doc_id, x): statistics of every whole text, of any length; a NULL text counts as empty.
+
+    Repeated rows stay separate rows; an empty table gives no rows. Only doc_id and text are read."""
     def run(batches):
         for batch in batches:
             rows = [statistics(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
