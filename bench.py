@@ -41,16 +41,16 @@ WARM_UP = ["rep_revenue", "excess_stock_monthly", "near_expiry", "fund_ledger",
 
 def dashboards(spark, sf_dir: str) -> dict[str, float]:
     """Multi-view entry points: every view of the dashboard over one
-    checkpointed base (base materialization included in the time)."""
+    stored base (writing the base included in the time)."""
     from tradeflow.plans import customers, funds
     from tradeflow.plans.catalog import (CUR_YEAR, FUND_AS_OF, FUND_FROM_YEAR, LIFECYCLE_SINCE, MATRIX_YEARS,
                                          PREV_YEAR)
 
     out = {}
     for label, build in (
-            ("lifecycle_views_12", lambda t: customers.lifecycle_views(t, LIFECYCLE_SINCE, PREV_YEAR, CUR_YEAR,
+            ("lifecycle_views", lambda t: customers.lifecycle_views(t, LIFECYCLE_SINCE, PREV_YEAR, CUR_YEAR,
                                                                         MATRIX_YEARS)),
-            ("fund_dashboard_7", lambda t: funds.fund_dashboard(t, FUND_AS_OF, FUND_FROM_YEAR))):
+            ("fund_dashboard", lambda t: funds.fund_dashboard(t, FUND_AS_OF, FUND_FROM_YEAR))):
         t0 = time.perf_counter()
         for df in build(ErpTables(spark, sf_dir)).values():
             decimals_to_double(df).write.format("noop").mode("overwrite").save()
