@@ -24,7 +24,7 @@ def test_extract_files_are_written_in_order(spark):
 def test_star_schema_export(spark):
     root = tempfile.mkdtemp(prefix="tf-star-")
     paths = jobs.run_star_schema(ErpTables(spark, SMALL_SF), root, PARAMS)
-    assert len(paths) == 10 and all(os.path.isdir(p) for p in paths.values())
+    assert len(paths) == 11 and all(os.path.isdir(p) for p in paths.values())       # ten tables and the calendar
     assert spark.read.parquet(paths["dim_filial"]).count() == 10
 
 
