@@ -149,7 +149,7 @@ def _marks(values: DataFrame) -> np.ndarray:
 
 
 def _marked(marks: np.ndarray, text: str) -> bool:
-    place = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) & (MARKS - 1)
+    place = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) & (64 * len(marks) - 1)
     return bool(int(marks[place >> 6]) >> (place & 63) & 1)
 
 
