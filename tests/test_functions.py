@@ -71,6 +71,16 @@ def test_lenient_dates(spark):
     assert out == [dt.date(2024, 9, 20), dt.date(2025, 1, 2), None, None, None]
 
 
+def test_lenient_date_tries_one_format_a_row(spark):
+    """A format that cannot match fails by an exception per row: a slash chooses the format."""
+    rows = [("2025-01-02", dt.date(2025, 1, 2)), (" 20/09/2024 ", dt.date(2024, 9, 20)), ("2025/01/02", None), ("20-09-2024", None),
+            ("/", None), ("1/2/2024", None), ("2024-2-1", None)]
+    df = spark.createDataFrame([(t,) for t, _ in rows], "t string").repartition(1)
+    out = df.select(lenient_date(F.col("t")).alias("d"))
+    assert [r.d for r in out.collect()] == [d for _, d in rows]
+    assert "coalesce" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_br_numbers(spark):
     df = spark.createDataFrame([("1.234,56",), ("7,5",), ("",), ("x",), (None,)], "t string")
     out = [r[0] for r in df.select(br_number(F.col("t"))).collect()]

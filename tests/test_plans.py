@@ -128,3 +128,13 @@ def test_monthly_rerun_reads_its_own_months(spark):
     from tradeflow.sources.erp_fixture import ErpTables
     text = plan(stock.excess_stock_monthly(ErpTables(spark, SMALL_SF), 2000, [5]))
     assert "2000-02-01" in text or "2000-02" in text                        # sales from 90 days before the first of May on
+
+
+def test_ledger_arrays_are_built_after_the_shuffle_by_fund(spark):
+    """No array of a fund is begun before its reduced movements lie together."""
+    from tradeflow.plans.funds import fund_movements
+    from tradeflow.sources.erp_fixture import ErpTables
+    lines = fund_movements(ErpTables(spark, SMALL_SF))._jdf.queryExecution().executedPlan().toString().splitlines()
+    last_array = max(i for i, line in enumerate(lines) if "collect_list" in line)
+    first_move = min(i for i, line in enumerate(lines) if "Exchange hashpartitioning(numverba" in line)
+    assert last_array < first_move
