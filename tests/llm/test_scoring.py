@@ -231,3 +231,13 @@ def test_token_counts_edge_cases(docs, no_docs):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in rows) == expected
     assert all(r.over_limit == (r.n_tokens > 10) for r in rows)
     assert token_counts.token_counts(no_docs, path).count() == 0
+
+
+def test_lm_workers_give_memory_back_after_each_stage(docs, monkeypatch):
+    """Counting, gathering and scoring run in workers that live on beside the next stage."""
+    from tradeflow.llm import lm_scoring
+    from tradeflow.llm.common import fold, frugal
+    wrapped = []
+    monkeypatch.setattr(lm_scoring, "frugal", lambda run: wrapped.append(run) or frugal(run))
+    rows = lm_scoring.score(docs, fold("doc_id", 7) != 2).count()
+    assert rows == docs.count() and len(wrapped) == 3

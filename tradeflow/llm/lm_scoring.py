@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound_batches, fold, materialise, table, texts
+from .common import bound_batches, fold, frugal, give_back, materialise, table, texts
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"                      # the end token; no word holds white space
@@ -30,7 +30,7 @@ HOT, SALTS = 512, 64             # histories with a share over 1/HOT are hot: HO
 HEAD = 1 << 17                   # words with a share over 1/HEAD have their exact counts broadcast: HEAD of them at most
 BUCKET_TOKENS = 1 << 21          # training tokens per bucket of the filter
 SEGMENT_BYTES = 128 << 20        # largest single broadcast
-TASK_TOKENS = 1 << 21            # tokens a task holds before it sends their bigrams
+TASK_TOKENS = 1 << 20            # tokens a task holds before it sends their bigrams
 SCORE_TOKENS = 1 << 19           # tokens scored at once
 COUNT_WORDS = 1 << 18            # different words a task holds before it sends their counts
 _U64 = np.uint64
@@ -178,7 +178,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield out(counts)
                     counts.clear()
         yield out(counts)
-    return texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts(docs).mapInArrow(frugal(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def bigram_payloads(docs: DataFrame, hot: set[bytes], bucket_bits: int) -> DataFrame:
@@ -206,7 +206,7 @@ def bigram_payloads(docs: DataFrame, hot: set[bytes], bucket_bits: int) -> DataF
                     vocabulary = Vocabulary()
         if vocabulary.size:
             yield out(vocabulary)
-    return texts(docs).mapInArrow(run, "bucket int, keys binary, counts binary")
+    return texts(docs).mapInArrow(frugal(run), "bucket int, keys binary, counts binary")
 
 
 def build_filter(payloads: DataFrame) -> DataFrame:
@@ -220,6 +220,8 @@ def build_filter(payloads: DataFrame) -> DataFrame:
         bits, entries, rare = build_bucket(keys[starts], np.add.reduceat(counts, starts))
         frame = frame.iloc[:1][["bucket"]].copy()
         frame["bits"], frame["entries"], frame["ones"], frame["twos"] = [bits], entries, rare[0], rare[1]
+        del keys, counts, order, starts
+        give_back()                                     # the worker lives on beside the next stage
         return frame
     return payloads.groupBy("bucket").applyInPandas(run, "bucket int, bits binary, entries long, ones long, twos long")
 
@@ -362,7 +364,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
             yield out(ids, flags, stretch)
 
     marked = texts(docs.withColumn("training", F.coalesce(training, F.lit(False))), "training")
-    scored = marked.mapInArrow(run, "doc_id long, training boolean, n_tokens long, n_head long, head_score double, score double, tail array<bigint>")
+    scored = marked.mapInArrow(frugal(run), "doc_id long, training boolean, n_tokens long, n_head long, head_score double, score double, tail array<bigint>")
     scored = materialise(scored.select("*", F.monotonically_increasing_id().alias("row")), "scored")
     counts = vocabulary.where(F.col("n") * HEAD <= tokens).select("h", "n")
     tail = scored.select("row", F.explode("tail").alias("h")).join(counts, "h", "left")
