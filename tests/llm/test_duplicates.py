@@ -270,3 +270,50 @@ def test_sketches_merge(llm):
     assert merged[0] == whole.first().s and len(merged[1]) == 1
     row = whole.select(fingerprints.distinct_count(F.col("s")).alias("n"), fingerprints.containment(F.col("s"), F.col("s")).alias("c")).first()
     assert abs(row.n / 2996 - 1) < 0.4 and row.c == 1.0
+
+
+def test_lines_of_a_common_passage_are_paired_by_their_rare_words(llm, monkeypatch):
+    """60 lines hold one passage of 36 words and 12 words of their own, of equal hash classes: alike but for the rare words."""
+    import itertools
+    words = {}
+    for i in range(20000):
+        words.setdefault(xxhash.xxh64_intdigest(f"w{i}", 42) & 15, []).append(f"w{i}")
+    passage = [f"p{i}" for i in range(36)]
+    texts = [[words[j][i] for j in range(6)] + passage + [words[j][i] for j in range(6, 12)] for i in range(60)]
+    texts.append(texts[17][:45] + ["x1", "x2", "x3"])                   # three words of 48: within the bound of 4
+    texts.append(["y1", "y2", "y3", "y4", "y5"] + texts[30][5:])        # five words: beyond it
+    texts.append(["z1", "z2"] + texts[40][3:])                          # one word less, two others
+    lines = [(i * 7 % 63, " ".join(t)) for i, t in enumerate(texts)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+    expected = {tuple(sorted((a, b))) for (a, x), (b, y) in itertools.combinations(lines, 2)
+                if distance(x.split(), y.split()) <= min(len(x.split()), len(y.split())) // 10}
+    made, write = {}, line_dedup.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    frame = llm.createDataFrame([(i, x, len(x)) for i, x in lines], "id long, line string, len int")
+    assert {tuple(sorted(r)) for r in line_dedup.word_pairs(frame).collect()} == expected and len(expected) == 2
+    assert made["word_candidates"] < 20                                 # of 1953 pairs
+
+
+def test_materialise_drops_what_it_shuffled(llm, monkeypatch):
+    """The files of a write's shuffle go when it ends; the session's own setting stays."""
+    from tradeflow.llm import common
+    before, during = llm.conf.get(common.DROP_SHUFFLES, None), []
+    out = common.materialise(llm.range(1000).repartition(7, "id").where(F.col("id") >= 0), "shuffled")
+    assert out.count() == 1000 and llm.conf.get(common.DROP_SHUFFLES, None) == before
+    from pyspark.sql import DataFrameWriter
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: during.append(llm.conf.get(common.DROP_SHUFFLES)) or write(self, path))
+    common.materialise(llm.range(10), "shuffled")
+    assert during == ["true"] and llm.conf.get(common.DROP_SHUFFLES, None) == before

@@ -15,13 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import boxed, materialise, table, texts, unboxed
+from .common import boxed, discard, materialise, table, texts, unboxed
 from .components import connected_components
 
 EDITS, MIN_CHARS, NEAR_CHARS = 2, 10, 24
 NEAR_WORDS, WORDS_PER_EDIT = 12, 10
 GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are 8 words long at least, below 6
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
+CROWD = 16                       # lines of one key that are paired by the key alone
+COMMON = 1 << 15                 # words with a share over 1/COMMON are ordered by their counts: COMMON of them at most
 BLANKS = " \t\r"                   # taken off both ends of a line
 LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
 
@@ -149,6 +151,8 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     both = without_common_ends(both.select("a", "b", F.split("short", "").alias("short"), F.split("long", "").alias("long")))
     # written before the filter, which Spark would else push below the arrays, into the lambdas
     distances = materialise(both.select("a", "b", edit_distance(F.col("short"), F.col("long"), edits).alias("d")), "distances")
+    for used in (hits, ids, wanted, pairs):
+        discard(used)
     return distances.where(F.col("d") <= edits).select("a", "b")
 
 
@@ -173,11 +177,32 @@ def word_keys(distinct: DataFrame) -> DataFrame:
     return rows.select("id", F.concat(short, long).alias("keys"))
 
 
+def rare_words(lines: DataFrame) -> DataFrame:
+    """(id, word): the k + 1 rarest different words of each line of ``lines`` (id, n, code), k its word edits at most.
+
+    Two lines within k edits that have a word in common have one of these in common: the first common word, in any one
+    order of all words, comes after at most k others in each of the lines. The order is by the words' counts, as far as
+    they are common (COMMON of them at most, broadcast), then by a hash.
+    """
+    codes = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("code", i * 4 + 1, F.lit(4)))
+    words = lines.select("id", (F.floor(F.col("n") / WORDS_PER_EDIT) + 1).cast("int").alias("take"), F.explode_outer(F.array_distinct(codes)).alias("word"))
+    counts = materialise(words.groupBy("word").agg(F.count("*").alias("lines")), "word_counts")
+    total = counts.agg(F.sum("lines")).first()[0] or 0
+    common = counts.where(F.col("lines") * COMMON > total)
+    placed = F.struct(F.coalesce("lines", F.lit(0)).alias("lines"), F.xxhash64("word").alias("h"), "word")
+    kept = words.join(F.broadcast(common), "word", "left").groupBy("id", "take").agg(F.sort_array(F.collect_list(placed)).alias("words"))
+    kept = materialise(kept.select("id", F.explode_outer(F.slice("words", 1, F.col("take"))["word"]).alias("word")), "word_rare")
+    discard(counts)
+    return kept
+
+
 def word_pairs(distinct: DataFrame) -> DataFrame:
     """(a, b): links of different lines of ``distinct`` (id, line) within one word edit for every ``WORDS_PER_EDIT`` words of the shorter.
 
     Their components are those of all such pairs. First each line is compared with the smallest id of each
-    of its keys; then all pairs of a key, but for those that are in one component already.
+    of its keys; then all pairs of a key, but for those that are in one component already. A key of more than
+    CROWD lines (a passage that many lines hold) pairs only those that also share one of their ``rare_words``,
+    which lines within the bound do.
     """
     # outer: for explode Spark would push a filter on the size of ``keys`` below the arrays, into the lambdas
     entries = word_keys(distinct).select("id", F.explode_outer("keys").alias("key"))
@@ -212,17 +237,33 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     hubs = hits.groupBy("key").agg(F.min("id").alias("a"))
     star = hits.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     star = star.join(counts("a"), "a").join(counts("b"), "b").where(alike).select("a", "b", edits.alias("edits"))
-    links = materialise(verified(materialise(star, "word_star")), "word_links")
+    star = materialise(star, "word_star")
+    links = materialise(verified(star), "word_links")
+    discard(star)
     named = wanted.select("id").join(connected_components(links), F.col("id") == F.col("node"), "left").select(
         "id", F.coalesce("component", "id").alias("part"))
     placed = materialise(hits.join(named, "id"), "word_parts")
-    sides = [placed.select(F.col("id").alias(name), F.col("part").alias(f"part{name}"), "key").join(counts(name), name) for name in "ab"]
-    pairs = sides[0].join(sides[1], "key").where((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & alike)
+    discard(hits)
+    groups = placed.groupBy("key").agg(F.count("*").alias("lines"), (F.min("part") < F.max("part")).alias("open"))
+    placed, whole = materialise(placed.join(groups.where("open"), "key").select("id", "part", "key", "lines"), "word_open"), placed
+    discard(whole)
+    few, many = placed.where(F.col("lines") <= CROWD), placed.where(F.col("lines") > CROWD)
+    rare = rare_words(wanted.join(many.select("id").distinct(), "id", "left_semi").select("id", "n", "code"))
     # an edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from
     run = F.when(shorter < LONG_WORDS, 6).otherwise(8)
     need = F.when(F.col("plaina"), (F.col("na") - run + 1 - edits * run) / (run - GRAM + 1)).otherwise(1)
-    pairs = pairs.groupBy("a", "b", edits.alias("edits"), need.alias("need")).agg(F.count("*").alias("shared")).where(F.col("shared") >= F.col("need"))
-    return links.unionByName(verified(materialise(pairs.select("a", "b", "edits"), "word_candidates")))
+
+    def met(entries: DataFrame, *on: str) -> DataFrame:
+        sides = [entries.select(F.col("id").alias(name), F.col("part").alias(f"part{name}"), *on).join(counts(name), name) for name in "ab"]
+        pairs = sides[0].join(sides[1], list(on)).where((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & alike)
+        return pairs.select("a", "b", edits.alias("edits"), need.alias("need"), "key")
+    pairs = met(few, "key").unionByName(met(many.join(rare, "id"), "key", "word"))
+    pairs = pairs.groupBy("a", "b", "edits", "need").agg(F.count_distinct("key").alias("shared")).where(F.col("shared") >= F.col("need"))
+    candidates = materialise(pairs.select("a", "b", "edits"), "word_candidates")
+    more = materialise(verified(candidates), "word_more")
+    for used in (ids, wanted, placed, rare, candidates):
+        discard(used)
+    return links.unionByName(more)
 
 
 def all_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
