@@ -22,7 +22,7 @@ EDITS, MIN_CHARS, NEAR_CHARS = 2, 10, 24
 NEAR_WORDS, WORDS_PER_EDIT = 12, 10
 GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are 8 words long at least, below 6
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
-CROWD = 16                       # lines of one key that are paired by the key alone
+CROWD = 32                       # lines of one key that are paired by the key alone
 COMMON = 1 << 15                 # words with a share over 1/COMMON are ordered by their counts: COMMON of them at most
 BLANKS = " \t\r"                   # taken off both ends of a line
 LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
@@ -257,11 +257,15 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
         sides = [entries.select(F.col("id").alias(name), F.col("part").alias(f"part{name}"), *on).join(counts(name), name) for name in "ab"]
         pairs = sides[0].join(sides[1], list(on)).where((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & alike)
         return pairs.select("a", "b", edits.alias("edits"), need.alias("need"), "key")
-    pairs = met(few, "key").unionByName(met(many.join(rare, "id"), "key", "word"))
+    # narrow rows tell which keys and words are met again, in another component: few entries are left for the wide join
+    crowd = many.join(rare, "id").select("id", "part", "key", F.xxhash64("key", "word").alias("place"))
+    again = crowd.groupBy("place").agg((F.min("part") < F.max("part")).alias("open")).where("open")
+    crowd = materialise(crowd.join(again, "place").select("id", "part", "key", "place"), "word_crowd")
+    pairs = met(few, "key").unionByName(met(crowd, "key", "place"))
     pairs = pairs.groupBy("a", "b", "edits", "need").agg(F.count_distinct("key").alias("shared")).where(F.col("shared") >= F.col("need"))
     candidates = materialise(pairs.select("a", "b", "edits"), "word_candidates")
     more = materialise(verified(candidates), "word_more")
-    for used in (ids, wanted, placed, rare, candidates):
+    for used in (ids, wanted, placed, rare, crowd, candidates):
         discard(used)
     return links.unionByName(more)
 
