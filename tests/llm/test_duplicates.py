@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -306,6 +307,27 @@ def test_lines_of_a_common_passage_are_paired_by_their_rare_words(llm, monkeypat
     assert made["word_candidates"] < 20                                 # of 1953 pairs
 
 
+@pytest.mark.parametrize("crowd", [32, 1])
+def test_lines_with_a_passage_at_other_places_are_not_compared(llm, monkeypatch, crowd):
+    """Lines of the same words, a passage at the start, in the middle or at the end; one line repeats a gram."""
+    passage, rest = [f"p{i}" for i in range(16)], [f"r{i}" for i in range(24)]
+    texts = [rest[:at] + passage + rest[at:] for at in (0, 12, 24)]
+    texts.append(["x1", "x2"] + texts[1][2:] + ["x3"])                  # three edits of the second, words moved by one
+    texts.append(rest[:8] + passage + rest[8:-8] + rest[:8])            # the first eight words again at the end
+    texts.append(rest[:8] + passage + ["y1"] + rest[8:-8] + rest[:8])
+    made, write = {}, line_dedup.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    frame = llm.createDataFrame([(i, " ".join(x), len(" ".join(x))) for i, x in enumerate(texts)], "id long, line string, len int")
+    assert {tuple(sorted(r)) for r in line_dedup.word_pairs(frame).collect()} == {(1, 3), (4, 5)}
+    assert made["word_candidates"] <= 4                                 # of 15 pairs
+
+
 def test_materialise_drops_what_it_shuffled(llm, monkeypatch):
     """The files of a write's shuffle go when it ends; the session's own setting stays."""
     from tradeflow.llm import common

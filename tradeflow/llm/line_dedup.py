@@ -24,6 +24,9 @@ GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
 CROWD = 32                       # lines of one key that are paired by the key alone
 COMMON = 1 << 15                 # words with a share over 1/COMMON are ordered by their counts: COMMON of them at most
+PLACE = (1 << 20) - 1            # low bits of a word key: where its gram stands, PLACE if that is not told
+ENTRY = ("id", "part", "n", "odd", "key", "pos")       # a line at one of its keys
+LANE = (1 << 16) - 1             # most words of a line whose class counts are packed
 BLANKS = " \t\r"                   # taken off both ends of a line
 LETTER_CLASSES = ("eE", "aA", "tT", "nN", "iI", "oO", "rR", "sS", "hH", "lL", "dD", "uUcC", "bBmMpP", "gGfFwW", " .,", "0123456789")
 
@@ -157,15 +160,16 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
 
 
 def word_keys(distinct: DataFrame) -> DataFrame:
-    """(id, keys) of the lines of ``NEAR_WORDS`` words or more; lines within the bound share a key.
+    """(id, keys) of the lines of ``NEAR_WORDS`` words or more; lines within the bound share the upper bits of a key.
 
     n words with k = n / 10 edits keep an equal run of (n - k) / (k + 1) words, rounded up: 6 from 12
     words on, 8 from 40 on. A run of t words holds t - 4 grams in a row, and of every so many grams in
-    a row the one of smallest hash is a key.
+    a row the one of smallest hash is a key. Its low bits are the gram's number in the line, if no gram of
+    the line occurs twice and the line has less than PLACE of them; else they are PLACE.
     """
     rows = distinct.select("id", F.split("line", " ").alias("words")).where(F.size("words") >= NEAR_WORDS)
     rows = rows.select("id", F.size("words").alias("words"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    gram = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)])
+    gram = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)]).bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(PLACE)))
     rows = rows.select("id", "words", F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram).alias("g"))
 
     def smallest(count: int) -> Column:
@@ -173,8 +177,10 @@ def word_keys(distinct: DataFrame) -> DataFrame:
     none = F.array().cast("array<bigint>")
     # a line of up to 42 words may be the longer one of a pair whose shorter line has less than 40
     short = F.when(F.col("words") < LONG_WORDS + LONG_WORDS // WORDS_PER_EDIT - 1, smallest(2)).otherwise(none)
-    long = F.when(F.col("words") >= LONG_WORDS, F.transform(smallest(4), lambda x: F.bitwise_not(x))).otherwise(none)
-    return rows.select("id", F.concat(short, long).alias("keys"))
+    long = F.when(F.col("words") >= LONG_WORDS, F.transform(smallest(4), lambda x: x.bitwiseXOR(F.lit(~PLACE)))).otherwise(none)
+    told = (F.size("g") < PLACE) & (F.size(F.array_distinct(F.transform("g", lambda x: x.bitwiseAND(F.lit(~PLACE))))) == F.size("g"))
+    keys = F.concat(short, long)
+    return rows.select("id", F.when(told, keys).otherwise(F.array_distinct(F.transform(keys, lambda x: x.bitwiseOR(F.lit(PLACE))))).alias("keys"))
 
 
 def rare_words(lines: DataFrame) -> DataFrame:
@@ -184,7 +190,7 @@ def rare_words(lines: DataFrame) -> DataFrame:
     order of all words, comes after at most k others in each of the lines. The order is by the words' counts, as far as
     they are common (COMMON of them at most, broadcast), then by a hash.
     """
-    codes = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("code", i * 4 + 1, F.lit(4)))
+    codes = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.hex(F.substring("code", i * 4 + 1, F.lit(4))))
     words = lines.select("id", (F.floor(F.col("n") / WORDS_PER_EDIT) + 1).cast("int").alias("take"), F.explode_outer(F.array_distinct(codes)).alias("word"))
     counts = materialise(words.groupBy("word").agg(F.count("*").alias("lines")), "word_counts")
     total = counts.agg(F.sum("lines")).first()[0] or 0
@@ -202,12 +208,14 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     Their components are those of all such pairs. First each line is compared with the smallest id of each
     of its keys; then all pairs of a key, but for those that are in one component already. A key of more than
     CROWD lines (a passage that many lines hold) pairs only those that also share one of their ``rare_words``,
-    which lines within the bound do.
+    which lines within the bound do, and no key pairs lines in which it stands too far from either end.
     """
     # outer: for explode Spark would push a filter on the size of ``keys`` below the arrays, into the lambdas
-    entries = word_keys(distinct).select("id", F.explode_outer("keys").alias("key"))
+    entries = word_keys(distinct).select("id", F.explode_outer("keys").alias("entry"))
     i, p = entries.alias("i"), entries.alias("p")      # the same expressions: one shuffled side serves both
-    hits = materialise(i.join(p, (F.col("i.key") == F.col("p.key")) & (F.col("i.id") != F.col("p.id")), "left_semi"), "word_hits")
+    upper = lambda c: F.col(c).bitwiseAND(F.lit(~PLACE))
+    hits = i.join(p, (upper("i.entry") == upper("p.entry")) & (F.col("i.id") != F.col("p.id")), "left_semi")
+    hits = materialise(hits.select("id", upper("entry").alias("key"), F.col("entry").bitwiseAND(F.lit(PLACE)).cast("int").alias("pos")), "word_hits")
     ids = materialise(hits.select("id").distinct(), "word_ids")
     few = ids.count() <= BROADCAST_IDS
     wanted = distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", F.split("line", " ").alias("words"))
@@ -215,18 +223,23 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     # a word as one character of four bytes, and as one of 16 classes
     digits = F.transform("h", lambda h: F.concat(F.lit("F"), F.pmod(h, F.lit(5)).cast("string"),
                                                  F.lpad(F.hex(F.shiftrightunsigned(h, 40)), 6, "0")))
-    classes = F.transform("h", lambda h: F.substring(F.hex(h), -1, 1))
-    grams = F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)]))
-    wanted = wanted.select("id", "n", F.unhex(F.array_join(digits, "")).alias("code"), F.array_join(classes, "").alias("bag"),
-                           (F.size(F.array_distinct(grams)) == F.size("h") - GRAM + 1).alias("plain"))
+    # one bit for each of 64 classes: whether it has an odd number of the words
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    odd = F.aggregate("h", F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(bit(h)))
+    wanted = wanted.select("id", "n", odd.alias("odd"), digits.alias("digits"))
+    classes = F.transform("digits", lambda d: F.substring(d, 8, 1))
+    wanted = wanted.select("id", "n", "odd", F.unhex(F.array_join("digits", "")).alias("code"), F.array_join(classes, "").alias("bag"))
+    # the counts of four classes in one number; of a line of more words none, and no pair of it is ruled out by them
+    lanes = lambda four: F.when(F.col("n") <= LANE, sum(
+        (F.shiftleft((F.col("n") - F.octet_length(F.replace("bag", F.lit(c), F.lit("")))).cast("long"), 16 * j) for j, c in enumerate(four)), F.lit(0).cast("long")))
+    wanted = wanted.select("id", "n", "odd", "code", *[lanes(four).alias(f"c{k}") for k, four in enumerate(("0123", "4567", "89AB", "CDEF"))])
     wanted = materialise(wanted, "word_lines")
+    counts = lambda name: wanted.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), *[F.col(f"c{k}").alias(f"{name}{k}") for k in range(4)])
+    edits = F.floor(F.least("na", "nb") / WORDS_PER_EDIT).cast("int")
     # a word edit changes at most two of the class counts by one: pairs that differ more are never emitted
-    counts = lambda name: wanted.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("plain").alias(f"plain{name}"), *[
-        (F.col("n") - F.octet_length(F.translate("bag", c, ""))).alias(f"{name}{j}") for j, c in enumerate("0123456789ABCDEF")])
-    shorter = F.least("na", "nb")
-    edits = F.floor(shorter / WORDS_PER_EDIT).cast("int")
-    gap = sum((F.abs(F.col(f"a{j}") - F.col(f"b{j}")) for j in range(1, 16)), F.abs(F.col("a0") - F.col("b0")))
-    alike = (F.abs(F.col("nb") - F.col("na")) <= edits) & (gap <= 2 * edits)
+    lane = lambda c, j: F.shiftrightunsigned(c, 16 * j).bitwiseAND(F.lit(LANE))
+    gap = sum((F.abs(lane(f"a{k}", j) - lane(f"b{k}", j)) for k in range(4) for j in range(4)), F.lit(0).cast("long"))
+    alike = (F.abs(F.col("nb") - F.col("na")) <= edits) & F.coalesce(gap <= 2 * edits, F.lit(True))
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(wanted.select(F.col("id").alias("a"), F.col("code").alias("one")), "a")
@@ -240,32 +253,46 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     star = materialise(star, "word_star")
     links = materialise(verified(star), "word_links")
     discard(star)
-    named = wanted.select("id").join(connected_components(links), F.col("id") == F.col("node"), "left").select(
-        "id", F.coalesce("component", "id").alias("part"))
-    placed = materialise(hits.join(named, "id"), "word_parts")
+    named = wanted.select("id", "n", "odd").join(connected_components(links), F.col("id") == F.col("node"), "left").select(
+        "id", "n", "odd", F.coalesce("component", "id").alias("part"))
+    placed = materialise(hits.join(named, "id").select(*ENTRY), "word_parts")
     discard(hits)
     groups = placed.groupBy("key").agg(F.count("*").alias("lines"), (F.min("part") < F.max("part")).alias("open"))
-    placed, whole = materialise(placed.join(groups.where("open"), "key").select("id", "part", "key", "lines"), "word_open"), placed
+    placed, whole = materialise(placed.join(groups.where("open"), "key").select(*ENTRY, "lines"), "word_open"), placed
     discard(whole)
     few, many = placed.where(F.col("lines") <= CROWD), placed.where(F.col("lines") > CROWD)
     rare = rare_words(wanted.join(many.select("id").distinct(), "id", "left_semi").select("id", "n", "code"))
-    # an edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from
-    run = F.when(shorter < LONG_WORDS, 6).otherwise(8)
-    need = F.when(F.col("plaina"), (F.col("na") - run + 1 - edits * run) / (run - GRAM + 1)).otherwise(1)
-
-    def met(entries: DataFrame, *on: str) -> DataFrame:
-        sides = [entries.select(F.col("id").alias(name), F.col("part").alias(f"part{name}"), *on).join(counts(name), name) for name in "ab"]
-        pairs = sides[0].join(sides[1], list(on)).where((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & alike)
-        return pairs.select("a", "b", edits.alias("edits"), need.alias("need"), "key")
-    # narrow rows tell which keys and words are met again, in another component: few entries are left for the wide join
-    crowd = many.join(rare, "id").select("id", "part", "key", F.xxhash64("key", "word").alias("place"))
+    # narrow rows tell which keys and words are met again, in another component: few entries are left for the join
+    crowd = many.join(rare, "id").select(*ENTRY, F.xxhash64("key", "word").alias("place"))
     again = crowd.groupBy("place").agg((F.min("part") < F.max("part")).alias("open")).where("open")
-    crowd = materialise(crowd.join(again, "place").select("id", "part", "key", "place"), "word_crowd")
-    pairs = met(few, "key").unionByName(met(crowd, "key", "place"))
-    pairs = pairs.groupBy("a", "b", "edits", "need").agg(F.count_distinct("key").alias("shared")).where(F.col("shared") >= F.col("need"))
-    candidates = materialise(pairs.select("a", "b", "edits"), "word_candidates")
+    crowd = materialise(crowd.join(again, "place").select(*ENTRY, "place"), "word_crowd")
+    # of a pair the longer line has less than 1.11 times the words: lengths meet in their own step or in the one above
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.11)))
+    # an edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from
+    run = F.when(F.col("na") < LONG_WORDS, 6).otherwise(8)
+    need = [F.when(F.col(f"pos{x}") < PLACE, (F.col(f"n{x}") - run + 1 - edits * run) / (run - GRAM + 1)).otherwise(1) for x in "ab"]
+    # the equal run that gives a key has as many words before it and after it, but for the edits there
+    before = F.col("posa") - F.col("posb")
+    moved = F.when((F.col("posa") < PLACE) & (F.col("posb") < PLACE), F.abs(before) + F.abs(F.col("na") - F.col("nb") - before)).otherwise(0)
+
+    def met(first: DataFrame, second: DataFrame, on: str) -> DataFrame:
+        sides = [rows.select(*[F.col(c).alias(f"{c}{x}") for c in ENTRY if c != "key"], *dict.fromkeys(("key", on)))
+                 for rows, x in ((first, "a"), (second, "b"))]
+        if on != "key":
+            sides[1] = sides[1].drop("key")
+        ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") < F.col("idb")))
+        pairs = sides[0].join(sides[1], on).where(ordered & (F.col("parta") != F.col("partb")) & (F.col("nb") - F.col("na") <= edits)
+                                              & (moved <= edits) & (F.bit_count(F.col("odda").bitwiseXOR(F.col("oddb"))) <= 2 * edits))
+        return pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b"), F.greatest(*need).alias("need"), "key")
+    own, other = F.xxhash64("place", step), F.xxhash64("place", step - 1)
+    crowded = met(crowd.withColumn("meet", own), crowd.withColumn("meet", F.explode(F.array(own, other))), "meet")
+    pairs = met(few, few, "key").unionByName(crowded)
+    pairs = pairs.groupBy("a", "b").agg(F.count_distinct("key").alias("shared"), F.max("need").alias("need")).where(F.col("shared") >= F.col("need"))
+    pairs = materialise(pairs.select("a", "b"), "word_pairs")
+    candidates = pairs.join(counts("a"), "a").join(counts("b"), "b").where(alike).select("a", "b", edits.alias("edits"))
+    candidates = materialise(candidates, "word_candidates")
     more = materialise(verified(candidates), "word_more")
-    for used in (ids, wanted, placed, rare, crowd, candidates):
+    for used in (ids, wanted, placed, rare, crowd, pairs, candidates):
         discard(used)
     return links.unionByName(more)
 
