@@ -241,3 +241,37 @@ def test_lm_workers_give_memory_back_after_each_stage(docs, monkeypatch):
     monkeypatch.setattr(lm_scoring, "frugal", lambda run: wrapped.append(run) or frugal(run))
     rows = lm_scoring.score(docs, fold("doc_id", 7) != 2).count()
     assert rows == docs.count() and len(wrapped) == 3
+
+
+def test_counts_found_are_held_for_the_next_texts(monkeypatch):
+    """A second stretch of the same words probes the filter only for what is rare; the scores stay, with and without room."""
+    rng = np.random.default_rng(4)
+    raws = [b" ".join(b"w%d" % min(i, 400) for i in rng.zipf(1.3, 300)) for _ in range(40)]
+
+    def stretch():
+        vocabulary = lm_scoring.Vocabulary()
+        for raw in raws:
+            vocabulary.add(raw)
+        return vocabulary.stream()
+    codes, histories, words = stretch()
+    hashes, hot = lm_scoring.hash_words(words), {b"w1"}
+    is_hot = np.array([w in hot for w in words])
+    part, follower = lm_scoring.bigram_parts(hashes[histories], hashes[codes], is_hot[histories])
+    keys, counts = np.unique(lm_scoring.pack_key(part, follower), return_counts=True)
+    raw, _, (ones, twos) = lm_scoring.build_bucket(keys, counts.astype(np.int64))
+
+    class Shared:
+        value = (0, [len(raw)], raw)
+    probed, counts_of = [], lm_scoring.Segment.counts
+    monkeypatch.setattr(lm_scoring.Segment, "counts", lambda self, keys, *rest: probed.append(len(keys)) or counts_of(self, keys, *rest))
+    scores = []
+    for room in (1 << 18, 10, 0):
+        monkeypatch.setattr(lm_scoring, "HELD_KEYS", room)
+        model = lm_scoring.Probabilities([Shared], 0, hot, len(codes), len(words), 0.5, 0.5)
+        for _ in range(3):
+            probed.clear()
+            scores.append(model.token_scores(codes, histories, words, hashes))
+            if len(scores) == 2:
+                assert probed[0] < first[0] and probed[1] < first[1] / 2
+            first = list(probed)
+    assert all(np.array_equal(scores[0], s) for s in scores[1:])

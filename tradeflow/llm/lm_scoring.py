@@ -32,6 +32,7 @@ BUCKET_TOKENS = 1 << 21          # training tokens per bucket of the filter
 SEGMENT_BYTES = 128 << 20        # largest single broadcast
 TASK_TOKENS = 1 << 20            # tokens a task holds before it sends their bigrams
 SCORE_TOKENS = 1 << 19           # tokens scored at once
+HELD_KEYS = 1 << 18              # words, and bigrams, whose counts a task holds for its next texts; others are looked up again
 COUNT_WORDS = 1 << 18            # different words a task holds before it sends their counts
 _U64 = np.uint64
 
@@ -246,16 +247,40 @@ def segments(rows: DataFrame, limit: int = SEGMENT_BYTES):
     return out
 
 
+class Held:
+    """Values of up to HELD_KEYS keys, in rows of ``width``."""
+
+    def __init__(self, width: int):
+        self.keys, self.values = np.empty(0, np.uint64), np.empty((0, width))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the keys that are held, their rows)."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        mine = np.flatnonzero(self.keys[at] == keys) if len(self.keys) else np.empty(0, np.int64)
+        return mine, self.values[at[mine]]
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Hold more keys, of which none is held yet, as long as there is room."""
+        room = HELD_KEYS - len(self.keys)
+        if room > 0 and len(keys):
+            keys, values = np.concatenate([self.keys, keys[:room]]), np.concatenate([self.values, values[:room]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.values = keys[order], values[order]
+
+
 class Probabilities:
     """Smoothed log10 probabilities of bigrams from the filter.
 
     Absolute discounting, interpolated: (c(hw) - d) / c(h) + d * followers(h) / c(h) * p(w), where
     p(w) = (c(w) - u) / N for a known word and u * V / N, the mass so set free, for any unknown one.
+    What took many probes of the filter is held for the next texts of a task.
     """
 
     def __init__(self, parts, bucket_bits: int, hot: set[bytes], tokens: int, kinds: int, discount: float, word_discount: float):
         self.parts, self.bucket_bits, self.hot = parts, bucket_bits, hot
         self.tokens, self.kinds, self.discount, self.word_discount = tokens, kinds, discount, word_discount
+        self.held_words, self.held_pairs = Held(2), Held(1)
 
     def bucket(self, keys: np.ndarray) -> np.ndarray:
         return (keys >> _U64(64 - self.bucket_bits)).astype(np.int64) if self.bucket_bits else np.zeros(len(keys), np.int64)
@@ -276,19 +301,31 @@ class Probabilities:
     def token_scores(self, codes: np.ndarray, histories: np.ndarray, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
         """log10 probability of each token."""
         is_hot = np.fromiter((w in self.hot for w in words), dtype=bool, count=len(words))
+        held, held_words = self.held_words.find(hashes)
+        fresh = np.ones(len(words), dtype=bool)
+        fresh[held] = False
         # history parts: one for most words, SALTS for hot ones
-        cold, hot = np.flatnonzero(~is_hot), np.flatnonzero(is_hot)
+        cold, hot = np.flatnonzero(fresh & ~is_hot), np.flatnonzero(fresh & is_hot)
         owner = np.concatenate([cold, np.repeat(hot, SALTS)])
         salt = np.concatenate([np.zeros(len(cold), np.uint64), np.tile(np.arange(1, SALTS + 1, dtype=np.uint64), len(hot))])
         parts = mix(hashes[owner] + salt * _U64(0x9E3779B97F4A7C15))
         part, follower = bigram_parts(hashes[histories], hashes[codes], is_hot[histories])
         pairs, place = np.unique(pack_key(part, follower), return_inverse=True)
         short = parts >> _U64(28)
-        bigrams, totals, followers = self.probe([
-            (pairs, self.bucket(pairs), BIGRAM), (short, self.bucket(parts), COUNT), (short, self.bucket(parts), FOLLOWERS)])
+        known, held_pairs = self.held_pairs.find(pairs)
+        bigrams, new = np.zeros(len(pairs)), np.ones(len(pairs), dtype=bool)
+        bigrams[known], new[known] = held_pairs[:, 0], False
+        others = pairs[new]
+        bigrams[new], totals, followers = self.probe([
+            (others, self.bucket(others), BIGRAM), (short, self.bucket(parts), COUNT), (short, self.bucket(parts), FOLLOWERS)])
         c = np.bincount(owner, totals, minlength=len(words))          # c(w), which is also c(h)
         t = np.minimum(np.bincount(owner, followers, minlength=len(words)), c)
         c = np.where(t > 0, c, 0.0)                                   # every known word has a follower: else a false hit
+        c[held], t[held] = held_words.T
+        often = np.flatnonzero(new & (bigrams >= EXACT_LEVELS))
+        self.held_pairs.add(pairs[often], bigrams[often, None])
+        often = np.flatnonzero(fresh & (c >= EXACT_LEVELS))
+        self.held_words.add(hashes[often], np.stack([c[often], t[often]], axis=1))
         n = max(self.tokens, 1)
         unknown = max(self.word_discount * self.kinds, 1.0) / n
         base = np.where(c > 0, np.maximum(c - self.word_discount, 0.1) / n, min(unknown, 1.0))
