@@ -339,3 +339,77 @@ def test_materialise_drops_what_it_shuffled(llm, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: during.append(llm.conf.get(common.DROP_SHUFFLES)) or write(self, path))
     common.materialise(llm.range(10), "shuffled")
     assert during == ["true"] and llm.conf.get(common.DROP_SHUFFLES, None) == before
+
+
+def counting(monkeypatch):
+    """The rows of each table that the line join writes, by name."""
+    made, write = {}, line_dedup.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    return made
+
+
+@pytest.mark.parametrize("crowd", [32, 1])
+def test_lines_of_a_common_passage_and_common_words_do_not_meet(llm, monkeypatch, crowd):
+    """60 lines hold one passage and words of a small vocabulary: each two share rare words, but no rare gram of three."""
+    rng = random.Random(12)
+    passage, vocabulary = [f"p{i}" for i in range(24)], [f"v{i}" for i in range(60)]
+    texts = [[rng.choice(vocabulary) for _ in range(18)] + passage + [rng.choice(vocabulary) for _ in range(18)] for _ in range(60)]
+    texts.append(texts[30][:3] + ["x1"] + texts[30][4:50] + ["x2", "x3"] + texts[30][51:])       # within the bound of 6
+    texts.append(texts[41][1:28] + ["y1"] + texts[41][28:-1] + ["y2"])
+    made = counting(monkeypatch)
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    lines = [(i * 7 % 62, " ".join(x)) for i, x in enumerate(texts)]
+    number = {x: i for i, x in lines}
+    frame = llm.createDataFrame([(i, x, len(x)) for i, x in lines], "id long, line string, len int")
+    expected = {tuple(sorted((number[" ".join(texts[i])], number[" ".join(texts[j])]))) for i, j in ((30, 60), (41, 61))}
+    assert {tuple(sorted(r)) for r in line_dedup.word_pairs(frame).collect()} == expected
+    assert made["word_crowd"] < 200 and made["word_pairs"] < 10         # of 62 lines and 1891 pairs
+
+
+def test_rare_grams_by_brute_force(llm, monkeypatch):
+    """All pairs within the bound are found through rare grams alone, also of lines that repeat words or grams."""
+    rng = random.Random(13)
+    texts = set()
+    for n in [12, 13, 19, 20, 29, 30, 39, 40, 41, 43, 60, 100] * 3:
+        base = [f"w{rng.randrange(8 if n % 2 else 300)}" for _ in range(n)]
+        for e in [0, n // 10, n // 10] * 2:
+            out = list(base)
+            for _ in range(e):
+                kind, i = rng.randint(0, 2), rng.randrange(len(out))
+                out[i:i + (kind > 0)] = [f"w{rng.randrange(300)}"] if kind < 2 else []
+            texts.add(" ".join(out))
+    lines = list(enumerate(sorted(texts)))
+    words = [t.split(" ") for _, t in lines]
+    near = {(i, j) for j in range(len(words)) for i in range(j) if min(len(words[i]), len(words[j])) >= 12
+            and abs(len(words[i]) - len(words[j])) <= min(len(words[i]), len(words[j])) // 10
+            and len(collections.Counter(words[i]) - collections.Counter(words[j])) <= min(len(words[i]), len(words[j])) // 10
+            and distance(words[i], words[j]) <= min(len(words[i]), len(words[j])) // 10}
+    monkeypatch.setattr(line_dedup, "CROWD", 0)
+    rows = llm.createDataFrame([(i, len(w), b"".join(chr(0x10000 + hash(x) % 0xF0000).encode() for x in w)) for i, w in enumerate(words)], "id long, n int, code binary")
+    met = collections.defaultdict(list)
+    for r in line_dedup.rare_grams(rows).collect():
+        met[r.gram].append((r.id, r.pos))
+    bound = lambda i, j: min(len(words[i]), len(words[j])) // 10
+    moved = lambda i, p, j, q: 0 if line_dedup.PLACE in (p, q) else abs(p - q) + abs(len(words[i]) - len(words[j]) - p + q)
+    found = {(i, j) for g in met.values() for i, p in g for j, q in g if i < j and moved(i, p, j, q) <= bound(i, j)}
+    assert near <= found and len(near) > 100
+    frame = llm.createDataFrame([(i, t, len(t)) for i, t in lines], "id long, line string, len int")
+    got = {tuple(sorted(r)) for r in line_dedup.word_pairs(frame).collect()}
+    assert got <= near and union(len(lines), got) == union(len(lines), near)
+
+
+def test_lines_that_share_too_little_are_left_out_first(llm, monkeypatch):
+    """20 lines of 100 words share a phrase of six: fewer keys than two lines within the bound share."""
+    rng = random.Random(14)
+    phrase = [f"p{i}" for i in range(6)]
+    texts = [[f"w{rng.randrange(10 ** 6)}" for _ in range(47)] + phrase + [f"w{rng.randrange(10 ** 6)}" for _ in range(47)] for _ in range(20)]
+    texts.append(texts[7][:20] + ["x1", "x2"] + texts[7][22:70] + ["x3"] + texts[7][72:])
+    made = counting(monkeypatch)
+    frame = llm.createDataFrame([(i, " ".join(x), len(" ".join(x))) for i, x in enumerate(texts)], "id long, line string, len int")
+    assert {tuple(sorted(r)) for r in line_dedup.word_pairs(frame).collect()} == {(7, 20)}
+    assert made["word_lines"] == 2

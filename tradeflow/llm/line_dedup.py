@@ -23,8 +23,9 @@ NEAR_WORDS, WORDS_PER_EDIT = 12, 10
 GRAM, LONG_WORDS = 5, 40         # words of a gram; from here on equal runs are 8 words long at least, below 6
 BROADCAST_IDS = 4 << 20          # line ids (8 bytes each) broadcast at most
 CROWD = 32                       # lines of one key that are paired by the key alone
-COMMON = 1 << 15                 # words with a share over 1/COMMON are ordered by their counts: COMMON of them at most
-PLACE = (1 << 20) - 1            # low bits of a word key: where its gram stands, PLACE if that is not told
+RARE = 3                         # words of the grams that pair the lines of a crowd
+LOW = (1 << 20) - 1              # low bits of a word key: where its gram stands and how many keys its line must share
+PLACE = (1 << 16) - 1            # the place's bits of these; PLACE if it is not told
 ENTRY = ("id", "part", "n", "odd", "key", "pos")       # a line at one of its keys
 LANE = (1 << 16) - 1             # most words of a line whose class counts are packed
 BLANKS = " \t\r"                   # taken off both ends of a line
@@ -159,66 +160,93 @@ def near_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_C
     return distances.where(F.col("d") <= edits).select("a", "b")
 
 
+def _words(line: str) -> Column:
+    """The number of words between single blanks."""
+    return F.octet_length(line) - F.octet_length(F.replace(F.col(line), F.lit(" "), F.lit(""))) + 1
+
+
+def _shared(n: Column, run: Column | int, edits: Column) -> Column:
+    """Different grams that a line of ``n`` words, no gram twice, shares at least as keys with a line within ``edits`` edits.
+
+    An edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from."""
+    return (n - run + 1 - edits * run) / (run - GRAM + 1)
+
+
 def word_keys(distinct: DataFrame) -> DataFrame:
     """(id, keys) of the lines of ``NEAR_WORDS`` words or more; lines within the bound share the upper bits of a key.
 
     n words with k = n / 10 edits keep an equal run of (n - k) / (k + 1) words, rounded up: 6 from 12
     words on, 8 from 40 on. A run of t words holds t - 4 grams in a row, and of every so many grams in
-    a row the one of smallest hash is a key. Its low bits are the gram's number in the line, if no gram of
-    the line occurs twice and the line has less than PLACE of them; else they are PLACE.
+    a row the one of smallest hash is a key. Its low bits are the keys that the line shares at least with any line
+    within the bound (15 if more) and the gram's number in the line, if no gram of the line occurs twice and the
+    line has less than PLACE of them; else they are 1 and PLACE.
     """
-    rows = distinct.select("id", F.split("line", " ").alias("words")).where(F.size("words") >= NEAR_WORDS)
-    rows = rows.select("id", F.size("words").alias("words"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    gram = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(GRAM)]).bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long").bitwiseAND(F.lit(PLACE)))
+    rows = distinct.select("id", "line", _words("line").alias("words"))
+    rows = rows.where(F.col("words") >= NEAR_WORDS).select("id", "words", F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("h"))
+    clear = F.lit(~LOW)
+    gram = lambda i: F.xxhash64(*[F.get("h", i + j if j else i) for j in range(GRAM)]).bitwiseAND(clear)
     rows = rows.select("id", "words", F.transform(F.sequence(F.lit(0), F.size("h") - GRAM), gram).alias("g"))
-
-    def smallest(count: int) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("g") - count), lambda i: F.least(*[F.get("g", i + j) for j in range(count)])))
+    k = F.floor(F.col("words") / WORDS_PER_EDIT).cast("int")
+    # a line of LONG_WORDS words or more may be the longer one of a pair whose shorter line has less
+    least = F.when(F.col("words") < LONG_WORDS, _shared(F.col("words"), 6, k)).when(F.col("words") >= LONG_WORDS + LONG_WORDS // WORDS_PER_EDIT - 1, _shared(F.col("words"), 8, k)).otherwise(1)
+    need = F.greatest(F.lit(1), F.least(F.lit(15), F.ceil(least).cast("int")))
+    told = (F.size("g") < PLACE) & (F.size(F.array_distinct("g")) == F.size("g"))
+    rows = rows.select("id", "words", "g", told.alias("told"))     # read twice below: else Spark would tell anew for each gram
+    low = lambda x, i: x.bitwiseOR(F.when(F.col("told"), i).otherwise(PLACE).cast("long"))
+    rows = rows.select("id", "words", F.shiftleft(F.when(F.col("told"), need).otherwise(1).cast("long"), 16).alias("need"), F.transform("g", low).alias("g"))
+
+    def smallest(run: int) -> Column:
+        width = run - GRAM + 1
+        return F.transform(F.sequence(F.lit(0), F.size("g") - width), lambda i: F.least(*[F.get("g", i + j if j else i) for j in range(width)]))
     none = F.array().cast("array<bigint>")
     # a line of up to 42 words may be the longer one of a pair whose shorter line has less than 40
-    short = F.when(F.col("words") < LONG_WORDS + LONG_WORDS // WORDS_PER_EDIT - 1, smallest(2)).otherwise(none)
-    long = F.when(F.col("words") >= LONG_WORDS, F.transform(smallest(4), lambda x: x.bitwiseXOR(F.lit(~PLACE)))).otherwise(none)
-    told = (F.size("g") < PLACE) & (F.size(F.array_distinct(F.transform("g", lambda x: x.bitwiseAND(F.lit(~PLACE))))) == F.size("g"))
-    keys = F.concat(short, long)
-    return rows.select("id", F.when(told, keys).otherwise(F.array_distinct(F.transform(keys, lambda x: x.bitwiseOR(F.lit(PLACE))))).alias("keys"))
+    short = F.when(F.col("words") < LONG_WORDS + LONG_WORDS // WORDS_PER_EDIT - 1, F.array_distinct(smallest(6))).otherwise(none)
+    long = F.when(F.col("words") >= LONG_WORDS, F.transform(F.array_distinct(smallest(8)), lambda x: x.bitwiseXOR(clear))).otherwise(none)
+    return rows.select("id", F.transform(F.concat(short, long), lambda x: x.bitwiseOR(F.col("need"))).alias("keys"))
 
 
-def rare_words(lines: DataFrame) -> DataFrame:
-    """(id, word): the k + 1 rarest different words of each line of ``lines`` (id, n, code), k its word edits at most.
+def rare_grams(lines: DataFrame) -> DataFrame:
+    """(id, gram, pos): grams of RARE words of the lines of ``lines`` (id, n, code) by which those within the bound meet.
 
-    Two lines within k edits that have a word in common have one of these in common: the first common word, in any one
-    order of all words, comes after at most k others in each of the lines. The order is by the words' counts, as far as
-    they are common (COMMON of them at most, broadcast), then by a hash.
+    k word edits spoil at most RARE * k grams of either line. So of all grams, in any one order, the first that the
+    edits leave in place comes after at most so many others in each of the lines, and stands there among the first
+    RARE * k + 1. The order is by the count of lines; of the grams of one line alone, which come first and meet
+    nothing, only the number is needed. ``pos`` is where the gram stands, PLACE if a gram occurs twice in the line.
     """
-    codes = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.hex(F.substring("code", i * 4 + 1, F.lit(4))))
-    words = lines.select("id", (F.floor(F.col("n") / WORDS_PER_EDIT) + 1).cast("int").alias("take"), F.explode_outer(F.array_distinct(codes)).alias("word"))
-    counts = materialise(words.groupBy("word").agg(F.count("*").alias("lines")), "word_counts")
-    total = counts.agg(F.sum("lines")).first()[0] or 0
-    common = counts.where(F.col("lines") * COMMON > total)
-    placed = F.struct(F.coalesce("lines", F.lit(0)).alias("lines"), F.xxhash64("word").alias("h"), "word")
-    kept = words.join(F.broadcast(common), "word", "left").groupBy("id", "take").agg(F.sort_array(F.collect_list(placed)).alias("words"))
-    kept = materialise(kept.select("id", F.explode_outer(F.slice("words", 1, F.col("take"))["word"]).alias("word")), "word_rare")
-    discard(counts)
-    return kept
+    all_grams = F.transform(F.sequence(F.lit(0), F.col("n") - RARE), lambda i: F.xxhash64(F.substring("code", i * 4 + 1, F.lit(4 * RARE))))
+    rows = lines.select("id", "n", all_grams.alias("all")).select("id", "n", F.size("all").alias("places"), F.array_distinct("all").alias("grams"))
+    spare = F.size("grams") - RARE * F.floor(F.col("n") / WORDS_PER_EDIT).cast("int") - 1      # the last ones of the order, not needed
+    told = (F.size("grams") == F.col("places")) & (F.col("places") < PLACE)
+    rows = rows.select("id", spare.alias("spare"), told.alias("told"), F.posexplode_outer("grams").alias("pos", "gram"))
+    rows = rows.select("id", "spare", F.when(F.col("told"), F.col("pos")).otherwise(PLACE).alias("pos"), "gram")
+    counts = rows.groupBy("gram").agg(F.count("*").alias("lines")).where("lines > 1")
+    kept = rows.join(counts, "gram").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("lines", "gram", "pos"))).alias("grams"), F.max("spare").alias("spare"))
+    kept = kept.where(F.size("grams") > F.col("spare")).select("id", F.explode_outer(F.slice("grams", F.lit(1), F.least(F.size("grams"), F.size("grams") - F.col("spare")))).alias("g"))
+    return materialise(kept.select("id", "g.gram", "g.pos"), "word_rare")
 
 
 def word_pairs(distinct: DataFrame) -> DataFrame:
     """(a, b): links of different lines of ``distinct`` (id, line) within one word edit for every ``WORDS_PER_EDIT`` words of the shorter.
 
     Their components are those of all such pairs. First each line is compared with the smallest id of each
-    of its keys; then all pairs of a key, but for those that are in one component already. A key of more than
-    CROWD lines (a passage that many lines hold) pairs only those that also share one of their ``rare_words``,
-    which lines within the bound do, and no key pairs lines in which it stands too far from either end.
+    of its keys; then all pairs of a key, but for those that are in one component already. Lines with a key of more
+    than CROWD lines (a passage that many lines hold) are paired by their ``rare_grams`` instead, which lines within
+    the bound share, and nothing pairs lines in which it stands too far from either end. Lines that share fewer keys
+    with all others than they would with any one within the bound are left out first.
     """
     # outer: for explode Spark would push a filter on the size of ``keys`` below the arrays, into the lambdas
     entries = word_keys(distinct).select("id", F.explode_outer("keys").alias("entry"))
     i, p = entries.alias("i"), entries.alias("p")      # the same expressions: one shuffled side serves both
-    upper = lambda c: F.col(c).bitwiseAND(F.lit(~PLACE))
+    upper = lambda c: F.col(c).bitwiseAND(F.lit(~LOW))
     hits = i.join(p, (upper("i.entry") == upper("p.entry")) & (F.col("i.id") != F.col("p.id")), "left_semi")
-    hits = materialise(hits.select("id", upper("entry").alias("key"), F.col("entry").bitwiseAND(F.lit(PLACE)).cast("int").alias("pos")), "word_hits")
-    ids = materialise(hits.select("id").distinct(), "word_ids")
+    hits = materialise(hits.select("id", upper("entry").alias("key"), F.col("entry").bitwiseAND(F.lit(LOW)).cast("int").alias("low")), "word_all")
+    needs = F.max(F.shiftright("low", 16))
+    ids = materialise(hits.groupBy("id").agg(F.count("*").alias("shared"), needs.alias("need")).where("shared >= need").select("id"), "word_ids")
     few = ids.count() <= BROADCAST_IDS
-    wanted = distinct.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", F.split("line", " ").alias("words"))
+    known = F.broadcast(ids) if few else ids
+    every, hits = hits, materialise(hits.join(known, "id", "left_semi").select("id", "key", F.col("low").bitwiseAND(F.lit(PLACE)).alias("pos")), "word_hits")
+    discard(every)
+    wanted = distinct.join(known, "id", "left_semi").select("id", F.split("line", " ").alias("words"))
     wanted = wanted.select("id", F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     # a word as one character of four bytes, and as one of 16 classes
     digits = F.transform("h", lambda h: F.concat(F.lit("F"), F.pmod(h, F.lit(5)).cast("string"),
@@ -261,16 +289,16 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     placed, whole = materialise(placed.join(groups.where("open"), "key").select(*ENTRY, "lines"), "word_open"), placed
     discard(whole)
     few, many = placed.where(F.col("lines") <= CROWD), placed.where(F.col("lines") > CROWD)
-    rare = rare_words(wanted.join(many.select("id").distinct(), "id", "left_semi").select("id", "n", "code"))
-    # narrow rows tell which keys and words are met again, in another component: few entries are left for the join
-    crowd = many.join(rare, "id").select(*ENTRY, F.xxhash64("key", "word").alias("place"))
-    again = crowd.groupBy("place").agg((F.min("part") < F.max("part")).alias("open")).where("open")
-    crowd = materialise(crowd.join(again, "place").select(*ENTRY, "place"), "word_crowd")
+    crowd_ids = materialise(many.select("id").distinct(), "word_crowd_ids")
+    rare = rare_grams(wanted.join(crowd_ids, "id", "left_semi").select("id", "n", "code"))
+    # narrow rows tell which grams are met again, in another component: few entries are left for the join
+    crowd = rare.join(named, "id").select("id", "part", "n", "odd", F.col("gram").alias("key"), "pos")
+    again = crowd.groupBy("key").agg((F.min("part") < F.max("part")).alias("open")).where("open")
+    crowd = materialise(crowd.join(again, "key").select(*ENTRY), "word_crowd")
     # of a pair the longer line has less than 1.11 times the words: lengths meet in their own step or in the one above
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.11)))
-    # an edit spoils at most as many runs as a run has words, a key stands for as many runs as it is chosen from
     run = F.when(F.col("na") < LONG_WORDS, 6).otherwise(8)
-    need = [F.when(F.col(f"pos{x}") < PLACE, (F.col(f"n{x}") - run + 1 - edits * run) / (run - GRAM + 1)).otherwise(1) for x in "ab"]
+    need = [F.when(F.col(f"pos{x}") < PLACE, _shared(F.col(f"n{x}"), run, edits)).otherwise(1) for x in "ab"]
     # the equal run that gives a key has as many words before it and after it, but for the edits there
     before = F.col("posa") - F.col("posb")
     moved = F.when((F.col("posa") < PLACE) & (F.col("posb") < PLACE), F.abs(before) + F.abs(F.col("na") - F.col("nb") - before)).otherwise(0)
@@ -284,15 +312,15 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
         pairs = sides[0].join(sides[1], on).where(ordered & (F.col("parta") != F.col("partb")) & (F.col("nb") - F.col("na") <= edits)
                                               & (moved <= edits) & (F.bit_count(F.col("odda").bitwiseXOR(F.col("oddb"))) <= 2 * edits))
         return pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b"), F.greatest(*need).alias("need"), "key")
-    own, other = F.xxhash64("place", step), F.xxhash64("place", step - 1)
-    crowded = met(crowd.withColumn("meet", own), crowd.withColumn("meet", F.explode(F.array(own, other))), "meet")
-    pairs = met(few, few, "key").unionByName(crowded)
-    pairs = pairs.groupBy("a", "b").agg(F.count_distinct("key").alias("shared"), F.max("need").alias("need")).where(F.col("shared") >= F.col("need"))
-    pairs = materialise(pairs.select("a", "b"), "word_pairs")
+    own, other = F.xxhash64("key", step), F.xxhash64("key", step - 1)
+    crowded = met(crowd.withColumn("meet", own), crowd.withColumn("meet", F.explode(F.array(own, other))), "meet").select("a", "b")
+    pairs = met(few, few, "key").groupBy("a", "b").agg(F.count_distinct("key").alias("shared"), F.max("need").alias("need")).where(F.col("shared") >= F.col("need"))
+    pairs = pairs.select("a", "b").unionByName(crowded).distinct()
+    pairs = materialise(pairs, "word_pairs")
     candidates = pairs.join(counts("a"), "a").join(counts("b"), "b").where(alike).select("a", "b", edits.alias("edits"))
     candidates = materialise(candidates, "word_candidates")
     more = materialise(verified(candidates), "word_more")
-    for used in (ids, wanted, placed, rare, crowd, pairs, candidates):
+    for used in (ids, wanted, placed, crowd_ids, rare, crowd, pairs, candidates):
         discard(used)
     return links.unionByName(more)
 
@@ -300,7 +328,7 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
 def all_pairs(distinct: DataFrame, edits: int = EDITS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """(a, b): ids of different lines of ``distinct`` (id, line, len) that are near copies by characters or by words."""
     # an edit of a character is two of words at most: from so many words on the word bound takes in the other
-    few = distinct.where(F.size(F.split("line", " ")) < 2 * edits * WORDS_PER_EDIT + edits)
+    few = distinct.where(_words("line") < 2 * edits * WORDS_PER_EDIT + edits)
     return near_pairs(few, edits, near_chars).unionByName(word_pairs(distinct))
 
 
