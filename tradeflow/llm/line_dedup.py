@@ -294,7 +294,8 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     # narrow rows tell which grams are met again, in another component: few entries are left for the join
     crowd = rare.join(named, "id").select("id", "part", "n", "odd", F.col("gram").alias("key"), "pos")
     again = crowd.groupBy("key").agg((F.min("part") < F.max("part")).alias("open")).where("open")
-    crowd = materialise(crowd.join(again, "key").select(*ENTRY), "word_crowd")
+    classes = [f"c{k}" for k in range(4)]
+    crowd = materialise(crowd.join(again, "key").join(wanted.select("id", *classes), "id").select(*ENTRY, *classes), "word_crowd")
     # of a pair the longer line has less than 1.11 times the words: lengths meet in their own step or in the one above
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.11)))
     run = F.when(F.col("na") < LONG_WORDS, 6).otherwise(8)
@@ -304,13 +305,15 @@ def word_pairs(distinct: DataFrame) -> DataFrame:
     moved = F.when((F.col("posa") < PLACE) & (F.col("posb") < PLACE), F.abs(before) + F.abs(F.col("na") - F.col("nb") - before)).otherwise(0)
 
     def met(first: DataFrame, second: DataFrame, on: str) -> DataFrame:
-        sides = [rows.select(*[F.col(c).alias(f"{c}{x}") for c in ENTRY if c != "key"], *dict.fromkeys(("key", on)))
+        counted = [c for c in classes if c in first.columns]
+        sides = [rows.select(*[F.col(c).alias(f"{c}{x}") for c in ENTRY if c != "key"], *[F.col(c).alias(x + c[1:]) for c in counted], *dict.fromkeys(("key", on)))
                  for rows, x in ((first, "a"), (second, "b"))]
         if on != "key":
             sides[1] = sides[1].drop("key")
         ordered = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") < F.col("idb")))
         pairs = sides[0].join(sides[1], on).where(ordered & (F.col("parta") != F.col("partb")) & (F.col("nb") - F.col("na") <= edits)
                                               & (moved <= edits) & (F.bit_count(F.col("odda").bitwiseXOR(F.col("oddb"))) <= 2 * edits))
+        pairs = pairs.where(alike) if counted else pairs
         return pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b"), F.greatest(*need).alias("need"), "key")
     own, other = F.xxhash64("key", step), F.xxhash64("key", step - 1)
     crowded = met(crowd.withColumn("meet", own), crowd.withColumn("meet", F.explode(F.array(own, other))), "meet").select("a", "b")
